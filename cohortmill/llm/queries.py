@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sketch, topk
+from . import bytebpe, minhash, packing, sketch, tokens, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,9 +18,25 @@ def op1_balltree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(vectors, vectors.filter(F.col("id") % 20 == 0), k=20, scale=64.0)
 
 
+def op2_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.digest(tokens.written(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken")))
+
+
+def op3_bagminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op5_threshold_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprints(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_balltree_topk, op5_threshold_sketch)}
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytebpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+QUERIES = {f.__name__: f for f in (op1_balltree_topk, op2_token_packing, op3_bagminhash_dedup, op4_pattern_packing, op5_threshold_sketch, op10_byte_bpe)}
 ORACLES: dict[str, str] = {}

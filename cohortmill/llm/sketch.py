@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .shared import text_column
 
-WORDS, FRACTION, BUCKET_ROWS, CELLS = 5, 1 / 8, 1000, 256
+WORDS, FRACTION, BUCKET_ROWS, CELLS, BUCKETS = 5, 1 / 8, 1000, 256, 1 << 17
 
 
 def with_sketch(df: DataFrame, text: str, to: str, fraction: float = FRACTION, words: int = WORDS) -> DataFrame:
@@ -59,30 +59,32 @@ def printed(sketch: Column) -> Column:
 def with_next(df: DataFrame, carried: list[str], key: str = "doc_id", tie: str = "text") -> DataFrame:
     """Adds `next`, a struct of the carried columns of the row that follows by descending key.
 
-    Rows go to buckets of about BUCKET_ROWS by the key's quantiles; within a bucket a window finds the next row, and
-    the last row of each bucket gets the first row of the next bucket that has any.
+    Rows go to buckets by the key's quantiles, about BUCKET_ROWS to each but no more than BUCKETS in all. Within a
+    bucket a window finds the next row; the last row gets the first one of the next bucket that has any. Only the
+    first rows' keys, of which there are no more than buckets, are broadcast.
     """
-    stats = df.agg(F.count(key).alias("n"), F.percentile_approx(key, [i / CELLS for i in range(CELLS + 1)], 10000).alias("at"), F.count("*").alias("all")).first()
+    stats = df.agg(F.count(key).alias("n"), F.min(key).alias("least"), F.percentile_approx(key, [i / CELLS for i in range(CELLS + 1)], 10000).alias("at")).first()
     lows = sorted(set(stats["at"] or [0]))
-    per = max(1, -(-stats["n"] // (max(1, len(lows)) * BUCKET_ROWS)))
+    per = min(max(1, -(-stats["n"] // (len(lows) * BUCKET_ROWS))), BUCKETS // CELLS)
     widths = [max(1, -(-(b - a) // per)) for a, b in zip(lows, [*lows[1:], lows[-1] + 1])]
-    nulls = max(1, (stats["all"] - stats["n"]) // BUCKET_ROWS)
     low, width = (F.array(*[F.lit(x).cast("long") for x in xs]) for xs in (lows, widths))
-    cell = F.greatest(F.size(F.filter(low, lambda x: x <= F.col(key))) - 1, F.lit(0))
-    placed = df.withColumn("cell", F.when(F.col(key).isNull(), -1).otherwise(cell)).withColumn("h", F.xxhash64(tie))
-    placed = placed.withColumn("sub", F.when(F.col("cell") < 0, F.pmod("h", F.lit(nulls))).otherwise(F.floor((F.col(key) - F.get(low, F.col("cell"))) / F.get(width, F.col("cell")))))
-    inside = Window.partitionBy("cell", "sub").orderBy(F.desc_nulls_last(key), "h")
-    seen = placed.withColumns({"next": F.lead(F.struct(*carried)).over(inside), "nth": F.row_number().over(inside)}).drop("h")
-    heads = seen.filter(F.col("nth") == 1).select(F.col("cell").alias("c2"), F.col("sub").alias("s2"), F.struct(*carried).alias("head"))
-    buckets = placed.select("cell", "sub").distinct()
-    firsts = buckets.groupBy("cell").agg(F.max("sub").alias("top"))
-    down = Window.orderBy(F.desc("cell"))  # as many rows as cells at most
-    firsts = firsts.select("cell", *[f(x).over(down if f is F.lead else Window.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(f"{n}_{x}") for f, n in ((F.lead, "n"), (F.first, "f")) for x in ("cell", "top")])
-    links = buckets.withColumn("s2", F.lead("sub").over(Window.partitionBy("cell").orderBy(F.desc("sub")))).join(firsts, "cell")
-    links = links.select("cell", "sub", F.when(F.col("s2").isNotNull(), F.col("cell")).otherwise(F.coalesce("n_cell", "f_cell")).alias("c2"), F.coalesce("s2", "n_top", "f_top").alias("s2"))
-    within = seen.filter(F.col("next").isNotNull()).drop("cell", "sub", "nth")
-    across = seen.filter(F.col("next").isNull()).join(links, ["cell", "sub"]).join(heads, ["c2", "s2"]).withColumn("next", F.col("head")).select(within.columns)
-    return within.unionByName(across)
+    placed = df.withColumn("at", F.coalesce(F.col(key), F.lit((stats["least"] or 0) - 1)))
+    placed = placed.withColumn("cell", F.greatest(F.size(F.filter(low, lambda x: x <= F.col("at"))) - 1, F.lit(0)))
+    placed = placed.withColumn("sub", F.floor((F.col("at") - F.get(low, F.col("cell"))) / F.get(width, F.col("cell"))))
+    tops = placed.groupBy("cell", "sub").agg(F.max("at").alias("at"))
+    first = Window.partitionBy("cell", "sub").orderBy("h")
+    heads = placed.join(F.broadcast(tops), ["cell", "sub", "at"]).withColumn("h", F.xxhash64(tie)).withColumn("nth", F.row_number().over(first)).filter("nth = 1")
+    heads = heads.select(F.col("cell").alias("c2"), F.col("sub").alias("s2"), F.struct(*carried).alias("head"))
+    cells = tops.groupBy("cell").agg(F.max("sub").alias("top"))
+    down = Window.orderBy(F.desc("cell"))  # over the cells, CELLS + 1 rows at most
+    whole = down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cells = cells.select("cell", F.coalesce(F.lead("cell").over(down), F.first("cell").over(whole)).alias("n_cell"), F.coalesce(F.lead("top").over(down), F.first("top").over(whole)).alias("n_top"))
+    links = tops.select("cell", "sub", F.lead("sub").over(Window.partitionBy("cell").orderBy(F.desc("sub"))).alias("below")).join(cells, "cell")
+    links = links.select("cell", "sub", F.when(F.col("below").isNotNull(), F.col("cell")).otherwise(F.col("n_cell")).alias("c2"), F.coalesce("below", "n_top").alias("s2"))
+    following = heads.join(links, ["c2", "s2"]).select("cell", "sub", "head")
+    inside = Window.partitionBy("cell", "sub").orderBy(F.desc("at"), "h")
+    seen = placed.withColumn("h", F.xxhash64(tie)).withColumn("next", F.lead(F.struct(*carried)).over(inside))
+    return seen.join(following, ["cell", "sub"]).withColumn("next", F.coalesce("next", "head")).drop("cell", "sub", "at", "h", "head")
 
 
 def fingerprints(documents: DataFrame, fraction: float = FRACTION) -> DataFrame:
