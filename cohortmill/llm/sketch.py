@@ -11,6 +11,8 @@ kept. An empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,12 +58,12 @@ def printed(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
 
 
-def with_next(df: DataFrame, carried: list[str], key: str = "doc_id", tie: str = "text") -> DataFrame:
+def with_next(df: DataFrame, carried: list[str], derive: Callable[[DataFrame], DataFrame] = lambda df: df, key: str = "doc_id", tie: str = "text") -> DataFrame:
     """Adds `next`, a struct of the carried columns of the row that follows by descending key.
 
     Rows go to buckets by the key's quantiles, about BUCKET_ROWS to each but no more than BUCKETS in all. Within a
     bucket a window finds the next row; the last row gets the first one of the next bucket that has any. Only the
-    first rows' keys, of which there are no more than buckets, are broadcast.
+    first rows' keys, of which there are no more than buckets, are broadcast. derive adds columns, for the rows moved only.
     """
     stats = df.agg(F.count(key).alias("n"), F.min(key).alias("least"), F.percentile_approx(key, [i / CELLS for i in range(CELLS + 1)], 10000).alias("at")).first()
     lows = sorted(set(stats["at"] or [0]))
@@ -74,7 +76,7 @@ def with_next(df: DataFrame, carried: list[str], key: str = "doc_id", tie: str =
     tops = placed.groupBy("cell", "sub").agg(F.max("at").alias("at"))
     first = Window.partitionBy("cell", "sub").orderBy("h")
     heads = placed.join(F.broadcast(tops), ["cell", "sub", "at"]).withColumn("h", F.xxhash64(tie)).withColumn("nth", F.row_number().over(first)).filter("nth = 1")
-    heads = heads.select(F.col("cell").alias("c2"), F.col("sub").alias("s2"), F.struct(*carried).alias("head"))
+    heads = derive(heads).select(F.col("cell").alias("c2"), F.col("sub").alias("s2"), F.struct(*carried).alias("head"))
     cells = tops.groupBy("cell").agg(F.max("sub").alias("top"))
     down = Window.orderBy(F.desc("cell"))  # over the cells, CELLS + 1 rows at most
     whole = down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -83,14 +85,14 @@ def with_next(df: DataFrame, carried: list[str], key: str = "doc_id", tie: str =
     links = links.select("cell", "sub", F.when(F.col("below").isNotNull(), F.col("cell")).otherwise(F.col("n_cell")).alias("c2"), F.coalesce("below", "n_top").alias("s2"))
     following = heads.join(links, ["c2", "s2"]).select("cell", "sub", "head")
     inside = Window.partitionBy("cell", "sub").orderBy(F.desc("at"), "h")
-    seen = placed.withColumn("h", F.xxhash64(tie)).withColumn("next", F.lead(F.struct(*carried)).over(inside))
+    seen = derive(placed).withColumn("h", F.xxhash64(tie)).withColumn("next", F.lead(F.struct(*carried)).over(inside))
     return seen.join(following, ["cell", "sub"]).withColumn("next", F.coalesce("next", "head")).drop("cell", "sub", "at", "h", "head")
 
 
 def fingerprints(documents: DataFrame, fraction: float = FRACTION) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of each document and its edited text."""
-    docs = with_sketch(documents.select("doc_id", text_column().alias("text")), "text", "sketch", fraction)
-    docs = with_next(docs, ["text", "sketch"]).withColumn("n_chars", F.char_length("text").cast("long"))
+    docs = documents.select("doc_id", text_column().alias("text"))
+    docs = with_next(docs, ["text", "sketch"], lambda df: with_sketch(df, "text", "sketch", fraction)).withColumn("n_chars", F.char_length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     docs = docs.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring(F.col("next.text"), F.lit(1), half)))
     docs = with_sketch(docs.select("doc_id", "n_chars", "sketch", F.col("next.sketch").alias("next_sketch"), "edited"), "edited", "edited_sketch", fraction)
