@@ -20,10 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .linear import Linear, fit
+from .pretok import mixed
 from .shared import slices, text_column
-from .textscan import scan
+from .textscan import Words, scan
 
-SAMPLE, FEATURES, MIN_DOCS, FOLDS, THRESHOLD = 8192, 4096, 5, 5, 0.5
+SAMPLE, FEATURES, MIN_DOCS, FOLDS, THRESHOLD = 8192, 1024, 5, 5, 0.3
 
 
 @dataclass(frozen=True)
@@ -55,21 +56,26 @@ def present(texts: pa.Array, vocabulary: np.ndarray) -> tuple[np.ndarray, np.nda
     return key // len(vocabulary), key % len(vocabulary)
 
 
+def by_word(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words, then for each (word, text) once: the word's index, in how many texts a word is, the text."""
+    once = np.unique(words.hashes ^ mixed(words.doc().astype(np.uint64)), return_index=True)[1]
+    seen, at, df = np.unique(words.hashes[once], return_inverse=True, return_counts=True)
+    return seen, at, df, words.doc()[once]
+
+
 def extended(row: np.ndarray, col: np.ndarray, earlier: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n, k = earlier.shape
     more_rows, more_cols = np.repeat(np.arange(n), k), np.tile(width + np.arange(k), n)
     return np.r_[row, more_rows], np.r_[col, more_cols], np.r_[np.ones(len(row)), earlier.ravel()]
 
 
-def train_chain(texts: pa.Array, labels: np.ndarray, categories: tuple[str, ...], features: int = FEATURES, min_docs: int = MIN_DOCS, folds: int = FOLDS, penalty: float = 1.0) -> Chain:
+def train_chain(texts: pa.Array, labels: np.ndarray, categories: tuple[str, ...], features: int = FEATURES, min_docs: int = MIN_DOCS, folds: int = FOLDS, penalty: float = 0.1) -> Chain:
     """labels: (texts, categories) of 0 and 1. Words are chosen by how far their rate of any category is from the rest's."""
     words = scan(texts)
     n = len(texts)
     if not n:
         return Chain(categories, np.zeros(0, np.uint64), tuple(Linear(np.zeros(1 + k), -20.0) for k in range(len(categories))))
-    pairs = np.unique(np.stack([words.hashes, words.doc().astype(np.uint64)]), axis=1)
-    seen, at, df = np.unique(pairs[0], return_inverse=True, return_counts=True)
-    doc = pairs[1].astype(np.int64)
+    seen, at, df, doc = by_word(words)
     away = np.zeros(len(seen))
     for k in range(len(categories)):
         rate = labels[:, k].mean()
@@ -105,9 +111,7 @@ def with_severity(texts: pa.Array, toxic: np.ndarray, terms: int = 3) -> np.ndar
     words = scan(texts)
     if not len(texts):
         return np.zeros((0, 2), int)
-    pairs = np.unique(np.stack([words.hashes, words.doc().astype(np.uint64)]), axis=1)
-    seen, at, df = np.unique(pairs[0], return_inverse=True, return_counts=True)
-    doc = pairs[1].astype(np.int64)
+    seen, at, df, doc = by_word(words)
     hits = np.bincount(at, toxic[doc], len(seen))
     telling = (df >= MIN_DOCS) & (hits > 0.9 * df)
     severe = toxic.astype(bool) & (np.bincount(doc, telling[at], len(texts)) >= terms)
