@@ -145,16 +145,16 @@ def _with_posterior(scored: DataFrame) -> DataFrame:
     return joined.withColumn("posterior", combined(F.col("p"), F.col("path_posterior"), F.col("global_mean")))
 
 
-def classified(documents: DataFrame, labels: DataFrame, host: Column, path: Column, threshold: float = THRESHOLD, limit: int = SAMPLE) -> DataFrame:
+def classified(documents: DataFrame, labels: DataFrame, host: str, path: str, threshold: float = THRESHOLD, limit: int = SAMPLE) -> DataFrame:
     """doc_id, p (its own evidence), host_posterior, path_posterior, posterior, is_good."""
     model = evidence_model(documents, labels, limit)
-    scored = stored(documents.select("doc_id", host.alias("host"), path.alias("path"), probability(model, text_column()).alias("p")), "evidence")
+    scored = stored(documents.select("doc_id", F.col(host).alias("host"), F.col(path).alias("path"), probability(model, text_column()).alias("p")), "evidence")
     return _with_posterior(scored).select("doc_id", "p", "host_posterior", "path_posterior", "posterior", (F.col("posterior") >= threshold).alias("is_good"))
 
 
-def accepted(documents: DataFrame, labels: DataFrame, host: Column, path: Column, threshold: float = THRESHOLD, limit: int = SAMPLE) -> DataFrame:
+def accepted(documents: DataFrame, labels: DataFrame, host: str, path: str, threshold: float = THRESHOLD, limit: int = SAMPLE) -> DataFrame:
     """The documents that reach the threshold, as they are."""
     model = evidence_model(documents, labels, limit)
     row = F.struct(*documents.columns).alias("row")
-    scored = stored(documents.select(row, host.alias("host"), path.alias("path"), probability(model, text_column()).alias("p")), "evidence")
+    scored = stored(documents.select(row, F.col(host).alias("host"), F.col(path).alias("path"), probability(model, text_column()).alias("p")), "evidence")
     return _with_posterior(scored).filter(F.col("posterior") >= threshold).select("row.*")

@@ -12,7 +12,7 @@ from . import bytebpe, lm, minhash, packing, quality, rollup, sketch, tokens, to
 from .shared import shared_dir, stored
 
 #: The documents table has no addresses: its source stands for the host, a language within it for the path.
-HOST, PATH = F.col("source"), F.col("lang")
+HOST, PATH = "source", "lang"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
