@@ -13,7 +13,7 @@ import numpy as np
 from .pretok import codepoints, ragged, slice_hashes, token_starts
 
 NONE = np.int64(2**31 - 1)
-LONG, KEPT = 64, 1 << 21
+LONG, KEPT = 64, 1 << 20
 
 
 class Pairs:
