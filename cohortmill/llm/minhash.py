@@ -5,10 +5,13 @@ cut at 1, 2, 4, 8 and so on: those below the weight count whole, the one around
 The earliest point of each component over all shingles is the signature; two of them agree with the probability of the
 weighted Jaccard likeness. Bands of equal components name candidates, whose multisets are then compared exactly.
 
-Texts of equal multisets are one item from the start, so copies cost nothing further. Within a band's bucket all items
-are compared with its first; two others need a comparison only if their distances from the first allow it (the weighted
-Jaccard distance is a metric) and no links join them already. So no bucket is expanded into all its pairs, and no
-link between different texts is lost to that.
+Texts of equal multisets are one item from the start, so copies cost nothing further. A bucket of items is not expanded
+into its pairs: all are compared with one of them, the most central. Two others can be alike only if they share enough
+that the first lacks: an item with n shingles, s of them also in the first, needs at least 0.8 n - s common ones outside
+it with any partner, so that both hold one of the least (n - s) - (0.8 n - s) + 1 of these, by hash. Items that hold the
+same such shingle form the next, smaller buckets, and so do those of like size that lie inside the first; each is treated
+the same way as long as links have not joined its items already. After LEVELS rounds what is still open is compared
+pair by pair. So no link between candidates is lost, whatever the size of a group.
 
 Null texts count as empty. All texts without words are one class; a text of one to four words is one shingle. Repeated
 rows share a class. Null ids stay null and are kept. Other columns are ignored. An empty table gives no rows.
@@ -28,7 +31,7 @@ from .pretok import mixed
 from .shared import slices, stored, text_column
 from .textscan import scan, shingles
 
-WORDS, LEAST, BANDS, ROWS, CHUNK = 5, 0.8, 25, 5, 32
+WORDS, LEAST, BANDS, ROWS, CHUNK, LEVELS = 5, 0.8, 25, 5, 32, 3
 U = np.uint64
 
 
@@ -97,15 +100,26 @@ def signatures(documents: DataFrame, words: int, bands: int, rows: int) -> DataF
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text")).mapInArrow(run, "doc_id long, item long, bands array<long>")
 
 
-def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard likeness of two (sorted shingles, counts)."""
+def compared(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], least: float) -> tuple[float, list[int]]:
+    """Weighted Jaccard likeness of two (sorted shingles, counts), and the buckets that b goes to next, beside a."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = np.minimum(a[1][i], b[1][j]).sum()
-    whole = a[1].sum() + b[1].sum() - both
-    return float(both / whole) if whole else 1.0
-
-
-def _compared(words: int):
+    held = np.zeros(len(b[0]), np.int64)
+    held[j] = a[1][i]
+    both, n = int(np.minimum(held, b[1]).sum()), int(b[1].sum())
+    whole = int(a[1].sum()) + n - both
+    more = np.maximum(0, b[1] - held)
+    element = np.repeat(b[0] * U(0x9E3779B97F4A7C15), more)
+    nth = np.arange(len(element)) - np.repeat(np.cumsum(more) - more, more) + np.repeat(held, more)
+    element = np.sort(mixed(element + nth.astype(U)))
+    need = int(np.ceil(least * n - both - 1e-9))
+    nexts = element[: len(element) - max(1, need) + 1].view(np.int64).tolist()
+    if need <= 0:  # it may be alike to others inside a, of about its size
+        step = int(np.floor(np.log(max(1, n)) / np.log(1 / least)))
+        nexts += [-1 - step, -2 - step]
+    return (both / whole if whole else 1.0), nexts
+
+
+def _comparison(words: int, least: float):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         """left: the texts to compare in this chunk; right: the one they are compared with. A text that isn't its item's (a repeated id) gives no row."""
         rows, ours = right.num_rows, left.num_rows
@@ -115,19 +129,20 @@ def _compared(words: int):
         one = lambda k: (item[at[k] : at[k + 1]], count[at[k] : at[k + 1]])
         first = next((k for k, x in enumerate(right.column("first").to_pylist()) if x == ids[k]), None)
         theirs = [rows + k for k, x in enumerate(left.column("b").to_pylist()) if x == ids[rows + k]] if first is not None else []
-        likes = [overlap(one(first), one(k)) for k in theirs]
-        return pa.table({"a": pa.array([int(ids[first])] * len(likes) if likes else [], pa.int64()), "b": pa.array(ids[theirs] if likes else [], pa.int64()), "likeness": pa.array(likes, pa.float64())})
+        found = [compared(one(first), one(k), least) for k in theirs]
+        columns = [[int(ids[first])] * len(found) if found else [], ids[theirs].tolist() if found else [], [x for x, _ in found], [x for _, x in found]]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64())))], ["a", "b", "likeness", "nexts"])
 
     return run
 
 
-def verified(pairs: DataFrame, items: DataFrame, documents: DataFrame, words: int) -> DataFrame:
-    """The exact likeness of each (a, b). Texts b go in chunks to a's text, which travels once for each chunk. items: (item, doc_id)."""
+def verified(pairs: DataFrame, items: DataFrame, documents: DataFrame, words: int, least: float) -> DataFrame:
+    """The exact likeness of each (a, b), and b's next buckets. Texts b go in chunks to a's text, which travels once for each chunk. items: (item, doc_id)."""
     loads = pairs.groupBy("a").agg(F.count("*").alias("load"))
     chunked = pairs.join(loads, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.greatest(F.lit(1), F.floor(F.col("load") / CHUNK))).alias("chunk"))
     ours = chunked.join(items.select(F.col("item").alias("b"), "doc_id"), "b").join(documents, "doc_id").select("a", "chunk", "b", F.col("text").alias("text_b"))
     firsts = chunked.select("a", "chunk").distinct().join(items.select(F.col("item").alias("a"), "doc_id"), "a").join(documents, "doc_id").select(F.col("a").alias("first"), F.col("chunk").alias("part"), F.col("text").alias("text_a"))
-    return ours.groupBy("a", "chunk").cogroup(firsts.groupBy("first", "part")).applyInArrow(_compared(words), "a long, b long, likeness double").dropDuplicates(["a", "b"])
+    return ours.groupBy("a", "chunk").cogroup(firsts.groupBy("first", "part")).applyInArrow(_comparison(words, least), "a long, b long, likeness double, nexts array<long>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -152,34 +167,48 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("item"), F.col("v").alias("root")).unionByName(roots).dropDuplicates(["item"])
 
 
+def shared_keys(keys: DataFrame) -> DataFrame:
+    """Rows (item, key) of keys that several items have."""
+    several = keys.groupBy("key").agg(F.min("item").alias("x"), F.max("item").alias("y")).filter("x <> y").select("key")
+    return keys.join(several, "key")
+
+
+def led(members: DataFrame) -> DataFrame:
+    """(a, b) for every item b, a the most central of its bucket: the one whose buckets hold most items in all."""
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
+    weights = members.join(sizes, "key").groupBy("item").agg(F.sum("n").alias("weight"))
+    firsts = members.join(weights, "item").groupBy("key").agg(F.max(F.struct("weight", "item")).alias("x")).select("key", F.col("x.item").alias("a"))
+    return members.join(firsts, "key").select("a", F.col("item").alias("b"))
+
+
 def near_duplicates(documents: DataFrame, words: int = WORDS, least: float = LEAST, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, class_id (the least doc_id of the class), n_links (verified links of its text to other texts)."""
+    """doc_id, class_id (the least doc_id of the class), is_first (it is that document)."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
     signed = stored(signatures(docs, words, bands, rows), "signatures")
     items = stored(signed.groupBy("item").agg(F.min("doc_id").alias("doc_id")), "items")
-    keys = stored(signed.join(items, ["item", "doc_id"], "left_semi").select("item", F.explode("bands").alias("key")), "bands")
-    firsts = keys.groupBy("key").agg(F.min("item").alias("a"), F.max("item").alias("z")).filter("a <> z").select("key", "a")
-    members = stored(keys.join(firsts, "key").select("key", "a", F.col("item").alias("b")), "buckets")
-    likes = stored(verified(members.filter("a <> b").select("a", "b").distinct(), items, docs, words), "likeness")
-    links = likes.filter(F.col("likeness") >= least).select("a", "b")
-    roots = components(links)
-    # what the first of a bucket leaves open: unlike roots, and distances from it that allow a link
-    far = members.filter("a <> b").join(likes, ["a", "b"]).join(roots.withColumnRenamed("item", "b"), "b", "left")
-    far = stored(far.select("key", "b", F.coalesce("root", "b").alias("root"), (1 - F.col("likeness")).alias("far")), "open")
-    unlike = far.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("key")
-    far = far.join(unlike, "key")
-    other = far.select("key", F.col("b").alias("b2"), F.col("root").alias("root2"), F.col("far").alias("far2"))
-    able = (F.col("b") < F.col("b2")) & (F.col("root") != F.col("root2")) & (F.abs(F.col("far") - F.col("far2")) <= 1 - least + 1e-9)
-    rest = stored(far.join(other, "key").filter(able).select(F.col("b").alias("a"), F.col("b2").alias("b")).distinct(), "open-pairs")
-    if not rest.isEmpty():
-        more = stored(verified(rest, items, docs, words).filter(F.col("likeness") >= least).select("a", "b"), "links")
-        links = links.unionByName(more)
+    keys = signed.join(items, ["item", "doc_id"], "left_semi").select("item", F.explode("bands").alias("key"))
+    members, links, roots = stored(shared_keys(keys), "buckets"), None, None
+    for level in range(LEVELS + 1):
+        if level == LEVELS:
+            other = members.select("key", F.col("item").alias("b"), F.col("root").alias("root_b"))
+            pairs = members.join(other, "key").filter("item < b and root <> root_b").select(F.col("item").alias("a"), "b").distinct()
+        else:
+            pairs = led(members).filter("a <> b").distinct()
+        likes = stored(verified(pairs, items, docs, words, least), "likeness")
+        found = likes.filter(F.col("likeness") >= least).select("a", "b").distinct()
+        links = found if links is None else links.unionByName(found)
         roots = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("item")).groupBy("item").agg(F.count("*").alias("n_links"))
-    named = items.join(roots, "item", "left").join(degree, "item", "left").select("item", "doc_id", F.coalesce("root", "item").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    least_ids = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    classes = named.join(least_ids, "root").select("item", "class_id", "n_links")
-    return signed.select("doc_id", "item").join(classes, "item").select("doc_id", "class_id", "n_links")
+        # the next buckets: items that share what their first lacks, and that no links join so far
+        nexts = likes.select(F.col("b").alias("item"), F.explode("nexts").alias("next"), "a").select("item", F.xxhash64("a", "next").alias("key"))
+        nexts = shared_keys(nexts).join(roots, "item", "left").select("item", "key", F.coalesce("root", "item").alias("root"))
+        unlike = nexts.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("key")
+        members = stored(nexts.join(unlike, "key"), "buckets")
+        if level == LEVELS or members.isEmpty():
+            break
+    named = items.join(roots, "item", "left").select("item", "doc_id", F.coalesce("root", "item").alias("root"))
+    classes = named.join(named.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root").select("item", "class_id")
+    found = signed.select("doc_id", "item").join(classes, "item")
+    return found.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)).alias("is_first"))
 
 
 def deduplicated(documents: DataFrame, **settings) -> DataFrame:

@@ -130,7 +130,7 @@ def test_chains_and_bridges(spark):
 
     for i in range(len(rows)):
         for j in range(i):
-            if minhash.overlap(held[i], held[j]) >= 0.8:
+            if minhash.compared(held[i], held[j], 0.8)[0] >= 0.8:
                 parent[root(i)] = root(j)
     want = defaultdict(set)
     for i, (d, _) in enumerate(rows):
