@@ -81,10 +81,11 @@ def binned(table: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.repeat(np.arange(n), k), at.ravel()
 
 
-def train_evidence(texts: pa.Array, good: np.ndarray, penalty: float = 2.0) -> Evidence:
-    table = statistics(texts)
+def train_evidence(table: np.ndarray, good: np.ndarray, penalty: float = 2.0) -> Evidence:
+    """table: statistics of labelled texts."""
     if not len(table):
-        return Evidence(np.zeros((table.shape[1], BINS - 1)), Linear(np.zeros(table.shape[1] * BINS), 0.0))
+        width = statistics(pa.array([], pa.string())).shape[1]
+        return Evidence(np.zeros((width, BINS - 1)), Linear(np.zeros(width * BINS), 0.0))
     # half the limits from each class, so that a rare class's range is resolved as well
     cuts = np.linspace(0, 1, BINS // 2 + 2)[1:-1]
     parts = [np.quantile(table[good == g], cuts, axis=0) for g in (0, 1) if (good == g).any()]
@@ -95,8 +96,9 @@ def train_evidence(texts: pa.Array, good: np.ndarray, penalty: float = 2.0) -> E
 
 
 def evidence_model(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Evidence:
-    texts, y = labelled_sample(documents, labels, ["quality"], limit)
-    return train_evidence(texts, y[:, 0])
+    rows = lambda texts: pa.array(statistics(texts).tolist(), pa.list_(pa.float64()))
+    found, y = labelled_sample(documents, labels, ["quality"], rows, "array<double>", limit)
+    return train_evidence(found.flatten().to_numpy(zero_copy_only=False).reshape(len(found), -1) if len(found) else np.zeros((0, 0)), y[:, 0])
 
 
 def probability(model: Evidence, text: Column) -> Column:

@@ -1,8 +1,8 @@
 """Toxicity by a classifier chain: each category's linear model sees the words and the earlier categories' probabilities.
 
 While training, the earlier probabilities are out-of-fold predictions, so that no model learns from a prediction that
-has seen its own row. The models are fitted on the driver to a bounded sample of labelled documents (SAMPLE rows, the
-first by a hash of their ids); they then score every whole text.
+has seen its own row. The models are fitted on the driver to the words of a bounded sample of labelled documents
+(SAMPLE rows, the first by a hash of their ids); they then score every whole text.
 
 Null texts count as empty; a text without known words gets the categories' base rates. Labels that repeat an id are
 combined by their maximum, null labels are left out. Without labels, or with one class only, the rate is constant and
@@ -11,7 +11,7 @@ nothing is rejected. Rows are scored one by one: repeated rows, null ids and oth
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .linear import Linear, fit
 from .pretok import mixed
 from .shared import slices, text_column
-from .textscan import Words, scan
+from .textscan import scan
 
 SAMPLE, FEATURES, MIN_DOCS, FOLDS, THRESHOLD = 8192, 1024, 5, 5, 0.3
 
@@ -45,22 +45,35 @@ class Chain:
         return out
 
 
-def present(texts: pa.Array, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, word) index of each known word that a text holds, once."""
+def distinct_words(texts: pa.Array) -> pa.ListArray:
+    """The hashes of each text's words, once each."""
     words = scan(texts)
-    if not len(vocabulary) or not len(words.hashes):
+    once = np.sort(np.unique(words.hashes ^ mixed(words.doc().astype(np.uint64)), return_index=True)[1])
+    counts = np.bincount(words.doc()[once], minlength=len(texts))
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), pa.array(words.hashes[once].view(np.int64)))
+
+
+def flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """(word, text index) of all entries."""
+    sizes = np.diff(lists.offsets.to_numpy())
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), np.repeat(np.arange(len(lists)), sizes)
+
+
+def known(word: np.ndarray, doc: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, vocabulary index) of the words that the vocabulary has."""
+    if not len(vocabulary):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, words.hashes), len(vocabulary) - 1)
-    hit = vocabulary[at] == words.hashes
-    key = np.unique(words.doc()[hit] * len(vocabulary) + at[hit])
-    return key // len(vocabulary), key % len(vocabulary)
+    at = np.minimum(np.searchsorted(vocabulary, word), len(vocabulary) - 1)
+    hit = vocabulary[at] == word
+    return doc[hit], at[hit]
 
 
-def by_word(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words, then for each (word, text) once: the word's index, in how many texts a word is, the text."""
-    once = np.unique(words.hashes ^ mixed(words.doc().astype(np.uint64)), return_index=True)[1]
-    seen, at, df = np.unique(words.hashes[once], return_inverse=True, return_counts=True)
-    return seen, at, df, words.doc()[once]
+def present(texts: pa.Array, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, word) index of each known word that a text holds, once."""
+    words = scan(texts)
+    doc, at = known(words.hashes, words.doc(), vocabulary)
+    key = np.unique(doc * max(1, len(vocabulary)) + at)
+    return key // max(1, len(vocabulary)), key % max(1, len(vocabulary))
 
 
 def extended(row: np.ndarray, col: np.ndarray, earlier: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,13 +82,13 @@ def extended(row: np.ndarray, col: np.ndarray, earlier: np.ndarray, width: int)
     return np.r_[row, more_rows], np.r_[col, more_cols], np.r_[np.ones(len(row)), earlier.ravel()]
 
 
-def train_chain(texts: pa.Array, labels: np.ndarray, categories: tuple[str, ...], features: int = FEATURES, min_docs: int = MIN_DOCS, folds: int = FOLDS, penalty: float = 0.1) -> Chain:
-    """labels: (texts, categories) of 0 and 1. Words are chosen by how far their rate of any category is from the rest's."""
-    words = scan(texts)
-    n = len(texts)
+def train_chain(held: pa.ListArray, labels: np.ndarray, categories: tuple[str, ...], features: int = FEATURES, min_docs: int = MIN_DOCS, folds: int = FOLDS, penalty: float = 0.1) -> Chain:
+    """held: each text's distinct words; labels: (texts, categories) of 0 and 1. Words are chosen by how far their rate of any category is from the rest's."""
+    n = len(held)
     if not n:
         return Chain(categories, np.zeros(0, np.uint64), tuple(Linear(np.zeros(1 + k), -20.0) for k in range(len(categories))))
-    seen, at, df, doc = by_word(words)
+    word, doc = flat(held)
+    seen, at, df = np.unique(word, return_inverse=True, return_counts=True)
     away = np.zeros(len(seen))
     for k in range(len(categories)):
         rate = labels[:, k].mean()
@@ -83,7 +96,7 @@ def train_chain(texts: pa.Array, labels: np.ndarray, categories: tuple[str, ...]
         away = np.maximum(away, np.abs(hits - df * rate) / np.sqrt(df * rate * (1 - rate) + 1e-9))
     away[df < min_docs] = -1
     vocabulary = np.sort(seen[np.argsort(-away, kind="stable")[:features]][: int((away >= 0).sum())])
-    row, col = present(texts, vocabulary)
+    row, col = known(word, doc, vocabulary)
     fold = np.arange(n) * 2654435761 % 2**32 * folds // 2**32
     out_of_fold, models = np.zeros((n, len(categories))), []
     for k in range(len(categories)):
@@ -98,30 +111,36 @@ def train_chain(texts: pa.Array, labels: np.ndarray, categories: tuple[str, ...]
     return Chain(categories, vocabulary, tuple(models))
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame, columns: list[str], limit: int = SAMPLE) -> tuple[pa.Array, np.ndarray]:
-    """Texts and labels of at most `limit` labelled documents, for the driver."""
+def labelled_sample(documents: DataFrame, labels: DataFrame, columns: list[str], features: Callable[[pa.Array], pa.Array], kind: str, limit: int = SAMPLE) -> tuple[pa.Array, np.ndarray]:
+    """Features and labels of at most `limit` labelled documents; the texts stay with the executors."""
     rows = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*[F.max(F.col(c)).cast("int").alias(c) for c in columns]).dropna()
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    found = documents.select("doc_id", text_column().alias("text")).join(F.broadcast(rows), "doc_id").select("text", *columns).limit(limit).toArrow()
-    return found.column("text").combine_chunks().cast(pa.string()) if found.num_rows else pa.array([], pa.string()), np.array([found.column(c).to_numpy() for c in columns]).T.reshape(found.num_rows, len(columns))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), features(batch.column("text"))], [*columns, "features"])
 
-def with_severity(texts: pa.Array, toxic: np.ndarray, terms: int = 3) -> np.ndarray:
+    held = documents.select("doc_id", text_column().alias("text")).join(F.broadcast(rows), "doc_id").select("text", *columns)
+    found = held.mapInArrow(run, ", ".join([*(f"{c} int" for c in columns), f"features {kind}"])).limit(limit).toArrow()
+    return found.column("features").combine_chunks(), np.array([found.column(c).to_numpy() for c in columns]).T.reshape(found.num_rows, len(columns))
+
+
+def with_severity(held: pa.ListArray, toxic: np.ndarray, terms: int = 3) -> np.ndarray:
     """(toxic, severe): severe are toxic texts with at least `terms` different words that hardly occur in others."""
-    words = scan(texts)
-    if not len(texts):
+    if not len(held):
         return np.zeros((0, 2), int)
-    seen, at, df, doc = by_word(words)
+    word, doc = flat(held)
+    seen, at, df = np.unique(word, return_inverse=True, return_counts=True)
     hits = np.bincount(at, toxic[doc], len(seen))
     telling = (df >= MIN_DOCS) & (hits > 0.9 * df)
-    severe = toxic.astype(bool) & (np.bincount(doc, telling[at], len(texts)) >= terms)
+    severe = toxic.astype(bool) & (np.bincount(doc, telling[at], len(held)) >= terms)
     return np.stack([toxic, severe.astype(int)], axis=1)
 
 
 def toxicity_chain(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Chain:
     """The labels hold one category; the second, severe, is derived from it and the words."""
-    texts, y = labelled_sample(documents, labels, ["toxic"], limit)
-    return train_chain(texts, with_severity(texts, y[:, 0]), ("toxic", "severe"))
+    held, y = labelled_sample(documents, labels, ["toxic"], distinct_words, "array<long>", limit)
+    return train_chain(held, with_severity(held, y[:, 0]), ("toxic", "severe"))
 
 
 def probability(chain: Chain, text: Column) -> Column:
