@@ -96,3 +96,26 @@ def breakdown(rows: DataFrame, by: list[str], label: str, value: str) -> DataFra
     counts = rows.groupBy(*by, label).agg(F.sum(value).alias("n"))
     whole = F.sum("n").over(Window.partitionBy(*by))
     return counts.withColumn("percent", F.when(whole > 0, F.bround(100 * F.col("n") / whole, 1)))
+
+
+def reporting_dimension() -> Column:
+    """both, sex_only, gender_only, neither or parse_error, over finished rows."""
+    s, g = F.coalesce("reported_sex", F.lit(False)), F.coalesce("reported_gender", F.lit(False))
+    return F.when(F.col("status") == "parse_error", "parse_error").when(s & g, "both").when(s, "sex_only").when(g, "gender_only").otherwise("neither")
+
+
+def neither_reason() -> Column:
+    """Why neither is reported; null where something is."""
+    none = reporting_dimension() == "neither"
+    return F.when(none & (F.col("status") == "explicit_unknown_only"), "explicit_unknown_or_not_collected").when(none & (F.col("status") == "not_reported"), "measure_absent").when(none & (F.col("status") == "uninformative"), "measure_present_no_usable_breakdown")
+
+
+def composition_reason() -> Column:
+    """Why a trial stays out of the composition denominators; null where it enters."""
+    fm = F.coalesce("n_female", F.lit(0.0)) + F.coalesce("n_male", F.lit(0.0))
+    return (
+        F.when(F.col("status") == "parse_error", "parse_error")
+        .when(~F.coalesce("reported_sex", F.lit(False)), "not_reported_sex")
+        .when(F.col("is_participant_count").eqNullSafe(F.lit(False)), "non_participant_units")
+        .when(fm <= 0, "no_female_male_counts")
+    )
