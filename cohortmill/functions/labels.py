@@ -91,3 +91,10 @@ def is_percentage(unit: Column, parameter: Column) -> Column:
 def unit_class(unit: Column, parameter: Column) -> Column:
     p = F.upper(F.coalesce(parameter, F.lit("")))
     return F.when(p == "COUNT_OF_UNITS", "count_of_units").when(p.isin("MEAN", "MEDIAN"), "mean_or_median").when(is_percentage(unit, parameter), "percent").otherwise("participant_like")
+
+
+def clean_label(label: Column) -> Column:
+    """Without invisible characters, a 'Race (n, % White)' wrapper and trailing ', %' or ', n'."""
+    visible = F.trim(F.translate(label, "​‌‍﻿⁠", ""))
+    inner = F.regexp_extract(visible, r"(?i)^[^()]*\(\s*(?:n\s*,\s*%|%|n)\s*,?\s+([^()]+)\)$", 1)
+    return F.trim(F.regexp_replace(F.when(inner != "", F.trim(inner)).otherwise(visible), r"(?i),\s*(%|n|n \(%\))$", ""))

@@ -56,3 +56,54 @@ def test_names(spark):
     assert applied(spark, parent, names) == ["pfizer", "z", None]
     assert applied(spark, M.phase_name, ["PHASE1|PHASE2", "Early Phase 1", "NA", None]) == ["Phase 1/2", "Phase 1", "N/A or other", "N/A or other"]
     assert applied(spark, lambda v: M.organisation_key(v, ["sa", "inc"], ["the", "and", "of"]), ["The Q Bio S.A. (Paris) d/b/a Z", "Inc."]) == ["q bio", "inc"]
+
+
+def test_closest_words(spark):
+    from cohortmill.functions.race import closest, indel_ratio
+
+    assert indel_ratio("kitten", "sitting") == pytest.approx(200 * 4 / 13)
+    words = [("white", "w"), ("black", "b")]
+    df = spark.createDataFrame([("Whte",), ("blak",), ("zzz",), ("",)], "v string")
+    got = {r["v"]: (r["outcome"], round(r["ratio"], 6)) for r in closest(df, "v", words, 80.0).collect()}
+    for v in ("Whte", "blak", "zzz", ""):
+        best = max((indel_ratio(v.lower(), w), c) for w, c in words)
+        assert got[v] == (best[1] if best[0] >= 80 else None, round(best[0], 6))
+
+
+def test_records(spark):
+    from cohortmill.functions import records as R
+
+    schema = "g array<struct<id: string, title: string, denom: double>>, m array<struct<title: string, measurements: array<struct<group: string, value: double>>>>"
+    rows = [
+        ([("a", "Arm", 5.0)], [("x", [("a", 1.0)])]),
+        ([("a", "Arm", 5.0), ("b", "Arm", 6.0), ("t", "Pooled", 11.0)], [("x", [("t", 1.0)])]),
+        ([("a", "Arm", 5.0), ("b", " TOTAL ", 6.0)], [("x", [("a", None), ("b", None)])]),
+        ([("a", "Arm", 5.0), ("b", "Arm", 6.0)], [("x", [("a", 1.0)])]),
+        ([], []),
+    ]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], f"i int, {schema}")
+    got = df.select("i", R.total_group(F.col("g")).alias("t"), R.baseline_usable(F.col("g"), F.col("m")).alias("b")).orderBy("i").collect()
+    assert [tuple(r["t"]) for r in got] == [("a", "single_group"), ("t", "last_equals_sum_untitled_total"), ("b", "titled_total"), (None, "no_total_sum_arms"), (None, "no_total_sum_arms")]
+    assert [r["b"]["reason"] for r in got] == ["ok", "ok", "no_numeric_values", "values_or_denominators_incomplete", "no_groups"]
+
+
+def test_sponsor_conflicts(spark):
+    from cohortmill.operators import sponsors as S
+
+    frame = spark.createDataFrame([("n1", "INDUSTRY", "lead", "Acme Inc."), ("n1", "INDUSTRY", "lead", "ACME"), ("n2", "OTHER", "collaborator", "Joint Venture")], "nct_id string, agency_class string, role string, name string")
+    rule = "canonical string, rule_type string, pattern string, status string, shared string, note string"
+    good = spark.createDataFrame([("Acme", "exact_normalized", "acme", "attribute", "no", "x"), ("A", "exact_literal", "Joint Venture", "attribute", "yes", "x"), ("B", "exact_literal", "Joint Venture", "attribute", "yes", "x")], rule)
+    names = S.literals(frame)
+    assert S.conflicts(S.rule_hits(names, good)).count() == 0
+    assert {(r["nct_id"], r["canonical"], r["literal_name"]) for r in S.bridge(frame, good).collect()} == {("n1", "Acme", "ACME"), ("n2", "A", "Joint Venture"), ("n2", "B", "Joint Venture")}
+    bad = good.unionByName(spark.createDataFrame([("C", "exact_literal", "ACME", "attribute", "no", ""), ("X", "exact_literal", "Joint Venture", "exclude", "no", "x")], rule))
+    assert {r["name"] for r in S.conflicts(S.rule_hits(names, bad)).collect()} == {"ACME", "Joint Venture"}
+    assert [r["problem"] for r in S.rule_problems(bad).collect()] == ["empty_note"]
+
+
+def test_least_squares_with_a_dependent_column(spark):
+    from cohortmill.operators.stats import least_squares
+
+    rows = [("g", float(2 * i + 1), float(i), float(3 * i)) for i in range(20)]
+    got = {r["term"]: r for r in least_squares(spark.createDataFrame(rows, "g string, y double, a double, b double"), ["g"], "y", ["a", "b"]).collect()}
+    assert got["a"]["estimate"] + 3 * got["b"]["estimate"] == pytest.approx(2) and got["a"]["r2"] == pytest.approx(1)
