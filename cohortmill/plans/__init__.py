@@ -1,4 +1,4 @@
 """Bindings to the given tables, and the registered queries with their SQL."""
 
-from . import companies, dimensions, documents, nested, records, trials, weeks  # noqa: F401
+from . import companies, dimensions, documents, evidence, nested, records, trials, weeks  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
