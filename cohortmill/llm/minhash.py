@@ -6,12 +6,11 @@ The earliest point of each component over all shingles is the signature; two of
 weighted Jaccard likeness. Bands of equal components name candidates, whose multisets are then compared exactly.
 
 Texts of equal multisets are one item from the start, so copies cost nothing further. A bucket of items is not expanded
-into its pairs: all are compared with one of them, the most central. Two others can be alike only if they share enough
-that the first lacks: an item with n shingles, s of them also in the first, needs at least 0.8 n - s common ones outside
-it with any partner, so that both hold one of the least (n - s) - (0.8 n - s) + 1 of these, by hash. Items that hold the
-same such shingle form the next, smaller buckets, and so do those of like size that lie inside the first; each is treated
-the same way as long as links have not joined its items already. After LEVELS rounds what is still open is compared
-pair by pair. So no link between candidates is lost, whatever the size of a group.
+into its pairs: all are compared with its most central one, and links to that join most of a group at once. Two others
+can be alike only if their distances from it differ by no more than 0.2, as the weighted Jaccard distance is a metric. So the
+items around one such centre that links leave apart go to blocks by their distance, a bounded number to each; within
+a block signatures are held against each other, and those that agree in all but 4.5 standard deviations of what 0.8
+gives are compared exactly, unless links join them already. No row stands for a pair that is no link.
 
 Null texts count as empty. All texts without words are one class; a text of one to four words is one shingle. Repeated
 rows share a class. Null ids stay null and are kept. Other columns are ignored. An empty table gives no rows.
@@ -31,7 +30,7 @@ from .pretok import mixed
 from .shared import slices, stored, text_column
 from .textscan import scan, shingles
 
-WORDS, LEAST, BANDS, ROWS, CHUNK, LEVELS = 5, 0.8, 25, 5, 32, 3
+WORDS, LEAST, BANDS, ROWS, CHUNK, BLOCK = 5, 0.8, 25, 5, 32, 128
 U = np.uint64
 
 
@@ -100,71 +99,125 @@ def signatures(documents: DataFrame, words: int, bands: int, rows: int) -> DataF
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text")).mapInArrow(run, "doc_id long, item long, bands array<long>")
 
 
-def compared(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], least: float) -> tuple[float, list[int]]:
-    """Weighted Jaccard likeness of two (sorted shingles, counts), and the buckets that b goes to next, beside a."""
+def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Weighted Jaccard likeness of two (sorted shingles, counts)."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    held = np.zeros(len(b[0]), np.int64)
-    held[j] = a[1][i]
-    both, n = int(np.minimum(held, b[1]).sum()), int(b[1].sum())
-    whole = int(a[1].sum()) + n - both
-    more = np.maximum(0, b[1] - held)
-    element = np.repeat(b[0] * U(0x9E3779B97F4A7C15), more)
-    nth = np.arange(len(element)) - np.repeat(np.cumsum(more) - more, more) + np.repeat(held, more)
-    element = np.sort(mixed(element + nth.astype(U)))
-    need = int(np.ceil(least * n - both - 1e-9))
-    nexts = element[: len(element) - max(1, need) + 1].view(np.int64).tolist()
-    if need <= 0:  # it may be alike to others inside a, of about its size
-        step = int(np.floor(np.log(max(1, n)) / np.log(1 / least)))
-        nexts += [-1 - step, -2 - step]
-    return (both / whole if whole else 1.0), nexts
-
-
-def _comparison(words: int, least: float):
+    both = int(np.minimum(a[1][i], b[1][j]).sum())
+    whole = int(a[1].sum()) + int(b[1].sum()) - both
+    return both / whole if whole else 1.0
+
+
+class Held:
+    """The multisets of some texts; a text that isn't its item's (a repeated id) is left out of `own`."""
+
+    def __init__(self, texts: pa.Array, items: list[int], words: int):
+        self.doc, self.item, self.count = bags(texts, words)
+        self.at = np.searchsorted(self.doc, np.arange(len(items) + 1))
+        self.own = np.flatnonzero(bag_ids(self.doc, self.item, self.count, len(items)) == np.array(items, np.int64))
+
+    def bag(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        return self.item[self.at[k] : self.at[k + 1]], self.count[self.at[k] : self.at[k + 1]]
+
+
+def _comparison(words: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        """left: the texts to compare in this chunk; right: the one they are compared with. A text that isn't its item's (a repeated id) gives no row."""
-        rows, ours = right.num_rows, left.num_rows
-        doc, item, count = bags(pa.concat_arrays([*right.column("text_a").cast(pa.string()).chunks, *left.column("text_b").cast(pa.string()).chunks]), words)
-        ids = bag_ids(doc, item, count, rows + ours)
-        at = np.searchsorted(doc, np.arange(rows + ours + 1))
-        one = lambda k: (item[at[k] : at[k + 1]], count[at[k] : at[k + 1]])
-        first = next((k for k, x in enumerate(right.column("first").to_pylist()) if x == ids[k]), None)
-        theirs = [rows + k for k, x in enumerate(left.column("b").to_pylist()) if x == ids[rows + k]] if first is not None else []
-        found = [compared(one(first), one(k), least) for k in theirs]
-        columns = [[int(ids[first])] * len(found) if found else [], ids[theirs].tolist() if found else [], [x for x, _ in found], [x for _, x in found]]
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64())))], ["a", "b", "likeness", "nexts"])
+        """left: the texts to compare in this chunk; right: the one they are compared with."""
+        rows, theirs = right.num_rows, right.column("first").to_pylist() + left.column("b").to_pylist()
+        held = Held(pa.concat_arrays([*right.column("text_a").cast(pa.string()).chunks, *left.column("text_b").cast(pa.string()).chunks]), theirs, words)
+        first = next((k for k in held.own if k < rows), None)
+        kept = [int(k) for k in held.own if k >= rows] if first is not None else []
+        docs = left.column("b_doc").take(pa.array([k - rows for k in kept], pa.int64()))
+        columns = [[theirs[first]] * len(kept) if kept else [], [theirs[k] for k in kept]], [overlap(held.bag(first), held.bag(k)) for k in kept]
+        return pa.table([pa.array(columns[0][0], pa.int64()), pa.array(columns[0][1], pa.int64()), docs, pa.array(columns[1], pa.float64())], ["a", "b", "b_doc", "likeness"])
 
     return run
 
 
-def verified(pairs: DataFrame, items: DataFrame, documents: DataFrame, words: int, least: float) -> DataFrame:
-    """The exact likeness of each (a, b), and b's next buckets. Texts b go in chunks to a's text, which travels once for each chunk. items: (item, doc_id)."""
+def _block(words: int, size: int, least: float):
+    cut = least - 4.5 * np.sqrt(least * (1 - least) / size)
+
+    def run(block: pa.Table) -> pa.Table:
+        """Links between texts of a block that none joins so far. With two sides, a pair has one of each."""
+        items, sides = block.column("item").to_pylist(), block.column("side").to_numpy()
+        held = Held(pa.concat_arrays(block.column("text").cast(pa.string()).chunks), items, words)
+        signature = bag_min_hash(held.doc, held.item, held.count, len(items), size)
+        two = len(np.unique(sides)) > 1
+        root = {r: r for r in block.column("root").to_pylist()}
+        roots = block.column("root").to_pylist()
+
+        def top(r: int) -> int:
+            while root[r] != r:
+                root[r] = root[root[r]]
+                r = root[r]
+            return r
+
+        out: list[tuple[int, int]] = []
+        for x, i in enumerate(held.own[:-1]):
+            others = held.own[x + 1 :]
+            if two:
+                others = others[sides[others] != sides[i]]
+            near = others[(signature[others] == signature[i]).mean(axis=1) >= cut] if len(others) else others
+            for j in near:
+                if top(roots[i]) != top(roots[j]) and overlap(held.bag(i), held.bag(j)) >= least:
+                    root[top(roots[i])] = top(roots[j])
+                    out.append((items[i], items[j]))
+        return pa.table([pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.int64())], ["a", "b"])
+
+    return run
+
+
+def verified(pairs: DataFrame, documents: DataFrame, words: int) -> DataFrame:
+    """The exact likeness of each (a, b). Texts b go in chunks to a's text, which travels once for each chunk. a_doc, b_doc: where their texts stand."""
     loads = pairs.groupBy("a").agg(F.count("*").alias("load"))
-    chunked = pairs.join(loads, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.greatest(F.lit(1), F.floor(F.col("load") / CHUNK))).alias("chunk"))
-    ours = chunked.join(items.select(F.col("item").alias("b"), "doc_id"), "b").join(documents, "doc_id").select("a", "chunk", "b", F.col("text").alias("text_b"))
-    firsts = chunked.select("a", "chunk").distinct().join(items.select(F.col("item").alias("a"), "doc_id"), "a").join(documents, "doc_id").select(F.col("a").alias("first"), F.col("chunk").alias("part"), F.col("text").alias("text_a"))
-    return ours.groupBy("a", "chunk").cogroup(firsts.groupBy("first", "part")).applyInArrow(_comparison(words, least), "a long, b long, likeness double, nexts array<long>")
+    chunked = pairs.join(loads, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.greatest(F.lit(1), F.floor(F.col("load") / CHUNK))))
+    ours = chunked.select("a", "chunk", "b", F.col("b_doc").alias("doc_id")).join(documents, "doc_id").select("a", "chunk", "b", F.col("doc_id").alias("b_doc"), F.col("text").alias("text_b"))
+    heads = chunked.select("a", "chunk", F.col("a_doc").alias("doc_id")).distinct().join(documents, "doc_id").select(F.col("a").alias("first"), F.col("chunk").alias("part"), F.col("text").alias("text_a"))
+    return ours.groupBy("a", "chunk").cogroup(heads.groupBy("first", "part")).applyInArrow(_comparison(words), "a long, b long, b_doc long, likeness double")
+
+
+def open_links(likes: DataFrame, roots: DataFrame, documents: DataFrame, words: int, size: int, least: float) -> DataFrame:
+    """(a, b): links between items around one centre that the links to it leave apart."""
+    around = likes.join(roots.select(F.col("item").alias("b"), "root"), "b", "left").withColumn("root", F.coalesce("root", "b"))
+    apart = around.groupBy("a").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("a")
+    # distance 0 to 0.2 is ring 0: linked to the centre; rings further than one apart hold no links between them
+    ring = F.when(F.col("likeness") >= least, 0).otherwise(F.greatest(F.lit(1), F.floor((1 - F.col("likeness")) / (1 - least) + 1e-9)).cast("int"))
+    around = around.join(apart, "a").withColumn("ring", ring)
+    parts = around.groupBy("a", "ring").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")).groupBy("a").agg(F.map_from_entries(F.collect_list(F.struct("ring", "parts"))).alias("parts"))
+    around = around.join(parts, "a")
+    part = lambda r: F.coalesce(F.try_element_at("parts", r), F.lit(0))
+    own, ring = F.pmod(F.xxhash64("b"), part(F.col("ring"))).cast("int"), F.col("ring")
+
+    def with_ring(other, skip):
+        code = lambda r, c: r.cast("long") * (1 << 32) + c
+        mine = code(ring, own)
+        return F.when(skip | (part(other) == 0), F.array().cast("array<struct<lo: bigint, hi: bigint>>")).otherwise(
+            F.transform(F.sequence(F.lit(0), F.greatest(part(other) - 1, F.lit(0))), lambda c: F.struct(F.least(mine, code(other, c)).alias("lo"), F.greatest(mine, code(other, c)).alias("hi")))
+        )
+
+    blocks = F.concat(with_ring(ring, ring == 0), with_ring(ring + 1, F.lit(False)), with_ring(ring - 1, ring == 0))
+    placed = around.select("a", F.col("b").alias("item"), F.col("b_doc").alias("doc_id"), "root", (ring.cast("long") * (1 << 32) + own).alias("side"), F.explode(blocks).alias("block"))
+    placed = placed.join(documents, "doc_id").select("a", "block.lo", "block.hi", "item", "root", "side", "text")
+    return placed.groupBy("a", "lo", "hi").applyInArrow(_block(words, size, least), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
     """(item, root) for all items of the links, root the least item that links reach.
 
-    Alternates two steps until nothing changes: larger neighbours are linked to the least one, then smaller ones are.
+    Alternates two steps until every item hangs on its root alone: larger neighbours are linked to the least one, then
+    smaller ones are. Each round is written, so a lost executor costs one round at most.
     """
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
-    before = None
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        edges = stored(small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "edges")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
+        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
+        edges = stored(small.select("x.*").filter("u <> v").distinct(), "edges")
+        ends = edges.select("u", F.lit(1).alias("out"), F.lit(0).alias("in")).unionByName(edges.select(F.col("v").alias("u"), F.lit(0).alias("out"), F.lit(1).alias("in")))
+        if ends.groupBy("u").agg(F.sum("out").alias("out"), F.max("in").alias("in")).filter("out > 1 or (out = 1 and in = 1)").isEmpty():
             break
-        before = state
-    roots = edges.select(F.col("v").alias("item")).distinct().withColumn("root", F.col("item"))
-    return edges.select(F.col("u").alias("item"), F.col("v").alias("root")).unionByName(roots).dropDuplicates(["item"])
+    return edges.select(F.explode(F.array(F.struct(F.col("u").alias("item"), F.col("v").alias("root")), F.struct(F.col("v").alias("item"), F.col("v").alias("root")))).alias("x")).select("x.*").distinct()
 
 
 def shared_keys(keys: DataFrame) -> DataFrame:
@@ -174,11 +227,11 @@ def shared_keys(keys: DataFrame) -> DataFrame:
 
 
 def led(members: DataFrame) -> DataFrame:
-    """(a, b) for every item b, a the most central of its bucket: the one whose buckets hold most items in all."""
+    """(a, a_doc, b, b_doc) for every other item b of a bucket, a its most central one: the one whose buckets hold most items in all."""
     sizes = members.groupBy("key").agg(F.count("*").alias("n"))
     weights = members.join(sizes, "key").groupBy("item").agg(F.sum("n").alias("weight"))
-    firsts = members.join(weights, "item").groupBy("key").agg(F.max(F.struct("weight", "item")).alias("x")).select("key", F.col("x.item").alias("a"))
-    return members.join(firsts, "key").select("a", F.col("item").alias("b"))
+    firsts = members.join(weights, "item").groupBy("key").agg(F.max(F.struct("weight", "item", "doc")).alias("x")).select("key", F.col("x.item").alias("a"), F.col("x.doc").alias("a_doc"))
+    return members.join(firsts, "key").filter("item <> a").select("a", "a_doc", F.col("item").alias("b"), F.col("doc").alias("b_doc")).distinct()
 
 
 def near_duplicates(documents: DataFrame, words: int = WORDS, least: float = LEAST, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -186,25 +239,14 @@ def near_duplicates(documents: DataFrame, words: int = WORDS, least: float = LEA
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
     signed = stored(signatures(docs, words, bands, rows), "signatures")
     items = stored(signed.groupBy("item").agg(F.min("doc_id").alias("doc_id")), "items")
-    keys = signed.join(items, ["item", "doc_id"], "left_semi").select("item", F.explode("bands").alias("key"))
-    members, links, roots = stored(shared_keys(keys), "buckets"), None, None
-    for level in range(LEVELS + 1):
-        if level == LEVELS:
-            other = members.select("key", F.col("item").alias("b"), F.col("root").alias("root_b"))
-            pairs = members.join(other, "key").filter("item < b and root <> root_b").select(F.col("item").alias("a"), "b").distinct()
-        else:
-            pairs = led(members).filter("a <> b").distinct()
-        likes = stored(verified(pairs, items, docs, words, least), "likeness")
-        found = likes.filter(F.col("likeness") >= least).select("a", "b").distinct()
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
-        # the next buckets: items that share what their first lacks, and that no links join so far
-        nexts = likes.select(F.col("b").alias("item"), F.explode("nexts").alias("next"), "a").select("item", F.xxhash64("a", "next").alias("key"))
-        nexts = shared_keys(nexts).join(roots, "item", "left").select("item", "key", F.coalesce("root", "item").alias("root"))
-        unlike = nexts.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("key")
-        members = stored(nexts.join(unlike, "key"), "buckets")
-        if level == LEVELS or members.isEmpty():
-            break
+    keys = signed.join(items, ["item", "doc_id"], "left_semi").select("item", F.col("doc_id").alias("doc"), F.explode("bands").alias("key"))
+    members = stored(shared_keys(keys), "buckets")
+    likes = stored(verified(led(members), docs, words), "likeness")
+    links = likes.filter(F.col("likeness") >= least).select("a", "b")
+    roots = components(links)
+    more = stored(open_links(likes, roots, docs, words, bands * rows, least), "links")
+    if not more.isEmpty():
+        roots = components(links.unionByName(more))
     named = items.join(roots, "item", "left").select("item", "doc_id", F.coalesce("root", "item").alias("root"))
     classes = named.join(named.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root").select("item", "class_id")
     found = signed.select("doc_id", "item").join(classes, "item")

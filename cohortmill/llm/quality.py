@@ -110,7 +110,7 @@ def probability(model: Evidence, text: Column) -> Column:
     return score(text)
 
 
-def _strength(sums: DataFrame, mean: Column) -> Column:
+def _strength(mean: Column) -> Column:
     """How many documents a prior weighs: from the variance of group means beyond what documents alone would make."""
     n, m = F.col("n"), F.col("s") / F.col("n")
     within = F.sum(F.col("ss") - F.col("s") * m) / F.greatest(F.sum(n) - F.count("*"), F.lit(1))
@@ -125,10 +125,10 @@ def posteriors(scored: DataFrame) -> DataFrame:
     hosts = paths.groupBy("host").agg(*sums)
     total = hosts.agg(*sums).first()
     mean = (total["s"] or 0.0) / (total["n"] or 1)
-    host_weight = hosts.agg(_strength(hosts, F.lit(mean)).alias("k")).first()["k"] or 1.0
+    host_weight = hosts.agg(_strength(F.lit(mean)).alias("k")).first()["k"] or 1.0
     hosts = hosts.select(F.col("host").alias("h"), ((host_weight * mean + F.col("s")) / (host_weight + F.col("n"))).alias("host_posterior"))
     paths = paths.join(hosts, F.col("host").eqNullSafe(F.col("h"))).drop("h")
-    path_weight = paths.agg(_strength(paths, F.col("host_posterior")).alias("k")).first()["k"] or 1.0
+    path_weight = paths.agg(_strength(F.col("host_posterior")).alias("k")).first()["k"] or 1.0
     return paths.select("host", "path", "n", "host_posterior", ((path_weight * F.col("host_posterior") + F.col("s")) / (path_weight + F.col("n"))).alias("path_posterior"), F.lit(float(mean)).alias("global_mean"))
 
 
