@@ -39,7 +39,7 @@ def condition_categories(spark, sf_dir):
     return K.longest_keyword(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", F.broadcast(kw)).select("p_partkey", "primary", "secondary")
 
 
-@query("VOC-12", f"""WITH {KEYWORD_SQL}, c AS (SELECT p_partkey, coalesce(max_by(prim, length(keyword) * 100), 'Other') AS prim FROM part LEFT JOIN kw ON contains(' ' || p_name || ' ', ' ' || keyword || ' ') GROUP BY 1),
+@query("VOC-12", f"""WITH {KEYWORD_SQL}, c AS (SELECT p_partkey, coalesce(max_by(prim, lpad(CAST(length(keyword) AS VARCHAR), 3, '0') || keyword), 'Other') AS prim FROM part LEFT JOIN kw ON contains(' ' || p_name || ' ', ' ' || keyword || ' ') GROUP BY 1),
   n AS (SELECT l_orderkey, prim, count(*) AS n FROM lineitem JOIN c ON l_partkey = p_partkey GROUP BY 1, 2) SELECT l_orderkey, prim AS primary, n FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY n DESC, prim DESC) AS k FROM n) WHERE k = 1""")
 def study_categories(spark, sf_dir):
     kw = spark.createDataFrame(KEYWORDS, "keyword string, primary string, secondary string")
