@@ -138,15 +138,21 @@ def token_starts(cp: np.ndarray, at: np.ndarray, spaces_join: bool = True) -> tu
     return np.flatnonzero(rules.begins.ravel()[symbol.astype(np.int32) * 8 + before]), kind
 
 
-@functools.cache
+_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    base = (0x9E3779B97F4A7C15 + 2 * seed) | 1
-    out = []
-    for b in (base, pow(base, -1, 2**64)):
-        row = np.full(size, b, np.uint64)
-        row[0] = 1
-        out.append(np.cumprod(row))
-    return out[0], out[1]
+    """Powers of a base and of its inverse; one table for each seed, which grows where it must."""
+    if seed not in _TABLES or len(_TABLES[seed][0]) < size:
+        base = (0x9E3779B97F4A7C15 + 2 * seed) | 1
+        size = (size + (1 << 20) - 1) >> 20 << 20
+        out = []
+        for b in (base, pow(base, -1, 2**64)):
+            row = np.full(size, b, np.uint64)
+            row[0] = 1
+            out.append(np.cumprod(row, out=row))
+        _TABLES[seed] = (out[0], out[1])
+    return _TABLES[seed]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -158,8 +164,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def slice_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """64-bit hashes of values[start:end], by differences of one running sum."""
-    size = 1 << max(16, int(len(values)).bit_length())
-    power, inverse = _powers(size, seed)
+    power, inverse = _powers(len(values) + 1, seed)
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * power[: len(values)], out=total[1:])
     return mixed((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))

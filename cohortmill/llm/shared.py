@@ -33,7 +33,7 @@ def text_column(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that the texts of each come to about `limit` bytes; one longer text makes a batch of its own."""
     for batch in batches:
         if not batch.num_rows:
