@@ -247,6 +247,29 @@ def test_cross_entropy(spark, docs, odd, none):
     assert np.allclose(table.sum(axis=1), 1) and ids
 
 
+def test_cross_entropy_over_all_words(spark):
+    """Exact bigram losses, also of words beyond any fixed vocabulary, with texts in many slices."""
+    target = [words(6000, 21), words(300, 22) + " rare", None]
+    background = [(k, words(700, 30 + k)) for k in range(12)] + [(12, words(50, 4) + " rare"), (13, words(50, 4) + " other"), (14, ""), (14, "w1 w2 w1 w2"), (None, "rare w1")]
+    held = [[t.split() for t in texts if t] for texts in (target, [t for _, t in background])]
+    distinct = len({w for texts in held for t in texts for w in t})
+    models = [(Counter(p for t in texts for p in zip([None, *t], t)), Counter(w for t in texts for w in t), Counter(p for t in texts for p in [None, *t][:-1])) for texts in held]
+
+    def loss(model, text):
+        pair, word, before = model
+        p1 = {w: (word[w] + 1) / (word.total() + distinct) for w in text}
+        return -sum(np.log2((pair[p, w] + 200 * p1[w]) / (before[p] + 200)) for p, w in zip([None, *text], text)) / len(text)
+
+    want = sorted((d or -1, len(t.split()), *(round(loss(m, t.split()), 6) if t else 0 for m in models)) for d, t in background)
+    frames = spark.createDataFrame([(t,) for t in target], "text string"), spark.createDataFrame(background, "doc_id long, text string")
+    assert distinct > 4000
+    for limit in (2 << 20, 3000):
+        rows = lm.cross_entropy_difference(*frames, limit=limit).collect()
+        assert sorted((r["doc_id"] or -1, r["n_words"], round(r["target_loss"] or 0, 6), round(r["background_loss"] or 0, 6)) for r in rows) == want
+    got = {r["doc_id"]: r["difference"] for r in rows}
+    assert got[12] < got[13]
+
+
 def test_toxicity(spark, docs, odd, none, labels):
     r = np.random.default_rng(0)
     bad = ["vile", "rotten", "awful"]
