@@ -12,8 +12,10 @@ items around one such centre that links leave apart go to blocks by their distan
 a block signatures are held against each other, and those that agree in all but 4.5 standard deviations of what 0.8
 gives are compared exactly, unless links join them already. No row stands for a pair that is no link.
 
-Null texts count as empty. All texts without words are one class; a text of one to four words is one shingle. Repeated
-rows share a class. Null ids stay null and are kept. Other columns are ignored. An empty table gives no rows.
+Every row gets a key of its own that is written before anything is signed; signatures, texts and classes go by it, so
+repeated ids and null ids are rows like others. Null texts count as empty. All texts without words are one class; a text
+of one to four words is one shingle. The first row of a class has its least doc_id, null ids last. Other columns are
+ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -80,7 +82,7 @@ def bag_ids(doc: np.ndarray, item: np.ndarray, count: np.ndarray, n: int) -> np.
 
 
 def signatures(documents: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, item (a long that stands for the multiset), bands array<long>; no bands without words."""
+    """row, doc_id, item (a long that stands for the multiset), bands array<long>; no bands without words."""
     size = bands * rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,9 +96,9 @@ def signatures(documents: DataFrame, words: int, bands: int, rows: int) -> DataF
             key = mixed(key + np.arange(bands, dtype=U)).view(np.int64)
             some = np.bincount(doc, minlength=n) > 0
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(some * bands)], pa.int32()), pa.array(key[some].ravel(), pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bag_ids(doc, item, count, n)), lists], ["doc_id", "item", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(bag_ids(doc, item, count, n)), lists], ["row", "doc_id", "item", "bands"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text")).mapInArrow(run, "doc_id long, item long, bands array<long>")
+    return documents.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, item long, bands array<long>")
 
 
 def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -108,7 +110,7 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 
 class Held:
-    """The multisets of some texts; a text that isn't its item's (a repeated id) is left out of `own`."""
+    """The multisets of some texts; a text that isn't its item's is left out of `own`."""
 
     def __init__(self, texts: pa.Array, items: list[int], words: int):
         self.doc, self.item, self.count = bags(texts, words)
@@ -126,9 +128,9 @@ def _comparison(words: int):
         held = Held(pa.concat_arrays([*right.column("text_a").cast(pa.string()).chunks, *left.column("text_b").cast(pa.string()).chunks]), theirs, words)
         first = next((k for k in held.own if k < rows), None)
         kept = [int(k) for k in held.own if k >= rows] if first is not None else []
-        docs = left.column("b_doc").take(pa.array([k - rows for k in kept], pa.int64()))
+        docs = left.column("b_row").take(pa.array([k - rows for k in kept], pa.int64()))
         columns = [[theirs[first]] * len(kept) if kept else [], [theirs[k] for k in kept]], [overlap(held.bag(first), held.bag(k)) for k in kept]
-        return pa.table([pa.array(columns[0][0], pa.int64()), pa.array(columns[0][1], pa.int64()), docs, pa.array(columns[1], pa.float64())], ["a", "b", "b_doc", "likeness"])
+        return pa.table([pa.array(columns[0][0], pa.int64()), pa.array(columns[0][1], pa.int64()), docs, pa.array(columns[1], pa.float64())], ["a", "b", "b_row", "likeness"])
 
     return run
 
@@ -167,12 +169,12 @@ def _block(words: int, size: int, least: float):
 
 
 def verified(pairs: DataFrame, documents: DataFrame, words: int) -> DataFrame:
-    """The exact likeness of each (a, b). Texts b go in chunks to a's text, which travels once for each chunk. a_doc, b_doc: where their texts stand."""
+    """The exact likeness of each (a, b). Texts b go in chunks to a's text, which travels once for each chunk. a_row, b_row: where their texts stand."""
     loads = pairs.groupBy("a").agg(F.count("*").alias("load"))
     chunked = pairs.join(loads, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.greatest(F.lit(1), F.floor(F.col("load") / CHUNK))))
-    ours = chunked.select("a", "chunk", "b", F.col("b_doc").alias("doc_id")).join(documents, "doc_id").select("a", "chunk", "b", F.col("doc_id").alias("b_doc"), F.col("text").alias("text_b"))
-    heads = chunked.select("a", "chunk", F.col("a_doc").alias("doc_id")).distinct().join(documents, "doc_id").select(F.col("a").alias("first"), F.col("chunk").alias("part"), F.col("text").alias("text_a"))
-    return ours.groupBy("a", "chunk").cogroup(heads.groupBy("first", "part")).applyInArrow(_comparison(words), "a long, b long, b_doc long, likeness double")
+    ours = chunked.select("a", "chunk", "b", F.col("b_row").alias("row")).join(documents, "row").select("a", "chunk", "b", F.col("row").alias("b_row"), F.col("text").alias("text_b"))
+    heads = chunked.select("a", "chunk", F.col("a_row").alias("row")).distinct().join(documents, "row").select(F.col("a").alias("first"), F.col("chunk").alias("part"), F.col("text").alias("text_a"))
+    return ours.groupBy("a", "chunk").cogroup(heads.groupBy("first", "part")).applyInArrow(_comparison(words), "a long, b long, b_row long, likeness double")
 
 
 def open_links(likes: DataFrame, roots: DataFrame, documents: DataFrame, words: int, size: int, least: float) -> DataFrame:
@@ -195,8 +197,8 @@ def open_links(likes: DataFrame, roots: DataFrame, documents: DataFrame, words:
         )
 
     blocks = F.concat(with_ring(ring, ring == 0), with_ring(ring + 1, F.lit(False)), with_ring(ring - 1, ring == 0))
-    placed = around.select("a", F.col("b").alias("item"), F.col("b_doc").alias("doc_id"), "root", (ring.cast("long") * (1 << 32) + own).alias("side"), F.explode(blocks).alias("block"))
-    placed = placed.join(documents, "doc_id").select("a", "block.lo", "block.hi", "item", "root", "side", "text")
+    placed = around.select("a", F.col("b").alias("item"), F.col("b_row").alias("row"), "root", (ring.cast("long") * (1 << 32) + own).alias("side"), F.explode(blocks).alias("block"))
+    placed = placed.join(documents, "row").select("a", "block.lo", "block.hi", "item", "root", "side", "text")
     return placed.groupBy("a", "lo", "hi").applyInArrow(_block(words, size, least), "a long, b long")
 
 
@@ -227,34 +229,46 @@ def shared_keys(keys: DataFrame) -> DataFrame:
 
 
 def led(members: DataFrame) -> DataFrame:
-    """(a, a_doc, b, b_doc) for every other item b of a bucket, a its most central one: the one whose buckets hold most items in all."""
+    """(a, a_row, b, b_row) for every other item b of a bucket, a its most central one: the one whose buckets hold most items in all."""
     sizes = members.groupBy("key").agg(F.count("*").alias("n"))
     weights = members.join(sizes, "key").groupBy("item").agg(F.sum("n").alias("weight"))
-    firsts = members.join(weights, "item").groupBy("key").agg(F.max(F.struct("weight", "item", "doc")).alias("x")).select("key", F.col("x.item").alias("a"), F.col("x.doc").alias("a_doc"))
-    return members.join(firsts, "key").filter("item <> a").select("a", "a_doc", F.col("item").alias("b"), F.col("doc").alias("b_doc")).distinct()
+    firsts = members.join(weights, "item").groupBy("key").agg(F.max(F.struct("weight", "item", "row")).alias("x")).select("key", F.col("x.item").alias("a"), F.col("x.row").alias("a_row"))
+    return members.join(firsts, "key").filter("item <> a").select("a", "a_row", F.col("item").alias("b"), F.col("row").alias("b_row")).distinct()
 
 
-def near_duplicates(documents: DataFrame, words: int = WORDS, least: float = LEAST, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, class_id (the least doc_id of the class), is_first (it is that document)."""
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
+def keyed(documents: DataFrame, name: str) -> DataFrame:
+    """The documents, written, with a number for every row."""
+    return stored(documents.withColumn(name, F.monotonically_increasing_id()), "rows")
+
+
+def classes(docs: DataFrame, words: int = WORDS, least: float = LEAST, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
+    """docs: row, doc_id, text. (row, doc_id, item) of all, and (item, root, head): head has the doc_id and row of the item's class that come first."""
     signed = stored(signatures(docs, words, bands, rows), "signatures")
-    items = stored(signed.groupBy("item").agg(F.min("doc_id").alias("doc_id")), "items")
-    keys = signed.join(items, ["item", "doc_id"], "left_semi").select("item", F.col("doc_id").alias("doc"), F.explode("bands").alias("key"))
+    texts = docs.select("row", "text")
+    head = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    items = stored(signed.groupBy("item").agg(F.min("row").alias("row"), F.min(head).alias("head")), "items")
+    keys = signed.join(items, ["item", "row"], "left_semi").select("item", "row", F.explode("bands").alias("key"))
     members = stored(shared_keys(keys), "buckets")
-    likes = stored(verified(led(members), docs, words), "likeness")
+    likes = stored(verified(led(members), texts, words), "likeness")
     links = likes.filter(F.col("likeness") >= least).select("a", "b")
     roots = components(links)
-    more = stored(open_links(likes, roots, docs, words, bands * rows, least), "links")
+    more = stored(open_links(likes, roots, texts, words, bands * rows, least), "links")
     if not more.isEmpty():
         roots = components(links.unionByName(more))
-    named = items.join(roots, "item", "left").select("item", "doc_id", F.coalesce("root", "item").alias("root"))
-    classes = named.join(named.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root").select("item", "class_id")
-    found = signed.select("doc_id", "item").join(classes, "item")
-    return found.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)).alias("is_first"))
+    named = items.join(roots, "item", "left").select("item", "head", F.coalesce("root", "item").alias("root"))
+    return signed.select("row", "doc_id", "item"), named.select("item", "root").join(named.groupBy("root").agg(F.min("head").alias("head")), "root")
+
+
+def near_duplicates(documents: DataFrame, **settings) -> DataFrame:
+    """doc_id, class_id (the least doc_id of the class), is_first (it is the row of the class that is kept)."""
+    docs = keyed(documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text")), "row")
+    signed, named = classes(docs, **settings)
+    return signed.join(named, "item").select("doc_id", F.col("head.doc_id").alias("class_id"), (F.col("row") == F.col("head.row")).alias("is_first"))
 
 
 def deduplicated(documents: DataFrame, **settings) -> DataFrame:
-    """The documents, one row of each class: that of the least doc_id. A class of null ids alone is kept whole."""
-    kept = near_duplicates(documents, **settings).filter("class_id is null or doc_id = class_id")
-    ids = kept.filter("doc_id is not null").select("doc_id").distinct()
-    return documents.join(ids, "doc_id", "left_semi").unionByName(documents.filter("doc_id is null"))
+    """The documents, exactly one row of each class: one of the least doc_id, of a null id only where the class has no other."""
+    held = keyed(documents, "_row")
+    docs = held.select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
+    kept = classes(docs, **settings)[1].select(F.col("head.row").alias("_row")).distinct()
+    return held.join(kept, "_row", "left_semi").select(*documents.columns)

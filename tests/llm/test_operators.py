@@ -115,6 +115,18 @@ def test_near_duplicates(docs, odd, none):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {0, 1, 3, 4, 7, 9, 10}
 
 
+def test_one_row_of_each_class_is_kept(spark, odd):
+    """Repeated rows, null ids, near copies among null ids, and a repeated id with two texts."""
+    near = [(None, words(300, 90)), (None, words(300, 90) + " end"), (4, words(300, 91)), (20, words(300, 91)), (20, words(300, 91))]
+    more = odd.select("doc_id", "text").unionByName(spark.createDataFrame(near, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in minhash.deduplicated(odd).collect()) == [0, 1, 3, 4, 7, 9, 10]
+    kept = [(r["doc_id"], (r["text"] or "")[:20]) for r in minhash.deduplicated(more).collect()]
+    assert sorted(-1 if k is None else k for k, _ in kept) == [-1, 0, 1, 3, 4, 4, 7, 9, 10]
+    assert (4, words(300, 91)[:20]) in kept and (None, words(300, 90)[:20]) in kept
+    rows = minhash.near_duplicates(more).collect()
+    assert len(rows) == more.count() and sum(r["is_first"] for r in rows) == 9
+
+
 def test_chains_and_bridges(spark):
     """A row of texts, each near the next only: one class, though its ends differ."""
     base = words(400, 1).split()
