@@ -26,7 +26,7 @@ def with_sketch(df: DataFrame, text: str, to: str, fraction: float = FRACTION, w
     least = -(2**63) + int(fraction * 2**64)
     w, g, kept = f"{to}_w", f"{to}_g", f"{to}_k"
     return (
-        df.withColumn(w, F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), lambda x: x != ""))
+        df.withColumn(w, F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}\p{M}]+"), lambda x: x != ""))
         .withColumn(
             g,
             F.when(F.size(w) >= words, F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (words - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(F.col(w), i, words))))

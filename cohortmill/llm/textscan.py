@@ -1,8 +1,9 @@
-"""Words of whole batches in numpy: runs of ASCII letters and digits and of all non-ASCII characters, in lower case."""
+"""Words of whole batches in numpy: runs of letters, numbers and marks of any script, in lower case."""
 
 from __future__ import annotations
 
 import functools
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,13 +15,35 @@ from .pretok import mixed, slice_hashes
 
 @functools.cache
 def word_bytes() -> np.ndarray:
+    """Of ASCII only."""
     table = np.zeros(256, bool)
-    table[0x80:] = True
     for a, b in ("09", "az", "AZ"):
         table[ord(a) : ord(b) + 1] = True
     return table
 
 
+@functools.cache
+def word_codepoints() -> np.ndarray:
+    return np.array([unicodedata.category(chr(cp))[0] in "LNM" for cp in range(0x110000)])
+
+
+def in_words(data: np.ndarray) -> np.ndarray:
+    """Whether each byte of UTF-8 belongs to a word; all bytes of a character do or none."""
+    inside = word_bytes()[data]
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        first = data[lead].astype(np.int32)
+        more = 1 + (first >= 0xE0) + (first >= 0xF0)
+        cp = first & (0x3F >> more)
+        for k in (1, 2, 3):
+            long = more >= k
+            cp[long] = cp[long] << 6 | data[lead[long] + k] & 0x3F
+        word = word_codepoints()[cp]
+        for k in range(4):
+            inside[lead[more >= k] + k] = word[more >= k]
+    return inside
+
+
 @dataclass(frozen=True)
 class Words:
     """hashes of all words; of[i]: the first word of text i, with the total at the end; data and at: the bytes and where texts begin."""
@@ -46,7 +69,7 @@ def scan(texts: pa.Array) -> Words:
     if not len(data):
         none = np.zeros(0, np.int64)
         return Words(np.zeros(0, np.uint64), np.zeros(n + 1, np.int64), data, at, none, none)
-    inside = word_bytes()[data]
+    inside = in_words(data)
     edge = np.zeros(len(data) + 1, bool)
     edge[at] = True
     before = np.r_[False, inside[:-1]]

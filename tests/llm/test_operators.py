@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortmill.llm import bpe, bytebpe, lm, minhash, packing, quality, rollup, sketch, tokens, topk, toxicity
+from cohortmill.llm.textscan import scan
 
 BYTE, WORD = P.path("byte_bpe_50k.tiktoken"), P.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, part int, key long, item long, rank int, next string"
@@ -100,6 +101,17 @@ def test_segment_tree_is_best_fit():
     assert len(got) == len(spaces) and all(sum(lengths[i] for i in b) <= 100 for b in got)
 
 
+def test_words_end_at_punctuation_of_any_script():
+    """Quotes, dashes, no-break spaces and CJK stops part words; marks and letters beyond ASCII don't."""
+    text = "Say \u201cvile\u201d, \u00abr\u00f6tten\u00bb\u2014so\u00a0it\u3000is \u4eca\u5929\u3002\u660e\u5929 e\u0301t\u00e9 \U0001d4b3x\U0001f600y \u0939\u093f"
+    plain = "say vile r\u00f6tten so it is \u4eca\u5929 \u660e\u5929 e\u0301t\u00e9 \U0001d4b3x y \u0939\u093f"
+    found, want = (scan(pa.array(["", x, "\u3002", x[:3]])) for x in (text, plain))
+    assert found.hashes.tolist() == want.hashes.tolist() and np.diff(found.of).tolist() == [0, 12, 0, 1]
+    base = ["".join(chr(0x4E00 + x) for x in np.random.default_rng(k).integers(0, 5000, 9)) for k in range(60)]
+    a, b = (minhash.bags(pa.array(["\u3002".join(t)]))[1:] for t in (base, [*base[:-1], "\u4eca"]))
+    assert minhash.overlap(a, b) > 0.9
+
+
 def classes_of(rows):
     out = defaultdict(set)
     for r in rows:
