@@ -156,14 +156,19 @@ def probability(chain: Chain, text: Column) -> Column:
     return score(text)
 
 
+def rejected(chain: Chain, p: str, threshold: float) -> Column:
+    """Any category of the chain reaches the threshold."""
+    return F.greatest(F.lit(0.0), *[F.col(f"{p}.{c}") for c in chain.categories]) >= threshold
+
+
 def classified(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, limit: int = SAMPLE) -> DataFrame:
-    """doc_id, a probability for each category, and is_toxic."""
+    """doc_id, a probability for each category, and is_toxic: any of them reaches the threshold."""
     chain = toxicity_chain(documents, labels, limit)
     scored = documents.select("doc_id", probability(chain, text_column()).alias("p"))
-    return scored.select("doc_id", *[F.col(f"p.{c}").alias(f"p_{c}") for c in chain.categories], (F.col("p.toxic") >= threshold).alias("is_toxic"))
+    return scored.select("doc_id", *[F.col(f"p.{c}").alias(f"p_{c}") for c in chain.categories], rejected(chain, "p", threshold).alias("is_toxic"))
 
 
 def accepted(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, limit: int = SAMPLE) -> DataFrame:
-    """The documents that are not toxic, as they are."""
+    """The documents that no category rejects, as they are."""
     chain = toxicity_chain(documents, labels, limit)
-    return documents.withColumn("_p", probability(chain, text_column())).filter(F.col("_p.toxic") < threshold).drop("_p")
+    return documents.withColumn("_p", probability(chain, text_column())).filter(~rejected(chain, "_p", threshold)).drop("_p")

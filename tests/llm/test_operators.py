@@ -312,6 +312,14 @@ def test_toxicity(spark, docs, odd, none, labels):
     assert toxicity.accepted(docs, labels.filter("false")).columns == docs.columns
 
 
+def test_a_later_category_rejects_too(spark, monkeypatch):
+    chain = toxicity.Chain(("toxic", "severe"), np.zeros(0, np.uint64), (toxicity.Linear(np.zeros(1), -2.0), toxicity.Linear(np.zeros(2), 0.0)))
+    monkeypatch.setattr(toxicity, "toxicity_chain", lambda *a: chain)
+    df = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
+    row = toxicity.classified(df, df).first()
+    assert row["p_toxic"] < 0.3 <= row["p_severe"] and row["is_toxic"] and toxicity.accepted(df, df).count() == 0
+
+
 def test_byte_round_trip(docs, odd, none):
     encoder = bpe.byte_encoder(BYTE)
     for r in bytebpe.round_trip(docs, BYTE).collect():
