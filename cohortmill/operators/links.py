@@ -28,19 +28,35 @@ def term_mentions(sentence: DataFrame, key: list[str], term: str, negation: str)
     return sentence.groupBy(*key).agg(F.count_if(hit).alias("n_mentions"), F.count("*").alias("n_sentences"), F.max(F.when(hit, F.col("sentence").rlike(negation))).alias("negated")).withColumn("state", F.when(F.col("negated"), "negated").when(F.col("n_mentions") > 0, "stated").otherwise("not_mentioned")).drop("negated")
 
 
-def word_runs(rows: DataFrame, key: list[str], text: str, longest: int = 4) -> DataFrame:
-    """(key, run): every run of one to `longest` whole words, once."""
-    words = F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda n: F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))))
+def word_list(text) -> Column:
+    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
+
+
+def run_lengths(forms: DataFrame, form: str) -> list[int]:
+    """How many words the forms have, each number once."""
+    return sorted(r["n"] for r in forms.select(F.size(word_list(form)).alias("n")).distinct().collect() if r["n"] > 0)
+
+
+def word_runs(rows: DataFrame, key: list[str], text: str, lengths: list[int]) -> DataFrame:
+    """(key, run): every run of so many whole words, once."""
+    words = word_list(text)
+    sizes = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
+    runs = F.flatten(F.transform(sizes, lambda n: F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))))
     return rows.select(*key, F.explode(F.array_distinct(runs)).alias("run"))
 
 
 def name_matches(forms: DataFrame, titles: DataFrame, longest: int = 4, common: int = 50) -> DataFrame:
-    """forms (form, strength), titles (title_id, title): the strongest form that stands in a title as a run of words; forms with many hits are flagged."""
-    hits = word_runs(titles, ["title_id"], "title", longest).join(forms.select(F.col("form").alias("run"), "strength"), "run")
-    n = hits.groupBy("run").agg(F.count_distinct("title_id").alias("n_titles"))
-    best = Window.partitionBy("title_id").orderBy("strength", "run")
-    return hits.join(n, "run").withColumn("nth", F.row_number().over(best)).filter("nth = 1").select("title_id", F.col("run").alias("form"), "strength", "n_titles", (F.col("n_titles") >= common).alias("is_common"))
+    """forms (form, strength), titles (title_id, title): the strongest form that stands in a title as a run of words; forms with many hits are flagged.
+
+    A form matches by its words, however many, or where up to `longest` words of the title equal it without spaces."""
+    forms = forms.withColumn("_w", word_list("form")).filter(F.size("_w") > 0)
+    near = word_runs(titles, ["title_id"], "title", list(range(1, longest + 1))).withColumn("run", F.replace("run", F.lit(" "), F.lit("")))
+    far = word_runs(titles, ["title_id"], "title", [n for n in run_lengths(forms, "form") if n > longest])
+    hits = near.join(forms.select(F.array_join("_w", "").alias("run"), "form", "strength"), "run")
+    hits = hits.unionByName(far.join(forms.select(F.array_join("_w", " ").alias("run"), "form", "strength"), "run")).drop("run").distinct()
+    n = hits.groupBy("form").agg(F.count_distinct("title_id").alias("n_titles"))
+    best = Window.partitionBy("title_id").orderBy("strength", "form")
+    return hits.join(n, "form").withColumn("nth", F.row_number().over(best)).filter("nth = 1").select("title_id", "form", "strength", "n_titles", (F.col("n_titles") >= common).alias("is_common"))
 
 
 def exactly_one(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
@@ -86,7 +102,7 @@ def differences(left: DataFrame, right: DataFrame, key: str, fields: list[str])
 def longest_keyword(items: DataFrame, text: str, keywords: DataFrame, broadcast_rows: int = 10_000) -> DataFrame:
     """items with the longest keyword that stands in the text as whole words; (primary, secondary) of it, else Other / Uncategorized."""
     distinct = items.select(text).distinct()
-    hits = word_runs(distinct, [text], text).join(keywords.withColumnRenamed("keyword", "run"), "run")
+    hits = word_runs(distinct, [text], text, run_lengths(keywords, "keyword")).join(keywords.withColumnRenamed("keyword", "run"), "run")
     best = hits.groupBy(text).agg(F.max(F.struct(F.length("run").alias("n"), "run", "primary", "secondary")).alias("x"))
     joined = items.join(best, text, "left")
     return joined.select(*items.columns, F.coalesce("x.primary", F.lit("Other")).alias("primary"), F.coalesce("x.secondary", F.lit("Uncategorized")).alias("secondary"))

@@ -80,6 +80,15 @@ def test_names_in_titles(spark):
     assert got == {1: "deep view", 3: "view"}
 
 
+def test_long_and_squashed_names(spark):
+    forms = spark.createDataFrame([("alpha beta gamma delta epsilon zeta", 1), ("kardiaai", 2), ("Deep View", 3)], "form string, strength int")
+    titles = spark.createDataFrame([(1, "On alpha beta gamma delta epsilon zeta"), (2, "alpha beta gamma delta epsilon"), (3, "Kardia AI in use"), (4, "a DeepView trial"), (5, "kardiaaix")], "title_id int, title string")
+    got = {r["title_id"]: r["form"] for r in K.name_matches(forms, titles).collect()}
+    assert got == {1: "alpha beta gamma delta epsilon zeta", 3: "kardiaai", 4: "Deep View"}
+    words = spark.createDataFrame([("alpha beta gamma delta epsilon", "P", "S"), ("alpha", "Q", "T")], "keyword string, primary string, secondary string")
+    assert [r["primary"] for r in K.longest_keyword(titles.filter("title_id = 1"), "title", words).collect()] == ["P"]
+
+
 def test_lines_and_parts(spark, tmp_path):
     (tmp_path / "x.json").write_text('{"a": 1, "b": "x"}\nnot json\n{"a": "y"}\n{"b": "z"}\n')
     good, bad = R.read_lines(spark, str(tmp_path / "x.json"), "a int, b string")
