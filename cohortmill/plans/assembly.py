@@ -23,12 +23,20 @@ def nct(column: str):
     return F.concat(F.lit("NCT"), F.lpad(F.col(column).cast("string"), 8, "0"))
 
 
+CONTAINER = 1000
+
+
+def contained(records, size=CONTAINER):
+    """class, data: the records of a class in arrays of at most `size`, whatever the size of the class."""
+    placed = R.numbered(records.select("class", "nct_id", "lead", "enrollment"), ["nct_id"]).withColumn("part", F.floor(F.col("position") / size))
+    return placed.groupBy("class", "part").agg(F.collect_list(F.struct("nct_id", "lead", "enrollment")).alias("data"))
+
+
 @query("SRC-2", f"WITH {STUDIES} SELECT nct_id, lead, enrollment, 'run-1' AS extracted_at FROM studies")
 def record_container(spark, sf_dir):
-    """Each file holds its stamp and an array of records; the records come out one row each, stamped."""
+    """Each container holds its stamp and an array of at most CONTAINER records; the records come out one row each, stamped."""
     path = R.landing(spark, "container")
-    rows = studies(spark, sf_dir).select(F.col("class"), F.struct("nct_id", "lead", "enrollment").alias("r"))
-    rows.groupBy("class").agg(F.collect_list("r").alias("data")).select(F.lit("run-1").alias("extracted_at"), "data").write.json(path)
+    contained(studies(spark, sf_dir)).select(F.lit("run-1").alias("extracted_at"), "data").write.json(path)
     return spark.read.schema("extracted_at string, data array<struct<nct_id: string, lead: string, enrollment: long>>").json(path).select("extracted_at", F.inline("data"))
 
 

@@ -89,6 +89,14 @@ def test_long_and_squashed_names(spark):
     assert [r["primary"] for r in K.longest_keyword(titles.filter("title_id = 1"), "title", words).collect()] == ["P"]
 
 
+def test_containers_are_bounded(spark):
+    from cohortmill.plans.assembly import contained
+
+    rows = spark.range(2500).select(F.lit("one").alias("class"), F.col("id").cast("string").alias("nct_id"), F.lit("x").alias("lead"), F.lit(1).cast("long").alias("enrollment"))
+    sizes = [len(r["data"]) for r in contained(rows, 100).collect()]
+    assert max(sizes) <= 100 and sum(sizes) == 2500
+
+
 def test_lines_and_parts(spark, tmp_path):
     (tmp_path / "x.json").write_text('{"a": 1, "b": "x"}\nnot json\n{"a": "y"}\n{"b": "z"}\n')
     good, bad = R.read_lines(spark, str(tmp_path / "x.json"), "a int, b string")
