@@ -10,7 +10,7 @@ import unicodedata
 
 import numpy as np
 
-from .pretok import codepoints, ragged, slice_hashes, token_starts
+from .pretok import codepoints, narrowed, ragged, slice_hashes, token_starts
 
 NONE = np.int64(2**31 - 1)
 LONG, KEPT = 64, 1 << 20
@@ -183,7 +183,7 @@ class Encoder:
             begin, end = begin[words], end[words]
         if not len(begin):
             return np.zeros(0, np.int32), np.zeros(len(at), np.int64)
-        code, distinct = pd.factorize(slice_hashes(cp, begin, end, self.seed))
+        code, distinct = pd.factorize(slice_hashes(narrowed(cp), begin, end, self.seed))
         if len(self.slots) > KEPT:
             self.forget()
         get = self.slots.get

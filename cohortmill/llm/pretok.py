@@ -8,6 +8,7 @@ state after every codepoint comes from a blocked prefix scan. No regular express
 from __future__ import annotations
 
 import functools
+import hashlib
 import unicodedata
 from dataclasses import dataclass
 
@@ -21,7 +22,7 @@ SUFFIXES = ("s", "t", "m", "d", "re", "ve", "ll")
 #: Symbols: letter, number, other; an apostrophe with a suffix of one or two letters; the last of some white space, a
 #: plain space or another; other white space. FIRST is added for the first codepoint of a text.
 L, N, O, Q1, Q2, JOIN, LONE, GAP = range(8)
-FIRST, BLOCK = 8, 64
+FIRST, BLOCK, LONG_SLICE = 8, 64, 512
 #: States: anything begins a token; within letters, numbers, others; after a space that joins what follows; within white
 #: space; one or two letters of a suffix to come.
 FREE, IN_L, IN_N, IN_O, JOINING, IN_GAP, ONE, TWO = range(8)
@@ -138,23 +139,6 @@ def token_starts(cp: np.ndarray, at: np.ndarray, spaces_join: bool = True) -> tu
     return np.flatnonzero(rules.begins.ravel()[symbol.astype(np.int32) * 8 + before]), kind
 
 
-_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _powers(size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of a base and of its inverse; one table for each seed, which grows where it must."""
-    if seed not in _TABLES or len(_TABLES[seed][0]) < size:
-        base = (0x9E3779B97F4A7C15 + 2 * seed) | 1
-        size = (size + (1 << 20) - 1) >> 20 << 20
-        out = []
-        for b in (base, pow(base, -1, 2**64)):
-            row = np.full(size, b, np.uint64)
-            row[0] = 1
-            out.append(np.cumprod(row, out=row))
-        _TABLES[seed] = (out[0], out[1])
-    return _TABLES[seed]
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spreads 64-bit hashes."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -162,12 +146,34 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def narrowed(values: np.ndarray) -> np.ndarray:
+    """The same whole numbers in as few bytes each as hold them all."""
+    most = int(values.max(initial=0))
+    return values.astype(np.uint8 if most < 2**8 else np.uint16 if most < 2**16 else np.uint32)
+
+
 def slice_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-    """64-bit hashes of values[start:end], by differences of one running sum."""
-    power, inverse = _powers(len(values) + 1, seed)
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * power[: len(values)], out=total[1:])
-    return mixed((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    """64-bit hashes of values[start:end]: eight bytes of every slice at a time, each spread before the next come in.
+
+    Slices of many bytes are hashed by blake2b one by one, so that the rounds are few whatever a batch holds.
+    """
+    size = values.itemsize
+    per, long = 8 // size, LONG_SLICE // size
+    data = values.tobytes() + bytes(8)
+    eights = np.ndarray((len(values) + 1,), "<u8", data, strides=(size,))
+    left, at = ends - starts, starts
+    out = (left.astype(np.uint64) * np.uint64(8) + np.uint64(size)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)
+    cut = np.array([2 ** (8 * size * k) - 1 for k in range(per + 1)], np.uint64)
+    for i in np.flatnonzero(left > long):
+        digest = hashlib.blake2b(data[int(starts[i]) * size : int(ends[i]) * size], digest_size=8, salt=seed.to_bytes(8, "little"))
+        out[i] = int.from_bytes(digest.digest(), "little")
+    todo = np.flatnonzero((left > 0) & (left <= long))
+    at, left = at[todo], left[todo]
+    while len(todo):
+        out[todo] = mixed((out[todo] ^ eights[at] & cut[np.minimum(left, per)]) * np.uint64(0xD6E8FEB86659FD93))
+        more = np.flatnonzero(left > per)
+        todo, at, left = todo[more], at[more] + per, left[more] - per
+    return out
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -6,13 +6,15 @@ import random
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from cohortmill.llm import bpe, pretok
+from cohortmill.llm import bpe, bytebpe, pretok
+from cohortmill.llm.textscan import scan
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 PIECES = list("aAbs tT'dDmreveLl  \n\t\r12³٤,.!?-_<|>éÉßİΣς中文字   　́é😀ñ \x1c\x85") + ["'s", "'re", "'ve", "'ll", " '", "''", "\n\n", "  ", "<|endoftext|>"]
@@ -64,6 +66,35 @@ def test_any_text(byte, word, texts):
     assert data.tobytes() == "".join(texts).encode()
 
 
+def thue_morse(n):
+    """Two words that no hash by powers of an odd base modulo 2**64 tells apart."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_collide_under_polynomial_hashes(byte, word):
+    for n in (256, 1024, 2048):
+        pair = list(thue_morse(n))
+        assert split(*byte[0].encode(pair)) == [byte[1].encode_ordinary(t) for t in pair]
+        assert split(*word[0].encode(pair)) == [word[1].encode(t, add_special_tokens=False).ids for t in pair]
+        assert len(set(scan(pa.array(pair)).hashes.tolist())) == 2
+        assert bytebpe.checked(byte[0], pair)[2].tobytes() == "".join(pair).encode()
+
+
+def test_slices_of_any_width_keep_their_own_hashes():
+    """Distinct slices have distinct hashes, equal ones equal hashes wherever they stand, short or long."""
+    r = np.random.default_rng(1)
+    for kind in (np.uint8, np.uint16, np.uint32):
+        values = r.integers(0, 3, 6000).astype(kind)
+        starts = r.integers(0, 5000, 4000)
+        ends = starts + np.where(r.random(4000) < 0.1, r.integers(0, 900, 4000), r.integers(0, 12, 4000))
+        found = pretok.slice_hashes(values, starts, ends)
+        kept = {}
+        for a, b, h in zip(starts, ends, found.tolist()):
+            assert kept.setdefault(values[a:b].tobytes(), h) == h
+        assert len(set(kept.values())) == len(kept)
+
+
 def test_scan_is_associative():
     rules = pretok.scanner(True)
     element = np.random.default_rng(1).integers(1, 17, 1000).astype(np.uint16)
