@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -13,13 +14,26 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder that all executors see; a temporary one only where none is set (tests)."""
+    """The checkpoint folder that all executors see. Where none is set, a temporary one will do on a local master only."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cohortmill-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not re.match(r"local($|\[)", sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="cohortmill-")
+        sc.setCheckpointDir(folder)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like `name` that df doesn't have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back: it is computed once and outlives lost executors."""
     spark = df.sparkSession
