@@ -6,6 +6,7 @@ import base64
 import functools
 import heapq
 import json
+import re
 import unicodedata
 
 import numpy as np
@@ -231,11 +232,19 @@ class ByteEncoder(Encoder):
 
 
 class WordEncoder(Encoder):
-    """From a tokenizer file whose model marks the ends of words; texts are composed and lower-cased, white space is dropped."""
+    """From a tokenizer file whose model marks the ends of words; texts are composed and lower-cased, white space is dropped.
+
+    The file's added tokens, written out in a text, become their ids before anything else happens, as in the library.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            whole = json.load(f)
+        model, added = whole["model"], whole.get("added_tokens") or []
+        if any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens that take in what stands around them")
+        self.added = {t["content"]: t["id"] for t in added}
+        self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
         vocab, mark = model["vocab"], model["end_of_word_suffix"]
         rules = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         left, right, new = np.array([(vocab[a], vocab[b], vocab[a + b]) for a, b in rules], np.int64).T
@@ -247,6 +256,22 @@ class WordEncoder(Encoder):
     def prepared(self, texts: list[str]) -> list[str]:
         return [_lower(unicodedata.normalize("NFC", t)) for t in texts]
 
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.marks is None or not any(map(self.marks.search, texts)):
+            return super().encode(texts)
+        parts = [self.marks.split(t) for t in texts]  # every second part is an added token
+        ids, at = super().encode([p for own in parts for p in own[::2]])
+        out, ends, k = [], [0], 0
+        for own in parts:
+            for i, part in enumerate(own):
+                if i % 2:
+                    out.append(np.array([self.added[part]], ids.dtype))
+                else:
+                    out.append(ids[at[k] : at[k + 1]])
+                    k += 1
+            ends.append(ends[-1] + sum(map(len, out[len(out) - len(own) :])))
+        return np.concatenate(out), np.array(ends, np.int64)
+
     def symbols(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         ids = self.inner[data]
         ids[at[1:] - 1] = self.final[data[at[1:] - 1]]

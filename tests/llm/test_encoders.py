@@ -29,9 +29,7 @@ def byte():
 
 @pytest.fixture(scope="module")
 def word():
-    t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
-    return bpe.word_encoder(P.path("word_bpe_49k.json")), t
+    return bpe.word_encoder(P.path("word_bpe_49k.json")), Tokenizer.from_file(P.path("word_bpe_49k.json"))
 
 
 def cases():
@@ -66,6 +64,13 @@ def test_any_text(byte, word, texts):
     assert data.tobytes() == "".join(texts).encode()
 
 
+def test_added_tokens_in_a_text(word):
+    own, library = word
+    texts = ["<|endoftext|>", "a<|startoftext|>B c<|endoftext|><|endoftext|> d", "<|ENDOFTEXT|>", "e\u0301<|endoftext|>\u0301", "", "plain", "<|endof<|endoftext|>text|>"]
+    assert split(*own.encode(texts)) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 49407 in own.encode(texts[:1])[0]
+
+
 def thue_morse(n):
     """Two words that no hash by powers of an odd base modulo 2**64 tells apart."""
     bits = [bin(i).count("1") % 2 for i in range(n)]
