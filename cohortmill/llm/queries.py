@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_balltree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    return topk.exact_topk(vectors, vectors.filter(F.col("id") % 20 == 0), k=20, scale=64.0)
+    return topk.exact_topk(vectors, F.col("id") % 20 == 0, k=20, scale=64.0)
 
 
 def op2_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
