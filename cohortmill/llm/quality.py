@@ -1,14 +1,15 @@
 """Quality by hierarchical empirical Bayes: a document's own evidence, with posteriors of its path and host as priors.
 
-A linear classifier over binned text statistics is fitted on the driver to a bounded sample of labelled documents
-(SAMPLE rows, the first by a hash of their ids) and gives every document a probability. Grouped sums of these give each
-host a posterior that is shrunk towards the global mean, and each path one that is shrunk towards its host's; the
-strength of shrinking follows from the variance between groups. A document's posterior odds are its own odds times
-its path's odds over the global ones.
+A linear classifier over binned text statistics is fitted to a bounded sample of labelled documents (SAMPLE ids, the
+first by a hash of their ids) and gives every document a probability. Grouped sums of these give each host a posterior
+that is shrunk towards the global mean, and each path one that is shrunk towards its host's; the strength of shrinking
+follows from the variance between groups. A document's posterior odds are its own odds times its path's odds over the
+global ones, the path's and the host's taken without the document itself, so that nothing counts twice.
 
 Null texts count as empty. A null host or path is a group of its own. Labels that repeat an id are combined by their
 maximum, null labels are left out; without labels every probability is the base rate, one half, and nothing is
-rejected. Rows are scored one by one: repeated rows, null ids and other columns do no harm. An empty table gives no rows.
+rejected. Rows are scored one by one: repeated rows, null ids and other columns do no harm; ties do not arise. A very long text
+makes a batch of its own. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from .linear import Linear, fit
 from .shared import slices, stored, text_column
 from .textscan import scan
-from .toxicity import labelled_sample
+from .toxicity import fitted
 
 SAMPLE, BINS, THRESHOLD = 8192, 16, 0.5
 #: Marks whose share of a text is a feature of its own.
@@ -96,9 +97,11 @@ def train_evidence(table: np.ndarray, good: np.ndarray, penalty: float = 2.0) ->
 
 
 def evidence_model(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Evidence:
+    def train(ids: np.ndarray, held: pa.ListArray, y: np.ndarray) -> Evidence:
+        return train_evidence(held.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1) if len(ids) else np.zeros((0, 0)), y[:, 0])
+
     rows = lambda texts: pa.array(statistics(texts).tolist(), pa.list_(pa.float64()))
-    found, y = labelled_sample(documents, labels, ["quality"], rows, "array<double>", limit)
-    return train_evidence(found.flatten().to_numpy(zero_copy_only=False).reshape(len(found), -1) if len(found) else np.zeros((0, 0)), y[:, 0])
+    return fitted(documents, labels, ["quality"], rows, "array<double>", train, limit)
 
 
 def probability(model: Evidence, text: Column) -> Column:
@@ -119,17 +122,20 @@ def _strength(mean: Column) -> Column:
 
 
 def posteriors(scored: DataFrame) -> DataFrame:
-    """host, path, n, host_posterior, path_posterior, global_mean, of (host, path, p). Sums by path come first, the rest follows from them."""
+    """host, path, n, s (sum of p), host_posterior, path_posterior, host_n, host_s, host_weight, path_weight, global_mean, of
+    (host, path, p). Sums by path come first, the rest follows from them."""
     paths = stored(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p").alias("s"), F.sum(F.col("p") * F.col("p")).alias("ss")), "path-sums")
     sums = [F.sum(c).alias(c) for c in ("n", "s", "ss")]
     hosts = paths.groupBy("host").agg(*sums)
     total = hosts.agg(*sums).first()
     mean = (total["s"] or 0.0) / (total["n"] or 1)
     host_weight = hosts.agg(_strength(F.lit(mean)).alias("k")).first()["k"] or 1.0
-    hosts = hosts.select(F.col("host").alias("h"), ((host_weight * mean + F.col("s")) / (host_weight + F.col("n"))).alias("host_posterior"))
+    hosts = hosts.select(F.col("host").alias("h"), F.col("n").alias("host_n"), F.col("s").alias("host_s"), ((host_weight * mean + F.col("s")) / (host_weight + F.col("n"))).alias("host_posterior"))
     paths = paths.join(hosts, F.col("host").eqNullSafe(F.col("h"))).drop("h")
     path_weight = paths.agg(_strength(F.col("host_posterior")).alias("k")).first()["k"] or 1.0
-    return paths.select("host", "path", "n", "host_posterior", ((path_weight * F.col("host_posterior") + F.col("s")) / (path_weight + F.col("n"))).alias("path_posterior"), F.lit(float(mean)).alias("global_mean"))
+    path = (path_weight * F.col("host_posterior") + F.col("s")) / (path_weight + F.col("n"))
+    weights = F.lit(float(host_weight)).alias("host_weight"), F.lit(float(path_weight)).alias("path_weight"), F.lit(float(mean)).alias("global_mean")
+    return paths.select("host", "path", "n", "s", "host_n", "host_s", "host_posterior", path.alias("path_posterior"), *weights)
 
 
 def combined(p: Column, path: Column, mean: Column) -> Column:
@@ -142,9 +148,12 @@ def combined(p: Column, path: Column, mean: Column) -> Column:
 
 
 def _with_posterior(scored: DataFrame) -> DataFrame:
-    groups = posteriors(scored.select("host", "path", "p")).select(F.col("host").alias("h"), F.col("path").alias("q"), "host_posterior", "path_posterior", "global_mean")
+    groups = posteriors(scored.select("host", "path", "p")).withColumnsRenamed({"host": "h", "path": "q"})
     joined = scored.join(groups, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("q"))).drop("h", "q")
-    return joined.withColumn("posterior", combined(F.col("p"), F.col("path_posterior"), F.col("global_mean")))
+    p, k, j = F.col("p"), F.col("host_weight"), F.col("path_weight")
+    host = (k * F.col("global_mean") + F.col("host_s") - p) / (k + F.col("host_n") - 1)
+    path = (j * host + F.col("s") - p) / (j + F.col("n") - 1)
+    return joined.withColumn("posterior", combined(p, path, F.col("global_mean")))
 
 
 def classified(documents: DataFrame, labels: DataFrame, host: str, path: str, threshold: float = THRESHOLD, limit: int = SAMPLE) -> DataFrame:

@@ -1,16 +1,20 @@
 """Toxicity by a classifier chain: each category's linear model sees the words and the earlier categories' probabilities.
 
 While training, the earlier probabilities are out-of-fold predictions, so that no model learns from a prediction that
-has seen its own row. The models are fitted on the driver to the words of a bounded sample of labelled documents
-(SAMPLE rows, the first by a hash of their ids); they then score every whole text.
+has seen its own row; folds go by a hash of the document id. One task fits the models to the words of a bounded sample of
+labelled documents (SAMPLE ids, the first by a hash of their ids), in the order of their ids, so that the layout of the
+table changes nothing; they then score every whole text.
 
 Null texts count as empty; a text without known words gets the categories' base rates. Labels that repeat an id are
-combined by their maximum, null labels are left out. Without labels, or with one class only, the rate is constant and
-nothing is rejected. Rows are scored one by one: repeated rows, null ids and other columns do no harm.
+combined by their maximum, null labels are left out; of several texts of one id the sample takes the one of least hash. All
+words whose rate of a category is TELLING standard deviations off are features, so no ties between words arise. Without
+labels, or with one class only, the rate is constant and nothing is rejected. Rows are scored one by one: repeated rows, null
+ids and other columns do no harm; a very long text makes a batch of its own. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -21,10 +25,10 @@ from pyspark.sql import functions as F
 
 from .linear import Linear, fit
 from .pretok import mixed
-from .shared import slices, text_column
+from .shared import slices, text_column, unused
 from .textscan import scan
 
-SAMPLE, FEATURES, MIN_DOCS, FOLDS, THRESHOLD = 8192, 1024, 5, 5, 0.3
+SAMPLE, TELLING, MIN_DOCS, FOLDS, THRESHOLD = 8192, 3.0, 2, 5, 0.15
 
 
 @dataclass(frozen=True)
@@ -82,9 +86,9 @@ def extended(row: np.ndarray, col: np.ndarray, earlier: np.ndarray, width: int)
     return np.r_[row, more_rows], np.r_[col, more_cols], np.r_[np.ones(len(row)), earlier.ravel()]
 
 
-def train_chain(held: pa.ListArray, labels: np.ndarray, categories: tuple[str, ...], features: int = FEATURES, min_docs: int = MIN_DOCS, folds: int = FOLDS, penalty: float = 0.1) -> Chain:
+def train_chain(ids: np.ndarray, held: pa.ListArray, labels: np.ndarray, categories: tuple[str, ...], telling: float = TELLING, min_docs: int = MIN_DOCS, folds: int = FOLDS, penalty: float = 0.1) -> Chain:
     """held: each text's distinct words; labels: (texts, categories) of 0 and 1. Words are chosen by how far their rate of any category is from the rest's."""
-    n = len(held)
+    n = len(labels)
     if not n:
         return Chain(categories, np.zeros(0, np.uint64), tuple(Linear(np.zeros(1 + k), -20.0) for k in range(len(categories))))
     word, doc = flat(held)
@@ -94,10 +98,9 @@ def train_chain(held: pa.ListArray, labels: np.ndarray, categories: tuple[str, .
         rate = labels[:, k].mean()
         hits = np.bincount(at, labels[doc, k], len(seen))
         away = np.maximum(away, np.abs(hits - df * rate) / np.sqrt(df * rate * (1 - rate) + 1e-9))
-    away[df < min_docs] = -1
-    vocabulary = np.sort(seen[np.argsort(-away, kind="stable")[:features]][: int((away >= 0).sum())])
+    vocabulary = seen[(away >= telling) & (df >= min_docs)]
     row, col = known(word, doc, vocabulary)
-    fold = np.arange(n) * 2654435761 % 2**32 * folds // 2**32
+    fold = (mixed(ids.astype(np.int64).view(np.uint64)) % np.uint64(folds)).astype(np.int64)
     out_of_fold, models = np.zeros((n, len(categories))), []
     for k in range(len(categories)):
         r, c, v = extended(row, col, out_of_fold[:, :k], len(vocabulary))
@@ -111,24 +114,36 @@ def train_chain(held: pa.ListArray, labels: np.ndarray, categories: tuple[str, .
     return Chain(categories, vocabulary, tuple(models))
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame, columns: list[str], features: Callable[[pa.Array], pa.Array], kind: str, limit: int = SAMPLE) -> tuple[pa.Array, np.ndarray]:
-    """Features and labels of at most `limit` labelled documents; the texts stay with the executors."""
+def fitted(documents: DataFrame, labels: DataFrame, columns: list[str], features: Callable[[pa.Array], pa.Array], kind: str, train: Callable[[np.ndarray, pa.ListArray, np.ndarray], object], limit: int = SAMPLE) -> object:
+    """What train(ids, features, labels) makes of at most `limit` labelled documents. Texts become features where they are;
+    one task gets those of the sample, and only its model goes to the driver."""
     rows = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*[F.max(F.col(c)).cast("int").alias(c) for c in columns]).dropna()
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), features(batch.column("text"))], [*columns, "features"])
-
-    held = documents.select("doc_id", text_column().alias("text")).join(F.broadcast(rows), "doc_id").select("text", *columns)
-    found = held.mapInArrow(run, ", ".join([*(f"{c} int" for c in columns), f"features {kind}"])).limit(limit).toArrow()
-    return found.column("features").combine_chunks(), np.array([found.column(c).to_numpy() for c in columns]).T.reshape(found.num_rows, len(columns))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(batch.column(c) for c in columns), features(batch.column("text"))], ["doc_id", *columns, "features"])
+
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held).sort_by("doc_id").combine_chunks()
+        y = np.array([table.column(c).to_numpy() for c in columns]).T
+        model = train(table.column("doc_id").to_numpy(), table.column("features").combine_chunks(), y)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
+    held = texts.join(F.broadcast(rows), "doc_id").groupBy("doc_id", *columns).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    found = held.mapInArrow(featured, ", ".join(["doc_id long", *(f"{c} int" for c in columns), f"features {kind}"]))
+    model = found.repartition(1).mapInArrow(trained, "model binary").first()
+    if model is None:
+        return train(np.zeros(0, np.int64), None, np.zeros((0, len(columns)), int))
+    return pickle.loads(model["model"])
 
 
 def with_severity(held: pa.ListArray, toxic: np.ndarray, terms: int = 3) -> np.ndarray:
     """(toxic, severe): severe are toxic texts with at least `terms` different words that hardly occur in others."""
-    if not len(held):
-        return np.zeros((0, 2), int)
     word, doc = flat(held)
     seen, at, df = np.unique(word, return_inverse=True, return_counts=True)
     hits = np.bincount(at, toxic[doc], len(seen))
@@ -139,8 +154,11 @@ def with_severity(held: pa.ListArray, toxic: np.ndarray, terms: int = 3) -> np.n
 
 def toxicity_chain(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Chain:
     """The labels hold one category; the second, severe, is derived from it and the words."""
-    held, y = labelled_sample(documents, labels, ["toxic"], distinct_words, "array<long>", limit)
-    return train_chain(held, with_severity(held, y[:, 0]), ("toxic", "severe"))
+
+    def train(ids: np.ndarray, held: pa.ListArray, y: np.ndarray) -> Chain:
+        return train_chain(ids, held, with_severity(held, y[:, 0]) if len(ids) else np.zeros((0, 2), int), ("toxic", "severe"))
+
+    return fitted(documents, labels, ["toxic"], distinct_words, "array<long>", train, limit)
 
 
 def probability(chain: Chain, text: Column) -> Column:
@@ -171,4 +189,5 @@ def classified(documents: DataFrame, labels: DataFrame, threshold: float = THRES
 def accepted(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, limit: int = SAMPLE) -> DataFrame:
     """The documents that no category rejects, as they are."""
     chain = toxicity_chain(documents, labels, limit)
-    return documents.withColumn("_p", probability(chain, text_column())).filter(~rejected(chain, "_p", threshold)).drop("_p")
+    p = unused(documents, "p")
+    return documents.withColumn(p, probability(chain, text_column())).filter(~rejected(chain, p, threshold)).drop(p)
