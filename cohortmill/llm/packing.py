@@ -1,9 +1,10 @@
 """Pattern packing by non-negative least squares.
 
 Documents become pieces of at most `room` tokens. Only the histogram of piece lengths, of at most `room` rows, reaches
-the driver: patterns of up to three lengths that fill a sequence exactly get repeat counts by non-negative least
+the driver: all patterns of up to three lengths that fill a sequence exactly get repeat counts by non-negative least
 squares, the counts are rounded as far as pieces last, and the rest is packed best fit decreasing, length by length.
-Pieces then find their places by their rank among those of their length.
+Pieces then find their places by their rank among those of their length, so ties are settled by the order in which tasks
+met them. A very long text is held whole by one task while it is encoded.
 
 Null texts count as empty; an empty text still has its end mark, so every row gives at least one piece. Repeated rows
 and null ids are packed like others; other columns are ignored. An empty table gives no rows.
@@ -12,21 +13,20 @@ and null ids are packed like others; other columns are ignored. An empty table g
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import word_encoder
 from .shared import slices, stored, text_column
+from .tokens import Groups, best_fit_decreasing, histogram, placed
 
-ROOM, END, PATTERNS = 2048, 0, 50_000
+ROOM, END = 2048, 0
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
 
@@ -50,22 +50,20 @@ def pieces(documents: DataFrame, path: str, room: int = ROOM) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text")).mapInArrow(run, PIECES)
 
 
-def exact_patterns(lengths: np.ndarray, counts: np.ndarray, room: int, limit: int) -> np.ndarray:
-    """Up to `limit` triples of lengths that add up to room, 0 for none; those whose rarest length is most frequent come first."""
-    have = np.zeros(room + 1, np.int64)
-    have[lengths] = counts
-    a, b = np.meshgrid(np.arange(room + 1), np.arange(room + 1), indexing="ij")
-    c = room - a - b
-    fits = (a >= b) & (b >= c) & (c >= 0)
+def exact_patterns(counts: np.ndarray, room: int) -> np.ndarray:
+    """All sets of up to three lengths that occur and add up to room, 0 for none. At most room squared by 12."""
+    have = np.flatnonzero(counts[1:]) + 1
+    some = np.zeros(room + 1, bool)
+    some[have] = some[0] = True
+    lengths = np.r_[0, have].astype(np.int32)
+    b, c = np.meshgrid(lengths, lengths, indexing="ij")
+    a = room - b - c
+    fits = (a >= b) & (b >= c)
     a, b, c = a[fits], b[fits], c[fits]
-    have[0] = np.iinfo(np.int64).max
-    least = np.minimum(np.minimum(have[a], have[b]), have[c])
-    order = np.lexsort((a, (b > 0).astype(int) + (c > 0), -least))[:limit]
-    order = order[least[order] > 0]
-    return np.stack([a[order], b[order], c[order]], axis=1)
+    return np.stack([a, b, c], axis=1)[some[a]]
 
 
-def repeat_counts(patterns: np.ndarray, counts: np.ndarray, rounds: int = 300) -> np.ndarray:
+def repeat_counts(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> np.ndarray:
     """Non-negative least squares by accelerated projected gradients; counts: pieces by length."""
     n, room = len(patterns), len(counts)
     used = patterns > 0
@@ -88,49 +86,11 @@ def repeat_counts(patterns: np.ndarray, counts: np.ndarray, rounds: int = 300) -
     return x
 
 
-def best_fit(counts: np.ndarray, room: int) -> list[tuple[tuple[int, ...], int]]:
-    """Best fit decreasing over counts by length; alike sequences stay one group, so the work follows the lengths, not the pieces."""
-    groups: dict[int, list[list]] = defaultdict(list)  # by space left: [lengths, how many]
-    spaces: list[int] = []
-    done: list[tuple[tuple[int, ...], int]] = []
-
-    def put(space: int, held: tuple[int, ...], n: int) -> None:
-        if not n:
-            return
-        if not space:
-            done.append((held, n))
-            return
-        if not groups[space]:
-            insort(spaces, space)
-        groups[space].append([held, n])
-
-    for length in range(room, 0, -1):
-        left = int(counts[length])
-        while left:
-            at = bisect_left(spaces, length)
-            if at == len(spaces):
-                each = room // length
-                put(room - each * length, (length,) * each, left // each)
-                put(room - left % each * length, (length,) * (left % each), int(left % each > 0))
-                break
-            space = spaces[at]
-            held, n = groups[space].pop()
-            each = min(space // length, left)
-            n_full = min(n, left // each)
-            left -= n_full * each
-            if not groups[space]:
-                spaces.pop(at)
-            put(space - each * length, held + (length,) * each, n_full)
-            put(space, held, n - n_full)
-    return done + [(held, n) for own in groups.values() for held, n in own]
-
-
-def plan(counts: np.ndarray, room: int = ROOM, limit: int = PATTERNS) -> list[tuple[tuple[int, ...], int]]:
+def plan(counts: np.ndarray, room: int = ROOM) -> Groups:
     """(lengths of a sequence, how many such sequences); counts: pieces by length, 0 to room."""
     left = counts.astype(np.int64).copy()
     out = []
-    lengths = np.flatnonzero(left)
-    patterns = exact_patterns(lengths, left[lengths], room, limit)
+    patterns = exact_patterns(left, room)
     if len(patterns):
         fitted = repeat_counts(patterns, left.astype(float))
         for k in np.argsort(-fitted, kind="stable"):
@@ -142,42 +102,10 @@ def plan(counts: np.ndarray, room: int = ROOM, limit: int = PATTERNS) -> list[tu
                 out.append((tuple(sorted(need.elements(), reverse=True)), n))
                 for x, m in need.items():
                     left[x] -= n * m
-    return out + best_fit(left, room)
-
-
-def places(made: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]:
-    """For each length and range of ranks: the first sequence and the offset. Sorted by length and first rank."""
-    rank, rows, first = Counter(), [], 0
-    for held, n in made:
-        offset = 0
-        for length in held:
-            rows.append((length, rank[length], first, offset))
-            rank[length] += n
-            offset += length
-        first += n
-    table = np.array(sorted(rows), np.int64).reshape(-1, 4)
-    return {"key": table[:, 0] << 48 | table[:, 1], "rank": table[:, 1], "first": table[:, 2], "offset": table[:, 3]}
+    return out + best_fit_decreasing(left, room)
 
 
-def packed(documents: DataFrame, path: str, room: int = ROOM, limit: int = PATTERNS) -> DataFrame:
+def packed(documents: DataFrame, path: str, room: int = ROOM) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
-    spark = documents.sparkSession
     cut = stored(pieces(documents, path, room), "pieces")
-    sizes = cut.groupBy("part", "length").agg(F.count("*").alias("n"))
-    counts = np.zeros(room + 1, np.int64)
-    for row in cut.groupBy("length").count().collect():  # at most `room` rows
-        counts[row["length"]] = row["count"]
-    # rows: at most 3 for each pattern, and what best fit makes of `room` lengths
-    table = spark.sparkContext.broadcast(places(plan(counts, room, limit)))
-    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    ranked = cut.join(bases, ["part", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("nth")).alias("rank"))
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t = table.value
-        for b in batches:
-            at = np.searchsorted(t["key"], b["length"].to_numpy() << 48 | b["rank"].to_numpy(), side="right") - 1
-            b["sequence_id"], b["offset"] = t["first"][at] + b["rank"].to_numpy() - t["rank"][at], t["offset"][at]
-            yield b.drop(columns="rank")
-
-    return ranked.mapInPandas(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return placed(cut, plan(histogram(cut, room), room))

@@ -50,21 +50,27 @@ def labels(spark):
 def test_topk(spark):
     r = np.random.default_rng(2)
     rows = [(i, r.normal(size=8).round(2).tolist()) for i in range(300)] + [(300 + i, [0.5] * 8) for i in range(120)] + [(500, None), (501, [None] * 8), (502, [float("nan")] * 8), (503, [1.0] * 3), (504, [2.0] * 3), (505, [float("inf")] * 8), (None, [1.0] * 8)]
+    # repeated rows, and one id with two vectors
+    rows += [rows[20], rows[20], (40, [9.0] * 8), (41, [9.0] * 8), (41, [9.0] * 8), rows[300]]
     df = spark.createDataFrame(rows, "id long, vector array<double>")
     got = defaultdict(list)
-    for x in topk.exact_topk(df, df.filter("id % 20 = 0 or id = 503"), shard_rows=64, leaf_rows=8, block_rows=16).collect():
-        got[x["query_id"]].append((x["rank"], x["vec_id"], x["score"]))
-    good = {i: np.floor(64 * np.array(v, float)) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all()}
-    for q in [i for i in good if i % 20 == 0 or i == 503]:
-        best = sorted((-int(good[q] @ v), i) for i, v in good.items() if i != q and len(v) == len(good[q]))[:20]
-        assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
-    assert topk.exact_topk(df.filter("false"), df.filter("false")).count() == 0
+    for x in topk.exact_topk(df, F.expr("id % 20 = 0 or id = 503"), shard_rows=64, leaf_rows=8, block_rows=16).collect():
+        got[x["query_key"]].append((x["query_id"], x["rank"], x["vec_id"], x["score"]))
+    good = [(i, np.floor(64 * np.array(v, float))) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all()]
+    want = []
+    for k, (i, q) in enumerate(good):
+        if i % 20 == 0 or i == 503:
+            best = sorted((-int(q @ v), j) for n, (j, v) in enumerate(good) if n != k and len(v) == len(q))[:20]
+            want.append([(i, n + 1, j, -s) for n, (s, j) in enumerate(best)])
+    assert sorted(map(sorted, got.values())) == sorted(want)
+    assert topk.exact_topk(df.filter("false"), F.lit(True)).count() == 0
+    assert topk.exact_topk(df, F.lit(None).cast("boolean")).count() == 0
 
 
 def test_topk_of_huge_components(spark):
     rows = [(i, [float(i) * 1e15, 3.0]) for i in range(6)]
     df = spark.createDataFrame(rows, "id long, vector array<double>")
-    got = {(x["query_id"], x["rank"]): x["score"] for x in topk.exact_topk(df, df.filter("id = 1"), k=2).collect()}
+    got = {(x["query_id"], x["rank"]): x["score"] for x in topk.exact_topk(df, F.col("id") == 1, k=2).collect()}
     assert got == {(1, 1): 2**63 - 1, (1, 2): 2**63 - 1}
 
 
@@ -88,17 +94,18 @@ def test_token_packing(spark, docs, odd, none):
 
 def test_segment_tree_is_best_fit():
     r = np.random.default_rng(5)
-    lengths = r.integers(1, 60, 400).tolist()
-    got = tokens.best_fit_decreasing(lengths, 100)
-    assert sorted(i for b in got for i in b) == list(range(400))
-    spaces = []
-    for i in sorted(range(400), key=lambda i: -lengths[i]):
-        fit = [(s, k) for k, s in enumerate(spaces) if s >= lengths[i]]
-        if fit:
-            spaces[min(fit)[1]] -= lengths[i]
-        else:
-            spaces.append(100 - lengths[i])
-    assert len(got) == len(spaces) and all(sum(lengths[i] for i in b) <= 100 for b in got)
+    for most in (60, 100, 15):
+        lengths = sorted(r.integers(1, most, 400).tolist(), reverse=True)
+        got = tokens.best_fit_decreasing(np.bincount(lengths, minlength=101), 100)
+        assert sorted(x for held, n in got for x in held * n) == sorted(lengths)
+        spaces = []
+        for x in lengths:
+            fit = [(s, k) for k, s in enumerate(spaces) if s >= x]
+            if fit:
+                spaces[min(fit)[1]] -= x
+            else:
+                spaces.append(100 - x)
+        assert sorted(100 - sum(held) for held, n in got for _ in range(n)) == sorted(spaces)
 
 
 def test_words_end_at_punctuation_of_any_script():
@@ -243,6 +250,17 @@ def test_rollup(spark, docs, odd, tmp_path):
     assert store.totals().agg(F.sum("n_docs"), F.sum("n_tokens")).first() == (len(every), sum(n((t or "").upper()) for _, t in every))
     store.commit("b3", rollup.deletes(counted.withColumn("n_tokens", F.col("n_new"))))
     assert store.totals().count() == 0 and store.batches() == ["b1", "b2", "b3"]
+    with pytest.raises(ValueError, match="other changes"):
+        store.commit("b1", rollup.inserts(counted.limit(1)))
+    assert store.commit("_b4/x", rollup.inserts(counted)) and store.commit("b5", rollup.inserts(counted.limit(0))) and store.batches()[3:] == ["_b4/x", "b5"]
+    # a writer that saw the log before another one committed starts again from the newer totals
+    before, log = store.totals().agg(F.sum("n_docs")).first()[0], store.log()
+    late, calls = rollup.Rollup(spark, store.root), []
+    seen = late.log
+    late.log = lambda: calls.append(1) or (log if len(calls) == 1 else seen())
+    store.commit("b6", rollup.inserts(counted))
+    assert late.commit("b7", rollup.inserts(counted)) and len(calls) == 2
+    assert store.totals().agg(F.sum("n_docs")).first()[0] == before + 2 * len(every)
 
 
 def test_quality(docs, odd, none, labels):
