@@ -26,6 +26,16 @@ def inbox(seen: DataFrame, key: list[str], week: str, as_of: Column) -> DataFram
     return ever.withColumns({"weeks_open": F.floor(F.datediff(as_of, F.col("first_seen")) / 7), "is_open": F.col("last_seen") == as_of})
 
 
+def exits(prior: DataFrame, now: DataFrame, key: str, rules_changed: bool) -> DataFrame:
+    """Items of the prior inbox (key, prior_n, first_seen, resolved: a curator's note or null) that are open no more, with the cause.
+    now: every key of this week with its bucket, null where it is still unrecognised."""
+    both = prior.join(now.withColumn("is_there", F.lit(True)), key, "left")
+    is_open = F.coalesce(F.col("is_there") & F.col("bucket").isNull() & F.col("resolved").isNull(), F.lit(False))
+    mapped = F.lit("mapped_by_rules_change") if rules_changed else F.when(F.col("bucket").isNotNull(), "mapped_unknown_cause").otherwise("reason_changed")
+    cause = F.when(F.col("resolved").isNotNull(), "resolved_by_curator").when(F.col("is_there"), mapped).otherwise("no_longer_in_registry")
+    return both.filter(~is_open).select(key, "prior_n", "first_seen", cause.alias("cause"), F.col("bucket").alias("bucket_after"))
+
+
 def metric_delta(before: DataFrame, now: DataFrame) -> DataFrame:
     """(metric, now, prior, delta) of two (metric, value) tables; what one lacks is null, not zero."""
     both = now.select("metric", F.col("value").alias("now")).join(before.select("metric", F.col("value").alias("prior")), "metric", "full")

@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import is_percentage, is_sex_gender, measure_type, sex_bucket
+from ..sources.folders import kept
 
 BUCKETS = ("female", "male", "unknown", "gender_diverse", "ambiguous")
 STATES = ("reported", "explicit_unknown_only", "uninformative", "not_reported", "parse_error")
 
 
 def classify_distinct(rows: DataFrame, column: str, to: str, rule) -> DataFrame:
-    """Applies a rule once for each distinct value and joins the outcome back."""
-    known = rows.select(column).distinct().withColumn(to, rule(F.col(column)))
+    """Applies a rule once for each distinct value, writes the outcomes and joins them back: Spark broadcasts them if they are few."""
+    known = kept(rows.select(column).distinct().withColumn(to, rule(F.col(column))), "classified")
     return rows.join(known, column, "left")
 
 

@@ -6,18 +6,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import sponsor_key, subsidiary
+from ..sources.folders import kept
 
 RULE_TYPES = {"exact_literal": "name", "exact_normalized": "norm", "subsidiary_of": "parent_norm"}
 
 
 def rule_problems(rules: DataFrame) -> DataFrame:
-    """Rows that break the rule table's contract, each with what is wrong."""
+    """Rows that break the rule table's contract, each with what is wrong: closed vocabularies, notes, repeated keys, and chains (a
+    rule that leads to a company which another rule of its kind leads on to a third)."""
     checks = {
         "unknown_rule_type": ~F.col("rule_type").isin(*RULE_TYPES), "unknown_status": ~F.col("status").isin("attribute", "exclude"),
         "unknown_shared": ~F.col("shared").isin("yes", "no"), "empty_note": F.trim(F.coalesce("note", F.lit(""))) == "",
+        "repeated_key": F.col("n_same") > 1, "leads_to_another_rule": F.col("onward").isNotNull(),
     }
-    found = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(True)), F.lit(k)) for k, c in checks.items()]))
-    return rules.withColumn("problem", F.explode(found))
+    same = rules.groupBy("canonical", "rule_type", "pattern").agg(F.count("*").alias("n_same"))
+    onward = rules.groupBy(F.col("rule_type").alias("t"), F.col("pattern").alias("key")).agg(F.min("canonical").alias("onward"))
+    key = sponsor_key(F.col("canonical"))
+    seen = rules.join(same, ["canonical", "rule_type", "pattern"]).withColumn("key", key)
+    seen = seen.join(onward, (F.col("t") == F.col("rule_type")) & (onward["key"] == seen["key"]) & (F.col("onward") != F.col("canonical")), "left")
+    found = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(k not in ("repeated_key", "leads_to_another_rule"))), F.lit(k)) for k, c in checks.items()]))
+    return seen.select(*[rules[c] for c in rules.columns], F.explode(found).alias("problem"))
 
 
 def literals(sponsors: DataFrame) -> DataFrame:
@@ -35,23 +43,35 @@ def rule_hits(names: DataFrame, rules: DataFrame) -> DataFrame:
     return out.select("name", "entity", "canonical", "rule_type", "shared", "status")
 
 
+def claims(hits: DataFrame) -> DataFrame:
+    """One attributing rule per (name, canonical): the first kind that reached it."""
+    rank = F.create_map(*[F.lit(x) for i, k in enumerate(RULE_TYPES) for x in (k, i)])[F.col("rule_type")]
+    best = Window.partitionBy("name", "canonical").orderBy(rank, "shared")
+    first = hits.filter("status = 'attribute'").withColumn("nth", F.row_number().over(best)).filter("nth = 1")
+    return first.select("name", "entity", "canonical", F.col("rule_type").alias("match_rule"), "shared")
+
+
 def conflicts(hits: DataFrame) -> DataFrame:
-    """Literals that unshared rules give to several companies, or that are both attributed and excluded."""
-    return hits.groupBy("name").agg(F.count_distinct(F.when(F.col("status") == "attribute", F.col("canonical"))).alias("n_companies"), F.bool_or(F.col("shared") == "no").alias("unshared"), F.count_distinct("status").alias("n_states")).filter("(n_companies > 1 and unshared) or n_states > 1").select("name", "n_companies", "n_states")
+    """(name, n_companies, is_excluded): literals that go to several companies by rules that are not all shared, or that are both attributed and excluded."""
+    attributed = claims(hits).groupBy("name").agg(F.count("*").alias("n_companies"), F.every(F.col("shared") == "yes").alias("all_shared"))
+    excluded = hits.filter("status = 'exclude'").select("name").distinct().withColumn("is_excluded", F.lit(True))
+    both = attributed.join(excluded, "name", "left").withColumn("is_excluded", F.coalesce("is_excluded", F.lit(False)))
+    return both.filter("(n_companies > 1 and not all_shared) or is_excluded").select("name", "n_companies", "is_excluded")
 
 
 def matched(names: DataFrame, rules: DataFrame) -> DataFrame:
-    """One row per (name, canonical): the first kind of rule that reached it."""
-    rank = F.create_map(*[F.lit(x) for i, k in enumerate(RULE_TYPES) for x in (k, i)])[F.col("rule_type")]
-    best = Window.partitionBy("name", "canonical").orderBy(rank)
-    hits = rule_hits(names, rules.filter("status = 'attribute'"))
-    return hits.withColumn("nth", F.row_number().over(best)).filter("nth = 1").select("name", "entity", "canonical", F.col("rule_type").alias("match_rule"), "shared")
+    """One row per (name, canonical): the first kind of rule that reached it. Conflicting rules are refused."""
+    hits = kept(rule_hits(names, rules), "rule-hits")
+    if bad := conflicts(hits).limit(3).collect():
+        raise ValueError(f"conflicting rules for {[r['name'] for r in bad]}: mark every claiming rule shared, or remove one")
+    return claims(hits)
 
 
 def bridge(sponsors: DataFrame, rules: DataFrame) -> DataFrame:
-    """One row per trial, company, entity and role; of several literals the least stays."""
+    """One row per trial, company, entity and role; of several literals the least stays. Written once."""
     found = sponsors.join(matched(literals(sponsors), rules), "name")
-    return found.groupBy("nct_id", "canonical", "entity", "role").agg(F.min(F.struct("name", "agency_class", "match_rule", "shared")).alias("x")).select("nct_id", "canonical", "entity", "role", F.col("x.name").alias("literal_name"), "x.agency_class", "x.match_rule", "x.shared")
+    found = found.groupBy("nct_id", "canonical", "entity", "role").agg(F.min(F.struct("name", "agency_class", "match_rule", "shared")).alias("x"))
+    return kept(found.select("nct_id", "canonical", "entity", "role", F.col("x.name").alias("literal_name"), "x.agency_class", "x.match_rule", "x.shared"), "bridge")
 
 
 def company_trials(index: DataFrame, who: Column) -> DataFrame:
@@ -89,9 +109,62 @@ def uncovered_rules(names: DataFrame, rules: DataFrame) -> DataFrame:
     return rules.join(forms, ["rule_type", "pattern"], "left_anti")
 
 
-def concordance(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
-    """Pairs of two indexes on the trials both hold: agree, left_only, right_only."""
-    a = left.select("nct_id", *key).distinct().join(right.select("nct_id").distinct(), "nct_id", "left_semi")
-    b = right.select("nct_id", *key).distinct().join(left.select("nct_id").distinct(), "nct_id", "left_semi")
-    both = a.withColumn("in_left", F.lit(True)).join(b.withColumn("in_right", F.lit(True)), ["nct_id", *key], "full")
-    return both.select("nct_id", *key, F.when(F.col("in_left").isNull(), "right_only").when(F.col("in_right").isNull(), "left_only").otherwise("agree").alias("state"))
+def pairs(index: DataFrame) -> DataFrame:
+    """(nct_id, canonical, role) with the least literal that stands behind it."""
+    return index.groupBy("nct_id", "canonical", "role").agg(F.min("literal_name").alias("literal"))
+
+
+def concordance(left: DataFrame, right: DataFrame, left_trials: DataFrame, right_trials: DataFrame) -> DataFrame:
+    """Pairs of two indexes on the trials that both sides hold (nct_id): agree, left_only or right_only, the latter two with a cause:
+    the other side lacks the literal in that trial, has it in another role, or gives it to another company."""
+    shared = left_trials.select("nct_id").distinct().join(right_trials.select("nct_id").distinct(), "nct_id", "left_semi")
+    a, b = (x.join(shared, "nct_id", "left_semi") for x in (left, right))
+    both = pairs(a).withColumnRenamed("literal", "in_left").join(pairs(b).withColumnRenamed("literal", "in_right"), ["nct_id", "canonical", "role"], "full")
+    # literal_name and role of either side by trial, to see what the other side made of a literal
+    seen = lambda x, side: x.groupBy("nct_id", F.col("literal_name").alias("literal")).agg(F.collect_set("role").alias(f"roles_{side}"))
+    both = both.withColumn("literal", F.coalesce("in_left", "in_right")).join(seen(a, "left"), ["nct_id", "literal"], "left").join(seen(b, "right"), ["nct_id", "literal"], "left")
+    other = F.when(F.col("in_left").isNull(), F.col("roles_left")).otherwise(F.col("roles_right"))
+    state = F.when(F.col("in_left").isNull(), "right_only").when(F.col("in_right").isNull(), "left_only").otherwise("agree")
+    cause = F.when(other.isNull(), "literal_absent").when(F.array_contains(other, F.col("role")), "canonical_differs").otherwise("role_differs")
+    return both.select("nct_id", "canonical", "role", state.alias("state"), F.when(state != "agree", cause).alias("cause"))
+
+
+def company_lists(found: DataFrame) -> DataFrame:
+    """(name, canonicals) of matched literals: their companies in order, joined."""
+    return found.groupBy("name").agg(F.array_join(F.array_sort(F.collect_set("canonical")), "|").alias("canonicals"))
+
+
+def match_changes(before: DataFrame, now: DataFrame, names_before: DataFrame, names_now: DataFrame, rules_changed: bool | None) -> DataFrame:
+    """Literals whose companies differ from the week before, with the cause: before and now as from matched(), and all literals of both weeks."""
+    a, b = company_lists(before).withColumnRenamed("canonicals", "before"), company_lists(now).withColumnRenamed("canonicals", "after")
+    both = a.join(b, "name", "full").filter(~F.col("before").eqNullSafe(F.col("after")))
+    change = F.when(F.col("after").isNull(), "dropped_match").when(F.col("before").isNull(), "new_match").otherwise("canonicals_changed")
+    for side, names in (("was", names_before), ("is", names_now)):
+        both = both.join(names.select("name").distinct().withColumn(side, F.lit(True)), "name", "left")
+    moved, rules = ~F.col("was").eqNullSafe(F.col("is")), F.lit(rules_changed)
+    cause = F.when(rules.isNull(), "unknown_no_prior").when(moved & rules, "both").when(moved, "registry_edit").when(rules, "rules_change").otherwise("unknown")
+    return both.select(F.col("name").alias("literal_name"), change.alias("change"), cause.alias("cause"), "before", "after")
+
+
+def pair_changes(before: DataFrame, now: DataFrame, sponsors_before: DataFrame, sponsors_now: DataFrame, rules_changed: bool) -> DataFrame:
+    """(nct_id, canonical, role) added to or removed from the bridge, each with its literal and cause: a registry edit where the other
+    week's trial lacks the literal in that role, else a change of rules if there was one."""
+
+    def one_way(here: DataFrame, there: DataFrame, sponsors_there: DataFrame, change: str) -> DataFrame:
+        only = pairs(here).join(pairs(there).select("nct_id", "canonical", "role"), ["nct_id", "canonical", "role"], "left_anti")
+        had = sponsors_there.select("nct_id", "role", F.col("name").alias("literal")).distinct().withColumn("had", F.lit(True))
+        cause = F.when(F.col("had").isNull(), "registry_edit").when(F.lit(rules_changed), "rules_change").otherwise("unknown")
+        return only.join(had, ["nct_id", "role", "literal"], "left").select("nct_id", "canonical", "role", F.lit(change).alias("change"), "literal", cause.alias("cause"))
+
+    return one_way(now, before, sponsors_before, "added").unionByName(one_way(before, now, sponsors_now, "removed"))
+
+
+def curation_batch(sponsors: DataFrame, unreviewed: DataFrame, industry: Column, top: int = 100) -> DataFrame:
+    """The unreviewed literals that lead most trials of the class, ranked, each with the rule line that a curator would complete. A report of the first `top`."""
+    leads = sponsors.filter((F.col("role") == "lead") & industry).join(unreviewed.select("name"), "name", "left_semi").groupBy("name").agg(F.count_distinct("nct_id").alias("n_lead_trials"))
+    best = leads.orderBy(F.desc("n_lead_trials"), "name").limit(top)
+    every = sponsors.join(F.broadcast(best.select("name")), "name").groupBy("name").agg(F.count_distinct("nct_id").alias("n_any_trials"), F.array_join(F.array_sort(F.collect_set("role")), ",").alias("roles"))
+    entity, parent = subsidiary(F.col("name"))
+    line = F.concat(F.lit('<canonical>,exact_normalized,"'), F.col("normalized_pattern"), F.lit('",attribute,no,"<initials> <date>: <why>"'))
+    ranked = best.join(every, "name").withColumns({"rank": F.row_number().over(Window.orderBy(F.desc("n_lead_trials"), "name")), "normalized_pattern": sponsor_key(F.col("name")), "parsed_parent": F.coalesce(parent, F.lit(""))})
+    return ranked.select("rank", "name", "n_lead_trials", "n_any_trials", "roles", "normalized_pattern", "parsed_parent", line.alias("draft_rule_line"))

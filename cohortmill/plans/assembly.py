@@ -11,7 +11,7 @@ from ..functions.labels import label_key
 from ..operators import blocks as B
 from ..operators import selection as S
 from ..sources import folders as R
-from .bindings import CELLS, STUDIES, cells, studies, table
+from .bindings import CELLS, STUDIES, cells, registered, studies, table
 from .dimensions import ETHNIC_LABELS, _sql
 from .registry import query
 from .trials import PARSED, finished
@@ -53,7 +53,7 @@ def flat_metadata(spark, sf_dir):
 @query("PRJ-30", f"WITH {STUDIES}, h AS (SELECT {NCT.format('l_orderkey')} AS nct_id, count(DISTINCT l_suppkey) AS n_sites, max(l_shipdate) AS last_ship FROM lineitem GROUP BY 1) SELECT nct_id, class AS sponsor_class, coalesce(n_sites, 0) AS n_sites, CAST(last_ship AS DATE) AS completed FROM studies LEFT JOIN h USING (nct_id)")
 def study_facts(spark, sf_dir):
     h = table(spark, sf_dir, "lineitem").groupBy(nct("l_orderkey").alias("nct_id")).agg(F.count_distinct("l_suppkey").alias("n_sites"), F.max(F.to_date("l_shipdate")).alias("completed"))
-    return studies(spark, sf_dir).join(h, "nct_id", "left").select("nct_id", F.col("class").alias("sponsor_class"), F.coalesce("n_sites", F.lit(0)).alias("n_sites"), "completed")
+    return registered(spark, sf_dir).join(h, "nct_id", "left").select("nct_id", F.col("class").alias("sponsor_class"), F.coalesce("n_sites", F.lit(0)).alias("n_sites"), "completed")
 
 
 @query("PRJ-35", "SELECT c_custkey, CAST(CASE WHEN c_acctbal > 0 THEN floor(c_acctbal / 100) ELSE -1 END AS INTEGER) AS white, CAST(CASE WHEN c_nationkey % 3 = 0 THEN -1 WHEN c_nationkey % 3 = 1 THEN c_nationkey ELSE c_nationkey + 7 END AS INTEGER) AS other FROM customer")
@@ -186,7 +186,7 @@ def selected_tables(spark, sf_dir):
 def assembled_records(spark, sf_dir):
     """A section that cannot be read is null with a failure beside it; an id that was not retrieved keeps a record."""
     got = table(spark, sf_dir, "lineitem").select(nct("l_orderkey").alias("nct_id"), F.lit(True).alias("here")).distinct()
-    s = studies(spark, sf_dir).join(got, "nct_id", "left")
+    s = registered(spark, sf_dir).join(got, "nct_id", "left")
     section = F.try_parse_json(F.when(F.col("status") == "P", "not json").otherwise('{"flow": true}'))
     flow = F.when(F.col("here"), F.try_variant_get(section, "$.flow", "boolean"))
     return s.select("nct_id", F.when(F.col("here").isNull(), "not_retrieved").when(section.isNull(), "section_unreadable").otherwise("complete").alias("state"), flow.alias("flow"))

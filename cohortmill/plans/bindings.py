@@ -19,20 +19,20 @@ def _id(key: str):
     return F.concat(F.lit("NCT"), F.lpad(F.col(key).cast("string"), 8, "0"))
 
 
-def studies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per trial: orders with their customer as lead sponsor, enrolment from the line items."""
-    enrolled = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").cast("bigint").alias("enrollment"))
-    return (
-        table(spark, sf_dir, "orders")
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(enrolled, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .select(
-            _id("o_orderkey").alias("nct_id"), F.col("c_name").alias("lead"), F.col("c_mktsegment").alias("class"), F.col("c_nationkey").alias("nation"), F.col("o_orderstatus").alias("status"),
-            F.col("o_orderpriority").alias("phase"), F.to_date("o_orderdate").alias("results_date"), F.year("o_orderdate").cast("bigint").alias("year"), F.col("o_totalprice").alias("price"), "enrollment",
-        )
+def registered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per trial, without its enrolment: orders with their customer as lead sponsor."""
+    return table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
+        _id("o_orderkey").alias("nct_id"), F.col("c_name").alias("lead"), F.col("c_mktsegment").alias("class"), F.col("c_nationkey").alias("nation"), F.col("o_orderstatus").alias("status"),
+        F.col("o_orderpriority").alias("phase"), F.to_date("o_orderdate").alias("results_date"), F.year("o_orderdate").cast("bigint").alias("year"), F.col("o_totalprice").alias("price"),
     )
 
 
+def studies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per trial, enrolment from the line items."""
+    enrolled = table(spark, sf_dir, "lineitem").groupBy(_id("l_orderkey").alias("nct_id")).agg(F.sum("l_quantity").cast("bigint").alias("enrollment"))
+    return registered(spark, sf_dir).join(enrolled, "nct_id", "left")
+
+
 STUDIES = """studies AS (SELECT 'NCT' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS nct_id, c_name AS lead, c_mktsegment AS class, c_nationkey AS nation, o_orderstatus AS status,
   o_orderpriority AS phase, CAST(o_orderdate AS DATE) AS results_date, CAST(year(o_orderdate) AS BIGINT) AS year, o_totalprice AS price, enrollment
   FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN (SELECT l_orderkey, CAST(sum(l_quantity) AS BIGINT) AS enrollment FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey)"""
@@ -58,7 +58,7 @@ CELLS = f"""cells AS (SELECT 'NCT' || lpad(CAST(l_orderkey AS VARCHAR), 8, '0')
 
 def sponsors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nct_id, agency_class, role, name: the customer leads, suppliers of the lines collaborate."""
-    lead = studies(spark, sf_dir).select("nct_id", F.col("class").alias("agency_class"), F.lit("lead").alias("role"), F.concat(F.lit("Holding "), F.substring("lead", -2, 2), F.lit(", Inc.")).alias("name"))
+    lead = registered(spark, sf_dir).select("nct_id", F.col("class").alias("agency_class"), F.lit("lead").alias("role"), F.concat(F.lit("Holding "), F.substring("lead", -2, 2), F.lit(", Inc.")).alias("name"))
     sites = table(spark, sf_dir, "lineitem").select(_id("l_orderkey").alias("nct_id"), "l_suppkey").distinct()
     helpers = sites.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     name = F.when(F.col("s_nationkey") < 5, F.concat(F.lit("Unit "), F.substring("s_name", -3, 3), F.lit(", a wholly owned subsidiary of Holding "), F.substring("s_name", -2, 2), F.lit(" Corp."))).otherwise(F.concat(F.lit("HOLDING "), F.substring("s_name", -2, 2), F.lit(" Co., Ltd.")))

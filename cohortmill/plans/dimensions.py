@@ -8,7 +8,7 @@ from ..functions import race as E
 from ..operators import blocks as B
 from ..operators import links as K
 from ..operators import stats as T
-from .bindings import STUDIES, studies, table
+from .bindings import STUDIES, registered, studies, table
 from .documents import KEYWORDS
 from .registry import query
 from .trials import PARSED, finished
@@ -122,7 +122,7 @@ def points_in_polygons(spark, sf_dir):
 @query("JN-4", f"WITH {STUDIES} SELECT nct_id, CASE WHEN class = 'BUILDING' AND n_regionkey = 1 THEN 'Reviewed' WHEN class = 'BUILDING' THEN 'Other' ELSE class END AS category FROM studies JOIN nation ON nation = n_nationkey")
 def placements(spark, sf_dir):
     reviewed = table(spark, sf_dir, "nation").filter("n_regionkey = 1").select(F.col("n_nationkey").alias("nation"), F.lit("Reviewed").alias("placed"))
-    s = studies(spark, sf_dir).withColumn("category", F.when(F.col("class") == "BUILDING", "Other").otherwise(F.col("class"))).join(reviewed, "nation", "left")
+    s = registered(spark, sf_dir).withColumn("category", F.when(F.col("class") == "BUILDING", "Other").otherwise(F.col("class"))).join(reviewed, "nation", "left")
     return s.select("nct_id", F.when((F.col("category") == "Other") & F.col("placed").isNotNull(), F.col("placed")).otherwise(F.col("category")).alias("category"))
 
 
@@ -214,7 +214,7 @@ def industry_cohort(spark, sf_dir):
 def assigned_company(spark, sf_dir):
     h = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).groupBy(F.concat(F.lit("NCT"), F.lpad(F.col("l_orderkey").cast("string"), 8, "0")).alias("nct_id")).agg(F.min(F.when(F.col("s_nationkey") < 12, F.col("s_name"))).alias("first_name"))
     lead = F.col("class") == "BUILDING"
-    return studies(spark, sf_dir).join(h, "nct_id", "left").select("nct_id", F.when(lead, F.col("lead")).otherwise(F.col("first_name")).alias("company"), F.when(lead, True).when(F.col("first_name").isNotNull(), False).alias("via_lead"))
+    return registered(spark, sf_dir).join(h, "nct_id", "left").select("nct_id", F.when(lead, F.col("lead")).otherwise(F.col("first_name")).alias("company"), F.when(lead, True).when(F.col("first_name").isNotNull(), False).alias("via_lead"))
 
 
 @query("DQ-6", "SELECT doc_id, problem FROM (SELECT doc_id, unnest(list_filter([CASE WHEN quality IS NULL THEN 'no_quality' END, CASE WHEN toxic = 1 AND quality = 1 THEN 'toxic_but_good' END], lambda x: x IS NOT NULL)) AS problem FROM labels)")
@@ -226,7 +226,7 @@ def link_problems(spark, sf_dir):
 @query("DQ-8", f"WITH {STUDIES} SELECT class, count(*) AS n FROM studies WHERE class NOT IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD') GROUP BY 1")
 def outside_vocabulary(spark, sf_dir):
     allowed = spark.createDataFrame([("BUILDING",), ("MACHINERY",), ("HOUSEHOLD",)], "class string")
-    return studies(spark, sf_dir).join(F.broadcast(allowed), "class", "left_anti").groupBy("class").agg(F.count("*").alias("n"))
+    return registered(spark, sf_dir).join(F.broadcast(allowed), "class", "left_anti").groupBy("class").agg(F.count("*").alias("n"))
 
 
 @query("DQ-10", "SELECT CAST(date_trunc('month', ts) AS DATE) AS month, count(DISTINCT user_id) AS n_stamps, count(DISTINCT user_id) = 1 AS agree FROM events GROUP BY 1")

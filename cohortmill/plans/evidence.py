@@ -8,7 +8,7 @@ from ..functions import evidence as V
 from ..functions.dates import prefix_date
 from ..operators import selection as S
 from ..sources import folders as R
-from .bindings import CELLS, STUDIES, cells, studies, table
+from .bindings import CELLS, STUDIES, cells, registered, studies, table
 from .companies import KEYED, bridged
 from .registry import query
 from .trials import PARSED, finished
@@ -124,7 +124,7 @@ def acquisition_dates(spark, sf_dir):
 def curated_vs_recode(spark, sf_dir):
     c = bridged(spark, sf_dir).groupBy("nct_id").agg(F.collect_set("canonical").alias("cs"))
     recoded = F.concat(F.lit("Group "), F.substring("lead", -2, 1))
-    return studies(spark, sf_dir).join(c, "nct_id", "left").select("nct_id", recoded.alias("recoded"), F.when(F.col("cs").isNull(), "recode_only").when(F.array_contains("cs", recoded), "agree").otherwise("differ").alias("state"))
+    return registered(spark, sf_dir).join(c, "nct_id", "left").select("nct_id", recoded.alias("recoded"), F.when(F.col("cs").isNull(), "recode_only").when(F.array_contains("cs", recoded), "agree").otherwise("differ").alias("state"))
 
 
 @query("JN-16", """WITH t AS (SELECT page_id, unnest(regexp_extract_all(url, '[0-9]+')) AS number FROM pages), k AS (SELECT CAST(p_partkey AS VARCHAR) AS number FROM part) SELECT page_id, number, count(*) AS n FROM t JOIN k USING (number) GROUP BY 1, 2""")
@@ -169,7 +169,7 @@ def area_summary(spark, sf_dir):
 @query("SRC-7", f"WITH {STUDIES} SELECT row_number() OVER (ORDER BY nct_id) AS row_number, nct_id, lead FROM studies")
 def numbered_rows(spark, sf_dir):
     path = R.landing(spark, "inventory")
-    studies(spark, sf_dir).select("nct_id", "lead").write.option("header", True).csv(path)
+    registered(spark, sf_dir).select("nct_id", "lead").write.option("header", True).csv(path)
     rows = R.numbered(R.read_delimited(spark, path, ["nct_id", "lead"], ","), ["nct_id"])
     return rows.select((F.col("position") + 1).cast("bigint").alias("row_number"), "nct_id", "lead")
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import records as R
 from ..operators import areas as A
-from .bindings import STUDIES, studies, table
+from .bindings import STUDIES, registered, studies, table
 from .registry import query
 from .trials import PARSED, finished
 
@@ -142,7 +142,7 @@ def side_by_side(spark, sf_dir):
 @query("AGG-5", f"WITH {STUDIES} SELECT class, count(*) AS n, count_if(status = 'F') AS n_reported, CAST(round_even(100.0 * count_if(status = 'F') / count(*), 1) AS DOUBLE) AS percent FROM studies GROUP BY 1")
 def class_reporting(spark, sf_dir):
     f = F.count_if(F.col("status") == "F")
-    return studies(spark, sf_dir).groupBy("class").agg(F.count("*").alias("n"), f.alias("n_reported"), F.bround(100.0 * f / F.count("*"), 1).cast("double").alias("percent"))
+    return registered(spark, sf_dir).groupBy("class").agg(F.count("*").alias("n"), f.alias("n_reported"), F.bround(100.0 * f / F.count("*"), 1).cast("double").alias("percent"))
 
 
 @query("FLT-23", f"WITH {STUDIES} SELECT count_if(class = 'BUILDING') AS drug, count_if(class = 'MACHINERY') AS device, count_if(class IN ('BUILDING', 'MACHINERY') AND status = 'F') AS regulated_final, count_if(enrollment IS NULL) AS unstated FROM studies")
@@ -168,7 +168,7 @@ def largest_area(spark, sf_dir):
 @query("JN-20", f"WITH {STUDIES}, w(lo, hi) AS (VALUES (1995, 1996), (1997, 1998), (1999, 2000)) SELECT hi AS vintage, nation, count(*) AS n FROM studies JOIN w ON year BETWEEN lo AND hi GROUP BY 1, 2")
 def window_join(spark, sf_dir):
     w = spark.createDataFrame([(1995, 1996), (1997, 1998), (1999, 2000)], "lo int, vintage int")
-    s = studies(spark, sf_dir)
+    s = registered(spark, sf_dir)
     return s.join(F.broadcast(w), (F.col("year") >= F.col("lo")) & (F.col("year") <= F.col("vintage"))).groupBy("vintage", "nation").agg(F.count("*").alias("n"))
 
 
@@ -178,7 +178,7 @@ def site_cascade(spark, sf_dir):
     county = n.filter("n_nationkey < 5").select(F.col("n_nationkey").alias("nation"), F.lit(True).alias("c"))
     state = n.filter("n_nationkey < 15").select(F.col("n_nationkey").alias("nation"), F.lit(True).alias("s"))
     region = n.filter("n_regionkey < 3").select(F.col("n_nationkey").alias("nation"), F.lit(True).alias("r"))
-    rows = studies(spark, sf_dir).select("nct_id", "nation")
+    rows = registered(spark, sf_dir).select("nct_id", "nation")
     for level in (county, state, region):
         rows = rows.join(level, "nation", "left")
     return rows.select("nct_id", F.when(F.col("c"), "county").when(F.col("s"), "state").when(F.col("r"), "region").otherwise("unresolved").alias("level"))
@@ -190,7 +190,7 @@ POOL = f"""WITH {STUDIES}, o AS (SELECT s.nation, s.nct_id, sum(value_) AS n, su
 
 def observed(spark, sf_dir):
     c = table(spark, sf_dir, "lineitem").groupBy(F.concat(F.lit("NCT"), F.lpad(F.col("l_orderkey").cast("string"), 8, "0")).alias("nct_id")).agg(F.sum("l_quantity").alias("n"), (F.sum(F.when(F.col("l_linestatus") == "F", F.col("l_quantity")).otherwise(0.0)) / F.sum("l_quantity")).alias("observed"))
-    return c.join(studies(spark, sf_dir).select("nct_id", "nation"), "nct_id")
+    return c.join(registered(spark, sf_dir).select("nct_id", "nation"), "nct_id")
 
 
 def expected(spark, sf_dir):

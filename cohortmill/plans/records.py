@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources import folders as S
 from ..streaming import inbox as I
-from .bindings import SNAPSHOTS, STUDIES, snapshots, studies, table
+from .bindings import SNAPSHOTS, STUDIES, snapshots, registered, studies, table
 from .registry import query
 
 RECORD = "nct_id string, lead string, class string, status string, results_date string, enrollment long"
@@ -25,7 +25,7 @@ def landed(spark, sf_dir):
 
 
 @query("SRC-1", f"WITH {STUDIES} {PICKED} WHERE results_date BETWEEN DATE '1997-01-01' AND DATE '1998-06-30'")
-def filtered_studies(spark, sf_dir):
+def filtered_registered(spark, sf_dir):
     return S.read_studies(spark, landed(spark, sf_dir), RECORD, "results_date", "1997-01-01", "1998-06-30")
 
 
@@ -63,14 +63,14 @@ def typed_round_trip(spark, sf_dir):
 
 @query("SRC-12", f"WITH {STUDIES}, p AS (SELECT nct_id, row_number() OVER (ORDER BY nct_id) - 1 AS position, count(*) OVER () AS n FROM studies) SELECT CAST(floor(position / ceil(n / 7.0)) AS BIGINT) AS part, count(*) AS n_rows, min(nct_id) AS first_id, max(nct_id) AS last_id FROM p GROUP BY 1")
 def positional_parts(spark, sf_dir):
-    rows = S.numbered(studies(spark, sf_dir).select("nct_id"), ["nct_id"])
+    rows = S.numbered(registered(spark, sf_dir).select("nct_id"), ["nct_id"])
     total = F.lit(table(spark, sf_dir, "orders").count())
     return rows.groupBy(S.part_of(F.col("position"), total, 7).alias("part")).agg(F.count("*").alias("n_rows"), F.min("nct_id").alias("first_id"), F.max("nct_id").alias("last_id"))
 
 
 @query("SRC-13", f"WITH {STUDIES} SELECT CAST(substr(nct_id, 4) AS INT) % 16 AS shard, count(*) AS n_rows, count(DISTINCT nct_id) AS n_ids FROM studies GROUP BY 1")
 def shards(spark, sf_dir):
-    return studies(spark, sf_dir).groupBy(S.shard_of(F.col("nct_id"), 16).alias("shard")).agg(F.count("*").alias("n_rows"), F.count_distinct("nct_id").alias("n_ids"))
+    return registered(spark, sf_dir).groupBy(S.shard_of(F.col("nct_id"), 16).alias("shard")).agg(F.count("*").alias("n_rows"), F.count_distinct("nct_id").alias("n_ids"))
 
 
 @query("SRC-14", "SELECT '' AS nct_id, '' AS side WHERE FALSE")
@@ -88,13 +88,13 @@ def subset_archive(spark, sf_dir):
 
 @query("SRC-16", f"WITH {STUDIES} SELECT 1 AS n_runs, count(DISTINCT CAST(substr(nct_id, 4) AS INT) % 5) AS n_parts, 5 AS total_parts, TRUE AS is_one_run FROM studies")
 def one_run(spark, sf_dir):
-    parts = studies(spark, sf_dir).select(S.shard_of(F.col("nct_id"), 5).alias("part"), F.lit("run-1").alias("stamp"), F.lit(5).alias("total"))
+    parts = registered(spark, sf_dir).select(S.shard_of(F.col("nct_id"), 5).alias("part"), F.lit("run-1").alias("stamp"), F.lit(5).alias("total"))
     return S.mixed_runs(parts, ["stamp"], "part", "total")
 
 
 @query("SET-3", f"WITH {STUDIES}, a AS (SELECT lead, class FROM studies WHERE status <> 'P'), b AS (SELECT lead, class FROM studies WHERE status <> 'F') SELECT (SELECT count(*) FROM (SELECT * FROM a INTERSECT SELECT * FROM b)) AS n_agree, (SELECT count(*) FROM (SELECT * FROM a EXCEPT SELECT * FROM b)) AS n_left, (SELECT count(*) FROM (SELECT * FROM b EXCEPT SELECT * FROM a)) AS n_right")
 def pair_sets(spark, sf_dir):
-    s = studies(spark, sf_dir)
+    s = registered(spark, sf_dir)
     a, b = (s.filter(f"status <> '{x}'").select("lead", "class") for x in "PF")
     named = [f(a, b).select(F.lit(n).alias("k")) for n, f in (("agree", lambda a, b: a.intersect(b)), ("left", lambda a, b: a.subtract(b)), ("right", lambda a, b: b.subtract(a)))]
     return named[0].unionByName(named[1]).unionByName(named[2]).agg(*[F.count_if(F.col("k") == k).alias(f"n_{k}") for k in ("agree", "left", "right")])
@@ -115,7 +115,7 @@ def scope(spark, sf_dir):
 
 @query("DQ-1", f"WITH {STUDIES} SELECT 'id_missing' AS check_name, count_if(nct_id IS NULL) AS n_violations FROM studies UNION ALL SELECT 'id_form', count_if(NOT regexp_matches(nct_id, '^NCT[0-9]{{8}}$')) FROM studies UNION ALL SELECT 'id_repeated', count(*) FROM (SELECT nct_id FROM studies GROUP BY 1 HAVING count(*) > 1)")
 def archive_checks(spark, sf_dir):
-    ids = studies(spark, sf_dir).groupBy("nct_id").agg(F.count("*").alias("n"))
+    ids = registered(spark, sf_dir).groupBy("nct_id").agg(F.count("*").alias("n"))
     c = ids.agg(F.sum(F.when(F.col("nct_id").isNull(), F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(~F.col("nct_id").rlike(r"^NCT\d{8}$"), F.col("n")).otherwise(0)).alias("b"), F.count_if(F.col("n") > 1).alias("c"))
     return c.selectExpr("stack(3, 'id_missing', a, 'id_form', b, 'id_repeated', c) as (check_name, n_violations)")
 
@@ -144,7 +144,7 @@ def references(spark, sf_dir):
 
 @query("DQ-9", f"WITH {STUDIES} SELECT year, count(*) AS counted, count(*) AS recounted, 0 AS difference FROM studies GROUP BY 1")
 def recount(spark, sf_dir):
-    a = studies(spark, sf_dir).groupBy("year").agg(F.count("*").alias("counted"))
+    a = registered(spark, sf_dir).groupBy("year").agg(F.count("*").alias("counted"))
     b = table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").cast("bigint").alias("year")).agg(F.count("*").alias("recounted"))
     return a.join(b, "year", "full").withColumn("difference", F.coalesce("counted", F.lit(0)) - F.coalesce("recounted", F.lit(0)))
 
@@ -160,7 +160,7 @@ def spot_check(spark, sf_dir):
 
 @query("DQ-14", f"WITH {STUDIES} SELECT CAST(substr(nct_id, 4) AS INT) % 4 AS shard, count(*) AS n, count(*) AS n_right FROM studies GROUP BY 1")
 def split_consistency(spark, sf_dir):
-    s = S.split_fields(studies(spark, sf_dir).withColumn("shard", S.shard_of(F.col("nct_id"), 4)), "nct_id", {"a": ["shard"], "b": ["lead"]})
+    s = S.split_fields(registered(spark, sf_dir).withColumn("shard", S.shard_of(F.col("nct_id"), 4)), "nct_id", {"a": ["shard"], "b": ["lead"]})
     both = s["a"].join(s["b"], "nct_id", "full")
     right = F.col("shard") == F.pmod(F.substring("nct_id", 4, 8).cast("int"), F.lit(4))
     return both.groupBy("shard").agg(F.count("*").alias("n"), F.count_if(right & F.col("lead").isNotNull()).alias("n_right"))

@@ -10,7 +10,7 @@ from ..functions import labels as L
 from ..functions import numbers as N
 from ..functions import names as M
 from ..operators import selection as S
-from .bindings import CELLS, LABELS, STUDIES, cells, studies, table
+from .bindings import CELLS, LABELS, STUDIES, cells, registered, studies, table
 from .registry import query
 
 
@@ -24,7 +24,7 @@ DATED = f"""WITH {STUDIES}, dated AS (SELECT *, CASE status WHEN 'F' THEN strfti
 
 
 def dated(spark, sf_dir):
-    return studies(spark, sf_dir).withColumn("text", date_text())
+    return registered(spark, sf_dir).withColumn("text", date_text())
 
 
 @query("PRJ-5", DATED + " SELECT nct_id, CAST(date_diff('day', lo, DATE '2001-03-01') AS INTEGER) AS days FROM dated")
@@ -58,7 +58,7 @@ def prefix_dates(spark, sf_dir):
 
 @query("PRJ-10", f"WITH {STUDIES} SELECT nct_id, results_date AS decision_date FROM studies")
 def list_dates(spark, sf_dir):
-    return studies(spark, sf_dir).select("nct_id", D.list_date(F.date_format("results_date", "M/d/yy")).alias("decision_date"))
+    return registered(spark, sf_dir).select("nct_id", D.list_date(F.date_format("results_date", "M/d/yy")).alias("decision_date"))
 
 
 @query("PRJ-12", """SELECT o_orderkey, CASE left(o_orderpriority, 1) WHEN '1' THEN 'Phase 1' WHEN '2' THEN 'Phase 1/2' WHEN '3' THEN 'Phase 2/3' WHEN '4' THEN 'Phase 4' ELSE 'N/A or other' END AS phase FROM orders""")
@@ -298,7 +298,7 @@ def structural_checks(spark, sf_dir):
 
 @query("WIN-2", f"WITH {STUDIES} SELECT nct_id, results_date FROM studies ORDER BY results_date DESC, nct_id DESC LIMIT 500")
 def most_recent(spark, sf_dir):
-    return studies(spark, sf_dir).select("nct_id", "results_date").orderBy(F.desc("results_date"), F.desc("nct_id")).limit(500)
+    return registered(spark, sf_dir).select("nct_id", "results_date").orderBy(F.desc("results_date"), F.desc("nct_id")).limit(500)
 
 
 @query("WIN-3", f"WITH {STUDIES} SELECT nct_id, enrollment, lead FROM studies ORDER BY enrollment DESC NULLS LAST, nct_id LIMIT 50")
@@ -311,7 +311,7 @@ def largest_trials(spark, sf_dir):
 def eligibility(spark, sf_dir):
     from ..operators.outcomes import exclusion_reasons
 
-    s = studies(spark, sf_dir)
+    s = registered(spark, sf_dir)
     phases = F.when(F.left("phase", F.lit(1)) == "3", F.array(F.lit("PHASE3"))).when(F.left("phase", F.lit(1)) == "4", F.array(F.lit("PHASE2"), F.lit("PHASE3"))).otherwise(F.array(F.lit("PHASE1")))
     reasons = exclusion_reasons(F.when(F.col("status") == "P", "OBSERVATIONAL").otherwise("INTERVENTIONAL"), phases, F.when(F.col("class") == "BUILDING", "INDUSTRY").otherwise("OTHER"), F.lit("RANDOMIZED"), F.date_format("results_date", "yyyy-MM-dd"), ("1996-01-01", "1999-12-31"))
     return s.select("nct_id", F.array_join(reasons, ",").alias("reasons"), (F.size(reasons) == 0).alias("eligible"))
@@ -340,7 +340,7 @@ def timing(spark, sf_dir):
 def survey_windows(spark, sf_dir):
     from ..operators.areas import assign_window
 
-    s = studies(spark, sf_dir).withColumn("midpoint", D.decimal_year(F.date_format("results_date", "yyyy-MM")))
+    s = registered(spark, sf_dir).withColumn("midpoint", D.decimal_year(F.date_format("results_date", "yyyy-MM")))
     return assign_window(s, "midpoint", [(1995, 1996), (1997, 1998), (1999, 2000)]).select("nct_id", "reason", "vintage")
 
 

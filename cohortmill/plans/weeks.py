@@ -18,12 +18,12 @@ def last_two(spark, sf_dir):
     return s.filter(F.col("week") == F.date_sub("w", 7)), s.filter(F.col("week") == F.col("w"))
 
 
-@query("JN-9", LAST + " SELECT coalesce(a.label, b.label) AS label, a.n AS before, b.n AS after, CASE WHEN a.label IS NULL THEN 'added' WHEN b.label IS NULL THEN 'removed' ELSE 'changed' END AS change FROM a FULL JOIN b ON a.label = b.label WHERE a.n IS DISTINCT FROM b.n")
+@query("JN-9-weeks", LAST + " SELECT coalesce(a.label, b.label) AS label, a.n AS before, b.n AS after, CASE WHEN a.label IS NULL THEN 'added' WHEN b.label IS NULL THEN 'removed' ELSE 'changed' END AS change FROM a FULL JOIN b ON a.label = b.label WHERE a.n IS DISTINCT FROM b.n")
 def label_changes(spark, sf_dir):
     return H.changes(*last_two(spark, sf_dir), ["label"], "n")
 
 
-@query("JN-10", LAST + " SELECT label, 'added' AS change FROM b WHERE label NOT IN (SELECT label FROM a) UNION ALL SELECT label, 'removed' FROM a WHERE label NOT IN (SELECT label FROM b)")
+@query("JN-10-weeks", LAST + " SELECT label, 'added' AS change FROM b WHERE label NOT IN (SELECT label FROM a) UNION ALL SELECT label, 'removed' FROM a WHERE label NOT IN (SELECT label FROM b)")
 def labels_in_and_out(spark, sf_dir):
     a, b = last_two(spark, sf_dir)
     return b.join(a, "label", "left_anti").select("label", F.lit("added").alias("change")).unionByName(a.join(b, "label", "left_anti").select("label", F.lit("removed").alias("change")))
@@ -37,6 +37,18 @@ def label_inbox(spark, sf_dir):
     return rows.withColumns({"weeks_open": F.floor(F.datediff("as_of", "first_seen") / 7), "is_open": F.col("last_seen") == F.col("as_of")}).drop("as_of")
 
 
+@query("JN-11-exits", LAST + """, p AS (SELECT label, CAST(split_part(label, ' ', 2) AS INT) AS k, n FROM a), f AS (SELECT label, min(week) AS first_seen FROM snapshots, m WHERE week < w GROUP BY 1), j AS (SELECT p.*, b.label IS NOT NULL AS still FROM p LEFT JOIN b USING (label))
+  SELECT label, n AS prior_n, first_seen, CASE WHEN k % 7 = 0 THEN 'resolved_by_curator' WHEN still THEN 'mapped_by_rules_change' ELSE 'no_longer_in_registry' END AS cause, CASE WHEN still AND k % 3 = 0 THEN 'mapped' END AS bucket_after FROM j JOIN f USING (label) WHERE NOT (still AND k % 3 <> 0 AND k % 7 <> 0)""")
+def inbox_exits(spark, sf_dir):
+    """Labels that were open the week before and no longer are; every third gets a bucket by this week's rules, every seventh a curator's note."""
+    before, now = last_two(spark, sf_dir)
+    k = F.split("label", " ")[1].cast("int")
+    s = snapshots(spark, sf_dir)
+    first = s.join(F.broadcast(s.agg(F.max("week").alias("w")))).filter("week < w").groupBy("label").agg(F.min("week").alias("first_seen"))
+    prior = before.select("label", F.col("n").alias("prior_n")).join(first, "label").withColumn("resolved", F.when(k % 7 == 0, "seen"))
+    return H.exits(prior, now.select("label", F.when(k % 3 == 0, "mapped").alias("bucket")), "label", True)
+
+
 @query("JN-12", LAST + " SELECT label, a.n AS n_before, b.n AS n_now FROM a JOIN b USING (label) WHERE a.n <> b.n")
 def bucket_changes(spark, sf_dir):
     a, b = last_two(spark, sf_dir)
@@ -72,10 +84,16 @@ def upsert(spark, sf_dir):
     return H.upsert(state, H.head_revisions(e, "user_id", ["event_id"]), "user_id", "event_id", F.col("event_type") == "error")
 
 
-@query("WIN-7", f"WITH {SNAPSHOTS}, o AS (SELECT label, min(week) AS first_seen, sum(n) AS n FROM snapshots GROUP BY 1) SELECT (SELECT label FROM o ORDER BY first_seen, label LIMIT 1) AS oldest, (SELECT label FROM o ORDER BY n DESC, label LIMIT 1) AS largest")
+WINNERS = ", ".join(f"(SELECT label FROM o{where} ORDER BY {order}, label LIMIT 1) AS {name}{also}" for also, where in (("", ""), ("_error", " WHERE label LIKE 'error%'")) for name, order in (("oldest", "first_seen, n DESC"), ("largest", "n DESC")))
+
+
+@query("WIN-7", f"WITH {SNAPSHOTS}, o AS (SELECT label, min(week) AS first_seen, sum(n) AS n FROM snapshots GROUP BY 1) SELECT {WINNERS}")
 def oldest_and_largest(spark, sf_dir):
+    """Over all open items, and over one class of them."""
     o = snapshots(spark, sf_dir).groupBy("label").agg(F.min("week").alias("first_seen"), F.sum("n").alias("n"))
-    return o.agg(F.min(F.struct("first_seen", "label")).alias("a"), F.min(F.struct((-F.col("n")).alias("n"), "label")).alias("b")).select(F.col("a.label").alias("oldest"), F.col("b.label").alias("largest"))
+    few = -F.col("n")
+    best = [F.min(F.when(c, F.struct(*order, "label"))).alias(f"{name}{also}") for also, c in (("", F.lit(True)), ("_error", F.col("label").startswith("error"))) for name, order in (("oldest", ["first_seen", few.alias("n")]), ("largest", [few.alias("n")]))]
+    return o.agg(*best).select(*[F.col(f"{n}.label").alias(n) for n in ("oldest", "largest", "oldest_error", "largest_error")])
 
 
 @query("DQ-12", f"WITH {SNAPSHOTS}, w AS (SELECT week, count(*) AS n_labels, sum(n) AS n FROM snapshots GROUP BY 1) SELECT week, n_labels, CAST(n AS BIGINT) AS n, coalesce(n < 0.9 * lag(n) OVER (ORDER BY week), FALSE) AS shrank FROM w")

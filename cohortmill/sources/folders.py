@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,13 +11,25 @@ from pyspark.sql import functions as F
 
 
 def landing(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors see: under the checkpoint folder, or a temporary one where none is set."""
+    """A new folder that all executors see: under the checkpoint folder. Where none is set, a temporary one will do on a local master only."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cohortmill-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not re.match(r"local($|\[)", sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="cohortmill-")
+        sc.setCheckpointDir(folder)
     return f"{sc._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """Writes df and reads it back: computed once, and of a size that Spark knows when it chooses a join."""
+    path = landing(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_lines(df: DataFrame, path: str) -> None:
     df.write.option("compression", "gzip").json(path)
 
@@ -45,9 +58,11 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str], sep: str
     return df.select(*columns)
 
 
-def numbered(df: DataFrame, order: list[str], cells: int = 64) -> DataFrame:
-    """Adds position from 0 in the given order: ranges are numbered apart, then shifted by what lies before them."""
-    ranged = df.repartitionByRange(cells, *order).withColumn("_p", F.spark_partition_id())
+def numbered(df: DataFrame, order: list[str], cells: int | None = None, rows: int = 100_000) -> DataFrame:
+    """Adds position from 0 in the given order: ranges of about `rows` rows are numbered apart, then shifted by what lies before them."""
+    cells = cells or max(8, -(-df.count() // rows))
+    # written, so that all that follows sees the same ranges
+    ranged = kept(df.repartitionByRange(cells, *order).withColumn("_p", F.spark_partition_id()), "ranges")
     inside = ranged.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
     sizes = inside.groupBy("_p").agg(F.count("*").alias("_n"))
     before = sizes.withColumn("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a range
