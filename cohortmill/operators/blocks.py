@@ -6,12 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def dimension_block(rows: DataFrame, key: str, category: str, value: str, population: DataFrame, size: str) -> DataFrame:
-    """One row a trial: totals by category, the shortfall to the baseline population as inferred unknown, and whether anything is reported.
+def dimension_block(rows: DataFrame, key: str, category: str, value: str, population: DataFrame, size: str, subcategory: str | None = None, sex: str | None = None) -> DataFrame:
+    """One row a trial: totals by category, the shortfall to the baseline population as inferred unknown, and whether anything is reported;
+    where asked for also maps of subcategories ('category.subcategory') and of categories by sex ('category.sex').
 
     A table of zeros only is not reported; explicit unknown rows stay apart from the inferred remainder."""
-    totals = rows.groupBy(key, category).agg(F.sum(value).alias("n"))
-    block = totals.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(category, "n")))).alias("totals"), F.sum("n").alias("n_in_table"))
+    fine = [c for c in (subcategory, sex) if c]
+    counts = rows.groupBy(key, category, *fine).agg(F.sum(value).alias("n"))
+    maps = [F.col(category).alias("t")] + [F.concat_ws(".", category, c).alias(name) for c, name in ((subcategory, "s"), (sex, "j")) if c]
+    kinds = [("t", "totals")] + [(k, name) for c, k, name in ((subcategory, "s", "subcategories"), (sex, "j", "joint")) if c]
+    pieces = counts.select(key, "n", *maps, *[F.col(c).isNotNull().alias(f"has_{k}") for c, k in ((subcategory, "s"), (sex, "j")) if c])
+    entry = lambda k, name: F.when(F.lit(True) if k == "t" else F.col(f"has_{k}"), F.struct(F.lit(name).alias("kind"), F.col(k).alias("name")))
+    long = pieces.select(key, "n", F.explode(F.array_compact(F.array(*[entry(k, name) for k, name in kinds]))).alias("e")).groupBy(key, "e").agg(F.sum("n").alias("n"))
+    collected = lambda name: F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("e.kind") == name, F.struct("e.name", "n"))))).alias(name)
+    block = long.groupBy(key).agg(*[collected(name) for _, name in kinds], F.sum(F.when(F.col("e.kind") == "totals", F.col("n"))).alias("n_in_table"))
     out = population.join(block, key, "left")
     short = F.greatest(F.lit(0.0), F.col(size) - F.coalesce("n_in_table", F.lit(0.0)))
     reported = F.coalesce(F.col("n_in_table") > 0, F.lit(False))

@@ -99,6 +99,35 @@ def breakdown(rows: DataFrame, by: list[str], label: str, value: str) -> DataFra
     return counts.withColumn("percent", F.when(whole > 0, F.bround(100 * F.col("n") / whole, 1)))
 
 
+def gender_categories(cells: DataFrame, finished: DataFrame, detail, minorities: list[str], apart: list[str], excess: float = 0.1) -> DataFrame:
+    """Detailed gender categories of every trial: sums within a table, the largest over tables; absence is null, not 0.
+
+    detail: the rule from label to category. status: parse_error, not_applicable (no gender reported, or no such row posted), excluded
+    (units that are no people, or a sum over the enrolment by more than `excess`), or derived. d3_total: the minorities; d5_strict:
+    those without the self-described ones."""
+    rows = classify_distinct(labelled_rows(cells), "label", "detail", detail)
+    sex, identity = F.col("bucket").isin("female", "male"), F.col("detail").isin(*minorities, "intersex", "cisgender_labeled")
+    wide = rows.groupBy("nct_id", "title").agg(
+        *[F.sum(F.when(F.col("detail") == c, F.col("value"))).alias(c) for c in (*minorities, *apart)],
+        F.bool_or(F.coalesce(identity, F.lit(False))).alias("has_identity"), F.bool_or(sex).alias("has_binary"), F.bool_or(is_percentage(F.col("unit"), F.lit(None).cast("string"))).alias("not_people"),
+    )
+    per = wide.groupBy("nct_id").agg(
+        *[F.max(c).alias(c) for c in (*minorities, *apart)],
+        F.bool_or(F.col("has_identity")).alias("posts_identity"), F.bool_or(F.col("has_identity") & F.col("has_binary")).alias("two_question_table"),
+        (F.count_if("has_identity") > 1).alias("possible_double_count"), F.bool_or(F.col("has_identity") & F.col("not_people")).alias("identity_not_people"),
+    )
+    total = lambda cs: F.when(F.coalesce(*cs).isNotNull(), sum((F.coalesce(c, F.lit(0.0)) for c in cs), F.lit(0.0)))
+    both = finished.select("nct_id", "status", "reported_gender", "is_participant_count", "enrollment").withColumnRenamed("status", "report").join(per, "nct_id", "left")
+    both = both.withColumns({"d3_total": total([F.col(c) for c in minorities]), "d5_strict": total([F.col(c) for c in minorities if c != "another_self_described"])})
+    units = F.col("is_participant_count").eqNullSafe(F.lit(False)) | F.col("identity_not_people")
+    over = F.coalesce(F.col("d3_total") > F.col("enrollment") * (1 + excess), F.lit(False))
+    applies = F.coalesce(F.col("reported_gender") & F.col("posts_identity"), F.lit(False))
+    status = F.when(F.col("report") == "parse_error", "parse_error").when(~applies, "not_applicable").when(units | over, "excluded").otherwise("derived")
+    exclusion = F.when(status == "excluded", F.when(units, "non_participant_units").otherwise("sum_exceeds_enrollment_10pct"))
+    shown = lambda c: F.when(applies, F.col(c)).alias(c)
+    return both.select("nct_id", status.alias("status"), exclusion.alias("exclusion"), *map(shown, [*minorities, *apart, "d3_total", "d5_strict", "two_question_table", "possible_double_count"]))
+
+
 def reporting_dimension() -> Column:
     """both, sex_only, gender_only, neither or parse_error, over finished rows."""
     s, g = F.coalesce("reported_sex", F.lit(False)), F.coalesce("reported_gender", F.lit(False))
@@ -120,3 +149,35 @@ def composition_reason() -> Column:
         .when(F.col("is_participant_count").eqNullSafe(F.lit(False)), "non_participant_units")
         .when(fm <= 0, "no_female_male_counts")
     )
+
+
+def structural_checks(rows: DataFrame, rules_version: str) -> DataFrame:
+    """check_name, n_bad, pass: what must hold on any snapshot. rows: nct_id, status, the outcomes, the parsed counts, percent_female,
+    is_participant_count, and raw_present, parse_ok, param_type, unit, parser_version."""
+    z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    out = ("reported_sex", "reported_gender", "reported_both", "reported_any")
+    people = ~is_percentage(F.col("unit"), F.col("param_type")) & ~F.upper(F.coalesce("param_type", F.lit(""))).isin("COUNT_OF_UNITS", "MEAN", "MEDIAN")
+    others = z("n_female") + z("n_male") + z("n_gender_diverse") + z("n_ambiguous")
+    n = {c: F.count_if(F.coalesce(F.col(c), F.lit(False))) for c in out}
+    none = F.lit(0).cast("long")
+    short = lambda cond, by: F.when(cond, none).otherwise(by)
+    count = lambda cond: F.count_if(F.coalesce(cond, F.lit(False)))
+    least = F.least(n["reported_sex"], n["reported_gender"])
+    known = F.count_if(F.coalesce(F.col("status").isin(*STATES), F.lit(False)))
+    checks = {
+        "reported_any_ge_reported_sex": short(n["reported_any"] >= n["reported_sex"], n["reported_sex"] - n["reported_any"]),
+        "reported_any_ge_reported_gender": short(n["reported_any"] >= n["reported_gender"], n["reported_gender"] - n["reported_any"]),
+        "reported_both_le_min": short(n["reported_both"] <= least, n["reported_both"] - least),
+        "status_counts_sum_to_rows": F.count("*") - known,
+        "every_row_has_one_status": F.count("*") - known,
+        "is_participant_count_matches_parser_rule": count(F.col("raw_present") & ~F.col("parse_ok").eqNullSafe(F.lit(False)) & (F.coalesce("is_participant_count", F.lit(False)) != people)),
+        "count_of_units_never_participant_count": count((F.upper("param_type") == "COUNT_OF_UNITS") & ~F.col("is_participant_count").eqNullSafe(F.lit(False))),
+        "parse_error_rows_have_none_outcomes": count((F.col("status") == "parse_error") & F.coalesce(*[F.col(c) for c in out]).isNotNull()),
+        "explicit_unknown_only_rows_are_unknown_only": count((F.col("status") == "explicit_unknown_only") & ~((z("n_unknown") > 0) & (others == 0))),
+        "not_reported_rows_have_no_measure": count((F.col("status") == "not_reported") & F.col("raw_present")),
+        "percent_female_only_in_denominator_set": count(F.col("percent_female").isNotNull() & ~(F.coalesce("reported_sex", F.lit(False)) & F.coalesce("is_participant_count", F.lit(False)))),
+        "single_parser_rules_version": count(~F.col("parser_version").eqNullSafe(F.lit(rules_version))),
+    }
+    one = rows.agg(*[c.cast("long").alias(k) for k, c in checks.items()])
+    pairs = ", ".join(f"'{k}', {k}" for k in checks)
+    return one.selectExpr(f"stack({len(checks)}, {pairs}) as (check_name, n_bad)").withColumn("pass", F.col("n_bad") == 0)

@@ -115,17 +115,6 @@ def legacy_sex_map(spark, sf_dir):
     return cells(spark, sf_dir).select("label").distinct().select("label", category.alias("category"), ((category == "unknown").eqNullSafe(F.lit(True)) & ~z.rlike("sex|gender|male|women|men|unknown|reported")).alias("quarantined"))
 
 
-@query("VOC-4", "SELECT n_nationkey, CASE WHEN n_regionkey < 3 THEN n_name END AS race, CASE WHEN n_regionkey < 1 THEN 'female' WHEN n_regionkey < 3 THEN 'male' END AS sex FROM nation")
-def race_by_sex(spark, sf_dir):
-    """'White female' is a race and a sex; a label with none or several sexes is not split."""
-    r = F.col("n_regionkey")
-    label = F.when(r < 1, F.concat("n_name", F.lit(" Females"))).when(r < 3, F.concat(F.lit("Male "), "n_name")).otherwise(F.concat("n_name", F.lit(" male and female")))
-    sexes = r"(?i)\b(females?|males?|women|men)\b"
-    one = F.regexp_count(label, F.lit(sexes)) == 1
-    word = F.lower(F.regexp_extract(label, sexes, 1))
-    return table(spark, sf_dir, "nation").select("n_nationkey", F.when(one, F.trim(F.regexp_replace(label, sexes, ""))).alias("race"), F.when(one, F.when(word.startswith("f") | (word == "women"), "female").otherwise("male")).alias("sex"))
-
-
 ETHNIC = f"el{_sql(ETHNIC_LABELS, ('i', 'label', 'category'))}, eth AS (SELECT l_orderkey, l_returnflag AS title, label, category, l_quantity AS value FROM lineitem JOIN el ON l_suppkey % 5 = i)"
 
 
@@ -207,13 +196,6 @@ def subgroup_cues(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", (keyword | by).alias("cue"), F.when(keyword, "keyword").when(by, "by_demographic").alias("kind"))
 
 
-@query("VOC-5", "SELECT l_orderkey, l_returnflag AS title, bool_or(l_linestatus = 'F') AND bool_or(l_linestatus = 'O') AS grouped, CASE WHEN min(l_suppkey % 2) = 0 THEN 'american_indian_alaska_native' ELSE 'other' END AS unqualified FROM lineitem GROUP BY 1, 2")
-def cross_row_rules(spark, sf_dir):
-    """What a row means can depend on the rows beside it: a joint row on its parts, 'Indigenous' on where the sites are."""
-    f, o = (F.bool_or(F.col("l_linestatus") == x) for x in "FO")
-    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey", F.col("l_returnflag").alias("title")).agg((f & o).alias("grouped"), F.when(F.min(F.col("l_suppkey") % 2) == 0, "american_indian_alaska_native").otherwise("other").alias("unqualified"))
-
-
 @query("DQ-5", "SELECT key, count(*) AS n FROM (SELECT unnest(json_keys(props)) AS key FROM events) WHERE key NOT IN ('k', 'v') GROUP BY 1")
 def banned_keys(spark, sf_dir):
     """Keys of published payloads that the contract does not allow."""

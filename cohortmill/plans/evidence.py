@@ -10,13 +10,26 @@ from ..operators import selection as S
 from ..sources import folders as R
 from .bindings import CELLS, STUDIES, cells, registered, studies, table
 from .companies import KEYED, bridged
+from .dimensions import _sql
 from .registry import query
 from .trials import PARSED, finished
 
 
-@query("VOC-10", f"WITH {CELLS} SELECT DISTINCT label, CASE WHEN label LIKE 'Unknown%' THEN 'explicit_unknown_declined' WHEN label = 'Non-binary' THEN 'nonbinary_gender_expansive' WHEN label LIKE 'Trans%' THEN 'transgender_with_sex_term' END AS detail FROM cells")
+#: Labels that stand for the parts by number, with the category that the written rules give each.
+GENDER_LABELS = [
+    ("Intersex", "intersex"), ("Gender diverse", "combined_gender_minority"), ("Transgender/non-binary", "combined_gender_minority"), ("Non-binary/transgender", "combined_gender_minority"), ("Transgender, nonbinary", "combined_gender_minority"), ("Sexual or gender minority", "combined_gender_minority"),
+    ("TGNCNB", "combined_gender_minority"), ("Transgender woman", "transgender_with_sex_term"), ("Trans-masculine", "transgender_no_sex_term"), ("Transgender", "transgender_no_sex_term"), ("Trandgender male", "transgender_with_sex_term"), ("Cisgender man", "cisgender_labeled"), ("Cis-woman", "cisgender_labeled"),
+    ("Questioning", "questioning"), ("Genderqueer", "nonbinary_gender_expansive"), ("Non-conforming", "nonbinary_gender_expansive"), ("Two-Spirit", "nonbinary_gender_expansive"), ("More than one gender", "nonbinary_gender_expansive"), ("Agender", "nonbinary_gender_expansive"), ("Gender different from sex assigned at birth", "nonbinary_gender_expansive"),
+    ("Other", "another_self_described"), ("Identify in another way", "another_self_described"), ("None of these", "another_self_described"), ("Prefer to self-describe", "another_self_described"), ("Something else", "another_self_described"), ("Do not identify as any", "another_self_described"), ("Diverse", "another_self_described"),
+    ("Prefer not to answer", "explicit_unknown_declined"), ("Unknown", "explicit_unknown_declined"), ("Female", None), ("Men", None), ("Total", None), ("Bisexual", None), ("Cohort 3", None), ("", None),
+]
+
+
+@query("VOC-10", f"WITH gl{_sql(GENDER_LABELS, ('i', 'label', 'detail'))} SELECT label, detail, count(*) AS n FROM lineitem JOIN gl ON l_partkey % {len(GENDER_LABELS)} = i GROUP BY 1, 2")
 def gender_details(spark, sf_dir):
-    return cells(spark, sf_dir).select("label").distinct().select("label", V.gender_detail(F.col("label")).alias("detail"))
+    labels = F.array(*[F.lit(x[0]) for x in GENDER_LABELS])
+    counted = table(spark, sf_dir, "lineitem").groupBy(F.get(labels, (F.col("l_partkey") % len(GENDER_LABELS)).cast("int")).alias("label")).agg(F.count("*").alias("n"))
+    return counted.withColumn("detail", V.gender_detail(F.col("label")))
 
 
 @query("FLT-10", "SELECT p_partkey, CASE WHEN p_size < 12 THEN 'self_described_single_site' WHEN p_size < 24 THEN 'text_indicates_multiple_sites' WHEN p_size < 36 THEN 'conflicting_text' ELSE 'one_listed_facility' END AS tier FROM part")
@@ -102,16 +115,6 @@ def rebuilt_table(spark, sf_dir):
     return a.exceptAll(b).unionByName(b.exceptAll(a)).select("nct_id")
 
 
-@query("VOC-6", f"""WITH {CELLS}, a AS (SELECT nct_id, title, max(CASE WHEN label = 'Female' THEN value END) AS parent, sum(CASE WHEN label IN ('Women', 'Non-binary') THEN value ELSE 0 END) AS others, sum(value) AS total, CAST(count(*) AS DOUBLE) * 30 AS population FROM cells GROUP BY 1, 2)
-  SELECT nct_id, title, total, others, parent IS NOT NULL AND others > 0 AND parent >= others AND total > population AND total - others <= population AS left_out FROM a""")
-def breakdown_rows(spark, sf_dir):
-    """Rows that count a parent's people again, in tables over their population."""
-    v = lambda *x: F.when(F.col("label").isin(*x), F.col("value"))
-    a = cells(spark, sf_dir).groupBy("nct_id", "title").agg(F.max(v("Female")).alias("parent"), F.sum(F.coalesce(v("Women", "Non-binary"), F.lit(0.0))).alias("others"), F.sum("value").alias("total"), (F.count("*") * 30.0).alias("population"))
-    again = F.col("parent").isNotNull() & (F.col("others") > 0) & (F.col("parent") >= F.col("others")) & (F.col("total") > F.col("population")) & (F.col("total") - F.col("others") <= F.col("population"))
-    return a.select("nct_id", "title", "total", "others", again.alias("left_out"))
-
-
 @query("JN-3", KEYED + " SELECT DISTINCT entity, canonical, CASE WHEN CAST(right(entity, 1) AS INT) < 5 THEN make_date(2000 + CAST(right(entity, 1) AS INT), 1, 1) END AS acquired FROM bridge")
 def acquisition_dates(spark, sf_dir):
     b = bridged(spark, sf_dir).select("entity", "canonical").distinct()

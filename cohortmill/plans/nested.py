@@ -120,7 +120,7 @@ def dimensions(spark, sf_dir):
     return finished(spark, sf_dir).select("nct_id", reporting_dimension().alias("dimension"), neither_reason().alias("neither_reason"), composition_reason().alias("ineligible_reason"))
 
 
-@query("AGG-8", PARSED + """ SELECT year, count(*) AS n_trials, count_if(reported_sex AND reported_gender) AS n_both, sum(n_gender_diverse) AS d5_strict, CASE WHEN sum(n_total_parsed) > 0 THEN round(100 * sum(coalesce(n_gender_diverse, 0)) / sum(n_total_parsed), 6) END AS d5_percent FROM done GROUP BY 1""")
+@query("AGG-8-years", PARSED + """ SELECT year, count(*) AS n_trials, count_if(reported_sex AND reported_gender) AS n_both, sum(n_gender_diverse) AS d5_strict, CASE WHEN sum(n_total_parsed) > 0 THEN round(100 * sum(coalesce(n_gender_diverse, 0)) / sum(n_total_parsed), 6) END AS d5_percent FROM done GROUP BY 1""")
 def analysis_summary(spark, sf_dir):
     d, t = F.sum(F.coalesce("n_gender_diverse", F.lit(0.0))), F.sum("n_total_parsed")
     return finished(spark, sf_dir).groupBy("year").agg(F.count("*").alias("n_trials"), F.count_if("reported_both").alias("n_both"), F.sum("n_gender_diverse").alias("d5_strict"), F.when(t > 0, F.round(100 * d / t, 6)).alias("d5_percent"))

@@ -231,14 +231,6 @@ def demographic_breakdown(spark, sf_dir):
     return S.breakdown(cells(spark, sf_dir), ["nct_id"], "label", "value")
 
 
-@query("SEL-13", PARSED + """, per AS (SELECT nct_id, title, coalesce(n_female, 0) + coalesce(n_male, 0) AS binary_, coalesce(n_gender_diverse, 0) AS diverse, coalesce(n_ambiguous, 0) AS ambiguous FROM measures)
-  SELECT nct_id, max(binary_) AS max_binary, max(diverse) AS max_diverse, max(ambiguous) AS max_ambiguous, max(diverse) + max(ambiguous) AS d3_total, max(diverse) AS d5_strict, count_if(diverse > 0) > 1 AS may_double_count FROM per GROUP BY 1""")
-def gender_categories(spark, sf_dir):
-    c = lambda x: F.coalesce(f"n_{x}", F.lit(0.0))
-    m = S.bucket_sums(cells(spark, sf_dir)).groupBy("nct_id")
-    return m.agg(F.max(c("female") + c("male")).alias("max_binary"), F.max(c("gender_diverse")).alias("max_diverse"), F.max(c("ambiguous")).alias("max_ambiguous"), (F.max(c("gender_diverse")) + F.max(c("ambiguous"))).alias("d3_total"), F.max(c("gender_diverse")).alias("d5_strict"), (F.count_if(c("gender_diverse") > 0) > 1).alias("may_double_count"))
-
-
 @query("AGG-1", PARSED + " SELECT status, count(*) AS n, count_if(reported_sex) AS n_sex, count_if(reported_gender) AS n_gender, count(*) FILTER (is_participant_count = FALSE) AS n_not_people FROM done GROUP BY 1")
 def status_counts(spark, sf_dir):
     return finished(spark, sf_dir).groupBy("status").agg(F.count("*").alias("n"), F.count_if("reported_sex").alias("n_sex"), F.count_if("reported_gender").alias("n_gender"), F.count_if(~F.col("is_participant_count")).alias("n_not_people"))
@@ -253,16 +245,6 @@ def percent_female_series(spark, sf_dir):
     return rows.select("year", F.round("pf_sum", 4).alias("pf_sum"), "pf_count", "f_sum", "fm_sum", F.round(F.col("pf_sum") / F.col("pf_count"), 6).alias("mean_of_shares"), F.round(100 * F.col("f_sum") / F.col("fm_sum"), 6).alias("weighted_share"))
 
 
-@query("AGG-4", PARSED + """ SELECT year, count(*) AS n_trials, sum(enrollment) AS enrollment, count_if(reported_any) AS n_reported, count_if(reported_sex) AS n_sex, count_if(reported_gender) AS n_gender, sum(n_female) AS female, sum(n_male) AS male, sum(n_unknown) AS unknown,
-  count_if(class = 'BUILDING') AS n_building, sum(CASE WHEN class = 'BUILDING' THEN n_female END) AS female_building FROM done GROUP BY 1""")
-def yearly_mart(spark, sf_dir):
-    b = F.col("class") == "BUILDING"
-    return finished(spark, sf_dir).groupBy("year").agg(
-        F.count("*").alias("n_trials"), F.sum("enrollment").alias("enrollment"), F.count_if("reported_any").alias("n_reported"), F.count_if("reported_sex").alias("n_sex"), F.count_if("reported_gender").alias("n_gender"),
-        F.sum("n_female").alias("female"), F.sum("n_male").alias("male"), F.sum("n_unknown").alias("unknown"), F.count_if(b).alias("n_building"), F.sum(F.when(b, F.col("n_female"))).alias("female_building"),
-    )
-
-
 @query("AGG-7", f"WITH {CELLS} SELECT label, count(*) AS n FROM cells GROUP BY 1 ORDER BY n DESC, label LIMIT 5")
 def top_labels(spark, sf_dir):
     return cells(spark, sf_dir).groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(5)
@@ -288,14 +270,6 @@ def metric_ledger(spark, sf_dir):
     return one.selectExpr("stack(3, 'reported_any', a, n, 'all trials', 'reported_sex', s, a, 'reporting trials', 'has_enrollment', e, n, 'all trials') as (metric, numerator, denominator, denominator_name)")
 
 
-@query("DQ-2", PARSED + """, c AS (SELECT count_if(reported_any) AS a, count_if(reported_sex) AS s, count_if(reported_gender) AS g, count_if(reported_sex AND reported_gender) AS b, count(*) AS n, count(status) AS st, count_if(percent_female IS NOT NULL AND NOT reported_sex) AS pf FROM done)
-  SELECT 'any_ge_sex' AS check_name, a >= s AS pass FROM c UNION ALL SELECT 'any_ge_gender', a >= g FROM c UNION ALL SELECT 'both_le_min', b <= least(s, g) FROM c UNION ALL SELECT 'status_sums_to_rows', st = n FROM c UNION ALL SELECT 'percent_only_in_denominator', pf = 0 FROM c""")
-def structural_checks(spark, sf_dir):
-    rows = finished(spark, sf_dir)
-    c = rows.agg(F.count_if("reported_any").alias("a"), F.count_if("reported_sex").alias("s"), F.count_if("reported_gender").alias("g"), F.count_if("reported_both").alias("b"), F.count("*").alias("n"), F.count_if(F.col("status").isin(*S.STATES)).alias("st"), F.count_if(F.col("percent_female").isNotNull() & ~F.col("reported_sex")).alias("pf"))
-    return c.selectExpr("stack(5, 'any_ge_sex', a >= s, 'any_ge_gender', a >= g, 'both_le_min', b <= least(s, g), 'status_sums_to_rows', st = n, 'percent_only_in_denominator', pf = 0) as (check_name, pass)")
-
-
 @query("WIN-2", f"WITH {STUDIES} SELECT nct_id, results_date FROM studies ORDER BY results_date DESC, nct_id DESC LIMIT 500")
 def most_recent(spark, sf_dir):
     return registered(spark, sf_dir).select("nct_id", "results_date").orderBy(F.desc("results_date"), F.desc("nct_id")).limit(500)
@@ -344,7 +318,7 @@ def survey_windows(spark, sf_dir):
     return assign_window(s, "midpoint", [(1995, 1996), (1997, 1998), (1999, 2000)]).select("nct_id", "reason", "vintage")
 
 
-@query("AGG-27", f"""WITH {STUDIES}, s AS (SELECT class, CAST(enrollment AS DOUBLE) AS y, CAST(year AS DOUBLE) AS x FROM studies WHERE enrollment IS NOT NULL)
+@query("AGG-27-slope", f"""WITH {STUDIES}, s AS (SELECT class, CAST(enrollment AS DOUBLE) AS y, CAST(year AS DOUBLE) AS x FROM studies WHERE enrollment IS NOT NULL)
   SELECT class, 'year' AS term, round(regr_slope(y, x), 4) AS estimate, round(regr_r2(y, x), 6) AS r2, count(*) AS n FROM s GROUP BY 1""")
 def sponsor_contrast(spark, sf_dir):
     from ..operators.stats import least_squares
@@ -353,15 +327,6 @@ def sponsor_contrast(spark, sf_dir):
     return least_squares(s, ["class"], "enrollment", ["year"]).filter("term = 'year'").select("class", "term", F.round("estimate", 4).alias("estimate"), F.round("r2", 6).alias("r2"), "n")
 
 
-@query("AGG-26")
-def bootstrap(spark, sf_dir):
-    """Random by nature, so there is no SQL: the tests hold its means exactly and its intervals by coverage."""
-    from ..operators.stats import bootstrap_mean
-
-    rows = finished(spark, sf_dir).filter("percent_female is not null").select("nct_id", "class", "percent_female")
-    return bootstrap_mean(rows, "class", "percent_female")
-
-
 @query("AGG-33", f"""WITH {STUDIES}, r AS (SELECT lead, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, lead) AS k FROM studies GROUP BY 1) SELECT CASE WHEN k <= 10 THEN r.lead ELSE 'Other' END AS company, count(*) AS n_trials, sum(enrollment) AS enrollment FROM studies JOIN r USING (lead) GROUP BY 1""")
 def top_companies(spark, sf_dir):
     s = studies(spark, sf_dir)

@@ -59,7 +59,7 @@ def test_names(spark):
 
 
 def test_closest_words(spark):
-    from cohortmill.functions.race import closest, indel_ratio
+    from cohortmill.functions.fuzzy import closest, indel_ratio
 
     assert indel_ratio("kitten", "sitting") == pytest.approx(200 * 4 / 13)
     words = [("white", "w"), ("black", "b")]
