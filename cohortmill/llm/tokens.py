@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .bpe import byte_encoder
 from .shared import slices, stored, text_column
 
-ROOM, END = 2048, 50256
+ROOM, END, BROADCAST_ROWS = 2048, 50256, 2_000_000
 SEQUENCES = "sequence long, ids binary, n_tokens int, cu_seqlens array<int>, position_resets array<int>, doc_ids array<long>, starts array<long>"
 Groups = list[tuple[tuple[int, ...], int]]
 
@@ -117,7 +117,9 @@ def placed(pieces: DataFrame, made: Groups) -> DataFrame:
     table = pieces.sparkSession.sparkContext.broadcast(places(made))  # a row for each group of sequences and length: by the lengths, not the pieces
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
-    bases = sizes.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    bases = stored(sizes.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")
+    if bases.count() <= BROADCAST_ROWS:  # a row for each task and length; beyond that the pieces are shuffled once more
+        bases = F.broadcast(bases)
 
     @F.pandas_udf("sequence_id long, offset long")
     def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
