@@ -5,15 +5,72 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def identifiers(texts: DataFrame, key: list[str], text: str, kinds: dict[str, str]) -> DataFrame:
-    """(key, kind, identifier) of every match, each once."""
+from ..functions.fuzzy import closest, token_set_ratio
+
+
+#: Identifiers of studies and submissions, by kind; the group is the identifier where there is one.
+IDENTIFIERS = {
+    "nct": r"(?i)(?<![A-Za-z0-9])N\s?C\s?T[\s\-#:.]{0,3}((?:\d\s?){7}\d)(?![A-Za-z0-9])", "isrctn": r"\b(ISRCTN\s?\d{8})\b", "eudract": r"\b(20\d{2}-\d{6}-\d{2})\b", "chictr": r"\b(ChiCTR[-\w]{6,20})\b", "actrn": r"\b(ACTRN\d{14})\b", "drks": r"\b(DRKS\d{8})\b",
+    "jprn_umin": r"\b(UMIN\d{9}|jRCT[s]?\d{9,10})\b", "ctri": r"\b(CTRI/\d{4}/\d{2,3}/\d{6})\b", "ide": r"\bIDE\s*(?:#|No\.?|number)?\s*:?\s*(G\d{6})\b", "doi": r"\b(10\.\d{4,9}/[^\s\"<>]{4,80})", "pmid": r"\bPMID:?\s*(\d{6,9})\b",
+    "submission_number": r"(?<![A-Za-z0-9])(K\d{6}|DEN\d{6}|P\d{6}(?:/S\d{3})?)(?!\d)",
+}
+#: Sentences that deny a clinical study, describe one, or describe a test on data; and terms of demographics.
+NO_STUDY = (
+    r"(?i)\bno\s+(?:\w+\s+){0,2}clinical\s+(?:stud(?:y|ies)|testing|tests?|trials?|data|investigations?|evaluations?)\b|\bclinical\s+(?:stud(?:y|ies)|testing|tests?|trials?|data|investigations?|evaluations?)\s+(?:(?:was|were|is|are|has|have)\s+)?(?:been\s+)?not\s+(?:required|needed|necessary|performed|conducted|applicable|submitted|included|relied)"
+    r"|\b(?:did|does|do)\s+not\s+(?:require|include|rely on)\s+(?:\w+\s+){0,2}clinical\s+(?:stud|test|trial|data)|\bclinical\s+(?:stud(?:y|ies)|testing|tests?|data)\s*[:\-]?\s*(?:not\s+applicable|n/a|none)\b"
+)
+HUMAN_STUDY = (
+    r"(?i)\bclinical\s+(?:stud(?:y|ies)|trials?|investigations?|validation|evaluation)\b|\bpivotal\s+(?:stud(?:y|ies)|trials?)\b|\b(?:multi-?\s?reader|MRMC|reader)\s+(?:multi-?\s?case\s+)?(?:stud(?:y|ies)|evaluation)\b"
+    r"|\b(?:prospective|retrospective)(?:ly)?[\s,\w-]{0,40}?\b(?:stud(?:y|ies)|trials?|cohorts?|collected|enrolled)\b|\b(?:subjects|patients|participants)\s+were\s+(?:enrolled|recruited|included|randomi[sz]ed)\b"
+)
+DATA_TEST = r"(?i)\bstand-?\s?alone\s+(?:performance|stud(?:y|ies)|testing|evaluation)\b|\b\d[\d,]{1,8}\s+(?:unique\s+)?(?:patients|subjects|participants|cases|exams|examinations|scans)\b"
+
+
+def identifiers(pages: DataFrame, key: list[str], text: str, own: str | None = None, kinds: dict[str, str] = IDENTIFIERS) -> DataFrame:
+    """(key, kind, identifier) of every match, each once; the key may hold the page. Spaces within a registry number and marks that end a
+    sentence are no part of an identifier; `own`, a column with the document's own submission number, is not one of its citations."""
 
     def named(kind: str, pattern: str) -> Column:
-        return F.transform(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("identifier")))
+        found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1))
+        clean = lambda x: F.concat(F.lit("NCT"), F.regexp_replace(x, r"\s", "")) if kind == "nct" else F.regexp_replace(x, r"[.,;)]+$", "")
+        return F.transform(found, lambda x: F.struct(F.lit(kind).alias("kind"), clean(x).alias("identifier")))
+
+    kept = [*key, own] if own else key
+    rows = pages.select(*kept, F.explode(F.concat(*[named(k, p) for k, p in kinds.items()])).alias("x"))
+    if own:
+        mine = (F.col("x.kind") == "submission_number") & (F.col("x.identifier").isin(F.col(own), F.split(own, "/")[0]))
+        rows = rows.filter(~F.coalesce(mine, F.lit(False)))
+    return rows.select(*key, "x.*").distinct()
+
+
+def study_language(sentence: DataFrame, key: list[str]) -> DataFrame:
+    """(key, n_human_study, n_data_test, n_no_study): a sentence that denies a study counts only as that."""
+    no, human, data = (F.col("sentence").rlike(p) for p in (NO_STUDY, HUMAN_STUDY, DATA_TEST))
+    return sentence.groupBy(*key).agg(F.count_if(human & ~no).alias("n_human_study"), F.count_if(data & ~no).alias("n_data_test"), F.count_if(no).alias("n_no_study"))
+
 
-    found = F.concat(*[named(k, p) for k, p in kinds.items()])
-    return texts.select(*key, F.explode(found).alias("x")).select(*key, "x.*").distinct()
+def study_description(readable: Column, cites: Column) -> Column:
+    """What a document says about studies, over the columns of study_language(); cites: whether it names a registry identifier."""
+    n = lambda c: F.coalesce(c, F.lit(0)) > 0
+    return (
+        F.when(~readable, "not_assessable_no_text").when(cites, "cites_registry_identifier").when(n("n_human_study") | n("n_data_test"), "describes_study_no_registry_identifier")
+        .when(n("n_no_study"), "states_no_clinical_study_only").otherwise("no_study_language_found")
+    )
+
+
+def cited_numbers(fields: DataFrame, numbers: DataFrame) -> DataFrame:
+    """fields: id, path, text; numbers: number ('K123456', 'P123456' or 'P123456/S001'). (id, path, number, supplement_cited) of every citation.
+
+    Base numbers are taken out of the texts with what follows and joined by equality. A number is a whole token in any letter case.
+    A supplement is cited by its base with that supplement after a slash, dash, space or nothing; its base alone is shown as supplement_cited
+    = false; another supplement is another submission. An original is cited only where no supplement follows."""
+    token = r"(?i)(?<![A-Za-z0-9])((?:K|DEN|P)\d{6})(\s*[/\u2010-\u2015-]?\s*S\d{3}(?![A-Za-z0-9])|(?![A-Za-z0-9]))(\s*[/\u2010-\u2015-]?\s*S\d|\s*/\s*(?![A-Z]{1,3}\d{6}(?![A-Za-z0-9]))[A-Za-z0-9])?"
+    parts = [F.regexp_extract_all("text", F.lit(token), F.lit(i)) for i in (1, 2, 3)]
+    found = fields.select("id", "path", F.explode(F.arrays_zip(*[p.alias(n) for p, n in zip(parts, ("base", "after", "rest"))])).alias("x")).select("id", "path", F.upper("x.base").alias("base"), F.upper(F.regexp_extract("x.after", r"(?i)S\d{3}", 0)).alias("cited"), F.coalesce(F.col("x.rest"), F.lit("")).alias("rest"))
+    found = found.filter(~(F.col("base").startswith("P") & (F.col("cited") == "") & (F.col("rest") != ""))).drop("rest").distinct()
+    sought = numbers.select("number", F.upper(F.split("number", "/")[0]).alias("base"), F.upper(F.coalesce(F.get(F.split("number", "/"), F.lit(1)), F.lit(""))).alias("wanted"))
+    fits = F.when(F.col("wanted") == "", F.col("cited") == "").otherwise(F.col("cited").isin("") | (F.col("cited") == F.col("wanted")))
+    return found.join(sought, "base").filter(fits).groupBy("id", "path", "number").agg(F.when(F.max("wanted") != "", F.bool_or(F.col("cited") != "")).alias("supplement_cited"))
 
 
 def sentences(texts: DataFrame, key: list[str], text: str) -> DataFrame:
@@ -99,12 +156,17 @@ def differences(left: DataFrame, right: DataFrame, key: str, fields: list[str])
     return both.select(F.col(f"a.{key}").alias(key), F.explode(F.filter(pairs, lambda x: ~x["listed"].eqNullSafe(x["official"]))).alias("x")).select(key, "x.*")
 
 
-def longest_keyword(items: DataFrame, text: str, keywords: DataFrame, broadcast_rows: int = 10_000) -> DataFrame:
-    """items with the longest keyword that stands in the text as whole words; (primary, secondary) of it, else Other / Uncategorized."""
+def longest_keyword(items: DataFrame, text: str, keywords: DataFrame, least: float = 85.0) -> DataFrame:
+    """items with (primary, secondary) of the longest keyword that stands in the text as whole words, else of the keyword whose words
+    resemble it most (a token-set ratio of `least`), else Other / Uncategorized. keywords: a curated list; it reaches every task that compares."""
     distinct = items.select(text).distinct()
     hits = word_runs(distinct, [text], text, run_lengths(keywords, "keyword")).join(keywords.withColumnRenamed("keyword", "run"), "run")
     best = hits.groupBy(text).agg(F.max(F.struct(F.length("run").alias("n"), "run", "primary", "secondary")).alias("x"))
-    joined = items.join(best, text, "left")
+    words = [(r["keyword"], r["keyword"]) for r in keywords.select("keyword").distinct().collect()]
+    rest = distinct.filter(F.col(text).isNotNull()).join(best, text, "left_anti")
+    near = closest(rest, text, words, least, F.lower(text), token_set_ratio).filter("outcome is not null").select(text, F.col("outcome").alias("keyword"))
+    near = near.join(keywords, "keyword").groupBy(text).agg(F.max(F.struct(F.length("keyword").alias("n"), F.col("keyword").alias("run"), "primary", "secondary")).alias("x"))
+    joined = items.join(best.unionByName(near), text, "left")
     return joined.select(*items.columns, F.coalesce("x.primary", F.lit("Other")).alias("primary"), F.coalesce("x.secondary", F.lit("Uncategorized")).alias("secondary"))
 
 
@@ -112,3 +174,22 @@ def most_frequent(rows: DataFrame, key: str, primary: str, secondary: str, order
     """The most frequent primary of each key, the alphabetically last on ties, and the first secondary of it in source order."""
     counted = rows.groupBy(key, primary).agg(F.count("*").alias("n"), F.min_by(secondary, order).alias(secondary))
     return counted.groupBy(key).agg(F.max(F.struct("n", primary, secondary)).alias("x")).select(key, f"x.{primary}", f"x.{secondary}", "x.n")
+
+
+def review_queue(links: DataFrame, documents: DataFrame) -> DataFrame:
+    """(tier, entity, n_evidence, rank): what to review first, nothing cut off. links: entity, method, validation; documents: entity, is_candidate,
+    has_extraction, mentions_race, mentions_sex.
+
+    Tiers: identifier-confirmed links; name-and-organisation links; candidates among documents of entities without an extraction; and entities with name-only
+    or unresolved links only. By evidence, then entity; the third tier by confirmed links, then what its texts mention."""
+    confirmed, strong = F.col("validation") == "identifier_confirmed", F.col("method") == "device_name_and_organisation_match"
+    weak = ((F.col("method") == "device_name_match") & (F.col("validation") != "rejected_by_rule")) | (F.col("validation") == "identifier_not_resolved")
+    n = links.groupBy("entity").agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in (("t1", confirmed), ("t2", strong), ("t4", weak))])
+    d = documents.groupBy("entity").agg(F.bool_or("has_extraction").alias("done"), F.count_if("is_candidate").alias("t3"), *[F.coalesce(F.max(F.when(F.col("is_candidate"), F.col(c).cast("int"))), F.lit(0)).alias(c) for c in ("mentions_race", "mentions_sex")])
+    both = n.join(d, "entity", "full").na.fill(0, ["t1", "t2", "t3", "t4", "mentions_race", "mentions_sex"])
+    item = lambda tier, n, cond: F.when(cond, F.struct(F.lit(tier).alias("tier"), F.col(n).alias("n_evidence")))
+    tiers = F.array_compact(F.array(item(1, "t1", F.col("t1") > 0), item(2, "t2", F.col("t2") > 0), item(3, "t3", (F.col("t3") > 0) & ~F.coalesce("done", F.lit(False))), item(4, "t4", (F.col("t4") > 0) & (F.col("t1") + F.col("t2") == 0))))
+    rows = both.select("entity", F.when(F.col("t1") > 0, 1).otherwise(0).alias("c"), "mentions_race", "mentions_sex", F.explode(tiers).alias("x")).select("entity", "c", "mentions_race", "mentions_sex", "x.*")
+    third = F.col("tier") == 3
+    by = [F.when(third, -F.col(c)).otherwise(0) for c in ("c", "mentions_race", "mentions_sex")] + [F.when(~third, -F.col("n_evidence")).otherwise(0), F.col("entity")]
+    return rows.withColumn("rank", F.row_number().over(Window.partitionBy("tier").orderBy(*by))).select("tier", "entity", "n_evidence", "rank")

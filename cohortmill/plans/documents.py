@@ -9,9 +9,8 @@ from ..operators import links as K
 from .bindings import table
 from .registry import query
 
-#: Identifier kinds of the given texts, and conditions with their categories.
-KINDS = {"hex32": r"\b[0-9a-f]{32}\b", "version": r"Version [0-9]\.[0-9]", "mail": r"[a-z0-9.]+@[a-z0-9.]+\.[a-z]{2,}"}
-KEYWORDS = [("ring", "Metabolic", "Ring"), ("small ring", "Metabolic", "Small Ring"), ("widget", "Neurology", "Widget"), ("red", "Oncology", "Red"), ("blue", "Oncology", "Blue"), ("gear", "Respiratory", "Gear")]
+#: Conditions of the parts' names, with their categories.
+KEYWORDS = [("ring", "Metabolic", "Ring"), ("small ring", "Metabolic", "Small Ring"), ("widget", "Neurology", "Widget"), ("red", "Oncology", "Red"), ("blue", "Oncology", "Blue"), ("gear", "Respiratory", "Gear"), ("steel coil spring", "Surgery", "Spring")]
 KEYWORD_SQL = "kw(keyword, prim, sec) AS (VALUES " + ", ".join(str(k) for k in KEYWORDS) + ")"
 
 
@@ -21,22 +20,57 @@ def page_links(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", found.alias("link")).groupBy("page_id", "link").agg(F.count("*").alias("n"))
 
 
-@query("VOC-14", " UNION ".join(f"SELECT doc_id, '{k}' AS kind, unnest(regexp_extract_all(text, '{p}')) AS identifier FROM documents" for k, p in KINDS.items()))
+N8, N6 = "lpad(CAST(doc_id % 100000000 AS VARCHAR), 8, '0')", "lpad(CAST(doc_id % 1000000 AS VARCHAR), 6, '0')"
+
+
+def with_citation(spark, sf_dir):
+    """Two pages of every document: its text, and one that cites something by the document's number; some citations are not whole tokens."""
+    d = F.col("doc_id")
+    n8, n6 = (F.lpad((d % 10**k).cast("string"), k, "0") for k in (8, 6))
+    says = [
+        F.concat(F.lit("See N C T "), F.left(n8, F.lit(4)), F.lit(" "), F.right(n8, F.lit(4)), F.lit(" here.")), F.concat(F.lit("(NCT#: "), n8, F.lit(")")), F.concat(F.lit("NCT"), n8, F.lit("ABC")), F.concat(F.lit("ISRCTN "), n8), F.concat(F.lit("2012-"), n6, F.lit("-11")),
+        F.concat(F.lit("IDE No. G"), n6), F.concat(F.lit("doi 10.1000/x."), n6, F.lit(").")), F.concat(F.lit("PMID: "), n8), F.concat(F.lit("K"), n6, F.lit(" and P"), n6, F.lit("/S008, not XK"), n6), F.concat(F.lit("DEN"), n6), F.concat(F.lit("UMIN0"), n8), F.lit("nothing"),
+    ]
+    page = F.get(F.array(*says), (d % len(says)).cast("int"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.when(d % 24 == 8, F.concat(F.lit("K"), n6)).alias("own"), page.alias("cited"))
+    return docs.select("doc_id", "own", F.posexplode(F.array("text", "cited")).alias("page", "text")).withColumn("page", F.col("page") + 1)
+
+
+@query("VOC-14", f"""SELECT doc_id, 2 AS page, x.kind AS kind, x.id AS identifier FROM (SELECT doc_id, unnest(CASE doc_id % 12 WHEN 0 THEN [{{'kind': 'nct', 'id': 'NCT' || {N8}}}] WHEN 1 THEN [{{'kind': 'nct', 'id': 'NCT' || {N8}}}] WHEN 3 THEN [{{'kind': 'isrctn', 'id': 'ISRCTN ' || {N8}}}]
+  WHEN 4 THEN [{{'kind': 'eudract', 'id': '2012-' || {N6} || '-11'}}] WHEN 5 THEN [{{'kind': 'ide', 'id': 'G' || {N6}}}] WHEN 6 THEN [{{'kind': 'doi', 'id': '10.1000/x.' || {N6}}}] WHEN 7 THEN [{{'kind': 'pmid', 'id': {N8}}}] WHEN 9 THEN [{{'kind': 'submission_number', 'id': 'DEN' || {N6}}}]
+  WHEN 8 THEN list_filter([{{'kind': 'submission_number', 'id': CASE WHEN doc_id % 24 <> 8 THEN 'K' || {N6} END}}, {{'kind': 'submission_number', 'id': 'P' || {N6} || '/S008'}}], lambda y: y.id IS NOT NULL) WHEN 10 THEN [{{'kind': 'jprn_umin', 'id': 'UMIN0' || {N8}}}] END) AS x FROM (SELECT DISTINCT doc_id FROM documents))""")
 def identifiers(spark, sf_dir):
-    return K.identifiers(table(spark, sf_dir, "documents"), ["doc_id"], "text", KINDS)
+    return K.identifiers(with_citation(spark, sf_dir), ["doc_id", "page"], "text", "own")
+
 
+SENTENCES = ["No clinical studies were required.", "Clinical testing was not performed.", "A pivotal study of 120 patients was done.", "Patients were enrolled at two sites.", "Standalone performance was measured.", "The lens is glass."]
 
-@query("VOC-15", r"""WITH s AS (SELECT doc_id, trim(unnest(regexp_split_to_array(text, '[.!?]\s+'))) AS sentence FROM documents), t AS (SELECT * FROM s WHERE sentence <> '')
+
+@query("VOC-15", """WITH k AS (SELECT doc_id, source, doc_id % 6 AS i, doc_id % 5 = 0 AS cites, doc_id % 7 <> 0 AS readable FROM documents) SELECT doc_id, CAST(i IN (2, 3) AS BIGINT) AS n_human_study, CAST(i IN (2, 4) AS BIGINT) AS n_data_test, CAST(i IN (0, 1) AS BIGINT) AS n_no_study,
+  CASE WHEN NOT readable THEN 'not_assessable_no_text' WHEN cites THEN 'cites_registry_identifier' WHEN i IN (2, 3, 4) THEN 'describes_study_no_registry_identifier' WHEN i < 2 THEN 'states_no_clinical_study_only' ELSE 'no_study_language_found' END AS state FROM k""")
+def study_language(spark, sf_dir):
+    """Every document with a sentence of its own behind its text, which says nothing of studies."""
+    i = F.col("doc_id") % len(SENTENCES)
+    text = F.concat(F.coalesce("text", F.lit("")), F.lit(". "), F.get(F.array(*map(F.lit, SENTENCES)), i.cast("int")))
+    d = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    found = K.study_language(K.sentences(d, ["doc_id"], "text"), ["doc_id"])
+    return found.select("doc_id", "n_human_study", "n_data_test", "n_no_study", K.study_description(F.col("doc_id") % 7 != 0, F.col("doc_id") % 5 == 0).alias("state"))
+
+
+@query("VOC-15-terms", r"""WITH s AS (SELECT doc_id, trim(unnest(regexp_split_to_array(text, '[.!?]\s+'))) AS sentence FROM documents), t AS (SELECT * FROM s WHERE sentence <> '')
   SELECT doc_id, count(*) AS n_sentences, count_if(regexp_matches(sentence, 'Licensed|License')) AS n_mentions, CASE WHEN bool_or(regexp_matches(sentence, 'Licensed|License') AND regexp_matches(sentence, 'WITHOUT|without')) THEN 'negated' WHEN count_if(regexp_matches(sentence, 'Licensed|License')) > 0 THEN 'stated' ELSE 'not_mentioned' END AS state FROM t GROUP BY 1""")
 def term_mentions(spark, sf_dir):
     return K.term_mentions(K.sentences(table(spark, sf_dir, "documents"), ["doc_id"], "text"), ["doc_id"], "Licensed|License", "WITHOUT|without")
 
 
-@query("VOC-11", f"""WITH {KEYWORD_SQL}, h AS (SELECT p_partkey, keyword, prim, sec, row_number() OVER (PARTITION BY p_partkey ORDER BY length(keyword) DESC, keyword DESC) AS k FROM part JOIN kw ON contains(' ' || p_name || ' ', ' ' || keyword || ' '))
-  SELECT p.p_partkey, coalesce(prim, 'Other') AS primary, coalesce(sec, 'Uncategorized') AS secondary FROM part p LEFT JOIN h ON p.p_partkey = h.p_partkey AND k = 1""")
+@query("VOC-11", f"""WITH {KEYWORD_SQL}, n AS (SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'coil spring steel' WHEN p_partkey % 5 = 1 THEN 'steel coill sprng' ELSE p_name END AS name FROM part), h AS (SELECT p_partkey, keyword, prim, sec, row_number() OVER (PARTITION BY p_partkey ORDER BY length(keyword) DESC, keyword DESC) AS k FROM n JOIN kw ON contains(' ' || name || ' ', ' ' || keyword || ' '))
+  SELECT n.p_partkey, CASE WHEN n.p_partkey % 5 < 2 THEN 'Surgery' ELSE coalesce(prim, 'Other') END AS primary, CASE WHEN n.p_partkey % 5 < 2 THEN 'Spring' ELSE coalesce(sec, 'Uncategorized') END AS secondary FROM n LEFT JOIN h ON n.p_partkey = h.p_partkey AND k = 1""")
 def condition_categories(spark, sf_dir):
+    """Every fifth name holds a keyword's words in another order, every other fifth misspells them."""
     kw = spark.createDataFrame(KEYWORDS, "keyword string, primary string, secondary string")
-    return K.longest_keyword(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", F.broadcast(kw)).select("p_partkey", "primary", "secondary")
+    k = F.col("p_partkey") % 5
+    names = table(spark, sf_dir, "part").select("p_partkey", F.when(k == 0, "coil spring steel").when(k == 1, "steel coill sprng").otherwise(F.col("p_name")).alias("name"))
+    return K.longest_keyword(names, "name", F.broadcast(kw)).select("p_partkey", "primary", "secondary")
 
 
 @query("VOC-12", f"""WITH {KEYWORD_SQL}, c AS (SELECT p_partkey, coalesce(max_by(prim, lpad(CAST(length(keyword) AS VARCHAR), 3, '0') || keyword), 'Other') AS prim FROM part LEFT JOIN kw ON contains(' ' || p_name || ' ', ' ' || keyword || ' ') GROUP BY 1),
@@ -90,10 +124,26 @@ def name_matches(spark, sf_dir):
     return K.name_matches(forms, p.select(F.col("p_partkey").alias("title_id"), F.concat_ws(" ", "p_type", "p_name", "p_brand").alias("title")))
 
 
-@query("JN-14", "SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'unreviewed' WHEN quality = 1 THEN 'accepted' ELSE 'rejected' END AS review_state FROM documents d LEFT JOIN labels l USING (doc_id)")
+@query("JN-14", """WITH l AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN doc_id + 1000000000 ELSE doc_id END AS id, CASE WHEN quality = 1 THEN 'accepted' ELSE 'rejected' END AS decision FROM labels)
+  SELECT d.doc_id, coalesce(decision, 'unreviewed') AS review_state FROM documents d LEFT JOIN l ON d.doc_id = l.id UNION ALL SELECT id, 'orphaned_' || decision FROM l WHERE id NOT IN (SELECT doc_id FROM documents)""")
 def reviewed_documents(spark, sf_dir):
-    reviews = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "accepted").otherwise("rejected").alias("decision"))
-    return K.with_reviews(table(spark, sf_dir, "documents").select("doc_id"), reviews, "doc_id")[0].select("doc_id", "review_state")
+    """Reviews of documents that no longer exist are returned, not thrown away: every tenth label is given such an id."""
+    key = F.when(F.col("doc_id") % 10 == 0, F.col("doc_id") + 1_000_000_000).otherwise(F.col("doc_id"))
+    reviews = table(spark, sf_dir, "labels").select(key.alias("doc_id"), F.when(F.col("quality") == 1, "accepted").otherwise("rejected").alias("decision"))
+    joined, orphans = K.with_reviews(table(spark, sf_dir, "documents").select("doc_id"), reviews, "doc_id")
+    return joined.select("doc_id", "review_state").unionByName(orphans.select("doc_id", F.concat(F.lit("orphaned_"), "decision").alias("review_state")))
+
+
+@query("JN-16", """WITH p AS (SELECT p_partkey, 'P' || lpad(CAST(p_partkey % 1000000 AS VARCHAR), 6, '0') AS base, p_partkey % 8 AS k FROM part) SELECT p_partkey, 'outcome' AS path, base || '/S008' AS number, k IN (1, 2) AS supplement_cited FROM p WHERE k IN (0, 1, 2)
+  UNION ALL SELECT p_partkey, 'outcome', base, NULL FROM p WHERE k IN (0, 6)""")
+def cited_submissions(spark, sf_dir):
+    """A trial's outcome cites a submission by the part's number: alone, with its supplement, with another, in lower case, or within a longer token."""
+    p = table(spark, sf_dir, "part").select("p_partkey", F.lpad((F.col("p_partkey") % 1_000_000).cast("string"), 6, "0").alias("n"), (F.col("p_partkey") % 8).cast("int").alias("k"))
+    says = [F.concat(F.lit("cleared as P"), "n", F.lit(".")), F.concat(F.lit("under P"), "n", F.lit("/S008")), F.concat(F.lit("under p"), "n", F.lit(" - s008 here")), F.concat(F.lit("under P"), "n", F.lit("/S007")), F.concat(F.lit("P"), "n", F.lit("/S0089")), F.concat(F.lit("XP"), "n"), F.concat(F.lit("(p"), "n", F.lit(")")), F.lit("none")]
+    fields = p.select(F.col("p_partkey").alias("id"), F.lit("outcome").alias("path"), F.get(F.array(*says), F.col("k")).alias("text"))
+    base = F.concat(F.lit("P"), "n")
+    numbers = p.select(F.explode(F.array(F.when(F.col("k") != 6, F.concat(base, F.lit("/S008"))), base)).alias("number")).filter("number is not null").distinct()
+    return K.cited_numbers(fields, numbers).select(F.col("id").alias("p_partkey"), "path", "number", "supplement_cited")
 
 
 @query("JN-24", """WITH b AS (SELECT p_partkey, p_brand, p_type, p_size FROM part), o AS (SELECT p_partkey, p_brand, CASE WHEN p_size > 25 THEN 'STANDARD' ELSE p_type END AS p_type, CASE WHEN p_size > 40 THEN NULL ELSE p_size END AS p_size FROM part)
@@ -126,11 +176,20 @@ def token_costs(spark, sf_dir):
     return priced.select("role", "n_calls", "n_chars", F.round(F.col("n_chars") * F.col("rate") / 1e6, 6).alias("cost"))
 
 
-@query("WIN-6", """SELECT doc_id, tier, rank FROM (SELECT doc_id, tier, row_number() OVER (PARTITION BY tier ORDER BY n_chars DESC, doc_id) AS rank FROM (SELECT d.doc_id, d.n_chars, CASE WHEN toxic = 1 THEN 1 WHEN l.doc_id IS NULL THEN 2 ELSE 3 END AS tier FROM documents d LEFT JOIN labels l USING (doc_id))) WHERE rank <= 100""")
+@query("WIN-6", """WITH l AS (SELECT l_partkey AS entity, CASE l_linenumber % 3 WHEN 0 THEN 'device_name_match' WHEN 1 THEN 'device_name_and_organisation_match' ELSE 'registry_citation' END AS method, CASE WHEN l_suppkey % 4 = 0 THEN 'identifier_confirmed' WHEN l_suppkey % 4 = 1 THEN 'rejected_by_rule' WHEN l_suppkey % 4 = 2 THEN 'identifier_not_resolved' ELSE 'name_rule' END AS validation FROM lineitem WHERE l_quantity > 40),
+  n AS (SELECT entity, count_if(validation = 'identifier_confirmed') AS t1, count_if(method = 'device_name_and_organisation_match') AS t2, count_if((method = 'device_name_match' AND validation <> 'rejected_by_rule') OR validation = 'identifier_not_resolved') AS t4 FROM l GROUP BY 1),
+  d AS (SELECT p_partkey AS entity, p_size % 5 = 0 AS done, CAST(p_size % 2 = 0 AS INT) AS t3, CAST(p_size % 2 = 0 AND p_size % 3 = 0 AS INT) AS r, CAST(p_size % 2 = 0 AND p_size % 7 = 0 AS INT) AS s FROM part), b AS (SELECT entity, coalesce(t1, 0) AS t1, coalesce(t2, 0) AS t2, coalesce(t4, 0) AS t4, coalesce(t3, 0) AS t3, coalesce(done, FALSE) AS done, coalesce(r, 0) AS r, coalesce(s, 0) AS s FROM n FULL JOIN d USING (entity)),
+  u AS (SELECT 1 AS tier, entity, t1 AS n_evidence, 0 AS a, 0 AS b, 0 AS c, -t1 AS o FROM b WHERE t1 > 0 UNION ALL SELECT 2, entity, t2, 0, 0, 0, -t2 FROM b WHERE t2 > 0 UNION ALL SELECT 3, entity, t3, -CAST(t1 > 0 AS INT), -r, -s, 0 FROM b WHERE t3 > 0 AND NOT done UNION ALL SELECT 4, entity, t4, 0, 0, 0, -t4 FROM b WHERE t4 > 0 AND t1 + t2 = 0)
+  SELECT tier, entity, n_evidence, CAST(row_number() OVER (PARTITION BY tier ORDER BY a, b, c, o, entity) AS INT) AS rank FROM u""")
 def review_queue(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", "n_chars").join(table(spark, sf_dir, "labels").withColumn("seen", F.lit(True)), "doc_id", "left")
-    d = d.withColumn("tier", F.when(F.col("toxic") == 1, 1).when(F.col("seen").isNull(), 2).otherwise(3))
-    return d.withColumn("rank", F.row_number().over(Window.partitionBy("tier").orderBy(F.desc("n_chars"), "doc_id"))).filter("rank <= 100").select("doc_id", "tier", F.col("rank").cast("bigint").alias("rank"))
+    """All of it: links by part with a method and a validation, documents by part."""
+    m, v = F.col("l_linenumber") % 3, F.col("l_suppkey") % 4
+    method = F.when(m == 0, "device_name_match").when(m == 1, "device_name_and_organisation_match").otherwise("registry_citation")
+    state = F.when(v == 0, "identifier_confirmed").when(v == 1, "rejected_by_rule").when(v == 2, "identifier_not_resolved").otherwise("name_rule")
+    links = table(spark, sf_dir, "lineitem").filter("l_quantity > 40").select(F.col("l_partkey").alias("entity"), method.alias("method"), state.alias("validation"))
+    every = lambda k: F.col("p_size") % k == 0
+    docs = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("entity"), every(2).alias("is_candidate"), every(5).alias("has_extraction"), every(3).alias("mentions_race"), every(7).alias("mentions_sex"))
+    return K.review_queue(links, docs)
 
 
 @query("WIN-9", "SELECT url_host, page_id FROM (SELECT regexp_extract(url, '^https?://([^/]+)', 1) AS url_host, page_id, row_number() OVER (PARTITION BY regexp_extract(url, '^https?://([^/]+)', 1) ORDER BY page_id DESC) AS k FROM pages) WHERE k = 1")

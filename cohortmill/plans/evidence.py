@@ -130,7 +130,7 @@ def curated_vs_recode(spark, sf_dir):
     return registered(spark, sf_dir).join(c, "nct_id", "left").select("nct_id", recoded.alias("recoded"), F.when(F.col("cs").isNull(), "recode_only").when(F.array_contains("cs", recoded), "agree").otherwise("differ").alias("state"))
 
 
-@query("JN-16", """WITH t AS (SELECT page_id, unnest(regexp_extract_all(url, '[0-9]+')) AS number FROM pages), k AS (SELECT CAST(p_partkey AS VARCHAR) AS number FROM part) SELECT page_id, number, count(*) AS n FROM t JOIN k USING (number) GROUP BY 1, 2""")
+@query("JN-16-pages", """WITH t AS (SELECT page_id, unnest(regexp_extract_all(url, '[0-9]+')) AS number FROM pages), k AS (SELECT CAST(p_partkey AS VARCHAR) AS number FROM part) SELECT page_id, number, count(*) AS n FROM t JOIN k USING (number) GROUP BY 1, 2""")
 def located_numbers(spark, sf_dir):
     tokens = table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("url", F.lit("[0-9]+"), F.lit(0))).alias("number"))
     known = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("number"))
