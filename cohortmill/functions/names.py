@@ -64,11 +64,11 @@ def sponsor_key(name: Column) -> Column:
 
 
 def subsidiary(name: Column) -> tuple[Column, Column]:
-    """(entity, ultimate parent), keys; a plain name is its own entity and has no parent. Chains of two are followed."""
-    sub, parent = (F.nullif(F.regexp_extract(name, SUBSIDIARY, k), F.lit("")) for k in (1, 2))
-    deeper = F.nullif(F.regexp_extract(parent, SUBSIDIARY, 2), F.lit(""))
-    last = F.regexp_replace(F.regexp_replace(F.coalesce(deeper, parent), r"\(.*?\)\s*$", ""), r"^[ ,.]+|[ ,.]+$", "")
-    return sponsor_key(F.coalesce(sub, name)), F.when(parent.isNotNull(), sponsor_key(last))
+    """(entity, ultimate parent), keys; a plain name is its own entity and has no parent. Chains of any length lead to their last link."""
+    sub = F.nullif(F.regexp_extract(name, SUBSIDIARY, 1), F.lit(""))
+    last = F.regexp_extract(name, r"(?i)^.*subsidiar\w+\s+of\s+(.+)$", 1)
+    last = F.regexp_replace(F.regexp_replace(last, r"\(.*?\)\s*$", ""), r"^[ ,.]+|[ ,.]+$", "")
+    return sponsor_key(F.coalesce(sub, name)), F.when(sub.isNotNull(), sponsor_key(last))
 
 
 def company(name: Column) -> Column:

@@ -82,6 +82,15 @@ def disjoint_parts(tables: DataFrame, by: str, analysed: str, total: str, signat
     )
 
 
+def select_tables(tables: DataFrame, by: str, analysed: str, total: str, signature: str, specific: Column, counted: Column, order: str) -> DataFrame:
+    """Adds role: part where a trial's tables are disjoint parts of its population, else fullest and superseded."""
+    parted = disjoint_parts(tables, by, analysed, total, signature).select(by, "is_parted")
+    first = fullest(tables, by, specific, counted, order).select(by, F.col(order).alias("_first"))
+    both = tables.join(parted, by).join(first, by)
+    role = F.when(F.coalesce("is_parted", F.lit(False)), "part").when(F.col(order) == F.col("_first"), "fullest").otherwise("superseded")
+    return both.withColumn("role", role).drop("is_parted", "_first")
+
+
 def total_class_view(rows: DataFrame) -> DataFrame:
     """Where a table has a class for everyone that repeats each label of its other classes, that class alone; else all rows."""
     w = Window.partitionBy("nct_id", "title")

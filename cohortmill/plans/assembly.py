@@ -161,14 +161,17 @@ def legacy_sex_block(spark, sf_dir):
     return finished(spark, sf_dir).select("nct_id", "n_female", "n_male", F.when(F.col("status") == "reported", gap).alias("unknown_balanced"))
 
 
-@query("SEL-6", f"""WITH {CELLS}, t AS (SELECT nct_id, title, sum(value) AS n FROM cells GROUP BY 1, 2), f AS (SELECT nct_id, max(n) AS most, sum(n) AS whole, count(*) AS k FROM t GROUP BY 1), r AS (SELECT t.*, row_number() OVER (PARTITION BY nct_id ORDER BY n DESC, title) AS rank FROM t)
-  SELECT nct_id, title, CASE WHEN k > 1 AND whole <= 60 THEN 'part' WHEN rank = 1 THEN 'fullest' ELSE 'superseded' END AS role FROM r JOIN f USING (nct_id)""")
+@query("SEL-6", f"""WITH {CELLS}, p AS (SELECT nct_id, sum(value) AS size FROM cells WHERE CAST(substr(nct_id, 4) AS INT) % 3 <> 0 OR unit = 'Participants' GROUP BY 1), t AS (SELECT nct_id, title, sum(value) AS n, sum(CASE WHEN label IN ('Non-binary', 'Transgender female*') THEN value ELSE 0 END) AS fine FROM cells GROUP BY 1, 2),
+  f AS (SELECT nct_id, bool_and(n < size) AND sum(n) = max(size) AND count(*) > 1 AS parted FROM t JOIN p USING (nct_id) GROUP BY 1), r AS (SELECT t.*, row_number() OVER (PARTITION BY nct_id ORDER BY fine DESC, n DESC, title) AS rank FROM t)
+  SELECT nct_id, title, CASE WHEN coalesce(parted, FALSE) THEN 'part' WHEN rank = 1 THEN 'fullest' ELSE 'superseded' END AS role FROM r LEFT JOIN f USING (nct_id)""")
 def selected_tables(spark, sf_dir):
-    """Tables that together fit the population are its parts and all count; else the fullest does and supersedes the rest."""
-    w = Window.partitionBy("nct_id")
-    t = cells(spark, sf_dir).groupBy("nct_id", "title").agg(F.sum("value").alias("n"))
-    parts = (F.count("*").over(w) > 1) & (F.sum("n").over(w) <= 60)
-    return t.withColumns({"parts": parts, "rank": F.row_number().over(w.orderBy(F.desc("n"), "title"))}).select("nct_id", "title", F.when(F.col("parts"), "part").when(F.col("rank") == 1, "fullest").otherwise("superseded").alias("role"))
+    """Tables that together are exactly the baseline population are its parts and all count; else the fullest does and supersedes the rest. The
+    population is that of the trial's cells; for every third trial of those in people only."""
+    number = F.substring("nct_id", 4, 8).cast("int")
+    size = cells(spark, sf_dir).filter((number % 3 != 0) | (F.col("unit") == "Participants")).groupBy("nct_id").agg(F.sum("value").alias("size"))
+    fine = F.sum(F.when(F.col("label").isin("Non-binary", "Transgender female*"), F.col("value")).otherwise(0.0))
+    t = cells(spark, sf_dir).groupBy("nct_id", "title").agg(F.sum("value").alias("n"), fine.alias("fine"))
+    return S.select_tables(t.join(size, "nct_id", "left"), "nct_id", "n", "size", "title", F.col("fine"), F.col("n"), "title").select("nct_id", "title", "role")
 
 
 @query("SEL-16", f"WITH {STUDIES}, l AS (SELECT DISTINCT {NCT.format('l_orderkey')} AS nct_id FROM lineitem), x AS (SELECT nct_id, CASE WHEN l.nct_id IS NULL THEN 'not_retrieved' END AS a, status FROM studies s LEFT JOIN l USING (nct_id)) SELECT nct_id, CASE WHEN a IS NOT NULL THEN 'not_retrieved' WHEN status = 'P' THEN 'section_unreadable' ELSE 'complete' END AS state, CASE WHEN a IS NULL AND status <> 'P' THEN TRUE END AS flow FROM x")

@@ -106,13 +106,27 @@ def denominators(spark, sf_dir):
     return t.join(size, "nct_id").select("nct_id", "title", F.col("hi").alias("analysed"), F.when((F.col("lo") == F.col("hi")) & (F.col("k") >= 2), F.col("lo")).otherwise(F.col("size")).alias("denominator"))
 
 
-@query("SEL-15", "SELECT '' AS nct_id WHERE FALSE")
+@query("SEL-15", f"""WITH {CELLS}, n AS (SELECT count(DISTINCT nct_id) AS n FROM cells WHERE title LIKE 'Sex%'), f AS (SELECT count(DISTINCT nct_id) AS k FROM cells WHERE title LIKE 'Sex%' AND label <> 'Total' AND CAST(substr(nct_id, 4) AS INT) % 100 = 7)
+  SELECT 'raw_rows' AS source, n AS n_trials, CAST(0 AS BIGINT) AS n_different FROM n UNION ALL SELECT 'envelopes', n, 0 FROM n UNION ALL SELECT 'faulty', n, k FROM n, f""")
 def rebuilt_table(spark, sf_dir):
-    """The table parsed from cells equals the one parsed from cells that were written and read again."""
-    path = R.landing(spark, "cells")
-    cells(spark, sf_dir).write.parquet(path)
-    a, b = (S.parsed_trials(S.bucket_sums(x)).select("nct_id", "measure_title", "n_female", "n_male", "n_total_parsed") for x in (cells(spark, sf_dir), spark.read.parquet(path)))
-    return a.exceptAll(b).unionByName(b.exceptAll(a)).select("nct_id")
+    """The table parsed from records, from raw rows and from versioned envelopes is the same; from a source with altered counts it is not."""
+    columns = ["nct_id", "measure_title", "n_female", "n_male", "n_unknown", "n_total_parsed"]
+    parsed = lambda x: S.parsed_trials(S.bucket_sums(x)).select(*columns)
+    whole = cells(spark, sf_dir).select("nct_id", "title", "unit", "label", "value")
+    raw, envelope = R.landing(spark, "raw"), R.landing(spark, "envelopes")
+    R.write_lines(whole.filter(F.col("title").rlike("(?i)sex|gender")), raw)
+    rows = F.collect_list(F.struct("label", "unit", "value"))
+    R.write_lines(whole.groupBy("nct_id", "title").agg(rows.alias("rows")).groupBy("nct_id").agg(F.lit("v1").alias("version"), F.collect_list(F.struct("title", "rows")).alias("measures")), envelope)
+    from_raw = R.read_lines(spark, raw, "nct_id string, title string, unit string, label string, value double")[0]
+    held = R.read_lines(spark, envelope, "nct_id string, version string, measures array<struct<title: string, rows: array<struct<label: string, unit: string, value: double>>>>")[0]
+    from_envelope = held.filter("version = 'v1'").select("nct_id", F.inline("measures")).select("nct_id", "title", F.inline("rows"))
+    faulty = whole.withColumn("value", F.col("value") + F.when(F.substring("nct_id", 4, 8).cast("int") % 100 == 7, 1000.0).otherwise(0.0))
+    want, out = R.kept(parsed(whole), "parsed"), None
+    for name, source in (("raw_rows", from_raw), ("envelopes", from_envelope), ("faulty", faulty)):
+        got = R.kept(parsed(source), "parsed")
+        one = got.exceptAll(want).unionByName(want.exceptAll(got)).agg(F.count_distinct("nct_id").alias("n_different")).join(got.agg(F.count("*").alias("n_trials"))).select(F.lit(name).alias("source"), "n_trials", "n_different")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("JN-3", KEYED + " SELECT DISTINCT entity, canonical, CASE WHEN CAST(right(entity, 1) AS INT) < 5 THEN make_date(2000 + CAST(right(entity, 1) AS INT), 1, 1) END AS acquired FROM bridge")

@@ -250,17 +250,27 @@ def top_labels(spark, sf_dir):
     return cells(spark, sf_dir).groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(5)
 
 
-@query("AGG-9", PARSED + """ SELECT year, count(*) AS n_trials, CASE WHEN bool_and(percent_female IS NOT NULL) THEN round(avg(percent_female), 6) END AS mean_share, sum(coalesce(n_female, 0)) AS female FROM done GROUP BY ROLLUP (year)""")
+@query("AGG-9", PARSED + """, f AS (SELECT d.*, phase FROM done d JOIN (SELECT nct_id, phase FROM studies) USING (nct_id)), k AS (SELECT * FROM f WHERE year >= 1996 AND left(phase, 1) <> '5'), lacks AS (SELECT *, NOT (year = 1997 AND class = 'BUILDING') AS has_row FROM k), n AS (SELECT max(year) AS newest FROM f)
+  SELECT coalesce(CAST(year AS VARCHAR), 'all') AS scope, count(*) AS n_trials, CASE WHEN bool_and(has_row) THEN count_if(reported_sex) END AS n_sex, CASE WHEN bool_and(has_row) THEN count_if(reported_gender) END AS n_gender, count_if(enrollment > 50) AS n_large, max(newest) AS newest_year, (SELECT count(*) FROM f WHERE year < 1996) AS n_before, (SELECT count(*) FROM f WHERE year >= 1996 AND left(phase, 1) = '5') AS n_not_interventional FROM lacks, n GROUP BY ROLLUP (year)""")
 def first_view(spark, sf_dir):
-    """The total and every year; a measure that any record lacks is left out, not averaged over the rest."""
-    whole = F.every(F.col("percent_female").isNotNull())
-    return finished(spark, sf_dir).rollup("year").agg(F.count("*").alias("n_trials"), F.when(whole, F.round(F.avg("percent_female"), 6)).alias("mean_share"), F.sum(F.coalesce("n_female", F.lit(0.0))).alias("female"))
-
-
-@query("AGG-10", f"WITH {CELLS} SELECT label, {BUCKET_SQL} AS bucket, count(*) AS n_occurrences, count(DISTINCT nct_id) AS n_trials, min(nct_id) AS example FROM cells GROUP BY 1, 2")
+    """The total and every year; a measure is absent, not zero, in every scope that holds a trial without a parsed row (here one class in one year)."""
+    f = finished(spark, sf_dir)
+    old, other = F.col("year") < 1996, F.left("phase", F.lit(1)) == "5"
+    rest = f.agg(F.max("year").alias("newest_year"), F.count_if(old).alias("n_before"), F.count_if(~old & other).alias("n_not_interventional"))
+    kept = f.filter(~old & ~other).withColumn("has_row", ~((F.col("year") == 1997) & (F.col("class") == "BUILDING")))
+    whole = F.every("has_row")
+    view = kept.rollup("year").agg(F.count("*").alias("n_trials"), F.when(whole, F.count_if("reported_sex")).alias("n_sex"), F.when(whole, F.count_if("reported_gender")).alias("n_gender"), F.count_if(F.col("enrollment") > 50).alias("n_large"))
+    return view.join(F.broadcast(rest)).select(F.coalesce(F.col("year").cast("string"), F.lit("all")).alias("scope"), "n_trials", "n_sex", "n_gender", "n_large", "newest_year", "n_before", "n_not_interventional")
+
+
+@query("AGG-10", f"""WITH {CELLS} SELECT 'category' AS level, label, {BUCKET_SQL} AS bucket, CASE WHEN label = 'Total' THEN 'structural_or_group' ELSE 'mapped' END AS reason, count(*) AS n_occurrences, count(DISTINCT nct_id) AS n_trials, min(nct_id) AS example, bool_or(title LIKE 'Sex%') AS consequential FROM cells GROUP BY 1, 2, 3, 4
+  UNION ALL SELECT 'title', title, '', 'unrecognized', count(*), count(DISTINCT nct_id), min(nct_id), FALSE FROM cells WHERE title NOT LIKE 'Sex%' GROUP BY 1, 2""")
 def label_inventory(spark, sf_dir):
-    rows = cells(spark, sf_dir).groupBy("label").agg(F.count("*").alias("n_occurrences"), F.count_distinct("nct_id").alias("n_trials"), F.min("nct_id").alias("example"))
-    return rows.withColumn("bucket", L.sex_bucket(F.col("label")))
+    """Every label by level: how often, in how many trials, what becomes of it and why; consequential where the parser reads it for counts."""
+    read = L.is_sex_gender(F.col("title"))
+    seen = cells(spark, sf_dir).select("nct_id", F.inline(F.array_compact(F.array(F.struct(F.lit("category").alias("level"), "label", read.alias("read")), F.when(~read, F.struct(F.lit("title").alias("level"), F.col("title").alias("label"), F.lit(False).alias("read")))))))
+    rows = seen.groupBy("level", "label").agg(F.count("*").alias("n_occurrences"), F.count_distinct("nct_id").alias("n_trials"), F.min("nct_id").alias("example"), F.bool_or("read").alias("consequential"))
+    return rows.withColumns({"bucket": L.sex_bucket(F.col("label")), "reason": L.unmapped_reason(F.col("label"))})
 
 
 @query("AGG-17", PARSED + """ SELECT 'reported_any' AS metric, count_if(reported_any) AS numerator, count(*) AS denominator, 'all trials' AS denominator_name FROM done
@@ -275,9 +285,15 @@ def most_recent(spark, sf_dir):
     return registered(spark, sf_dir).select("nct_id", "results_date").orderBy(F.desc("results_date"), F.desc("nct_id")).limit(500)
 
 
-@query("WIN-3", f"WITH {STUDIES} SELECT nct_id, enrollment, lead FROM studies ORDER BY enrollment DESC NULLS LAST, nct_id LIMIT 50")
+@query("WIN-3", f"""WITH {STUDIES}, c AS (SELECT 'NCT' || lpad(CAST(l_orderkey AS VARCHAR), 8, '0') AS nct_id, min(CASE WHEN p_size > 25 THEN p_name END) AS condition, min(p_brand) AS intervention FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1), t AS (SELECT * FROM studies ORDER BY enrollment DESC NULLS LAST, nct_id LIMIT 50)
+  SELECT nct_id, enrollment, lead, coalesce(condition, intervention, 'not stated') AS target, CASE WHEN condition IS NOT NULL THEN 'condition' WHEN intervention IS NOT NULL THEN 'intervention' END AS target_from FROM t LEFT JOIN c USING (nct_id)""")
 def largest_trials(spark, sf_dir):
-    return studies(spark, sf_dir).select("nct_id", "enrollment", "lead").orderBy(F.desc_nulls_last("enrollment"), "nct_id").limit(50)
+    """The fifty largest, each with its condition, else its intervention."""
+    top = studies(spark, sf_dir).select("nct_id", "enrollment", "lead").orderBy(F.desc_nulls_last("enrollment"), "nct_id").limit(50)
+    lines = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("NCT"), F.lpad(F.col("l_orderkey").cast("string"), 8, "0")).alias("nct_id"), "l_partkey").join(F.broadcast(top.select("nct_id")), "nct_id")
+    c = lines.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).groupBy("nct_id").agg(F.min(F.when(F.col("p_size") > 25, F.col("p_name"))).alias("condition"), F.min("p_brand").alias("intervention"))
+    source = F.when(F.col("condition").isNotNull(), "condition").when(F.col("intervention").isNotNull(), "intervention")
+    return top.join(c, "nct_id", "left").select("nct_id", "enrollment", "lead", F.coalesce("condition", "intervention", F.lit("not stated")).alias("target"), source.alias("target_from"))
 
 
 @query("FLT-7", f"""WITH {STUDIES}, r AS (SELECT nct_id, list_filter([CASE WHEN status = 'P' THEN 'NOT_INTERVENTIONAL' END, CASE WHEN left(phase, 1) NOT IN ('3', '4') THEN 'NOT_PHASE3' WHEN left(phase, 1) = '4' THEN 'PHASE2_PHASE3_STRATUM' END, CASE WHEN class <> 'BUILDING' THEN 'LEAD_SPONSOR_NOT_INDUSTRY' END,

@@ -42,12 +42,12 @@ def read_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame,
     return parsed.filter(~bad).select("r.*").drop("_bad"), parsed.filter(bad).select(F.col("value").alias("line"))
 
 
-def read_studies(spark: SparkSession, path: str, schema: str, date: str, after: str | None = None, before: str | None = None) -> DataFrame:
-    """Records whose date lies in the range; either end may be open."""
+def read_studies(spark: SparkSession, path: str, schema: str, date: str, after: str | None = None, before: str | None = None, condition: Column | None = None, limit: int | None = None, order: str | None = None) -> DataFrame:
+    """Records whose date lies in the range, either end open; of a condition; where asked for only the first so many in the given order."""
     rows = read_lines(spark, path, schema)[0]
-    for bound, keep in ((after, F.col(date) >= F.lit(after)), (before, F.col(date) <= F.lit(before))):
+    for bound, keep in ((after, F.col(date) >= F.lit(after)), (before, F.col(date) <= F.lit(before)), (condition is not None, condition)):
         rows = rows.filter(keep) if bound else rows
-    return rows
+    return rows if limit is None else rows.orderBy(order or date).limit(limit)
 
 
 def read_delimited(spark: SparkSession, path: str, columns: list[str], sep: str = "|") -> DataFrame:
@@ -79,9 +79,24 @@ def shard_of(nct_id: Column, shards: int) -> Column:
     return F.when(nct_id.rlike(r"^NCT\d{8}$"), F.pmod(F.substring(nct_id, 4, 8).cast("int"), F.lit(shards)))
 
 
-def mixed_runs(parts: DataFrame, stamps: list[str], part: str, total: str) -> DataFrame:
-    """One row that says whether the parts are one complete run."""
-    return parts.agg(F.count_distinct(F.struct(*stamps)).alias("n_runs"), F.count_distinct(part).alias("n_parts"), F.max(total).alias("total_parts")).withColumn("is_one_run", (F.col("n_runs") == 1) & (F.col("n_parts") == F.col("total_parts")))
+def shard_problems(df: DataFrame, key: str) -> DataFrame:
+    """(key, problem): ids of another form, and ids that occur more than once."""
+    n = df.groupBy(key).agg(F.count("*").alias("n"))
+    found = F.array_compact(F.array(F.when(shard_of(F.col(key), 1).isNull(), "not_an_id"), F.when(F.col("n") > 1, "repeated_id")))
+    return n.select(key, F.explode(found).alias("problem"))
+
+
+def write_shards(df: DataFrame, key: str, shards: int, path: str) -> None:
+    """One folder a shard, by the id's number; a table with ids of another form or repeated ids is refused whole."""
+    if bad := shard_problems(df, key).limit(3).collect():
+        raise ValueError(f"not written: {[(r[key], r['problem']) for r in bad]}")
+    df.withColumn("shard", shard_of(F.col(key), shards)).repartition("shard").write.partitionBy("shard").parquet(path)
+
+
+def mixed_runs(parts: DataFrame, by: list[str], stamps: list[str], part: str, total: str) -> DataFrame:
+    """For each dataset whether its parts are one complete run: one stamp, as many parts as they say, and all say the same."""
+    counts = parts.groupBy(*by).agg(F.count_distinct(F.struct(*stamps)).alias("n_runs"), F.count_distinct(part).alias("n_parts"), F.max(total).alias("total_parts"), F.count_distinct(total).alias("n_totals"))
+    return counts.withColumn("is_one_run", (F.col("n_runs") == 1) & (F.col("n_totals") == 1) & (F.col("n_parts") == F.col("total_parts"))).drop("n_totals")
 
 
 def split_fields(df: DataFrame, key: str, classes: dict[str, list[str]]) -> dict[str, DataFrame]:
@@ -96,3 +111,25 @@ def merge_losses(whole: DataFrame, parts: dict[str, DataFrame], key: str) -> Dat
         merged = p if merged is None else merged.join(p, key)
     merged = merged.select(whole.columns)
     return whole.exceptAll(merged).withColumn("side", F.lit("lost")).unionByName(merged.exceptAll(whole).withColumn("side", F.lit("added")))
+
+
+def archive_problems(good: DataFrame, bad: DataFrame) -> DataFrame:
+    """(check_name, n_violations) of an archive's lines: unreadable ones, ids missing, of another form or repeated, and whether there are several snapshots or runs."""
+    ids = good.groupBy("nct_id").agg(F.count("*").alias("n"))
+    named, odd = F.col("nct_id").isNotNull(), shard_of(F.col("nct_id"), 1).isNull()
+    one = ids.agg(F.coalesce(F.sum(F.when(~named, F.col("n"))), F.lit(0)).alias("b"), F.count_if(named & odd).alias("c"), F.count_if(named & (F.col("n") > 1)).alias("d"))
+    runs = good.agg((F.count_distinct("snapshot") > 1).cast("bigint").alias("e"), (F.count_distinct("run") > 1).cast("bigint").alias("f"))
+    row = bad.agg(F.count("*").alias("a")).join(one).join(runs)  # one row each
+    return row.selectExpr("stack(6, 'not_json', a, 'id_missing', b, 'id_form', c, 'id_repeated', d, 'several_snapshots', e, 'several_runs', f) as (check_name, n_violations)")
+
+
+def split_problems(classes: dict[str, DataFrame], shards: int) -> DataFrame:
+    """(nct_id, problem) of a split layout, (nct_id, shard) by class: ids in a shard that isn't theirs or in several, and ids that a class lacks."""
+    every = None
+    for name, rows in classes.items():
+        one = rows.select("nct_id", "shard", F.lit(name).alias("name"))
+        every = one if every is None else every.unionByName(one)
+    ids = every.groupBy("nct_id").agg(F.collect_set("name").alias("names"), F.count_distinct("name", "shard").alias("n"), F.size(F.collect_set("name")).alias("k"), F.bool_or(F.col("shard") != shard_of(F.col("nct_id"), shards)).alias("astray"))
+    missing = [F.when(~F.array_contains("names", name), F.lit(f"missing_in_{name}")) for name in classes]
+    found = F.array_compact(F.array(F.when(F.col("n") > F.col("k"), "in_several_shards").when(F.col("astray"), "in_another_shard"), *missing))
+    return ids.select("nct_id", F.explode(found).alias("problem"))
