@@ -7,7 +7,7 @@ follows from the variance between groups. A document's posterior odds are its ow
 global ones, the path's and the host's taken without the document itself, so that nothing counts twice.
 
 Null texts count as empty. A null host or path is a group of its own. Labels that repeat an id are combined by their
-maximum, null labels are left out; without labels every probability is the base rate, one half, and nothing is
+maximum, null labels are left out; without labels, or with one class only, every probability is one half and nothing is
 rejected. Rows are scored one by one: repeated rows, null ids and other columns do no harm; ties do not arise. A very long text
 makes a batch of its own. An empty table gives no rows.
 """
@@ -84,7 +84,7 @@ def binned(table: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def train_evidence(table: np.ndarray, good: np.ndarray, penalty: float = 2.0) -> Evidence:
     """table: statistics of labelled texts."""
-    if not len(table):
+    if not len(table) or good.min() == good.max():
         width = statistics(pa.array([], pa.string())).shape[1]
         return Evidence(np.zeros((width, BINS - 1)), Linear(np.zeros(width * BINS), 0.0))
     # half the limits from each class, so that a rare class's range is resolved as well

@@ -105,6 +105,9 @@ def train_chain(ids: np.ndarray, held: pa.ListArray, labels: np.ndarray, categor
     for k in range(len(categories)):
         r, c, v = extended(row, col, out_of_fold[:, :k], len(vocabulary))
         y = labels[:, k].astype(float)
+        if y.min() == y.max():  # one class says nothing about the other
+            models.append(Linear(np.zeros(len(vocabulary) + k + 1), -20.0))
+            continue
         models.append(fit(r, c, v, y, len(vocabulary) + k, penalty))
         for f in range(folds if k + 1 < len(categories) else 0):
             train = fold[r] != f

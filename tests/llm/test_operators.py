@@ -1,6 +1,7 @@
 """Each operator on null, empty, long, repeated and clashing rows, and against brute force."""
 
 import hashlib
+import unittest.mock as mock
 import zlib
 from collections import Counter, defaultdict
 
@@ -350,3 +351,181 @@ def test_byte_round_trip(docs, odd, none):
     assert back == {d: t or "" for d, t in TEXTS.items()}
     for r in bytebpe.encoded(docs, BYTE).collect():
         assert len(r["ids"]) == len(r["offsets"]) and (r["offsets"] or [0])[-1] == len((TEXTS[r["doc_id"]] or "").encode())
+
+
+def test_fingerprints_by_brute_force(spark, docs):
+    """Sketches, likeness of edited texts and of neighbours, recomputed in Python from shingle hashes that Spark gives."""
+    import re
+
+    rows = {r["doc_id"]: r for r in sketch.fingerprints(docs).collect()}
+    order = sorted(TEXTS, reverse=True)
+
+    def grams(text):
+        w = [x for x in re.split(r"[\W_]+", text.lower()) if x]
+        return [w[i : i + 5] for i in range(len(w) - 4)] if len(w) >= 5 else [w] if w else None
+
+    edited = {}
+    for k, d in enumerate(order):
+        own, following = TEXTS[d] or "", TEXTS[order[(k + 1) % len(order)]] or ""
+        edited[d] = own[: len(own) - len(own) // 2] + following[: len(own) // 2]
+    texts = {(d, e): t for e, ts in ((0, {d: TEXTS[d] or "" for d in TEXTS}), (1, edited)) for d, t in ts.items()}
+    wanted = [(k[0], k[1], g) for k, t in texts.items() for g in grams(t) or []] + [(k[0], k[1], None) for k, t in texts.items() if grams(t) is None]
+    frame = spark.createDataFrame([(d, e, g, texts[d, e]) for d, e, g in wanted], "d long, e int, g array<string>, t string")
+    found = defaultdict(set)
+    for r in frame.select("d", "e", F.when(F.col("g").isNull(), F.xxhash64("t")).otherwise(F.xxhash64("g")).alias("h")).collect():
+        found[r["d"], r["e"]].add(r["h"])
+    least = -(2**63) + 2**64 // 8
+    kept = {k: {h for h in hs if h < least} or {min(hs)} for k, hs in found.items()}
+    shown = lambda hs: "".join(f"{h % 2**64:016x}" for h in sorted(hs))
+    like = lambda a, b: len(a & b) / len(a | b)
+    for k, d in enumerate(order):
+        nxt = order[(k + 1) % len(order)]
+        if d == 9 or nxt == 9:  # letters and marks of other scripts split as Java's classes do
+            continue
+        assert rows[d]["fingerprint"] == shown(kept[d, 0]) and rows[d]["edited_fingerprint"] == shown(kept[d, 1]), d
+        assert rows[d]["near_edited"] == pytest.approx(like(kept[d, 0], kept[d, 1])) and rows[d]["near_next"] == pytest.approx(like(kept[d, 0], kept[nxt, 0]))
+
+
+def test_quality_by_brute_force(spark, docs, labels):
+    """Posteriors recomputed from the documents' own probabilities: shrunk means without the document itself."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    marked = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    got = quality.classified(rows, marked, "source", "lang").join(rows.select("doc_id", "source", "lang"), "doc_id").collect()
+    p = {r["doc_id"]: r["p"] for r in got}
+    groups, hosts = defaultdict(list), defaultdict(list)
+    for r in got:
+        groups[r["source"], r["lang"]].append(r["p"])
+        hosts[r["source"]].append(r["p"])
+    mean = sum(p.values()) / len(p)
+
+    def strength(parts, centre):
+        n = [len(x) for x in parts]
+        m = [sum(x) / len(x) for x in parts]
+        within = sum(sum(v * v for v in x) - sum(x) * k for x, k in zip(parts, m)) / max(1, sum(n) - len(n))
+        between = (sum(a * (k - c) ** 2 for a, k, c in zip(n, m, centre)) - within * (len(n) - 1)) / max(1e-9, sum(n) - sum(a * a for a in n) / sum(n))
+        return min(1e6, max(1.0, within / max(1e-9, between)))
+
+    kh = strength(list(hosts.values()), [mean] * len(hosts))
+    whole = {h: (kh * mean + sum(x)) / (kh + len(x)) for h, x in hosts.items()}
+    kp = strength(list(groups.values()), [whole[h] for h, _ in groups])
+    odds = lambda x: min(max(x, 1e-9), 1 - 1e-9) / (1 - min(max(x, 1e-9), 1 - 1e-9))
+    for r in got:
+        h, g = hosts[r["source"]], groups[r["source"], r["lang"]]
+        host = (kh * mean + sum(h) - r["p"]) / (kh + len(h) - 1)
+        path = (kp * host + sum(g) - r["p"]) / (kp + len(g) - 1)
+        want = odds(r["p"]) * odds(path) / odds(mean)
+        assert r["posterior"] == pytest.approx(want / (1 + want), rel=1e-6) and r["is_good"] == (r["posterior"] >= 0.5)
+    good = {r["doc_id"]: r["quality"] for r in marked.collect()}
+    known = [d for d in p if d in good]
+    assert sum((p[d] >= 0.5) == bool(good[d]) for d in known) >= 0.85 * len(known)  # 87 labels train this model
+
+
+def test_chain_by_brute_force():
+    """Folds by id, out-of-fold probabilities for the second model and the choice of words, recomputed with dense matrices."""
+    r = np.random.default_rng(7)
+    n, width = 240, 12
+    words_of = [sorted(set(r.integers(1, width + 1, 5).tolist())) for _ in range(n)]
+    y = np.array([int(1 in w) for w in words_of])
+    two = np.stack([y, np.array([int(1 in w and 2 in w) for w in words_of])], axis=1)
+    ids = r.permutation(n) * 17
+    held = pa.array([[w * 1000 for w in ws] for ws in words_of], pa.list_(pa.int64()))
+    chain = toxicity.train_chain(ids, held, two, ("a", "b"), telling=2.0)
+    seen = sorted({w for ws in words_of for w in ws})
+    telling = []
+    for w in seen:
+        has = np.array([w in ws for ws in words_of])
+        z = max(abs((two[has, k].sum() - has.sum() * two[:, k].mean())) / np.sqrt(has.sum() * two[:, k].mean() * (1 - two[:, k].mean()) + 1e-9) for k in (0, 1))
+        telling += [w] if z >= 2.0 and has.sum() >= toxicity.MIN_DOCS else []
+    assert chain.vocabulary.tolist() == [w * 1000 for w in telling]
+    x = np.array([[float(w in ws) for w in telling] for ws in words_of])
+    from cohortmill.llm.linear import fit
+    from cohortmill.llm.pretok import mixed
+
+    def dense(x, y):
+        row, col = np.nonzero(np.ones_like(x))
+        return fit(row, col, x[row, col], y.astype(float), x.shape[1], 0.1)
+
+    proba = lambda m, x: 1 / (1 + np.exp(-(x @ m.weights[: x.shape[1]] + m.bias)))
+    fold = (mixed(ids.astype(np.int64).view(np.uint64)) % np.uint64(5)).astype(int)
+    out = np.zeros(n)
+    for f in range(5):
+        out[fold == f] = proba(dense(x[fold != f], two[fold != f, 0]), x[fold == f])
+    second = dense(np.c_[x, out], two[:, 1])
+    first = dense(x, two[:, 0])
+    assert np.allclose(chain.models[0].predict(*np.nonzero(x), np.ones(int(x.sum())), n), proba(first, x), atol=1e-3)
+    both = np.c_[x, out]
+    row, col = np.nonzero(np.ones_like(both))
+    assert np.allclose(chain.models[1].predict(row, col, both[row, col], n), proba(second, both), atol=1e-3)
+
+
+def test_layout_changes_no_model(spark, docs, labels):
+    again = docs.repartition(3).orderBy(F.desc("doc_id"))
+    a, b = ({r["doc_id"]: (r["p_toxic"], r["p_severe"]) for r in toxicity.classified(x, labels).collect()} for x in (docs, again))
+    assert a == b
+
+
+def test_clashing_columns_stay(spark, docs, labels):
+    clash = docs.withColumns({"p": F.lit(7), "_p": F.lit(8), "row": F.lit(9), "_row": F.lit(10), "ROW2": F.lit(11)})
+    for kept in (toxicity.accepted(clash, labels.filter("false")), minhash.deduplicated(clash), quality.accepted(clash, labels.filter("false"), "source", "lang")):
+        assert kept.columns == clash.columns
+        first = kept.first()
+        assert (first["p"], first["_p"], first["row"], first["_row"]) == (7, 8, 9, 10)
+
+
+def test_all_pairs_of_the_documents_table(spark):
+    """Every pair of the table with a likeness of 0.8 or more shares a class, and the classes are those of brute force."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    held = minhash.Held(pa.array([r["text"] or "" for r in rows]), 5)
+    empty = np.diff(held.at) == 0
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    inverted, size = defaultdict(list), np.bincount(held.doc, held.count, held.n)
+    for d, h, c in zip(held.doc.tolist(), held.item.tolist(), held.count.tolist()):
+        inverted[h].append((d, c))
+    both = Counter()
+    for own in inverted.values():
+        for i, (a, x) in enumerate(own):
+            for b, y in own[:i]:
+                both[a, b] += min(x, y)
+    pairs = [(a, b) for (a, b), n in both.items() if n / (size[a] + size[b] - n) >= 0.8] + [(i, int(np.flatnonzero(empty)[0])) for i in np.flatnonzero(empty)]
+    for a, b in pairs:
+        parent[root(a)] = root(b)
+    want = defaultdict(set)
+    for i, r in enumerate(rows):
+        want[root(i)].add(r["doc_id"])
+    found = minhash.near_duplicates(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
+    assert len([1 for a, b in pairs if a != b]) > 50 and classes_of(found) == {frozenset(v) for v in want.values()}
+
+
+def test_blocks_compare_exactly():
+    """All likenesses of a block against pairs one by one, with counts above one and shared columns beyond a chunk."""
+    r = np.random.default_rng(11)
+    texts = [" ".join(f"w{x}" for x in r.integers(0, 40, r.integers(0, 400))) for _ in range(12)] + ["a b c d e a b c d e a b c d e", "a b c d e", ""]
+    held = minhash.Held(pa.array(texts), 2)
+    want = [[minhash.overlap(held.bag(i), held.bag(j)) if len(held.bag(i)[0]) or len(held.bag(j)[0]) else 0.0 for j in range(held.n)] for i in range(held.n)]
+    others = ~np.eye(held.n, dtype=bool)  # a text is not held against itself
+    for columns in (minhash.COLUMNS, 7):
+        with mock.patch.object(minhash, "COLUMNS", columns):
+            assert np.allclose(held.likenesses()[others], np.array(want)[others])
+
+
+def test_packing_is_the_same_in_any_layout(docs):
+    count = lambda df: sorted(r["n_tokens"] for r in tokens.sequences(df, BYTE, room=256).collect())
+    assert count(docs) == count(docs.repartition(5)) == count(docs.coalesce(1))
+
+
+def test_no_table_without_a_shared_folder(monkeypatch):
+    import types
+
+    from cohortmill.llm import shared
+
+    conf = types.SimpleNamespace(get=lambda *a: None)
+    unset = types.SimpleNamespace(isEmpty=lambda: True)
+    sc = types.SimpleNamespace(master="spark://host:7077", _jsc=types.SimpleNamespace(sc=lambda: types.SimpleNamespace(getCheckpointDir=lambda: unset)))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_dir(types.SimpleNamespace(sparkContext=sc, conf=conf))
