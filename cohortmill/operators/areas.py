@@ -52,6 +52,18 @@ def compared(observed: DataFrame, expected: DataFrame, keys: list[str]) -> DataF
     })
 
 
+def spread(rows: DataFrame, by: list[str], level: str, value: str, flag_from: float) -> DataFrame:
+    """How far a value lies apart over the levels of geography that have it, and whether that is too far to choose one."""
+    wide = F.max(value) - F.min(value)
+    return rows.groupBy(*by).agg(F.count_distinct(F.when(F.col(value).isNotNull(), F.col(level))).alias("n_levels"), wide.alias("spread_pp"), F.coalesce(wide > flag_from, F.lit(False)).alias("is_spread"))
+
+
+def unknown_bounds(rows: DataFrame, by: list[str], known: str, unknown: str, part: str) -> DataFrame:
+    """The share of a category among the classified, and the bounds it has if none or all of the unknown belong to it; null without people."""
+    n, u, x = F.sum(known), F.sum(unknown), F.sum(part)
+    return rows.groupBy(*by).agg(F.try_divide(x, n).alias("classified"), F.try_divide(x, n + u).alias("low"), F.try_divide(x + u, n + u).alias("high"))
+
+
 def pooled(rows: DataFrame, by: list[str], floor: int = 50, heavy: float = 0.5) -> DataFrame:
     """rows: n people, observed and expected shares, one row a trial. Plain and weighted means from `floor` trials on; flags one trial with most people."""
     n, enough = F.col("n"), F.count("*") >= floor

@@ -193,3 +193,43 @@ def review_queue(links: DataFrame, documents: DataFrame) -> DataFrame:
     third = F.col("tier") == 3
     by = [F.when(third, -F.col(c)).otherwise(0) for c in ("c", "mentions_race", "mentions_sex")] + [F.when(~third, -F.col("n_evidence")).otherwise(0), F.col("entity")]
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy("tier").orderBy(*by))).select("tier", "entity", "n_evidence", "rank")
+
+
+def cited_studies(citations: DataFrame, answers: DataFrame, parents: DataFrame) -> DataFrame:
+    """citations: document, identifier; answers: identifier, status, own_id (of the record that came back); parents: document, parent. Every citation
+    with its state, and whether the document itself cites it or only its parent does. Only 'resolves' supports a link."""
+    own = citations.select("document", "identifier", F.lit(1).alias("own"))
+    inherited = parents.join(citations.select(F.col("document").alias("parent"), "identifier"), "parent").select("document", "identifier", F.lit(0).alias("own"))
+    both = own.unionByName(inherited).groupBy("document", "identifier").agg(F.max("own").alias("own"))
+    state = (
+        F.when(F.col("status").isNull(), "not_looked_up").when(F.col("status") == 404, "not_found").when((F.col("status") != 200) | F.col("own_id").isNull(), "lookup_failed")
+        .when(F.col("own_id") == F.col("identifier"), "resolves").otherwise("resolved_to_different_id")
+    )
+    return both.join(answers, "identifier", "left").select("document", "identifier", F.when(F.col("own") == 1, "own_document").otherwise("parent_document").alias("cited_by"), state.alias("state"))
+
+
+def document_type(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, int]], markers: list[str], summary: str, letters: list[str], needed: int = 3) -> DataFrame:
+    """(document, type, basis, page): what a document is, by its pages' text. pages: document, page from 1, text; labels: document, label_type.
+
+    The first rule (type, pattern, leading pages or 0 for all) that any page matches decides, on its first such page. Where none or only a letter's
+    does, `needed` different section markers make it a summary. A label gives the type of a document without text, of text that no rule
+    matches, and of a letter with pages that could not be read."""
+    t = F.coalesce("text", F.lit(""))
+    hits = F.array_compact(F.array(*[F.when(t.rlike(p) & ((F.col("page") <= n) | (n == 0)), F.lit(i)) for i, (_, p, n) in enumerate(rules)]))
+    marks = F.array_compact(F.array(*[F.when(t.rlike(p), F.lit(i)) for i, p in enumerate(markers)]))
+    seen = pages.select("document", "page", hits.alias("hits"), marks.alias("marks"), (F.length(F.regexp_replace(t, "[^A-Za-z0-9]", "")) < 20).alias("blank"))
+    rule = seen.select("document", "page", F.explode("hits").alias("rule")).groupBy("document").agg(F.min(F.struct("rule", "page")).alias("r"))
+    votes = seen.select("document", "page", F.explode("marks").alias("m")).groupBy("document", "m").agg(F.min("page").alias("page")).groupBy("document").agg(F.count("*").alias("votes"), F.min("page").alias("first_mark"))
+    whole = seen.groupBy("document").agg(F.every("blank").alias("no_text"), F.bool_or("blank").alias("some_blank")).join(rule, "document", "left").join(votes, "document", "left").join(labels, "document", "left")
+    name = F.get(F.array(*[F.lit(x) for x, _, _ in rules]), F.col("r.rule"))
+    letter = F.coalesce(name.isin(*letters), F.lit(False))
+    voted = (F.coalesce("votes", F.lit(0)) >= needed) & (F.col("r").isNull() | letter)
+    unread = letter & ~voted & F.col("label_type").isNotNull() & ~F.col("label_type").isin(*letters) & F.col("some_blank")
+    row = lambda kind, basis, page: F.struct(kind.alias("type"), F.lit(basis).alias("basis"), page.cast("int").alias("page"))
+    label, none = F.col("label_type"), F.lit(None)
+    found = (
+        F.when(F.col("no_text"), F.when(label.isNotNull(), row(label, "official_label_only", none)).otherwise(row(F.lit("unclassified_no_text"), "none", none)))
+        .when(voted, row(F.lit(summary), "text", F.col("first_mark"))).when(unread, row(label, "official_label_unread_pages", F.col("r.page"))).when(F.col("r").isNotNull(), row(name, "text", F.col("r.page")))
+        .when(label.isNotNull(), row(label, "official_label_text_unmatched", none)).otherwise(row(F.lit("other"), "text", none))
+    )
+    return whole.select("document", found.alias("x")).select("document", "x.*")

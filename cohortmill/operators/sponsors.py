@@ -168,3 +168,15 @@ def curation_batch(sponsors: DataFrame, unreviewed: DataFrame, industry: Column,
     line = F.concat(F.lit('<canonical>,exact_normalized,"'), F.col("normalized_pattern"), F.lit('",attribute,no,"<initials> <date>: <why>"'))
     ranked = best.join(every, "name").withColumns({"rank": F.row_number().over(Window.orderBy(F.desc("n_lead_trials"), "name")), "normalized_pattern": sponsor_key(F.col("name")), "parsed_parent": F.coalesce(parent, F.lit(""))})
     return ranked.select("rank", "name", "n_lead_trials", "n_any_trials", "roles", "normalized_pattern", "parsed_parent", line.alias("draft_rule_line"))
+
+
+def with_acquisitions(index: DataFrame, acquisitions: DataFrame) -> DataFrame:
+    """The bridge with effective dates by (entity, canonical); acquisitions: entity, canonical, effective_date, source. Refused while every
+    date is blank, or if a dated row names no source."""
+    c = acquisitions.agg(F.count("effective_date").alias("dated"), F.count_if(F.col("effective_date").isNotNull() & (F.trim(F.coalesce("source", F.lit(""))) == "")).alias("unsourced")).first()
+    if not c["dated"]:
+        raise ValueError("every effective_date is blank")
+    if c["unsourced"]:
+        raise ValueError(f"{c['unsourced']} dated rows have no source")
+    dates = acquisitions.select(sponsor_key(F.col("entity")).alias("entity"), "canonical", "effective_date").distinct()
+    return index.join(dates, ["entity", "canonical"], "left")

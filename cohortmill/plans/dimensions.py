@@ -221,11 +221,21 @@ def linked_trials(spark, sf_dir):
     return f.join(cohort, "nct_id", "left").select("nct_id", "status", "percent_female", F.coalesce("c", F.lit(False)).alias("in_cohort"))
 
 
-@query("JN-15", "WITH c AS (SELECT page_id, CAST(unnest(regexp_extract_all(url, '/([0-9]+)', 1)) AS BIGINT) AS cited FROM pages), d AS (SELECT DISTINCT * FROM c) SELECT page_id, cited, CASE WHEN p_partkey IS NULL THEN 'unknown_id' ELSE 'resolved' END AS state FROM d LEFT JOIN part ON cited = p_partkey")
+@query("JN-15", f"""WITH c AS (SELECT doc_id AS document, 'NCT' || {"lpad(CAST(doc_id % 100000000 AS VARCHAR), 8, '0')"} AS identifier FROM documents WHERE doc_id % 12 IN (0, 1)), p AS (SELECT doc_id AS document, doc_id - doc_id % 12 AS parent FROM documents WHERE doc_id % 12 IN (1, 2)),
+  b AS (SELECT document, identifier, max(own) AS own FROM (SELECT *, 1 AS own FROM c UNION ALL SELECT p.document, identifier, 0 FROM p JOIN c ON parent = c.document) GROUP BY 1, 2), a AS (SELECT *, CAST(substr(identifier, 4) AS INT) AS k FROM b)
+  SELECT document, identifier, CASE WHEN own = 1 THEN 'own_document' ELSE 'parent_document' END AS cited_by, CASE WHEN k NOT IN (SELECT o_orderkey FROM orders) THEN 'not_looked_up' WHEN k % 7 = 0 THEN 'not_found' WHEN k % 7 = 1 THEN 'lookup_failed' WHEN k % 7 = 2 THEN 'resolved_to_different_id' ELSE 'resolves' END AS state FROM a""")
 def cited_identifiers(spark, sf_dir):
-    cited = table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("url", F.lit("/([0-9]+)"), F.lit(1))).alias("x")).select("page_id", F.col("x").cast("bigint").alias("cited")).distinct()
-    known = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("cited"), F.lit(True).alias("k"))
-    return cited.join(known, "cited", "left").select("page_id", "cited", F.when(F.col("k"), "resolved").otherwise("unknown_id").alias("state"))
+    """Registry identifiers that the documents' own pages cite, and those that only the page's parent does, against what the registry answered."""
+    from .documents import with_citation
+
+    found = K.identifiers(with_citation(spark, sf_dir), ["doc_id", "page"], "text", "own").filter("kind = 'nct'")
+    citations = found.select(F.col("doc_id").alias("document"), "identifier").distinct()
+    d = F.col("doc_id")
+    parents = table(spark, sf_dir, "documents").filter((d % 12).isin(1, 2)).select(d.alias("document"), (d - d % 12).alias("parent"))
+    k = F.substring("nct_id", 4, 8).cast("int") % 7
+    status = F.when(k == 0, 404).when(k == 1, 500).otherwise(200)
+    answers = registered(spark, sf_dir).select(F.col("nct_id").alias("identifier"), status.alias("status"), F.when(k == 2, F.concat(F.lit("OLD"), "nct_id")).otherwise(F.col("nct_id")).alias("own_id"))
+    return K.cited_studies(citations, answers, parents)
 
 
 @query("JN-18", "SELECT s_suppkey, CASE WHEN s_nationkey < 8 THEN 'exact' WHEN s_nationkey < 16 THEN 'legal_form_differs' ELSE 'no_match' END AS tier FROM supplier")
@@ -254,16 +264,22 @@ def document_registry(spark, sf_dir):
     return d.select("doc_id", "source").join(lines, "doc_id", "left").join(table(spark, sf_dir, "labels"), "doc_id", "left").select("doc_id", "source", "n_lines", "n_license", F.when(F.col("n_license") > 0, "licensed").otherwise("plain").alias("type"), F.col("quality").isNotNull().alias("reviewed"))
 
 
-@query("VOC-13", r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents), h AS (SELECT doc_id, pos, CASE WHEN line LIKE '%Licensed%' THEN 'license' WHEN line LIKE '%|%' THEN 'table' WHEN line LIKE '%token%' THEN 'secret' END AS kind, CASE WHEN line LIKE '%Licensed%' THEN 0 WHEN line LIKE '%|%' THEN 1 WHEN line LIKE '%token%' THEN 2 END AS rule FROM l),
-  b AS (SELECT doc_id, kind, pos, row_number() OVER (PARTITION BY doc_id ORDER BY rule, pos) AS k FROM h WHERE kind IS NOT NULL) SELECT d.doc_id, coalesce(kind, 'other') AS type, CAST(pos AS BIGINT) AS first_line FROM documents d LEFT JOIN b ON d.doc_id = b.doc_id AND k = 1""")
+#: Documents by number: their first and second page, and what FDA's kind of label would say.
+TYPED = [
+    ("The summary of safety and effectiveness data of this device", "more", None, "ssed", "text", 1), ("We have reviewed your notification and it may proceed", "indications for use of the device", None, "clearance_letter", "text", 1), ("We have reviewed your notification and it may proceed", "", "summary", "summary", "official_label_unread_pages", 1),
+    ("We have reviewed your notification and it may proceed", "device description, indications for use and predicate device", None, "summary", "text", 2), ("", "", "labeling", "labeling", "official_label_only", None), ("", "", None, "unclassified_no_text", "none", None), ("words that no rule knows at all", "", "labeling", "labeling", "official_label_text_unmatched", None),
+    ("words that no rule knows at all", "nor here, though it is long", None, "other", "text", None), ("words that no rule knows at all", "we have reviewed your notification, but on a later page", None, "other", "text", None),
+]
+
+
+@query("VOC-13", f"WITH tl{_sql(TYPED, ('i', 'a', 'b', 'label', 'type', 'basis', 'page'))} SELECT doc_id AS document, type, basis, page FROM documents JOIN tl ON doc_id % {len(TYPED)} = i")
 def document_types(spark, sf_dir):
-    rules = [("Licensed", "license"), ("|", "table"), ("token", "secret")]
-    d = table(spark, sf_dir, "documents")
-    lines = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    rank = F.coalesce(*[F.when(F.col("line").contains(w), i) for i, (w, _) in enumerate(rules)])
-    best = lines.withColumn("rule", rank).filter("rule is not null").groupBy("doc_id").agg(F.min(F.struct("rule", "pos")).alias("x"))
-    kinds = F.array(*[F.lit(k) for _, k in rules])
-    return d.select("doc_id").join(best, "doc_id", "left").select("doc_id", F.coalesce(F.get(kinds, F.col("x.rule")), F.lit("other")).alias("type"), F.col("x.pos").cast("bigint").alias("first_line"))
+    i = (F.col("doc_id") % len(TYPED)).cast("int")
+    at = lambda k: F.get(F.array(*[F.lit(x[k]).cast("string") for x in TYPED]), i)
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("document"), at(0).alias("a"), at(1).alias("b"), at(2).alias("label_type"))
+    pages = d.select("document", F.posexplode(F.array("a", "b")).alias("page", "text")).withColumn("page", F.col("page") + 1)
+    rules = [("ssed", "(?i)summary of safety and effectiveness", 3), ("clearance_letter", "(?i)we have reviewed your notification", 1)]
+    return K.document_type(pages, d.select("document", "label_type"), rules, ["(?i)device description", "(?i)indications for use", "(?i)predicate device", "(?i)substantial equivalence"], "summary", ["clearance_letter"])
 
 
 @query("AGG-18", "SELECT l_orderkey, l_returnflag AS type, count(*) AS n, count_if(l_quantity > 10) AS n_with_data, array_to_string(list_sort(list(DISTINCT l_linestatus)), ',') AS units, min(l_linenumber) AS min_groups, max(l_linenumber) AS max_groups FROM lineitem GROUP BY 1, 2")

@@ -154,18 +154,26 @@ def metadata_differences(spark, sf_dir):
     return K.differences(p, official, "p_partkey", ["p_brand", "p_type", "p_size"])
 
 
-@query("AGG-31", "SELECT l_orderkey, CASE WHEN bool_or(l_returnflag = 'A') THEN 'A' WHEN bool_or(l_returnflag = 'R') THEN 'R' ELSE 'N' END AS overall, count(*) AS n_routes FROM lineitem GROUP BY 1")
+@query("AGG-31", "SELECT l_orderkey, CASE WHEN bool_or(l_returnflag = 'A') THEN 'A' WHEN bool_or(l_returnflag = 'R') THEN 'R' ELSE 'N' END AS overall, count(*) AS n_routes, count_if(l_linestatus = 'F' AND l_returnflag = 'A') AS f_a, count_if(l_linestatus = 'F') AS f_any, count_if(l_linestatus = 'O') AS o_any, CASE WHEN bool_or(l_linestatus = 'O') THEN CASE WHEN bool_or(l_linestatus = 'O' AND l_returnflag = 'A') THEN 'A' WHEN bool_or(l_linestatus = 'O' AND l_returnflag = 'R') THEN 'R' ELSE 'N' END ELSE 'not_tried' END AS route_o FROM lineitem GROUP BY 1")
 def coverage_status(spark, sf_dir):
-    return K.best_state(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_returnflag", ["A", "R", "N"])
+    """The best state over all routes, and each route's own cell: how many of what, and its best state, which is not_tried without any."""
+    lines = table(spark, sf_dir, "lineitem")
+    whole = K.best_state(lines, "l_orderkey", "l_returnflag", ["A", "R", "N"])
+    o = K.best_state(lines.filter("l_linestatus = 'O'"), "l_orderkey", "l_returnflag", ["A", "R", "N"]).select("l_orderkey", F.col("overall").alias("route_o"))
+    f, a = F.col("l_linestatus") == "F", F.col("l_returnflag") == "A"
+    cells = lines.groupBy("l_orderkey").agg(F.count_if(f & a).alias("f_a"), F.count_if(f).alias("f_any"), F.count_if(~f).alias("o_any"))
+    return whole.join(cells, "l_orderkey").join(o, "l_orderkey", "left").na.fill("not_tried", ["route_o"])
 
 
-@query("WIN-1", """WITH m AS (SELECT conv_id, role, count(*) AS n_turns, sum(length(text)) AS n_chars, min(turn) AS pos FROM conversations GROUP BY 1, 2)
-  SELECT conv_id, role, n_turns FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY n_chars DESC, CASE role WHEN 'assistant' THEN 2 WHEN 'user' THEN 1 ELSE 0 END DESC, pos) AS k FROM m) WHERE k = 1""")
+@query("WIN-1", """WITH m AS (SELECT conv_id, role, count(*) AS n_turns, sum(length(text)) AS n_chars, min(turn) AS pos, conv_id % 5 = 0 AND role = 'assistant' OR conv_id % 7 = 0 AS failed FROM conversations GROUP BY 1, 2)
+  SELECT conv_id, role, n_turns, NOT failed AS succeeded FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY failed, n_chars DESC, CASE role WHEN 'assistant' THEN 2 WHEN 'user' THEN 1 ELSE 0 END DESC, pos) AS k FROM m) WHERE k = 1""")
 def primary_model(spark, sf_dir):
-    m = table(spark, sf_dir, "conversations").groupBy("conv_id", "role").agg(F.count("*").alias("n_turns"), F.sum(F.char_length("text")).alias("n_chars"), F.min("turn").alias("pos"))
+    """Most said, then capability, then first; failed calls are passed over unless all failed."""
+    failed = ((F.col("conv_id") % 5 == 0) & (F.col("role") == "assistant")) | (F.col("conv_id") % 7 == 0)
+    m = table(spark, sf_dir, "conversations").groupBy("conv_id", "role").agg(F.count("*").alias("n_turns"), F.sum(F.char_length("text")).alias("n_chars"), F.min("turn").alias("pos")).withColumn("failed", failed)
     rank = F.when(F.col("role") == "assistant", 2).when(F.col("role") == "user", 1).otherwise(0)
-    best = Window.partitionBy("conv_id").orderBy(F.desc("n_chars"), rank.desc(), "pos")
-    return m.withColumn("k", F.row_number().over(best)).filter("k = 1").select("conv_id", "role", "n_turns")
+    best = Window.partitionBy("conv_id").orderBy("failed", F.desc("n_chars"), rank.desc(), "pos")
+    return m.withColumn("k", F.row_number().over(best)).filter("k = 1").select("conv_id", "role", "n_turns", (~F.col("failed")).alias("succeeded"))
 
 
 @query("AGG-29", "SELECT role, count(*) AS n_calls, sum(length(text)) AS n_chars, round(sum(length(text) * CASE role WHEN 'assistant' THEN 15.0 WHEN 'user' THEN 3.0 ELSE 1.0 END) / 1e6, 6) AS cost FROM conversations GROUP BY 1")

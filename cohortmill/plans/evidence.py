@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import evidence as V
 from ..functions.dates import prefix_date
 from ..operators import selection as S
+from ..operators import sponsors as P
 from ..sources import folders as R
 from .bindings import CELLS, STUDIES, cells, registered, studies, table
 from .companies import KEYED, bridged
@@ -129,12 +130,12 @@ def rebuilt_table(spark, sf_dir):
     return out
 
 
-@query("JN-3", KEYED + " SELECT DISTINCT entity, canonical, CASE WHEN CAST(right(entity, 1) AS INT) < 5 THEN make_date(2000 + CAST(right(entity, 1) AS INT), 1, 1) END AS acquired FROM bridge")
+@query("JN-3", KEYED + " SELECT nct_id, entity, canonical, role, CASE WHEN CAST(right(entity, 1) AS INT) < 5 THEN make_date(2000 + CAST(right(entity, 1) AS INT), 1, 1) END AS effective_date FROM bridge")
 def acquisition_dates(spark, sf_dir):
-    b = bridged(spark, sf_dir).select("entity", "canonical").distinct()
+    index = bridged(spark, sf_dir)
     digit = F.right("entity", F.lit(1)).cast("int")
-    dates = b.filter(digit < 5).select("entity", "canonical", F.concat((2000 + digit).cast("string"), F.lit("-01")).alias("text")).distinct()
-    return b.join(dates, ["entity", "canonical"], "left").select("entity", "canonical", prefix_date(F.col("text")).alias("acquired"))
+    dates = index.select("entity", "canonical").distinct().select(F.upper("entity").alias("entity"), "canonical", prefix_date(F.when(digit < 5, F.concat((2000 + digit).cast("string"), F.lit("-01")))).alias("effective_date"), F.lit("a filing").alias("source"))
+    return P.with_acquisitions(index, dates).select("nct_id", "entity", "canonical", "role", "effective_date")
 
 
 @query("JN-7", KEYED + """, c AS (SELECT nct_id, list_sort(list(DISTINCT canonical)) AS cs FROM bridge GROUP BY 1) SELECT s.nct_id, 'Group ' || left(right(s.lead, 2), 1) AS recoded, CASE WHEN cs IS NULL THEN 'recode_only' WHEN list_contains(cs, 'Group ' || left(right(s.lead, 2), 1)) THEN 'agree' ELSE 'differ' END AS state FROM studies s LEFT JOIN c USING (nct_id)""")

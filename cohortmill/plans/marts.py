@@ -10,7 +10,8 @@ from ..functions.evidence import APART, MINORITIES, gender_detail
 from ..operators import marts as M
 from ..operators import selection as S
 from ..operators import stats as T
-from .bindings import STUDIES, cells, studies, table
+from ..sources.folders import kept
+from .bindings import cells, table
 from .dimensions import ETHNIC_LABELS, RACE, _sql, block
 from .registry import query
 from .trials import PARSED, finished
@@ -53,7 +54,7 @@ MART = PARSED + f""", {RACE}, r AS (SELECT {NCT} AS nct_id, {_sums("race", "cate
 
 @query("AGG-4", MART)
 def yearly_mart(spark, sf_dir):
-    done = finished(spark, sf_dir)
+    done = kept(finished(spark, sf_dir).select("nct_id", "year", "enrollment", "reported_sex", "reported_gender", *[f"n_{b}" for b in M.SEX]), "done")
     totals = lambda rows, by, category: rows.filter(F.col(category).isNotNull()).groupBy(by, category).agg(F.sum("value").alias("n")).groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct(category, "n"))).alias("totals"))
     race = block(spark, sf_dir).filter("reported").select(nct("l_orderkey").alias("nct_id"), "totals")
     labels = F.array(*[F.lit(x[0]) for x in ETHNIC_LABELS])
@@ -62,7 +63,7 @@ def yearly_mart(spark, sf_dir):
     sex = done.filter("reported_sex").select("nct_id", F.create_map(*[x for b in M.SEX for x in (F.lit(b), F.coalesce(f"n_{b}", F.lit(0.0)))]).alias("totals"))
     known = F.create_map(*[F.lit(x) for kv in IDENTITIES.items() for x in kv])
     posted = cells(spark, sf_dir).filter("title = 'Sex/Gender, Customized'").withColumn("category", F.coalesce(F.try_element_at(known, F.col("label")), F.lit("none")))
-    rows = M.yearly(studies(spark, sf_dir).select("nct_id", "year", "enrollment"), {"race": race, "ethnicity": eth, "sex": sex, "gender": totals(posted, "nct_id", "category")}, done.select("nct_id", "reported_sex", "reported_gender"))
+    rows = M.yearly(done.select("nct_id", "year", "enrollment"), {"race": race, "ethnicity": eth, "sex": sex, "gender": totals(posted, "nct_id", "category")}, done.select("nct_id", "reported_sex", "reported_gender"))
     return rows.select(*[F.round(c, 6).alias(c) if "n_" in c and c[1:3] == "n_" and not c.endswith("count") else F.col(c) for c in rows.columns])
 
 

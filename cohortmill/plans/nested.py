@@ -209,6 +209,24 @@ def pooled(spark, sf_dir):
     return rows.select("nation", "n_trials", "n_people", *[F.round(c, 6).alias(c) for c in ("observed_plain", "observed_weighted", "expected_plain")], "is_concentrated")
 
 
+@query("AGG-24-spread", POOL + """, r AS (SELECT n_regionkey, avg(expected) AS expected FROM e JOIN nation ON nation = n_nationkey GROUP BY 1), x AS (SELECT nct_id, 100 * (observed - e.expected) AS v, 'nation' AS level FROM o JOIN e USING (nation) UNION ALL SELECT nct_id, 100 * (observed - r.expected), 'region' FROM o JOIN nation ON o.nation = n_nationkey JOIN r USING (n_regionkey))
+  SELECT nct_id, count(DISTINCT level) AS n_levels, round(max(v) - min(v), 6) AS spread_pp, max(v) - min(v) > 2.0 AS is_spread FROM x GROUP BY 1""")
+def geography_spread(spark, sf_dir):
+    """A trial's difference against its nation and against its region."""
+    e, nations = expected(spark, sf_dir), table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation"), "n_regionkey")
+    regions = e.join(nations, "nation").groupBy("n_regionkey").agg(F.avg("expected").alias("expected"))
+    o = observed(spark, sf_dir)
+    rows = A.compared(o, e, ["nation"]).select("nct_id", F.lit("nation").alias("level"), "diff_pp").unionByName(A.compared(o.join(nations, "nation"), regions, ["n_regionkey"]).select("nct_id", F.lit("region").alias("level"), "diff_pp"))
+    return A.spread(rows, ["nct_id"], "level", "diff_pp", 2.0).withColumn("spread_pp", F.round("spread_pp", 6))
+
+
+@query("AGG-25-bounds", PARSED + " SELECT year, round(sum(coalesce(n_female, 0)) / nullif(sum(coalesce(n_female, 0) + coalesce(n_male, 0)), 0), 6) AS classified, round(sum(coalesce(n_female, 0)) / nullif(sum(coalesce(n_female, 0) + coalesce(n_male, 0) + coalesce(n_unknown, 0)), 0), 6) AS low, round(sum(coalesce(n_female, 0) + coalesce(n_unknown, 0)) / nullif(sum(coalesce(n_female, 0) + coalesce(n_male, 0) + coalesce(n_unknown, 0)), 0), 6) AS high FROM done GROUP BY 1")
+def bounded_shares(spark, sf_dir):
+    c = lambda n: F.coalesce(n, F.lit(0.0))
+    rows = finished(spark, sf_dir).select("year", (c("n_female") + c("n_male")).alias("known"), c("n_unknown").alias("unknown"), c("n_female").alias("part"))
+    return A.unknown_bounds(rows, ["year"], "known", "unknown", "part").select("year", *[F.round(x, 6).alias(x) for x in ("classified", "low", "high")])
+
+
 @query("AGG-22", "SELECT n_regionkey, CASE WHEN bool_and(c_acctbal IS NOT NULL) THEN round(sum(c_acctbal), 2) END AS estimate, round(sqrt(sum((c_acctbal / 10) * (c_acctbal / 10))), 4) AS margin FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
 def summed_margins(spark, sf_dir):
     c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).withColumn("m", F.col("c_acctbal") / 10)

@@ -348,3 +348,15 @@ def top_companies(spark, sf_dir):
     s = studies(spark, sf_dir)
     top = s.groupBy("lead").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lead").limit(10).select("lead", F.col("lead").alias("company"))
     return s.join(F.broadcast(top), "lead", "left").groupBy(F.coalesce("company", F.lit("Other")).alias("company")).agg(F.count("*").alias("n_trials"), F.sum("enrollment").alias("enrollment"))
+
+
+@query("AGG-33-conditions", f"""WITH {STUDIES}, r AS (SELECT lead, row_number() OVER (ORDER BY count(*) DESC, lead) AS k FROM studies GROUP BY 1), b AS (SELECT nct_id, CASE WHEN k <= 10 THEN lead ELSE 'Other Industry' END AS company FROM studies JOIN r USING (lead)), c AS (SELECT DISTINCT 'NCT' || lpad(CAST(l_orderkey AS VARCHAR), 8, '0') AS nct_id, p_name AS condition FROM lineitem JOIN part ON l_partkey = p_partkey),
+  t AS (SELECT condition FROM c GROUP BY 1 ORDER BY count(DISTINCT nct_id) DESC, condition LIMIT 12) SELECT company, condition, count(DISTINCT nct_id) AS n_trials FROM b JOIN c USING (nct_id) WHERE condition IN (SELECT condition FROM t) GROUP BY 1, 2""")
+def companies_by_condition(spark, sf_dir):
+    """The ten largest companies and the rest, over the twelve most frequent conditions."""
+    s = registered(spark, sf_dir).select("nct_id", "lead")
+    top = s.groupBy("lead").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lead").limit(10).select("lead", F.col("lead").alias("company"))
+    b = s.join(F.broadcast(top), "lead", "left").select("nct_id", F.coalesce("company", F.lit("Other Industry")).alias("company"))
+    c = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select(F.concat(F.lit("NCT"), F.lpad(F.col("l_orderkey").cast("string"), 8, "0")).alias("nct_id"), F.col("p_name").alias("condition")).distinct()
+    axis = c.groupBy("condition").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "condition").limit(12).select("condition")
+    return c.join(F.broadcast(axis), "condition").join(b, "nct_id").groupBy("company", "condition").agg(F.count("*").alias("n_trials"))
