@@ -61,13 +61,13 @@ def printed(sketch: Column) -> Column:
 def with_next(df: DataFrame, carried: list[str], derive: Callable[[DataFrame], DataFrame] = lambda df: df, key: str = "doc_id", tie: str = "text") -> DataFrame:
     """Adds `next`, a struct of the carried columns of the row that follows by descending key.
 
-    Rows go to buckets by the key's quantiles, about BUCKET_ROWS to each but no more than BUCKETS in all. Within a
-    bucket a window finds the next row; the last row gets the first one of the next bucket that has any. Only the
-    first rows' keys, of which there are no more than buckets, are broadcast. derive adds columns, for the rows moved only.
+    Rows go to buckets by the key's quantiles, about BUCKET_ROWS to each. Within a bucket a window finds the next row; the
+    last row gets the first one of the next bucket that has any. The first rows' keys, one a bucket, find their rows by a
+    broadcast while there are at most BUCKETS of them, else by a shuffle. derive adds columns, for the rows moved only.
     """
     stats = df.agg(F.count(key).alias("n"), F.min(key).alias("least"), F.percentile_approx(key, [i / CELLS for i in range(CELLS + 1)], 10000).alias("at")).first()
     lows = sorted(set(stats["at"] or [0]))
-    per = min(max(1, -(-stats["n"] // (len(lows) * BUCKET_ROWS))), BUCKETS // CELLS)
+    per = max(1, -(-stats["n"] // (len(lows) * BUCKET_ROWS)))
     widths = [max(1, -(-(b - a) // per)) for a, b in zip(lows, [*lows[1:], lows[-1] + 1])]
     low, width = (F.array(*[F.lit(x).cast("long") for x in xs]) for xs in (lows, widths))
     placed = df.withColumn("at", F.coalesce(F.col(key), F.lit((stats["least"] or 0) - 1)))
@@ -75,7 +75,8 @@ def with_next(df: DataFrame, carried: list[str], derive: Callable[[DataFrame], D
     placed = placed.withColumn("sub", F.floor((F.col("at") - F.get(low, F.col("cell"))) / F.get(width, F.col("cell"))))
     tops = placed.groupBy("cell", "sub").agg(F.max("at").alias("at"))
     first = Window.partitionBy("cell", "sub").orderBy("h")
-    heads = placed.join(F.broadcast(tops), ["cell", "sub", "at"]).withColumn("h", F.xxhash64(tie)).withColumn("nth", F.row_number().over(first)).filter("nth = 1")
+    few = F.broadcast(tops) if per * len(lows) <= BUCKETS else tops
+    heads = placed.join(few, ["cell", "sub", "at"]).withColumn("h", F.xxhash64(tie)).withColumn("nth", F.row_number().over(first)).filter("nth = 1")
     heads = derive(heads).select(F.col("cell").alias("c2"), F.col("sub").alias("s2"), F.struct(*carried).alias("head"))
     cells = tops.groupBy("cell").agg(F.max("sub").alias("top"))
     down = Window.orderBy(F.desc("cell"))  # over the cells, CELLS + 1 rows at most
