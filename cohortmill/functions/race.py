@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.folders import kept
 from .fuzzy import closest
 from .labels import clean_label, label_key
 
@@ -328,8 +329,10 @@ def race_categories(labels: DataFrame, column: str) -> DataFrame:
     every = F.concat(piece("whole", F.array(F.lower(text))), piece("joined", joined), piece("comma", comma), piece("slash", slashes), piece("heritage", inherited))
     rows = base.select(column, F.explode(every).alias("p")).select(column, "p.*")
     short = F.create_map(*[F.lit(x) for kv in SHORT_RACES.items() for x in kv])
-    s = single(plain(F.col("piece")))
-    read = rows.join(_vocabulary(spark, VOCABULARY, "piece"), "piece", "left").withColumn("s", F.when(F.col("v_category").isNull(), s))
+    # each distinct piece is read once, and written, so that nothing evaluates its rules again
+    known = rows.select("piece").distinct().join(_vocabulary(spark, VOCABULARY, "piece"), "piece", "left")
+    known = kept(known.withColumn("s", F.when(F.col("v_category").isNull(), single(plain(F.col("piece"))))), "label-pieces")
+    read = rows.join(known, "piece")
     race = F.coalesce("v_category", "s.category", F.when(F.col("kind") == "heritage", F.try_element_at(short, F.col("piece"))))
     kind = lambda k: F.col("kind") == k
     specific = F.when(F.col("race").isin(*SPECIFIC), F.col("race"))

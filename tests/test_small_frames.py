@@ -107,5 +107,5 @@ def test_lines_and_parts(spark, tmp_path):
     rows = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
     assert [r["position"] for r in R.numbered(rows, ["k"]).orderBy("k").collect()] == list(range(1000))
     one = spark.createDataFrame([("s1", 0, 2), ("s2", 1, 2)], "stamp string, part int, total int")
-    assert not R.mixed_runs(one, ["stamp"], "part", "total").first()["is_one_run"]
+    assert not R.mixed_runs(one, [], ["stamp"], "part", "total").first()["is_one_run"]
     assert [r["s"] for r in spark.createDataFrame([("NCT00000017",), ("X1",)], "i string").select(R.shard_of(F.col("i"), 5).alias("s")).collect()] == [2, None]
