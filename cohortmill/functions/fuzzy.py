@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .labels import label_key
+
 
 def indel_ratio(a: str, b: str) -> float:
     """200 * common subsequence / total length."""
@@ -35,7 +37,8 @@ def token_set_ratio(a: str, b: str) -> float:
 
 
 def closest(labels: DataFrame, column: str, words: list[tuple[str, str]], least: float, text: Column | None = None, ratio: Callable[[str, str], float] = indel_ratio) -> DataFrame:
-    """(column, outcome, ratio) of every distinct label: the outcome of the closest word if that is close enough; ties go to the later word by alphabet."""
+    """(column, outcome, ratio) of every distinct label: the outcome of the closest word if that is close enough; ties go to the later word by alphabet.
+    text: what is compared, by default the label in lower case without footnote marks."""
     outcomes = dict(words)
 
     @F.pandas_udf("struct<outcome string, ratio double>")
@@ -46,5 +49,5 @@ def closest(labels: DataFrame, column: str, words: list[tuple[str, str]], least:
             found.append((outcomes[word] if score >= least else None, score))
         return pd.DataFrame(found, columns=["outcome", "ratio"])
 
-    text = F.col(column) if text is None else text
+    text = label_key(F.col(column)) if text is None else text
     return labels.select(column).distinct().select(column, nearest(F.coalesce(text, F.lit(""))).alias("x")).select(column, "x.*")

@@ -294,7 +294,7 @@ def ethnicity_categories(labels: DataFrame, column: str) -> DataFrame:
     base = labels.select(column).filter(F.col(column).isNotNull()).distinct().select(column, F.lower(text).alias("whole"), bare.alias("bare"), race_row.alias("race_row"))
     a, b = _vocabulary(spark, ETHNICITY, "whole"), _vocabulary(spark, ETHNICITY, "low").withColumnsRenamed({"v_category": "b_category", "v_subcategory": "b_subcategory"})
     known = base.withColumn("low", F.lower("bare")).join(a, "whole", "left").join(b, "low", "left")
-    rest = closest(known.filter("v_category is null and b_category is null and not race_row"), "bare", [(w, w) for w, _, _ in _words(ETHNICITY)], 85.0)
+    rest = closest(known.filter("v_category is null and b_category is null and not race_row"), "bare", [(w, w) for w, _, _ in _words(ETHNICITY)], 85.0, F.col("bare"))
     near = _vocabulary(spark, ETHNICITY, "near").withColumnsRenamed({"v_category": "n_category", "v_subcategory": "n_subcategory"})
     out = known.join(rest.withColumn("near", F.lower("outcome")), "bare", "left").join(near, "near", "left")
     as_posted = F.lower("bare") == F.col("whole")  # the guard is for labels that lost some wording

@@ -250,11 +250,17 @@ def match_tiers(spark, sf_dir):
     return both.select("s_suppkey", F.when(F.lower("s_name") == F.lower("theirs"), "exact").when(key("s_name") == key("theirs"), "legal_form_differs").otherwise("no_match").alias("tier"))
 
 
-@query("JN-19", "SELECT doc_id, contains(regexp_replace(text, '\\s+', ' ', 'g'), CASE WHEN doc_id % 2 = 0 THEN regexp_replace(substr(text, 11, 30), '\\s+', ' ', 'g') ELSE 'no such quote' END) AS stands FROM documents")
+@query("JN-19", r"""WITH q AS (SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN 'no such quote' ELSE trim(regexp_replace(substr(text, 11, 40), '\s+', ' ', 'g')) END AS quote, CASE WHEN doc_id % 3 = 1 THEN doc_id + 1 ELSE doc_id END AS source FROM documents)
+  SELECT q.doc_id, q.source, CASE WHEN d.doc_id IS NULL THEN 'source_not_held' WHEN quote <> '' AND contains(regexp_replace(d.text, '\s+', ' ', 'g'), quote) THEN 'stands' ELSE 'not_found' END AS state FROM q LEFT JOIN documents d ON d.doc_id = q.source""")
 def verified_quotes(spark, sf_dir):
+    """Statements with a quote and the document they name as its source: its own, the next one, or words that stand nowhere."""
     squash = lambda c: F.regexp_replace(c, r"\s+", " ")
-    quotes = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 2 == 0, squash(F.substring("text", 11, 30))).otherwise("no such quote").alias("quote"))
-    return table(spark, sf_dir, "documents").join(quotes, "doc_id", "left").select("doc_id", squash(F.col("text")).contains(F.col("quote")).alias("stands"))
+    d, i = table(spark, sf_dir, "documents").select("doc_id", "text"), F.col("doc_id") % 3
+    quotes = d.select("doc_id", F.when(i == 2, "no such quote").otherwise(F.trim(squash(F.substring("text", 11, 40)))).alias("quote"), F.when(i == 1, F.col("doc_id") + 1).otherwise(F.col("doc_id")).alias("source"))
+    held = d.select(F.col("doc_id").alias("source"), squash("text").alias("held"))
+    both = quotes.join(held.withColumn("here", F.lit(True)), "source", "left")
+    stands = (F.col("quote") != "") & F.col("held").contains(F.col("quote"))
+    return both.select("doc_id", "source", F.when(F.col("here").isNull(), "source_not_held").when(stands, "stands").otherwise("not_found").alias("state"))
 
 
 @query("JN-28", r"""WITH p AS (SELECT doc_id, count(*) AS n_lines, count_if(regexp_matches(line, 'License')) AS n_license FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY 1) SELECT d.doc_id, d.source, n_lines, n_license, CASE WHEN n_license > 0 THEN 'licensed' ELSE 'plain' END AS type, quality IS NOT NULL AS reviewed FROM documents d LEFT JOIN p USING (doc_id) LEFT JOIN labels USING (doc_id)""")

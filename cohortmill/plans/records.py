@@ -216,11 +216,14 @@ def split_consistency(spark, sf_dir):
     return S.split_problems({"a": a, "b": b}, 4)
 
 
-@query("DQ-15", "WITH b AS (SELECT DISTINCT p_size AS lo FROM part), n AS (SELECT lo, lead(lo) OVER (ORDER BY lo) AS nxt FROM b) SELECT lo, nxt, nxt IS NULL OR nxt = lo + 1 AS tiles FROM n")
+@query("DQ-15", """WITH b AS (SELECT DISTINCT p_partkey % 2 AS sex, p_size AS lo FROM part WHERE NOT (p_partkey % 2 = 1 AND p_size % 11 = 0)), n AS (SELECT sex, lo, lead(lo) OVER (PARTITION BY sex ORDER BY lo) AS nxt, count(*) OVER (PARTITION BY lo) AS sexes, min(lo) OVER (PARTITION BY sex) AS first FROM b)
+  SELECT sex, lo, nxt, nxt IS NULL OR nxt = lo + 1 AS tiles, sexes = 2 AS in_both FROM n""")
 def tiling(spark, sf_dir):
-    bands = table(spark, sf_dir, "part").select(F.col("p_size").alias("lo")).distinct()
-    nxt = F.lead("lo").over(Window.orderBy("lo"))  # as many rows as bands
-    return bands.select("lo", nxt.alias("nxt")).withColumn("tiles", F.col("nxt").isNull() | (F.col("nxt") == F.col("lo") + 1))
+    """Age bands by sex: each begins where the one before ends, and both sexes have it; one sex lacks every eleventh band."""
+    bands = table(spark, sf_dir, "part").select((F.col("p_partkey") % 2).alias("sex"), F.col("p_size").alias("lo")).filter("not (sex = 1 and lo % 11 = 0)").distinct()
+    nxt = F.lead("lo").over(Window.partitionBy("sex").orderBy("lo"))  # as many rows as bands
+    rows = bands.withColumns({"nxt": nxt, "sexes": F.count("*").over(Window.partitionBy("lo"))})
+    return rows.select("sex", "lo", "nxt", (F.col("nxt").isNull() | (F.col("nxt") == F.col("lo") + 1)).alias("tiles"), (F.col("sexes") == 2).alias("in_both"))
 
 
 @query("STR-2", "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
