@@ -186,6 +186,17 @@ def references(spark, sf_dir):
     return out
 
 
+@query("DQ-4-sums", """WITH c AS (SELECT c_nationkey AS entity, c_mktsegment AS class, count(*) + CASE WHEN c_nationkey % 5 = 0 AND c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS n FROM customer GROUP BY 1, 2), w AS (SELECT c_nationkey AS entity, count(*) AS total, CASE WHEN c_nationkey % 7 = 0 THEN 'people' ELSE 'customers' END AS denominator FROM customer GROUP BY 1),
+  s AS (SELECT w.*, coalesce(sum(n), 0) AS summed FROM w LEFT JOIN c USING (entity) GROUP BY ALL) SELECT entity, unnest(list_filter([CASE WHEN summed <> total THEN 'classes_do_not_add_up' END, CASE WHEN denominator <> 'customers' THEN 'unknown_denominator' END], lambda x: x IS NOT NULL)) AS problem FROM s""")
+def class_sums(spark, sf_dir):
+    """Published totals against the sums of their classes, each total with a denominator that has a definition; some nations are wrong in either."""
+    c, k = table(spark, sf_dir, "customer"), F.col("entity")
+    classes = c.groupBy(F.col("c_nationkey").alias("entity"), F.col("c_mktsegment").alias("class")).agg(F.count("*").alias("n"))
+    classes = classes.withColumn("n", F.col("n") + F.when((k % 5 == 0) & (F.col("class") == "BUILDING"), 1).otherwise(0))
+    totals = c.groupBy(F.col("c_nationkey").alias("entity")).agg(F.count("*").alias("total")).withColumn("denominator", F.when(k % 7 == 0, "people").otherwise("customers"))
+    return S.sum_problems(totals, classes, "entity", ["customers"])
+
+
 @query("DQ-9", f"""WITH {STUDIES}, a AS (SELECT year, count(*) AS n FROM studies GROUP BY 1), p AS (SELECT CASE WHEN year % 3 = 0 THEN year + 100 ELSE year END AS year, CASE WHEN year % 3 = 1 THEN n + 1 ELSE n END AS n FROM a)
   SELECT coalesce(a.year, p.year) AS year, a.n AS counted, p.n AS published FROM a FULL JOIN p ON a.year = p.year WHERE a.n IS DISTINCT FROM p.n""")
 def recount(spark, sf_dir):

@@ -133,3 +133,10 @@ def split_problems(classes: dict[str, DataFrame], shards: int) -> DataFrame:
     missing = [F.when(~F.array_contains("names", name), F.lit(f"missing_in_{name}")) for name in classes]
     found = F.array_compact(F.array(F.when(F.col("n") > F.col("k"), "in_several_shards").when(F.col("astray"), "in_another_shard"), *missing))
     return ids.select("nct_id", F.explode(found).alias("problem"))
+
+
+def sum_problems(totals: DataFrame, classes: DataFrame, key: str, denominators: list[str]) -> DataFrame:
+    """(key, problem): totals (key, total, denominator) that their classes (key, n) do not add up to, or whose denominator has no definition."""
+    summed = classes.groupBy(key).agg(F.sum("n").alias("_sum"))
+    found = F.array_compact(F.array(F.when(F.col("total") != F.coalesce("_sum", F.lit(0)), "classes_do_not_add_up"), F.when(~F.coalesce(F.col("denominator").isin(denominators), F.lit(False)), "unknown_denominator")))
+    return totals.join(summed, key, "left").select(key, F.explode(found).alias("problem"))
