@@ -80,7 +80,7 @@ def contrasts(rows: DataFrame, bucket: str, reference: str, y: str, xs: list[str
 def fit_quality(rows: DataFrame, y: str, xs: list[str]) -> DataFrame:
     """n, r2 and adjusted r2 of one pooled fit; columns that depend on others do not count as regressors in the solution, but in k."""
     one = least_squares(rows.withColumn("_all", F.lit("all")), ["_all"], y, xs).filter("term = 'intercept'")
-    return one.select("n", "r2", (1 - (1 - F.col("r2")) * (F.col("n") - 1) / (F.col("n") - len(xs) - 1)).alias("adj_r2"))
+    return one.select("n", "r2", (1 - F.try_divide((1 - F.col("r2")) * (F.col("n") - 1), F.col("n") - len(xs) - 1)).alias("adj_r2"))
 
 
 def poisson_weights(keys: np.ndarray, resamples: int) -> np.ndarray:
@@ -127,7 +127,7 @@ def bootstrap_mean(rows: DataFrame, by: str, value: str, weight: str, key: str,
         yield from flush()
 
     keyed = rows.filter(F.col(value).isNotNull() & F.col(weight).isNotNull()).select(F.col(by), F.col(value).cast("double").alias(value), F.col(weight).cast("double").alias(weight), F.xxhash64(key).alias("_k"))
-    means = keyed.mapInPandas(draw, sums).groupBy(by, "draw").agg((F.sum("cv") / F.sum("c")).alias("m"), F.try_divide(F.sum("wv"), F.sum("w")).alias("wm"))
+    means = keyed.mapInPandas(draw, sums).groupBy(by, "draw").agg(F.try_divide(F.sum("cv"), F.sum("c")).alias("m"), F.try_divide(F.sum("wv"), F.sum("w")).alias("wm"))
     ends = [F.round(F.percentile(c, F.lit(q)), 6).alias(name) for c, q, name in (("m", 0.025, "low"), ("m", 0.975, "high"), ("wm", 0.025, "weighted_low"), ("wm", 0.975, "weighted_high"))]
     interval = means.groupBy(by).agg(*ends)
     plain = rows.filter(F.col(value).isNotNull()).groupBy(by).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.try_divide(F.sum(F.col(value) * F.col(weight)), F.sum(weight)).alias("weighted_mean"))
