@@ -273,11 +273,23 @@ def label_inventory(spark, sf_dir):
     return rows.withColumns({"bucket": L.sex_bucket(F.col("label")), "reason": L.unmapped_reason(F.col("label"))})
 
 
-@query("AGG-17", PARSED + """ SELECT 'reported_any' AS metric, count_if(reported_any) AS numerator, count(*) AS denominator, 'all trials' AS denominator_name FROM done
-  UNION ALL SELECT 'reported_sex', count_if(reported_sex), count_if(reported_any), 'reporting trials' FROM done UNION ALL SELECT 'has_enrollment', count(enrollment), count(*), 'all trials' FROM done""")
+#: Every published count: its condition, the name of what it is a part of, and what it means. The denominators are conditions of their own.
+DENOMINATORS = {"all trials": "true", "reporting trials": "reported_any", "trials with a table": "measure_title is not null", "counting trials": "reported_sex and is_participant_count"}
+METRICS = [
+    ("reported_any", "reported_any", "all trials", "any sex or gender is reported"), ("reported_sex", "reported_sex", "reporting trials", "female or male are counted"), ("reported_gender", "reported_gender", "reporting trials", "a gender identity is counted"),
+    ("reported_both", "reported_sex and reported_gender", "reporting trials", "both are counted"), ("has_table", "measure_title is not null", "all trials", "a sex or gender table is posted"), ("several_tables", "n_measures > 1", "trials with a table", "more than one such table is posted"),
+    ("not_people", "not is_participant_count", "trials with a table", "the table counts something else than people"), ("explicit_unknown", "n_unknown > 0", "trials with a table", "unknown is counted as such"), ("unknown_only", "status = 'explicit_unknown_only'", "trials with a table", "nothing but unknown is counted"),
+    ("mostly_female", "percent_female > 50", "counting trials", "more than half of the counted are female"), ("all_female", "percent_female = 100", "counting trials", "all of the counted are female"), ("has_enrollment", "enrollment is not null", "all trials", "an enrolment is registered"),
+    ("counts_all", "enrollment = n_total_parsed", "trials with a table", "as many are counted as were enrolled"),
+]
+
+
+@query("AGG-17", PARSED + ", c AS (SELECT " + ", ".join([f"count_if({c}) AS m{i}" for i, (_, c, _, _) in enumerate(METRICS)] + [f"count_if({c}) AS d{i}" for i, c in enumerate(DENOMINATORS.values())]) + " FROM done) SELECT unnest([" + ", ".join(f"'{m}'" for m, *_ in METRICS) + "]) AS metric, unnest([" + ", ".join(f"m{i}" for i in range(len(METRICS))) + "]) AS numerator, unnest([" + ", ".join(f"d{list(DENOMINATORS).index(d)}" for _, _, d, _ in METRICS) + "]) AS denominator, unnest([" + ", ".join(f"'{d}'" for _, _, d, _ in METRICS) + "]) AS denominator_name, unnest([" + ", ".join(f"'{t}'" for *_, t in METRICS) + "]) AS definition FROM c")
 def metric_ledger(spark, sf_dir):
-    one = finished(spark, sf_dir).agg(F.count_if("reported_any").alias("a"), F.count_if("reported_sex").alias("s"), F.count("enrollment").alias("e"), F.count("*").alias("n"))
-    return one.selectExpr("stack(3, 'reported_any', a, n, 'all trials', 'reported_sex', s, a, 'reporting trials', 'has_enrollment', e, n, 'all trials') as (metric, numerator, denominator, denominator_name)")
+    """One pass over the trials; each number comes with the name of its denominator and a definition."""
+    counts = [F.count_if(F.coalesce(F.expr(c), F.lit(False))).alias(f"m{i}") for i, (_, c, _, _) in enumerate(METRICS)] + [F.count_if(F.coalesce(F.expr(c), F.lit(False))).alias(f"d{i}") for i, c in enumerate(DENOMINATORS.values())]
+    rows = ", ".join(f"'{m}', m{i}, d{list(DENOMINATORS).index(d)}, '{d}', '{t}'" for i, (m, _, d, t) in enumerate(METRICS))
+    return finished(spark, sf_dir).agg(*counts).selectExpr(f"stack({len(METRICS)}, {rows}) as (metric, numerator, denominator, denominator_name, definition)")
 
 
 @query("WIN-2", f"WITH {STUDIES} SELECT nct_id, results_date FROM studies ORDER BY results_date DESC, nct_id DESC LIMIT 500")
