@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .bpe import byte_encoder
 from .shared import slices, stored, text_column
 
-ROOM, END, BROADCAST_PARTS = 2048, 50256, 4096
+ROOM, END, BROADCAST_ROWS = 2048, 50256, 2_000_000
 SEQUENCES = "sequence long, ids binary, n_tokens int, cu_seqlens array<int>, position_resets array<int>, doc_ids array<long>, starts array<long>"
 Groups = list[tuple[tuple[int, ...], int]]
 
@@ -115,15 +115,15 @@ def histogram(pieces: DataFrame, room: int) -> np.ndarray:
 def placed(pieces: DataFrame, made: Groups, wide: bool = False) -> DataFrame:
     """The pieces (with length, part, and nth among the part's pieces of that length) with sequence_id and offset in place of part and nth.
 
-    Each part has one row that says where its ranks of every length begin. wide: the pieces carry ids, so those rows, of at most
-    `room` numbers each, are broadcast while there are at most BROADCAST_PARTS of them, and the ids are shuffled once; beyond, twice."""
+    wide: the pieces carry ids, so where the ranks of a part and length begin is broadcast while that is at most BROADCAST_ROWS rows,
+    and the ids are shuffled once; beyond, twice."""
     table = pieces.sparkSession.sparkContext.broadcast(places(made))  # a row for each group of sequences and length: by the lengths, not the pieces
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
-    bases = sizes.select("part", F.struct("length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")).alias("x"))
-    bases = stored(bases.groupBy("part").agg(F.map_from_entries(F.collect_list("x")).alias("bases")), "bases")
-    if wide and bases.count() <= BROADCAST_PARTS:
-        bases = F.broadcast(bases)
+    bases = sizes.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    if wide:
+        bases = stored(bases, "bases")
+        bases = F.broadcast(bases) if bases.count() <= BROADCAST_ROWS else bases
 
     @F.pandas_udf("sequence_id long, offset long")
     def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
@@ -131,8 +131,7 @@ def placed(pieces: DataFrame, made: Groups, wide: bool = False) -> DataFrame:
         at = np.searchsorted(t["key"], length.to_numpy() << 48 | rank.to_numpy(), side="right") - 1
         return pd.DataFrame({"sequence_id": t["first"][at] + rank.to_numpy() - t["rank"][at], "offset": t["offset"][at]})
 
-    rank = F.element_at("bases", F.col("length")) + F.col("nth")
-    ranked = pieces.join(bases, "part").withColumn("place", place(F.col("length"), rank))
+    ranked = pieces.join(bases, ["part", "length"]).withColumn("place", place(F.col("length"), F.col("base") + F.col("nth")))
     return ranked.select(*(c for c in pieces.columns if c not in ("part", "nth")), "place.sequence_id", "place.offset")
 
 
