@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bytebpe, lm, minhash, packing, quality, rollup, sketch, tokens, topk, toxicity
+from . import bytebpe, lm, minhash, packing, phrases, quality, rollup, sketch, tokens, topk, toxicity, urltree, variants
 from .shared import shared_dir, stored
 
 #: The documents table has no addresses: its source stands for the host, a language within it for the path.
 HOST, PATH = "source", "lang"
+#: What the filter of addresses is told.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,5 +74,17 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_balltree_topk, op2_token_packing, op3_bagminhash_dedup, op4_pattern_packing, op5_threshold_sketch, op6_token_rollup, op7_hierarchical_quality, op8_cross_entropy_difference, op9_toxicity_chain, op10_byte_bpe)}
+def op11_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_permuterm_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(table(spark, sf_dir, "documents"))
+
+
+def op13_path_template_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urltree.verdicts(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+QUERIES = {f.__name__: f for f in (op1_balltree_topk, op2_token_packing, op3_bagminhash_dedup, op4_pattern_packing, op5_threshold_sketch, op6_token_rollup, op7_hierarchical_quality, op8_cross_entropy_difference, op9_toxicity_chain, op10_byte_bpe, op11_phrase_automata, op12_permuterm_variants, op13_path_template_filter)}
 ORACLES: dict[str, str] = {}
