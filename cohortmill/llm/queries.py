@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import bytebpe, lm, minhash, packing, phrases, quality, rollup, sketch, tokens, topk, toxicity, urltree, variants
 from .shared import shared_dir, stored
+from .sql import PHRASES, URLS
 
 #: The documents table has no addresses: its source stands for the host, a language within it for the path.
 HOST, PATH = "source", "lang"
@@ -87,4 +88,4 @@ def op13_path_template_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_balltree_topk, op2_token_packing, op3_bagminhash_dedup, op4_pattern_packing, op5_threshold_sketch, op6_token_rollup, op7_hierarchical_quality, op8_cross_entropy_difference, op9_toxicity_chain, op10_byte_bpe, op11_phrase_automata, op12_permuterm_variants, op13_path_template_filter)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_phrase_automata": PHRASES, "op13_path_template_filter": URLS}
