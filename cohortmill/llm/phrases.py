@@ -161,8 +161,8 @@ def registered(up: np.ndarray, at: np.ndarray, label: np.ndarray, weight: np.nda
         return number, np.zeros(0, np.int64), np.zeros(0, np.int64)
     starts = np.flatnonzero(np.r_[True, up[1:] != up[:-1]])
     state, size = up[starts], np.diff(np.r_[starts, len(up)])
-    arc = mixed(mixed(label.astype(U) * U(3) + U(1)) + mixed(weight.astype(U) * U(5) + U(2)) + mixed(target.astype(U) * U(7) + U(3)))
-    first, second = np.add.reduceat(arc, starts), np.add.reduceat(mixed(arc ^ U(0x9E3779B97F4A7C15)), starts)
+    arcs = [mixed(mixed(mixed(label.astype(U) + U(k)) * U(3) + weight.astype(U)) * U(5) + target.astype(U)) for k in (1, 2**63)]
+    first, second = (np.add.reduceat(arc, starts) for arc in arcs)
     order = np.lexsort((second, first, at[state]))
     a, b, r = first[order], second[order], at[state][order]
     fresh = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (r[1:] != r[:-1])]

@@ -122,6 +122,15 @@ def test_equal_states_are_kept_once():
     assert (len(back.c1), len(back.c2), len(back.c3)) == (len(trie.c1), len(trie.c2), len(trie.c3)) and back.c1.sum() == trie.c1.sum()
 
 
+def test_states_with_label_and_count_exchanged_differ():
+    """Signatures tell (label a, count b) from (label c, count d), whatever these are."""
+    n = 40
+    label, weight = (x.ravel() for x in np.meshgrid(np.arange(n), np.arange(1, n + 1)))
+    states = np.arange(len(label))
+    number, arcs, sizes = phrases.registered(states, np.zeros(len(label), np.int64), label, weight, np.zeros(len(label), np.int64), len(label))
+    assert len(set(number)) == len(arcs) == len(label) and set(sizes) == {1}
+
+
 def test_variants(odd):
     want = brute_variants([(r.doc_id, r.text) for r in odd.collect()])
     assert rows(variants.grouped(odd)) == want
