@@ -7,7 +7,9 @@ with their weights summed. Candidates are composed with the united transducers t
 
 A prefix of two words has its place on a ring of hashes, and the words that follow it are spread over the next 1/64 of
 the ring, so that no prefix, however common, stays in one range once there are many. Words are compared by their bytes;
-hashes only say where a count is kept. A task holds one shard (8 MB of text) or one range (the n-grams of about 8 MB).
+hashes only say where a count is kept. A task counts SHARD bytes of text at a time and holds their transducers, cut
+coarsely, until they come to HELD bytes; then it unites them and cuts them finely. A range has the n-grams of about
+RANGE_BYTES of text. Rows shipped are at most input^2 / (HELD * RANGE_BYTES): raise both with the executors' memory.
 
 Null texts count as empty, a null lang as `und`. Repeated rows count each time. A text of any length is cut into shards
 with two words of overlap, and an n-gram counts where its last word is new. Equal scores and counts go by the phrase's
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 from .pretok import mixed, ragged, slice_hashes
 from .shared import slices, stored, text_column
 
-LEAST, TOP, SHARD, RANGE_BYTES, RANGES, SALTS = 10, 2000, 8 << 20, 8 << 20, 32, 16
+LEAST, TOP, SALTS = 10, 2000, 16
+SHARD, HELD, RANGE_BYTES, RANGES, COARSE = 2 << 20, 32 << 20, 4 << 20, 32, 32
 U = np.uint64
 LOW = 2**32 - 1
 #: Byte classes: of a word, between words, between pieces.
@@ -359,14 +362,25 @@ def answered(model: Trie, blob: bytes, share: int) -> pa.RecordBatch:
     return pa.concat_batches([pa.RecordBatch.from_arrays(p, columns) for p in parts])
 
 
-def models(documents: DataFrame, least: int, limit: int, ranges: int) -> DataFrame:
+def models(documents: DataFrame, least: int, limit: int, ranges: int, most: int = HELD) -> DataFrame:
     """range, data (the united transducer of the n-grams counted at least so often), totals (each language's words)."""
 
+    def finely(held: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
+        for blobs in held.values():
+            trie = united([unfolded(b) for b in blobs])
+            yield rows(list(transducers(trie, Ring.of(trie.symbols, ranges))))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {}
+        size = 0
         for trie in shards(batches, limit):
-            pairs = list(transducers(trie, Ring.of(trie.symbols, ranges)))
-            if pairs:
-                yield rows(pairs)
+            for place, blob in transducers(trie, Ring.of(trie.symbols, COARSE)):
+                held.setdefault(place, []).append(blob)
+                size += len(blob)
+            if size > most:
+                yield from finely(held)
+                held, size = {}, 0
+        yield from finely(held)
 
     def unite(group: pa.Table) -> pa.Table:
         trie = united([unfolded(b) for b in group.column("data").to_pylist()])
