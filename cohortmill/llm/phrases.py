@@ -5,6 +5,9 @@ as a trie whose arcs carry counts. As sorted order leaves a prefix its state is
 transducer are kept once. Transducers are cut by prefix range, shipped as one row a shard and range, and united there
 with their weights summed. Candidates are composed with the united transducers to look up the counts of their parts.
 
+One and two words are counted first. A phrase of three is no more frequent than its pairs, so three words are counted only
+where the hashes of both pairs are among those of frequent pairs: an array of at most 2^26 bits, which is broadcast.
+
 A prefix of two words has its place on a ring of hashes, and the words that follow it are spread over the next 1/64 of
 the ring, so that no prefix, however common, stays in one range once there are many. Words are compared by their bytes;
 hashes only say where a count is kept. A task counts SHARD bytes of text at a time and holds their transducers, cut
@@ -24,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +35,7 @@ from .pretok import mixed, ragged, slice_hashes
 from .shared import slices, stored, text_column
 
 LEAST, TOP, SALTS = 10, 2000, 16
-SHARD, HELD, RANGE_BYTES, RANGES, COARSE = 2 << 20, 32 << 20, 4 << 20, 32, 32
+SHARD, HELD, RANGE_BYTES, RANGES, COARSE, MOST_BITS = 2 << 20, 32 << 20, 4 << 20, 32, 32, 26
 U = np.uint64
 LOW = 2**32 - 1
 #: Byte classes: of a word, between words, between pieces.
@@ -77,8 +81,10 @@ def level(up: np.ndarray, word: np.ndarray, count: np.ndarray) -> tuple[np.ndarr
     return key >> 32, key & LOW, np.bincount(to, count, len(key)).astype(np.int64), to
 
 
-def counted(data: np.ndarray, at: np.ndarray, skip: np.ndarray, langs: pa.Array) -> Trie:
-    """The n-grams of texts data[at[i]:at[i + 1]] under langs[i], without those whose last word is among a text's first skip[i]."""
+def counted(data: np.ndarray, at: np.ndarray, skip: np.ndarray, langs: pa.Array, pairs: np.ndarray | None = None) -> Trie:
+    """The n-grams of texts data[at[i]:at[i + 1]] under langs[i], without those whose last word is among a text's first skip[i].
+
+    One and two words; or, given the bits of frequent pairs, three words of which both pairs may be frequent."""
     data = LOWER[data]
     kind = CLASS[data]
     inside = kind == WORD
@@ -96,12 +102,23 @@ def counted(data: np.ndarray, at: np.ndarray, skip: np.ndarray, langs: pa.Array)
     lang, w1, c1, to1 = level(lang, word, new)
     two = np.flatnonzero(piece[:-1] == piece[1:])
     up2, w2, c2, to2 = level(to1[two], word[two + 1], new[two + 1])
-    place = np.full(n, -1)
-    place[two] = to2
-    three = two[np.flatnonzero(place[np.minimum(two + 1, n - 1)] >= 0)] if n else two
+    none = np.zeros(0, np.int64)
+    if pairs is None:
+        return Trie(encoded.dictionary, lang, w1, c1, up2, w2, c2, none, none, none)
+    ring = Ring.of(encoded.dictionary, 1)
+    frequent = np.zeros(n, bool)  # whether a frequent pair may begin at a word
+    place = np.zeros(n, np.int64)
+    frequent[two], place[two] = held(pairs, ring.two(ring.one(lang, w1)[up2], w2))[to2], to2
+    three = np.flatnonzero(frequent[:-1] & frequent[1:] & (np.arange(1, n) < n - 1)) if n else none
     three = three[new[three + 2]]
     up3, w3, c3, _ = level(place[three], word[three + 2], np.ones(len(three)))
-    return Trie(encoded.dictionary, lang, w1, c1, up2, w2, c2, up3, w3, c3)
+    return Trie(encoded.dictionary, lang, w1, np.zeros_like(c1), up2, w2, np.zeros_like(c2), up3, w3, c3)
+
+
+def held(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether each hash's bit is set in an array of 2^k bytes of 8 bits."""
+    at = hashes >> U(64 - (8 * len(bits)).bit_length() + 1)
+    return (bits[(at >> U(3)).astype(np.int64)] >> (at & U(7)).astype(np.uint8) & np.uint8(1)).astype(bool)
 
 
 def united(tries: list[Trie]) -> Trie:
@@ -277,7 +294,7 @@ def windows(text: np.ndarray, limit: int) -> Iterator[tuple[int, int, int]]:
         start, skip, done = (int(words[0]) if len(words) else end), len(words), end
 
 
-def shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Trie]:
+def shards(batches: Iterator[pa.RecordBatch], limit: int, pairs: np.ndarray | None = None) -> Iterator[Trie]:
     """Texts of about `limit` bytes counted at a time."""
     for batch in slices(batches, limit=limit):
         texts, langs = batch.column("text").cast(pa.large_binary()), batch.column("lang")
@@ -285,9 +302,9 @@ def shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Trie]:
         if batch.num_rows == 1 and ends[0] - starts[0] > limit:
             text = data[starts[0] : ends[0]]
             for a, b, skip in windows(text, limit):
-                yield counted(text[a:b], np.array([0, b - a]), np.array([skip]), langs)
+                yield counted(text[a:b], np.array([0, b - a]), np.array([skip]), langs, pairs)
         else:
-            yield counted(data[starts[0] : ends[-1]], np.r_[starts, ends[-1]] - starts[0], np.zeros(len(starts), np.int64), langs)
+            yield counted(data[starts[0] : ends[-1]], np.r_[starts, ends[-1]] - starts[0], np.zeros(len(starts), np.int64), langs, pairs)
 
 
 def rows(pairs: list[tuple[int, bytes]], name: str = "data") -> pa.RecordBatch:
@@ -362,25 +379,27 @@ def answered(model: Trie, blob: bytes, share: int) -> pa.RecordBatch:
     return pa.concat_batches([pa.RecordBatch.from_arrays(p, columns) for p in parts])
 
 
-def models(documents: DataFrame, least: int, limit: int, ranges: int, most: int = HELD) -> DataFrame:
-    """range, data (the united transducer of the n-grams counted at least so often), totals (each language's words)."""
+def models(documents: DataFrame, least: int, limit: int, ranges: int, most: int = HELD, bits: Broadcast | None = None) -> DataFrame:
+    """range, data (the united transducer of the n-grams counted at least so often), totals (each language's words).
 
-    def finely(held: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
-        for blobs in held.values():
+    One and two words; or, given the bits of frequent pairs, three words."""
+
+    def finely(kept: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
+        for blobs in kept.values():
             trie = united([unfolded(b) for b in blobs])
             yield rows(list(transducers(trie, Ring.of(trie.symbols, ranges))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[bytes]] = {}
+        kept: dict[int, list[bytes]] = {}
         size = 0
-        for trie in shards(batches, limit):
+        for trie in shards(batches, limit, None if bits is None else np.frombuffer(bits.value, np.uint8)):
             for place, blob in transducers(trie, Ring.of(trie.symbols, COARSE)):
-                held.setdefault(place, []).append(blob)
+                kept.setdefault(place, []).append(blob)
                 size += len(blob)
             if size > most:
-                yield from finely(held)
-                held, size = {}, 0
-        yield from finely(held)
+                yield from finely(kept)
+                kept, size = {}, 0
+        yield from finely(kept)
 
     def unite(group: pa.Table) -> pa.Table:
         trie = united([unfolded(b) for b in group.column("data").to_pylist()])
@@ -396,7 +415,28 @@ def models(documents: DataFrame, least: int, limit: int, ranges: int, most: int
     return texts.mapInArrow(count, "range long, data binary").groupBy("range").applyInArrow(unite, "range long, data binary, totals map<string, long>")
 
 
-def parts(counts: DataFrame, ranges: int, share: int) -> DataFrame:
+def frequent_pairs(counts: DataFrame, most: int = MOST_BITS) -> bytes:
+    """An array of bits, about 16 for each frequent pair and at most 2^most, with the bits of their hashes set."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column("data"):
+                t = unfolded(blob.as_py())
+                ring = Ring.of(t.symbols, 1)
+                hashes = ring.two(ring.one(t.lang, t.w1)[t.up2], t.w2)[t.c2 > 0]
+                yield pa.RecordBatch.from_arrays([pa.array((hashes >> U(64 - most)).astype(np.int64))], ["h"])
+
+    hashes = counts.filter("data is not null").select("data").mapInArrow(each, "h long")
+    n = hashes.count()
+    k = max(10, min(most, (16 * n).bit_length()))
+    bits = hashes.selectExpr(f"shiftright(h, {most - k}) AS bit")
+    words = bits.selectExpr("shiftright(bit, 6) AS word", "shiftleft(1L, cast(bit % 64 AS int)) AS b").groupBy("word").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(2**k // 64, np.int64)
+    out[words.column("word").to_numpy()] = words.column("b").to_numpy()
+    return out.tobytes()
+
+
+def parts(counts: DataFrame, longer: DataFrame, ranges: int, share: int) -> DataFrame:
     """lang, phrase, a, the counts of the parts of both cuts, whether a longer candidate drops it: rows to be folded by phrase."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -410,9 +450,9 @@ def parts(counts: DataFrame, ranges: int, share: int) -> DataFrame:
         trie = united([unfolded(model.column("data")[0].as_py())])
         return pa.Table.from_batches([answered(trie, b, share) for b in asking.column("asked").to_pylist()])
 
-    held = counts.filter("data is not null").select("range", "data")
-    asking = held.select("data").mapInArrow(ask, "range long, asked binary")
-    return asking.groupBy("range").cogroup(held.groupBy("range")).applyInArrow(lambda x, y: answer(x, y) if x.num_rows else empty(), ANSWER)
+    model = counts.filter("data is not null").select("range", "data")
+    asking = model.select("data").unionByName(longer.filter("data is not null").select("data")).mapInArrow(ask, "range long, asked binary")
+    return asking.groupBy("range").cogroup(model.groupBy("range")).applyInArrow(lambda x, y: answer(x, y) if x.num_rows else empty(), ANSWER)
 
 
 def empty() -> pa.Table:
@@ -432,8 +472,11 @@ def collocations(documents: DataFrame, least: int = LEAST, top: int = TOP, share
     least: of a phrase's count. share: a phrase is dropped where a longer candidate that holds it has so many hundredths of its count."""
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(RANGES, -(-size // RANGE_BYTES))
-    counts = stored(models(documents, least, limit, ranges), "phrases")
-    folded = parts(counts, ranges, share).groupBy("lang", "phrase").agg(*[F.max(c).alias(c) for c in ("a", "l1", "r1", "l2", "r2", "gone")]).filter("gone is null")
+    counts = stored(models(documents, least, limit, ranges), "pairs")
+    bits = documents.sparkSession.sparkContext.broadcast(frequent_pairs(counts))
+    longer = stored(models(documents, least, limit, ranges, bits=bits), "phrases")
+    bits.destroy()
+    folded = parts(counts, longer, ranges, share).groupBy("lang", "phrase").agg(*[F.max(c).alias(c) for c in ("a", "l1", "r1", "l2", "r2", "gone")]).filter("gone is null")
     scored = folded.withColumn("s1", F.expr(score("l1", "r1"))).withColumn("s2", F.expr(f"case when l2 is not null then {score('l2', 'r2')} end"))
     first = F.col("s2").isNull() | (F.col("s1") <= F.col("s2"))
     chosen = scored.select("lang", "phrase", "a", *[F.when(first, F.col(f"{c}1")).otherwise(F.col(f"{c}2")).alias(c) for c in "lr"], F.when(first, F.col("s1")).otherwise(F.col("s2")).alias("score"))

@@ -115,11 +115,13 @@ def test_equal_states_are_kept_once():
     data = np.frombuffer(text, np.uint8)
     import pyarrow as pa
 
-    trie = phrases.counted(data, np.array([0, len(data)]), np.zeros(1, np.int64), pa.array(["en"]))
+    trie = phrases.counted(data, np.array([0, len(data)]), np.zeros(1, np.int64), pa.array(["en"]), np.full(128, 255, np.uint8))
     ((_, blob),) = phrases.transducers(trie, phrases.Ring.of(trie.symbols, 1))
     assert len(phrases.load(blob, 13)[11]) == 1 and len(trie.c3) == 300
     back = phrases.united([phrases.unfolded(blob)])
-    assert (len(back.c1), len(back.c2), len(back.c3)) == (len(trie.c1), len(trie.c2), len(trie.c3)) and back.c1.sum() == trie.c1.sum()
+    assert (len(back.c1), len(back.c2), len(back.c3)) == (300, 300, 300) and back.c3.sum() == trie.c3.sum() == 300
+    none = phrases.counted(data, np.array([0, len(data)]), np.zeros(1, np.int64), pa.array(["en"]), np.zeros(128, np.uint8))
+    assert not len(none.c3)
 
 
 def test_states_with_label_and_count_exchanged_differ():
