@@ -278,8 +278,15 @@ class WordEncoder(Encoder):
         return ids
 
 
+#: Lower case of letters that Python may not know yet: of some, and of ranges by a distance.
+NEW_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+NEW_LOWER |= {cp: cp + 0x20 for cp in range(0x10D50, 0x10D66)} | {cp: cp + 0x1B for cp in range(0x16EA0, 0x16EB9)}
+
+
 def _lower(text: str) -> str:
     """Lower case letter by letter: without the special form of a final sigma."""
+    if not text.isascii():
+        text = text.translate(NEW_LOWER)
     return "".join(map(str.lower, text)) if "Σ" in text else text.lower()
 
 

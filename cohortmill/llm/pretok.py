@@ -15,6 +15,12 @@ from dataclasses import dataclass
 import numpy as np
 
 LETTER, NUMBER, OTHER, SPACE, BLANK = range(5)
+#: Letters and numbers that the tokenizers' libraries know (Unicode 16), and Python may not know yet; first and last of each range.
+NEW_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5),
+    (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+NEW_NUMBERS = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)]
 #: The codepoints that regular expressions over Unicode call white space, without the plain space.
 BLANKS = (0x9, 0xA, 0xB, 0xC, 0xD, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 #: What may follow an apostrophe to make a token of its own.
@@ -35,6 +41,9 @@ def classes() -> np.ndarray:
         kind = unicodedata.category(chr(cp))[0]
         if kind in "LN":
             table[cp] = LETTER if kind == "L" else NUMBER
+    for ranges, kind in ((NEW_LETTERS, LETTER), (NEW_NUMBERS, NUMBER)):
+        for first, last in ranges:
+            table[first : last + 1] = kind
     table[list(BLANKS)] = BLANK
     table[32] = SPACE
     return table

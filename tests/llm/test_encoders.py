@@ -64,6 +64,16 @@ def test_any_text(byte, word, texts):
     assert data.tobytes() == "".join(texts).encode()
 
 
+def test_every_code_point(byte, word):
+    """Both encoders know the same letters, numbers and lower case as the libraries; alone, between letters, and after a space."""
+    points = [cp for cp in range(0x110000) if not 0xD800 <= cp < 0xE000 and (cp < 0x14400 or 0x16000 <= cp < 0x20000 or cp % 97 == 0)]
+    texts = ["".join(f"a{chr(cp)}b {chr(cp)}1{chr(cp)}! " for cp in points[i : i + 4]) for i in range(0, len(points), 4)]
+    for i in range(0, len(texts), 8000):
+        some = texts[i : i + 8000]
+        assert split(*byte[0].encode(some)) == [byte[1].encode_ordinary(t) for t in some]
+        assert split(*word[0].encode(some)) == [e.ids for e in word[1].encode_batch(some, add_special_tokens=False)]
+
+
 def test_added_tokens_in_a_text(word):
     own, library = word
     texts = ["<|endoftext|>", "a<|startoftext|>B c<|endoftext|><|endoftext|> d", "<|ENDOFTEXT|>", "e\u0301<|endoftext|>\u0301", "", "plain", "<|endof<|endoftext|>text|>"]
