@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import clean_label
-from ..functions.race import SPECIFIC, plain
+from ..functions.race import SPECIFIC
+from ..functions.racegrammar import plain
 
 #: Wordings of the rules below.
 ASIAN_AND_PACIFIC = r"^(?:asians?(?: americans?)?\s*(?:&|\+|and)\s*(?:native )?(?:hawaiians?|pacific).*|(?:native )?(?:hawaiians?|(?:other )?pacific islanders?)[^&+]*?\s*(?:&|\+|and)\s*asians?(?: americans?)?)$"

@@ -22,13 +22,38 @@ from .trials import PARSED, finished
 RACE_LABELS = [
     ("White", "white", None, "vocabulary"), ("Black or African American", "black_african_american", None, "vocabulary"), ("Asian", "asian", None, "vocabulary"), ("Other race", "other", None, "vocabulary"), ("Unknown/Not-Reported", "unknown_not_reported", None, "vocabulary"), ("White, %", "white", None, "vocabulary"),
     ("Caucasin", "white", None, "fuzzy_match"), ("White - Arabic/North African Heritage", "white", "middle_eastern_north_african", "mena_label"), ("Arab ethnicity", "white", "middle_eastern_arab", "mena_label"), ("Middle Eastern or North African", "white", "middle_eastern_north_african", "mena_label"), ("White/Middle Eastern", "white", None, "slash_normalized"),
-    ("North American Native", "american_indian_alaska_native", None, "aian_label"), ("American (Amer) Indian (Ind) or Alaska Native (N)", "american_indian_alaska_native", None, "aian_label"), ("Navajo", "american_indian_alaska_native", None, "aian_label"), ("Indigenous Mayan", "american_indian_alaska_native", None, "aian_label"), ("Indigenous African", "other", None, "unmapped"),
+    ("North American Native", "american_indian_alaska_native", None, "aian_label"), ("American (Amer) Indian (Ind) or Alaska Native (N)", "american_indian_alaska_native", None, "aian_label"), ("Navajo", "american_indian_alaska_native", None, "aian_label"), ("Indigenous Mayan", "american_indian_alaska_native", None, "aian_label"), ("Indigenous African", "black_african_american", "african", "black_label"),
     ("Native American or Pacific Islander", "other", None, "unmapped"), ("Hawaiian or Pacific Islander", "native_hawaiian_pacific_islander", None, "nhpi_label"), ("Native Hawaiians", "native_hawaiian_pacific_islander", "native_hawaiian", "nhpi_label"), ("Guamanian or Chamorro", "native_hawaiian_pacific_islander", "guamanian_chamorro", "nhpi_label"), ("Maori", "native_hawaiian_pacific_islander", None, "nhpi_label"),
     ("Native Hawaiian or Other", "other", None, "unmapped"), ("Tonga", "other", None, "unmapped"), ("Asian/Pacific Islander", "asian", None, "asian_pacific_grouped"), ("Asian, Native Hawaiian, or Other Pacific Islander", "asian", None, "asian_pacific_grouped"), ("Asian and Pacific Islander", "asian", None, "asian_pacific_grouped"),
     ("African American/African Heritage & White - White/Caucasian/European Heritage", "more_than_one_race", None, "heritage_label"), ("Black/African American and White", "more_than_one_race", None, "multirace_label"), ("Mixed: White and Black", "more_than_one_race", None, "multirace_label"), ("Asian or Asian British", "asian", None, "uk_census_label"), ("Black or Black British", "black_african_american", None, "uk_census_label"),
     ("White British", "white", None, "uk_census_label"), ("Mixed or Multiple Ethnic Groups", "more_than_one_race", None, "uk_census_label"), ("White British or Other ethnic group", "other", None, "unmapped"), ("White/African/American", "white", None, "slash_normalized"), ("Chinese/Indian", "asian", "chinese", "slash_normalized"), ("German", "white", "european", "european_label"),
     ("Eastern European descent", "white", "european_eastern", "european_label"), ("South East Asian", "asian", "southeast_asian", "asian_label"), ("Chinese or Japanese", "asian", "east_asian", "asian_label"), ("Black African", "black_african_american", "african", "black_label"), ("Haitian or Jamaican", "black_african_american", "caribbean", "black_label"),
     ("Non-Hispanic White", "white", None, "split_from_combined"), ("Black or African American (not Hispanic)", "black_african_american", None, "split_from_combined"), ("Hispanic or Latino", "other", None, "unmapped"), ("West Asian", "other", None, "unmapped"), ("Cohort A", None, None, "unmapped"), ("Condom", None, None, "unmapped"),
+    ("White - Caucasian / European Heritage", "white", None, "heritage_label"), ("White-Caucasian/ European heritage, n (%)", "white", None, "heritage_label"), ("Wt-Wt/Caucasian (Ca.)/European (Eu.) H.", "white", None, "heritage_label"), ("White(Wh)-Wh/Caucasian(Ca)/European(Eu)Heritage(H)", "white", None, "heritage_label"),
+    ("White, European Heritage", "white", "european", "heritage_label"), ("White Heritage", "white", None, "heritage_label"), ("Asian - East Asian Heritage", "asian", "east_asian", "heritage_label"), ("Asian-East Asian H", "asian", "east_asian", "heritage_label"),
+    ("Asian - South East Asian Heritage", "asian", "southeast_asian", "heritage_label"), ("Asian - Japanese Heritage", "asian", "japanese", "heritage_label"), ("Asian - Chinese Heritage", "asian", "chinese", "heritage_label"), ("Asian - Central/South Asian Heritage", "asian", None, "heritage_label"),
+    ("East/South East Asian heritage", "asian", None, "heritage_label"), ("Japanese H./East Asian H./SouthEast Asian H.", "asian", None, "heritage_label"), ("Japanese Heritage", "asian", "japanese", "heritage_label"), ("White-Arabic/NA H and white/caucasia/European H", "white", None, "heritage_label"),
+    ("JAPANESE HERITAGE(H)/EAST A H/SOUTH EAST A H", "asian", None, "heritage_label"), ("Black, of African Heritage", "black_african_american", "african", "heritage_label"), ("Black of African heritage", "black_african_american", "african", "heritage_label"), ("Asian; South East Asian Heritage", "asian", "southeast_asian", "heritage_label"),
+    ("Asian-South East Asian Heritag", "asian", "southeast_asian", "heritage_label"), ("Black or African Heritage", "black_african_american", None, "heritage_label"), ("African American (Af Am)/African Heritage (Af Ht)", "black_african_american", None, "heritage_label"), ("American Indian/ Alaska native Heritage", "american_indian_alaska_native", None, "heritage_label"),
+    ("Mixed Heritage", "more_than_one_race", None, "heritage_label"), ("African American/African Heritage & White", "more_than_one_race", None, "heritage_label"), ("African American/ African and White Heritage", "more_than_one_race", None, "heritage_label"), ("American Indian/Alaskan Native and White Heritage", "more_than_one_race", None, "heritage_label"),
+    ("Multiple-Afr Amer/Afr Her/Amer Ind or Al N", "more_than_one_race", None, "heritage_label"), ("Multiple-Black/AA and White/Caucasian/EU H", "more_than_one_race", None, "heritage_label"), ("Asian - East Asian and White Heritage", "more_than_one_race", None, "heritage_label"), ("AA/African Heritage and AI or AN and White", "more_than_one_race", None, "heritage_label"),
+    ("Af Am/Af Her & White", "more_than_one_race", None, "heritage_label"), ("Asian Heritage and Native Hawaiian Heritage", "more_than_one_race", None, "heritage_label"), ("Asian Heritage and Pacific Islander Heritage", "more_than_one_race", None, "heritage_label"), ("Asian Heritage and Other Pacific Islander Heritage", "more_than_one_race", None, "heritage_label"),
+    ("African Amer/African Heritage/Amer Ind or Alaska N", "other", None, "unmapped"), ("African - White / Caucasian Heritage", "other", None, "unmapped"), ("Mixed Heritage or Other", "other", None, "unmapped"), ("Af Amer/White Heritage", "other", None, "unmapped"),
+    ("American/African Heritage", "other", None, "unmapped"), ("Mixed-Heritage or Other", "other", None, "unmapped"), ("Mixed-Heritage Unknown", "other", None, "unmapped"), ("Multiple-Heritage Refused", None, None, "unmapped"),
+    ("Multiple-Heritage N/A", None, None, "unmapped"), ("Multiple-White-Refused Heritage", "other", None, "unmapped"), ("Multiple-African American-NA Heritage", "other", None, "unmapped"), ("American Indian or Alaska Native-NA Heritage", "other", None, "unmapped"),
+    ("White - Caucasian-NA Heritage", "other", None, "unmapped"), ("White - (N/A) Heritage", "other", None, "unmapped"), ("Asian - (Unk) Heritage", "other", None, "unmapped"), ("Multiple-White-(N/A) Heritage", "other", None, "unmapped"),
+    ("American Indian or Alaska Native-NA H", "other", None, "unmapped"), ("African American-NA H", "other", None, "unmapped"), ("Native Hawaiian or Other Pacific Islander-Unk H", "other", None, "unmapped"), ("White - Refused Heritage", "other", None, "unmapped"),
+    ("White - N/A Heritage", "other", None, "unmapped"), ("White - NA Heritage", "other", None, "unmapped"), ("Asian - Unk Heritage", "other", None, "unmapped"), ("Non-European heritage", None, None, "unmapped"),
+    ("White - White/Caucasian/European Heritage", "white", None, "slash_normalized"), ("African American/African Heritage", "black_african_american", "african_american", "slash_normalized"), ("Japanese/East Asian HER/South East Asian HER", "asian", "japanese", "slash_normalized"), ("American Indian or Alaska Native & White", "more_than_one_race", None, "multirace_label"),
+    ("Black or African American & White", "more_than_one_race", None, "multirace_label"), ("Asian and White", "more_than_one_race", None, "multirace_label"), ("White + Asian", "more_than_one_race", None, "multirace_label"), ("Black/African American and White/Caucasian", "more_than_one_race", None, "multirace_label"),
+    ("American Indian/Alaska Native and Asian and White", "more_than_one_race", None, "multirace_label"), ("Asian & Native Hawaiian or Other Pacific Islander", "more_than_one_race", None, "multirace_label"), ("Black & Middle Eastern/North African", "more_than_one_race", None, "multirace_label"), ("Multiple-Black or African American and White", "more_than_one_race", None, "multirace_label"),
+    ("Multiple - Asian, White", "more_than_one_race", None, "multirace_label"), ("Mixed (Black/White)", "more_than_one_race", None, "multirace_label"), ("Mixed: Black/Indian", "more_than_one_race", None, "multirace_label"), ("Multiracial: black/white/native", "more_than_one_race", None, "multirace_label"),
+    ("More Than One Race (Black/African American, White and American Indian/Alaska Native)", "more_than_one_race", None, "multirace_label"), ("MULTIPLE-ASIAN & BLACK OR AFRICAN AMERICAN", "more_than_one_race", None, "multirace_label"), ("Caucasian, Black, and Asian", "more_than_one_race", None, "multirace_label"), ("American Indian and Alaska Native and White", "more_than_one_race", None, "multirace_label"),
+    ("African-American/Black, Hispanic, and Caucasian/White", "more_than_one_race", None, "multirace_label"), ("Asian or Asian British (Indian)", "asian", "south_asian_indian", "uk_census_label"), ("British African", "black_african_american", "african", "uk_census_label"), ("Asian or Asian British - Pakistani", "asian", "south_asian_pakistani", "uk_census_label"),
+    ("British Indian", "asian", "south_asian_indian", "uk_census_label"), ("British or Asian Pakistani", "asian", "south_asian_pakistani", "uk_census_label"), ("Asian, Asian British or Asian Welsh", "asian", None, "uk_census_label"), ("Asian or Asian British (Indian or Other)", "asian", None, "uk_census_label"),
+    ("White (British, Irish, Other)", "white", None, "uk_census_label"), ("White - Caucasian European Heritage", "white", "european", "heritage_label"), ("African/American", "black_african_american", "african_american", "black_label"), ("African/American or Indian", "black_african_american", "african", "slash_normalized"),
+    ("Native Hawaiian/Pacific Islander Hispanic", "native_hawaiian_pacific_islander", None, "split_from_combined"), ("Hispanic/Black", "black_african_american", None, "split_from_combined"), ("Latine White", "white", None, "split_from_combined"), ("Asian American", "asian", None, "asian_label"),
+    ("Javanese", "asian", "southeast_asian_indonesian", "asian_label"), ("Asian American/Pacific Islander", "asian", None, "asian_pacific_grouped"), ("Asian and Native Hawaiian or Pacific Islander", "more_than_one_race", None, "multirace_label"),
 ]
 ETHNIC_LABELS = [("Hispanic or Latino", "hispanic_latino"), ("Not Hispanic or Latino", "not_hispanic_latino"), ("Non-Hispanic", "not_hispanic_latino"), ("Unknown", "unknown_not_reported"), ("Total", None)]
 ETHNIC_CASES = [
