@@ -311,8 +311,8 @@ def race_categories(labels: DataFrame, column: str) -> DataFrame:
         F.max(F.when(kind("label"), F.struct("category", "subcategory", "confidence", "flag"))).alias("label"), F.collect_set(F.when(kind("joined"), alone)).alias("joined_races"),
         F.count_if(kind("joined") & alone.isNull() & ~passed).alias("joined_unread"), F.collect_set(F.when(kind("comma"), listing)).alias("listed"), F.count_if(kind("comma") & (listing.isNull() & ~passed | F.col("piece").rlike("(?i)^or "))).alias("listed_unread"),
     )
-    out = base.join(plain, "_label").join(inherited, "_label", "left")
-    several_races = F.when(F.col("several"), F.size(F.array_remove("joined_races", "more_than_one_race")) >= 2).otherwise((F.size("joined_races") >= 2) & (F.col("joined_unread") == 0))
+    out = base.join(plain, "_label", "left").join(inherited, "_label", "left")
+    several_races = F.coalesce(F.when(F.col("several"), F.size(F.array_remove("joined_races", "more_than_one_race")) >= 2).otherwise((F.size("joined_races") >= 2) & (F.col("joined_unread") == 0)), F.lit(False))
     tailed = (F.col("tails") > 0) & (F.col("tails_unread") == 0)
     combined = F.coalesce(F.when(F.col("tails") > 0, tailed).otherwise(~F.col("joint") & (F.size("part_races") >= 2) & (F.col("parts_unread") == 0)), F.lit(False))
     early = F.coalesce(F.col("label.flag").isin("vocabulary", "mena_label", "aian_label", "nhpi_label", "asian_pacific_grouped"), F.lit(False))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.folders import kept
+
 
 def changes(before: DataFrame, now: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Added, removed and changed keys with both values; equal ones are left out."""
@@ -64,6 +66,41 @@ def upsert(state: DataFrame, heads: DataFrame, key: str, revision: str, withdraw
     return both.select(key, "held", "offered", action.alias("action"))
 
 
+def supersession(records: DataFrame, rounds: int = 64) -> DataFrame:
+    """records: id, replaces (the id that it supersedes, or null), withdrawn. (id, head, depth, state) of every id, each once.
+
+    head: the last record of the chain that begins with the id, found by doubling pointers, so that chains of any length take steps in the
+    logarithm of it; each round is written. depth: how many records lie between. state: current (nothing replaces it), superseded, withdrawn (the head
+    is a tombstone), or quarantined: the id lies on a cycle or leads into one, or into an id that several records replace, or is itself given twice with
+    different contents. A record that replaces itself or an id that is not there is quarantined; what it names is left as it is."""
+    given = records.select("id", "replaces", F.coalesce("withdrawn", F.lit(False)).alias("withdrawn")).distinct()
+    once = given.groupBy("id").agg(F.count("*").alias("_n"), F.min("replaces").alias("replaces"), F.bool_or("withdrawn").alias("withdrawn"))
+    there = once.select(F.col("id").alias("replaces"), F.lit(True).alias("_there"))
+    once = once.join(there, "replaces", "left").withColumn("_stray", (F.col("_n") > 1) | F.coalesce(F.col("replaces") == F.col("id"), F.lit(False)) | (F.col("replaces").isNotNull() & F.col("_there").isNull()))
+    by = once.filter("replaces is not null and not _stray").groupBy(F.col("replaces").alias("id")).agg(F.count("*").alias("_by"), F.min("id").alias("_next"))
+    links = once.join(by, "id", "left").select("id", "withdrawn", (F.col("_stray") | (F.coalesce("_by", F.lit(0)) > 1)).alias("bad"), F.when(F.col("_by") == 1, F.col("_next")).alias("next"))
+    links = kept(links.select("id", "withdrawn", "bad", "next", F.when(F.col("next").isNotNull(), 1).otherwise(0).cast("long").alias("depth"), F.coalesce("next", "id").alias("head")), "chains")
+    todo = links.filter("next is not null").count()
+    longest = 1
+    while longest <= todo and rounds:  # a chain has as many links as there are records at most; what still moves then goes round
+        ahead = links.select(F.col("id").alias("head"), F.col("head").alias("_head"), F.col("depth").alias("_depth"), F.col("bad").alias("_bad"), F.col("next").isNotNull().alias("_on"))
+        stepped = links.join(ahead, "head", "left").select("id", "withdrawn", (F.col("bad") | F.coalesce("_bad", F.lit(False))).alias("bad"), "next", (F.col("depth") + F.when(F.col("_on"), F.col("_depth")).otherwise(0)).alias("depth"), F.coalesce("_head", "head").alias("head"))
+        links, longest, rounds = kept(stepped, "chains"), longest * 2, rounds - 1
+    ends = links.select(F.col("id").alias("head"), F.col("next").isNotNull().alias("_round"), F.col("withdrawn").alias("_gone"), F.col("bad").alias("_end_bad"))
+    out = links.join(ends, "head", "left")
+    bad = F.col("bad") | F.coalesce("_round", F.lit(False)) | F.coalesce("_end_bad", F.lit(False))
+    state = F.when(bad, "quarantined").when(F.coalesce("_gone", F.lit(False)), "withdrawn").when(F.col("head") == F.col("id"), "current").otherwise("superseded")
+    return out.select("id", F.when(~bad, F.col("head")).alias("head"), F.when(~bad, F.col("depth")).alias("depth"), state.alias("state"))
+
+
+def appended(history: DataFrame, now: DataFrame, batch: str) -> DataFrame:
+    """The rows that a batch adds to an append-only history of (id, head, state): ids whose head or state is new. A batch sent again adds nothing."""
+    last = Window.partitionBy("id").orderBy(F.desc("batch"))
+    held = history.withColumn("_k", F.row_number().over(last)).filter("_k = 1").select("id", F.col("head").alias("_head"), F.col("state").alias("_state"), F.lit(True).alias("_held"))
+    fresh = now.join(held, "id", "left").filter(F.col("_held").isNull() | ~F.col("head").eqNullSafe(F.col("_head")) | (F.col("state") != F.col("_state")))
+    return fresh.select("id", "head", "state", F.lit(batch).alias("batch"))
+
+
 def retention(dates: DataFrame, latest: Column, epoch: str, fortnights: int) -> DataFrame:
     """Snapshots to keep: the earliest of each of the newest fortnights, and the newest of each month these leave uncovered."""
     old = dates.select("date").distinct().filter(F.col("date") < latest).withColumns({"fortnight": F.floor(F.datediff("date", F.lit(epoch).cast("date")) / 14), "month": F.date_format("date", "yyyy-MM")})

@@ -156,16 +156,52 @@ def differences(left: DataFrame, right: DataFrame, key: str, fields: list[str])
     return both.select(F.col(f"a.{key}").alias(key), F.explode(F.filter(pairs, lambda x: ~x["listed"].eqNullSafe(x["official"]))).alias("x")).select(key, "x.*")
 
 
+GRAM, MOST_KEYWORDS = 3, 50_000
+
+
+def keyword_rows(ontology: dict[str, dict[str, list[str]]]) -> list[tuple[str, str, str, int]]:
+    """(keyword, primary, secondary, position) of an ontology of primary, secondary and keywords: a keyword's last categories hold, in its first place."""
+    found: dict[str, tuple[str, str]] = {}
+    for primary, secondaries in ontology.items():
+        for secondary, words in secondaries.items():
+            for word in words:
+                found[word.lower()] = (primary, secondary)
+    return [(w, *c, i) for i, (w, c) in enumerate(found.items())]
+
+
+def plain_condition(text: Column) -> Column:
+    """Lower case; punctuation but hyphens and slashes, and white space, as single spaces."""
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"(?U)[^\w\s/-]", " "), r"(?U)\s+", " "))
+
+
+def keyword_hits(texts: DataFrame, text: str, plain: str, keywords: DataFrame) -> DataFrame:
+    """(text, keyword, ...) wherever a keyword stands in a plain text, also within a word.
+
+    Texts and keywords meet by equality of the keyword's first GRAM letters (all of a shorter one); what follows is compared then. A place of a text
+    travels with as many letters as the longest keyword has, so that long texts cost no more than their length."""
+    longest = keywords.agg(F.max(F.length("keyword"))).first()[0] or 0
+    size = F.length(plain)
+    places = texts.select(text, plain, F.explode(F.when(size > 0, F.sequence(F.lit(1), size))).alias("_i"))
+    places = places.select(text, F.substring(plain, F.col("_i"), F.lit(longest)).alias("_rest"))
+    grams = F.array_distinct(F.array(*[F.substring("_rest", F.lit(1), F.lit(n)) for n in range(1, GRAM + 1)]))
+    places = places.select(text, "_rest", F.explode(grams).alias("_gram")).distinct()
+    return places.join(keywords.withColumn("_gram", F.left("keyword", F.lit(GRAM))), "_gram").filter(F.startswith("_rest", "keyword")).drop("_gram", "_rest")
+
+
 def longest_keyword(items: DataFrame, text: str, keywords: DataFrame, least: float = 85.0) -> DataFrame:
-    """items with (primary, secondary) of the longest keyword that stands in the text as whole words, else of the keyword whose words
-    resemble it most (a token-set ratio of `least`), else Other / Uncategorized. keywords: a curated list; it reaches every task that compares."""
-    distinct = items.select(text).distinct()
-    hits = word_runs(distinct, [text], text, run_lengths(keywords, "keyword")).join(keywords.withColumnRenamed("keyword", "run"), "run")
-    best = hits.groupBy(text).agg(F.max(F.struct(F.length("run").alias("n"), "run", "primary", "secondary")).alias("x"))
-    words = [(r["keyword"], r["keyword"]) for r in keywords.select("keyword").distinct().collect()]
-    rest = distinct.filter(F.col(text).isNotNull()).join(best, text, "left_anti")
-    near = closest(rest, text, words, least, F.lower(text), token_set_ratio).filter("outcome is not null").select(text, F.col("outcome").alias("keyword"))
-    near = near.join(keywords, "keyword").groupBy(text).agg(F.max(F.struct(F.length("keyword").alias("n"), F.col("keyword").alias("run"), "primary", "secondary")).alias("x"))
+    """items with (primary, secondary) of the longest keyword that stands in the text, within words too, the first by position on ties; else of the
+    keyword whose words resemble it most (a token-set ratio of `least`; ties as before); else Other / Uncategorized.
+
+    keywords: keyword, primary, secondary, position. Those that are compared by likeness reach every task: a curated list of at most MOST_KEYWORDS."""
+    distinct = items.select(text).distinct().withColumn("_plain", plain_condition(F.col(text))).filter("_plain <> ''")
+    order = F.struct(F.length("keyword").alias("n"), (-F.col("position")).alias("p"), "primary", "secondary")
+    best = keyword_hits(distinct, text, "_plain", keywords).groupBy(text).agg(F.max(order).alias("x"))
+    words = [r["keyword"] for r in keywords.select("keyword", "position").distinct().orderBy(F.length("keyword"), F.desc("position")).limit(MOST_KEYWORDS + 1).collect()]
+    if len(words) > MOST_KEYWORDS:
+        raise ValueError(f"over {MOST_KEYWORDS} keywords to compare with")
+    rest = distinct.join(best, text, "left_anti")
+    near = closest(rest, text, [(w, w) for w in words], least, plain_condition(F.col(text)), token_set_ratio, rank={w: i for i, w in enumerate(words)}).filter("outcome is not null").select(text, F.col("outcome").alias("keyword"))
+    near = near.join(keywords, "keyword").groupBy(text).agg(F.max(order).alias("x"))
     joined = items.join(best.unionByName(near), text, "left")
     return joined.select(*items.columns, F.coalesce("x.primary", F.lit("Other")).alias("primary"), F.coalesce("x.secondary", F.lit("Uncategorized")).alias("secondary"))
 

@@ -171,7 +171,7 @@ def breakdowns(spark, sf_dir):
 @query("VOC-18")
 def closest_words(spark, sf_dir):
     """The closest condition keyword to every distinct part name. The ratio is an indel likeness, which DuckDB lacks; the tests hold it against brute force."""
-    return Z.closest(table(spark, sf_dir, "part"), "p_name", [(k, c) for k, c, _ in KEYWORDS], 70.0, label_key(F.col("p_name")))
+    return Z.closest(table(spark, sf_dir, "part"), "p_name", [(k, c) for k, c, _, _ in KEYWORDS], 70.0, label_key(F.col("p_name")))
 
 
 @query("FLT-1", "SELECT p_type, p_size % 3 = 0 AS is_race, p_size % 3 <> 2 AS is_ethnicity, count(*) AS n FROM part GROUP BY 1, 2, 3")

@@ -9,9 +9,17 @@ from ..operators import links as K
 from .bindings import table
 from .registry import query
 
-#: Conditions of the parts' names, with their categories.
-KEYWORDS = [("ring", "Metabolic", "Ring"), ("small ring", "Metabolic", "Small Ring"), ("widget", "Neurology", "Widget"), ("red", "Oncology", "Red"), ("blue", "Oncology", "Blue"), ("gear", "Respiratory", "Gear"), ("steel coil spring", "Surgery", "Spring")]
-KEYWORD_SQL = "kw(keyword, prim, sec) AS (VALUES " + ", ".join(str(k) for k in KEYWORDS) + ")"
+#: Conditions of the parts' names: primary category, secondary, keywords.
+ONTOLOGY = {
+    "Metabolic": {"Ring": ["ring"], "Small Ring": ["small ring"], "Diabetes": ["diabet"]},
+    "Neurology": {"Widget": ["widget"]},
+    "Oncology": {"Red": ["red"], "Blue": ["blue"]},
+    "Respiratory": {"Gear": ["gear"]},
+    "Surgery": {"Spring": ["steel coil spring"]},
+}
+KEYWORDS = K.keyword_rows(ONTOLOGY)
+KEYWORD_SQL = "kw(keyword, prim, sec, pos) AS (VALUES " + ", ".join(str(k) for k in KEYWORDS) + ")"
+KEYWORD_SCHEMA = "keyword string, primary string, secondary string, position int"
 
 
 @query("VOC-19", """SELECT page_id, link, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS link FROM pages) GROUP BY 1, 2""")
@@ -63,21 +71,23 @@ def term_mentions(spark, sf_dir):
     return K.term_mentions(K.sentences(table(spark, sf_dir, "documents"), ["doc_id"], "text"), ["doc_id"], "Licensed|License", "WITHOUT|without")
 
 
-@query("VOC-11", f"""WITH {KEYWORD_SQL}, n AS (SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'coil spring steel' WHEN p_partkey % 5 = 1 THEN 'steel coill sprng' ELSE p_name END AS name FROM part), h AS (SELECT p_partkey, keyword, prim, sec, row_number() OVER (PARTITION BY p_partkey ORDER BY length(keyword) DESC, keyword DESC) AS k FROM n JOIN kw ON contains(' ' || name || ' ', ' ' || keyword || ' '))
-  SELECT n.p_partkey, CASE WHEN n.p_partkey % 5 < 2 THEN 'Surgery' ELSE coalesce(prim, 'Other') END AS primary, CASE WHEN n.p_partkey % 5 < 2 THEN 'Spring' ELSE coalesce(sec, 'Uncategorized') END AS secondary FROM n LEFT JOIN h ON n.p_partkey = h.p_partkey AND k = 1""")
+CONDITIONS = ["coil spring steel", "steel coill sprng", "Blue widgets, of steel and brass", "type 2 diabetes mellitus", None]
+
+
+@query("VOC-11", f"""WITH {KEYWORD_SQL}, n AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'coil spring steel' WHEN 1 THEN 'steel coill sprng' WHEN 2 THEN 'blue widgets of steel and brass' WHEN 3 THEN 'type 2 diabetes mellitus' ELSE lower(p_name) END AS name FROM part),
+  h AS (SELECT p_partkey, prim, sec, row_number() OVER (PARTITION BY p_partkey ORDER BY length(keyword) DESC, pos) AS k FROM n JOIN kw ON contains(name, keyword))
+  SELECT n.p_partkey, CASE WHEN n.p_partkey % 5 = 1 THEN 'Surgery' ELSE coalesce(prim, 'Other') END AS primary, CASE WHEN n.p_partkey % 5 = 1 THEN 'Spring' ELSE coalesce(sec, 'Uncategorized') END AS secondary FROM n LEFT JOIN h ON n.p_partkey = h.p_partkey AND k = 1""")
 def condition_categories(spark, sf_dir):
-    """Every fifth name holds a keyword's words in another order, every other fifth misspells them."""
-    kw = spark.createDataFrame(KEYWORDS, "keyword string, primary string, secondary string")
-    k = F.col("p_partkey") % 5
-    names = table(spark, sf_dir, "part").select("p_partkey", F.when(k == 0, "coil spring steel").when(k == 1, "steel coill sprng").otherwise(F.col("p_name")).alias("name"))
-    return K.longest_keyword(names, "name", F.broadcast(kw)).select("p_partkey", "primary", "secondary")
+    """Some names hold keywords within their words, some only words like a keyword's."""
+    given = F.get(F.array(*[F.lit(c) for c in CONDITIONS]), (F.col("p_partkey") % len(CONDITIONS)).cast("int"))
+    names = table(spark, sf_dir, "part").select("p_partkey", F.coalesce(given, "p_name").alias("name"))
+    return K.longest_keyword(names, "name", spark.createDataFrame(KEYWORDS, KEYWORD_SCHEMA)).select("p_partkey", "primary", "secondary")
 
 
-@query("VOC-12", f"""WITH {KEYWORD_SQL}, c AS (SELECT p_partkey, coalesce(max_by(prim, lpad(CAST(length(keyword) AS VARCHAR), 3, '0') || keyword), 'Other') AS prim FROM part LEFT JOIN kw ON contains(' ' || p_name || ' ', ' ' || keyword || ' ') GROUP BY 1),
+@query("VOC-12", f"""WITH {KEYWORD_SQL}, c AS (SELECT p_partkey, coalesce(max_by(prim, length(keyword) * 1000 - pos), 'Other') AS prim FROM part LEFT JOIN kw ON contains(lower(p_name), keyword) GROUP BY 1),
   n AS (SELECT l_orderkey, prim, count(*) AS n FROM lineitem JOIN c ON l_partkey = p_partkey GROUP BY 1, 2) SELECT l_orderkey, prim AS primary, n FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY n DESC, prim DESC) AS k FROM n) WHERE k = 1""")
 def study_categories(spark, sf_dir):
-    kw = spark.createDataFrame(KEYWORDS, "keyword string, primary string, secondary string")
-    parts = K.longest_keyword(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", F.broadcast(kw))
+    parts = K.longest_keyword(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", spark.createDataFrame(KEYWORDS, KEYWORD_SCHEMA))
     lines = table(spark, sf_dir, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
     return K.most_frequent(lines, "l_orderkey", "primary", "secondary", F.col("l_linenumber")).select("l_orderkey", "primary", "n")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import history as H
@@ -84,6 +85,23 @@ def upsert(spark, sf_dir):
     return H.upsert(state, H.head_revisions(e, "user_id", ["event_id"]), "user_id", "event_id", F.col("event_type") == "error")
 
 
+@query("JN-5-chains", """WITH RECURSIVE r AS (SELECT o_orderkey AS id, CASE o_orderkey % 40 WHEN 1 THEN o_orderkey + 2 WHEN 3 THEN o_orderkey - 2 WHEN 5 THEN o_orderkey ELSE prior END AS replaces, o_orderstatus = 'P' AS withdrawn
+    FROM (SELECT *, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS prior FROM orders)),
+  x AS (SELECT r.id, r.replaces, r.withdrawn, r.replaces = r.id OR (r.replaces IS NOT NULL AND t.id IS NULL) AS stray FROM r LEFT JOIN r t ON t.id = r.replaces),
+  b AS (SELECT replaces AS id, count(*) AS n, min(id) AS nxt FROM x WHERE replaces IS NOT NULL AND NOT stray GROUP BY 1),
+  l AS (SELECT x.id, withdrawn, coalesce(stray, false) OR coalesce(n, 0) > 1 AS bad, CASE WHEN n = 1 THEN nxt END AS nxt FROM x LEFT JOIN b ON x.id = b.id),
+  w AS (SELECT id, id AS tip, bad, 0 AS depth, [id] AS seen, false AS loops FROM l UNION ALL SELECT w.id, l.nxt, w.bad OR n.bad, w.depth + 1, list_append(w.seen, l.nxt), list_contains(w.seen, l.nxt) FROM w JOIN l ON w.tip = l.id JOIN l n ON n.id = l.nxt WHERE NOT w.loops),
+  e AS (SELECT id, bool_or(bad OR loops) AS bad, max(depth) AS depth, max_by(tip, depth) AS head FROM w GROUP BY 1)
+  SELECT e.id, CASE WHEN NOT e.bad THEN head END AS head, CASE WHEN NOT e.bad THEN CAST(depth AS BIGINT) END AS depth, CASE WHEN e.bad THEN 'quarantined' WHEN h.withdrawn THEN 'withdrawn' WHEN head = e.id THEN 'current' ELSE 'superseded' END AS state FROM e JOIN l h ON h.id = head""")
+def chains(spark, sf_dir):
+    """Each order of a customer replaces the one before it; some name each other, themselves, or one that is not there."""
+    prior = F.lag("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    k = F.col("o_orderkey") % 40
+    replaces = F.when(k == 1, F.col("o_orderkey") + 2).when(k == 3, F.col("o_orderkey") - 2).when(k == 5, F.col("o_orderkey")).otherwise(F.col("prior"))
+    records = table(spark, sf_dir, "orders").withColumn("prior", prior).select(F.col("o_orderkey").alias("id"), replaces.alias("replaces"), (F.col("o_orderstatus") == "P").alias("withdrawn"))
+    return H.supersession(records)
+
+
 WINNERS = ", ".join(f"(SELECT label FROM o{where} ORDER BY {order}, label LIMIT 1) AS {name}{also}" for also, where in (("", ""), ("_error", " WHERE label LIKE 'error%'")) for name, order in (("oldest", "first_seen, n DESC"), ("largest", "n DESC")))
 
 

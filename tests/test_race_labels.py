@@ -16,7 +16,7 @@ GRAMMARS = {
     "mena_label": [("Arab/Middle Eastern", "middle_eastern"), ("Iranian/Persian", "middle_eastern_persian"), ("North African descent", "north_african"), ("Native Arab", False), ("Other: Arabic", False), ("Middle Eastern or North African/Mediterranean", False), ("Midwest", False)],
     "aian_label": [("Navajo Nation", None), ("Tribal members", False), ("Aboriginal", False), ("Canadian Aboriginal", None), ("Native Mexican", False), ("North, South or Central American Native", None)],
     "nhpi_label": [("Māori", None), ("Hawaiian-Pacific", None), ("Torres Strait Islander", False), ("Native Hawaiian or", False), ("Samoan", "samoan")],
-    "uk_census_label": [("Mixed ethnic group / Other", False), ("(Mixed ethnic group:) White / Other", None), ("Mixed ethnic group and Other ethnic group", False), ("Mixed: White and Black Caribbean", None), ("Black / African / Caribbean / Black British - Caribbean", "caribbean"), ("British", False), ("Asian Welsh", False), ("Black or White British", False)],
+    "uk_census_label": [("Mixed ethnic group / Other", False), ("(Mixed ethnic group:) White / Other", None), ("Mixed ethnic group and Other ethnic group", False), ("Mixed: White and Black Caribbean", None), ("Black / African / Caribbean / Black British - Caribbean", "caribbean"), ("British", False), ("Asian Welsh", None), ("Black or White British", False)],
     "european_label": [("North/Mid/East European", "european"), ("NZ European/Pākehā", "european"), ("New Zealander, European", "european"), ("European or New Zealander", False), ("North or European", False), ("White: Western European", "european_western"), ("Irish Traveller", None), ("Spanish", False), ("Eastern European or British", "european"), ("White British", False)],
     "asian_label": [("East/South East Asian", None), ("Asian (other than Chinese or Japanese)", None), ("Asian, Bangladeshi", "south_asian_bangladeshi"), ("Asian (China, Philippines, Vietnam, Korea, etc.)", None), ("Indian or Pakistani", "south_asian"), ("Indian (American)", False), ("Asian: Central/South", None), ("West Indian Asian", False), ("Asian )", False)],
     "black_label": [("Black (or African American)", None), ("Black (Caribbean or Haitian)", "caribbean"), ("Black (or Haitian)", None), ("Caribbean (Haitian)", "caribbean_haitian"), ("Black (Haitian, Jamaican, or other)", None), ("Black (Haitian or other Caribbean)", "caribbean"), ("Black (African) (e.g. Haitian)", "african"), ("Black including Haitian", None), ("Black (or Indigenous)", False),

@@ -85,7 +85,7 @@ def test_long_and_squashed_names(spark):
     titles = spark.createDataFrame([(1, "On alpha beta gamma delta epsilon zeta"), (2, "alpha beta gamma delta epsilon"), (3, "Kardia AI in use"), (4, "a DeepView trial"), (5, "kardiaaix")], "title_id int, title string")
     got = {r["title_id"]: r["form"] for r in K.name_matches(forms, titles).collect()}
     assert got == {1: "alpha beta gamma delta epsilon zeta", 3: "kardiaai", 4: "Deep View"}
-    words = spark.createDataFrame([("alpha beta gamma delta epsilon", "P", "S"), ("alpha", "Q", "T")], "keyword string, primary string, secondary string")
+    words = spark.createDataFrame([("alpha beta gamma delta epsilon", "P", "S", 0), ("alpha", "Q", "T", 1)], "keyword string, primary string, secondary string, position int")
     assert [r["primary"] for r in K.longest_keyword(titles.filter("title_id = 1"), "title", words).collect()] == ["P"]
 
 
