@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.race import NAMED
+from ..operators import counted as C
 from ..operators import layouts as Y
-from ..operators.selection import BUCKETS
+from ..operators.selection import BUCKETS, classify_distinct
+from ..sources.folders import kept
 from .bindings import LABELS, TITLES, _case, table
+from .dimensions import ETHNIC_LABELS, RACE_LABELS, E, _sql, pick
 from .registry import query
 from .trials import BUCKET_SQL, SUMS
 
@@ -53,3 +57,83 @@ def record_layouts(spark, sf_dir):
     long = ["n_measures", "n_classes"]
     out = Y.parse_records(records(spark, sf_dir)).select("l_orderkey", "measure_title", "layout", *[F.col(c).cast("bigint").alias(c) for c in long], *[f"n_{b}" for b in BUCKETS], "n_total_parsed", "is_participant_count", *Y.FLAGS, "declared_not_collected", "status", "reported_sex", "reported_gender", "exceeds_enrollment", "no_count")
     return out
+
+
+OMB = [*NAMED, C.UNKNOWN, "other"]
+ETHNICITIES = ["hispanic_latino", "not_hispanic_latino", C.UNKNOWN]
+SHOWN = ("white", "asian", "hispanic_latino", "not_hispanic_latino", C.UNKNOWN)
+
+#: The rows of an order's three tables, with the number that each table posts as its own (none in every third order) and the order's
+#: population, which some orders' tables are exactly together, while others leave ten people out.
+POSTED = """n AS (SELECT k, f, CASE WHEN k % 3 <> 1 THEN sum(n) END AS analyzed FROM r GROUP BY k, f), pop AS (SELECT l_orderkey AS k, CAST(sum(coalesce(n, 0)) AS BIGINT) + CASE WHEN l_orderkey % 3 = 2 THEN 10 ELSE 0 END AS total FROM (SELECT DISTINCT l_orderkey FROM lineitem) LEFT JOIN r ON l_orderkey = k GROUP BY l_orderkey),"""
+
+
+def block_sql(rows, name, categories, specific):
+    """The same rules over flat rows r (k, f, category, subcategory, n, negates, flag): each count as a grouped sum, each choice as a rank."""
+    listed = ", ".join(f"'{c}'" for c in specific)
+    shown = [c for c in SHOWN if c in categories]
+    return f"""WITH {rows}, {POSTED}
+  c AS (SELECT k, f, string_agg(category || ':' || s, ',' ORDER BY category) AS counts FROM (SELECT k, f, category, CAST(sum(n) AS VARCHAR) AS s FROM r WHERE category IS NOT NULL GROUP BY ALL HAVING sum(n) <> 0) GROUP BY ALL),
+  t0 AS (SELECT k, f, coalesce(sum(n) FILTER (category IS NOT NULL), 0) AS counted_n, coalesce(sum(n) FILTER (category IN ({listed})), 0) AS told, coalesce(sum(n) FILTER (category IS NOT NULL AND subcategory IS NOT NULL), 0) AS fine FROM r GROUP BY ALL),
+  t AS (SELECT t0.*, coalesce(counts, '') AS counts, analyzed, total, analyzed || '/' || coalesce(counts, '') AS sig, coalesce(analyzed < total AND counted_n <= analyzed, FALSE) AS fits FROM t0 LEFT JOIN c USING (k, f) JOIN n USING (k, f) JOIN pop USING (k)),
+  g AS (SELECT k, count(*) AS n_tables, count_if(told > 0) AS n_told, count_if(told > 0 AND coalesce(analyzed >= total, TRUE)) AS n_whole, bool_and(fits) AND coalesce(sum(analyzed) = max(total), FALSE) AND count(DISTINCT sig) = count(*) AS parts,
+    coalesce(bool_and(fits) FILTER (told > 0) AND sum(analyzed) FILTER (told > 0) = max(total) AND count(DISTINCT sig) FILTER (told > 0) = count_if(told > 0), FALSE) AS told_parts FROM t GROUP BY 1),
+  m AS (SELECT t.*, n_tables, n_tables > 1 AND (parts OR (n_told > 1 AND n_whole = 0 AND told_parts)) AS parted, CASE WHEN n_tables = 1 OR parts OR n_told = 0 THEN TRUE WHEN n_told = 1 OR n_whole = 0 THEN told > 0 ELSE told > 0 AND coalesce(analyzed >= total, TRUE) END AS pool FROM t JOIN g USING (k)),
+  l AS (SELECT k, arg_min(counts, nth) AS counts, arg_min(told, nth) AS told, arg_min(counted_n, nth) AS counted_n FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY told DESC, counted_n DESC, f) AS nth FROM m WHERE pool) GROUP BY 1),
+  b AS (SELECT k, arg_min(f, nth) AS f FROM (SELECT m.k, f, row_number() OVER (PARTITION BY m.k ORDER BY fine DESC, f) AS nth FROM m JOIN l ON m.k = l.k AND m.counts = l.counts AND m.told = l.told AND m.counted_n = l.counted_n WHERE pool) GROUP BY 1),
+  s AS (SELECT m.*, pool AND (parted OR m.f = b.f) AS counted FROM m JOIN b USING (k)),
+  u AS (SELECT k, max(n_tables) AS n_tables, count_if(counted) AS n_counted, bool_or(parted) AS parted FROM s GROUP BY 1),
+  v AS (SELECT k, {", ".join(f"coalesce(sum(n) FILTER (category = '{c}'), 0) AS {c}" for c in shown)}, coalesce(sum(n) FILTER (category = 'asian' AND subcategory = 'east_asian'), 0) AS asian_east_asian, coalesce(sum(n) FILTER (category IS NOT NULL), 0) AS posted, coalesce(sum(n) FILTER (category IS NULL), 0) AS apart,
+    coalesce(sum(n) FILTER (category IS NULL AND negates), 0) AS denied, list(flag) FILTER (category IS NOT NULL AND flag IS NOT NULL) AS flags FROM r JOIN s USING (k, f) WHERE counted GROUP BY 1),
+  w AS (SELECT *, CASE WHEN posted > 0 THEN greatest(total - posted, 0) ELSE 0 END AS short FROM pop LEFT JOIN u USING (k) LEFT JOIN v USING (k)), x AS (SELECT *, coalesce(short > 0 AND apart = short AND denied = 0, FALSE) AS elsewhere FROM w)
+  SELECT k AS l_orderkey, total, coalesce(posted > 0, FALSE) AS reported, coalesce(n_tables, 0) AS n_tables, coalesce(n_counted, 0) AS n_counted, {", ".join(f"CAST(CASE WHEN posted > 0 THEN {c} ELSE 0 END AS BIGINT) AS {c}" for c in shown if c != C.UNKNOWN)}, CAST(CASE WHEN posted > 0 THEN {C.UNKNOWN} + short ELSE 0 END AS BIGINT) AS {C.UNKNOWN},
+    CAST(CASE WHEN posted > 0 THEN {C.UNKNOWN} ELSE 0 END AS BIGINT) AS unknown_explicit, CAST(CASE WHEN elsewhere THEN short ELSE 0 END AS BIGINT) AS unknown_elsewhere, CAST(CASE WHEN elsewhere THEN 0 ELSE short END AS BIGINT) AS unknown_inferred, CAST(CASE WHEN posted > 0 AND asian_east_asian > 0 THEN asian_east_asian END AS BIGINT) AS asian_east_asian, CAST(coalesce(apart, 0) AS BIGINT) AS n_apart,
+    array_to_string(list_sort(list_distinct(list_concat(CASE WHEN posted > 0 THEN list_concat([CASE WHEN n_counted < n_tables THEN '{name}_table_superseded' END, CASE WHEN parted THEN '{name}_tables_partitioned' END, CASE WHEN n_tables > 1 THEN 'multiple_{name}_tables_' || n_tables END, CASE WHEN short > 0 THEN 'denominator_balanced' END, CASE WHEN elsewhere THEN 'shortfall_is_other_rows' END], flags)
+      WHEN n_tables > 0 THEN ['all_zero_rejection'] ELSE [] END, [CASE WHEN apart > 0 THEN 'other_rows_skipped' END]))), ',') AS flags FROM x"""
+
+
+def block(rows, spark, sf_dir, name, categories, specific):
+    """rows: l_orderkey, position, label, category, subcategory, n, negates, flag."""
+    w = rows.withColumns({"flags": F.array_compact(F.array("flag")), "line": F.lit(0), "population": F.lit(None).cast("string")})
+    numbers = w.groupBy("l_orderkey", "position").agg(F.sum("n").alias("own"))
+    all_ = table(spark, sf_dir, "lineitem").select("l_orderkey").distinct().join(numbers.groupBy("l_orderkey").agg(F.sum("own").alias("s")), "l_orderkey", "left")
+    trials = all_.select("l_orderkey", (F.coalesce("s", F.lit(0)) + F.when(F.col("l_orderkey") % 3 == 2, 10).otherwise(0)).alias("total"))
+    posted = w.join(numbers.withColumn("analyzed", F.when(F.col("l_orderkey") % 3 != 1, F.col("own"))).drop("own"), ["l_orderkey", "position"])
+    tables = C.posted_tables(posted, "l_orderkey", specific).join(trials, "l_orderkey")
+    b = C.counted_block(C.select_counted(tables, "l_orderkey", "total"), trials, "l_orderkey", "total", name, categories)
+    of = lambda m, c: F.try_element_at(m, F.lit(c)).alias(c)
+    return b.select(
+        "l_orderkey", "total", "reported", "n_tables", "n_counted", *[of("totals", c) for c in SHOWN if c in categories], "unknown_explicit", "unknown_elsewhere", "unknown_inferred", of("subtotals", "asian_east_asian"),
+        F.aggregate("kept_apart", F.lit(0).cast("bigint"), lambda a, r: a + r["n"]).alias("n_apart"), F.array_join("flags", ",").alias("flags"),
+    )
+
+
+RACE_ROWS = f"""rl{_sql(RACE_LABELS, ("i", "label", "category", "subcategory", "flag"))}, r AS (SELECT l_orderkey AS k, l_returnflag AS f, CASE WHEN NOT e THEN category END AS category, CASE WHEN NOT e THEN subcategory END AS subcategory, CAST(l_quantity AS BIGINT) AS n, l_suppkey % 10 = 0 AS negates, CASE WHEN NOT e THEN flag END AS flag
+  FROM (SELECT *, l_suppkey % 5 = 0 AS e FROM lineitem) JOIN rl ON l_partkey % {len(RACE_LABELS)} = i WHERE e OR category IS NOT NULL)"""
+
+
+@query("SEL-7-tables", block_sql(RACE_ROWS, "race", OMB, NAMED))
+def race_of_tables(spark, sf_dir):
+    """The race block from the tables that count: parts of the population, or the fullest. Rows of ethnicity are kept apart; labels of no race are put aside."""
+    apart = F.col("l_suppkey") % 5 == 0
+    ethnic = F.when(F.col("l_suppkey") % 10 == 0, "Not Hispanic or Latino").otherwise("Hispanic or Latino")
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_returnflag").alias("position"), pick("l_partkey", RACE_LABELS).alias("race"), F.when(apart, ethnic).alias("ethnic"), F.col("l_quantity").cast("bigint").alias("n"))
+    read = E.race_categories(rows.select(F.col("race").alias("label")), "label")
+    aside = (F.col("flag") == "unmapped") & E.is_quarantined(F.col("label"))
+    known = kept(read.select(F.col("label").alias("race"), F.when(~aside, F.col("category")).alias("category"), "subcategory", "flag"), "race-labels")
+    own = F.col("ethnic").isNull()
+    long = rows.join(known, "race").filter(~own | F.col("category").isNotNull())
+    long = long.select("l_orderkey", "position", F.coalesce("ethnic", "race").alias("label"), *[F.when(own, F.col(c)).alias(c) for c in ("category", "subcategory", "flag")], "n", F.coalesce(F.col("ethnic").startswith("Not"), F.lit(False)).alias("negates"))
+    return block(long, spark, sf_dir, "race", OMB, NAMED)
+
+
+ETHNIC_ROWS = f"""el{_sql(ETHNIC_LABELS, ("i", "label", "category"))}, r AS (SELECT l_orderkey AS k, l_returnflag AS f, category, CAST(NULL AS VARCHAR) AS subcategory, CAST(l_quantity AS BIGINT) AS n, FALSE AS negates, CAST(NULL AS VARCHAR) AS flag FROM lineitem JOIN el ON l_suppkey % {len(ETHNIC_LABELS)} = i WHERE category IS NOT NULL)"""
+
+
+@query("SEL-9-tables", block_sql(ETHNIC_ROWS, "ethnicity", ETHNICITIES, ETHNICITIES[:2]))
+def ethnicity_of_tables(spark, sf_dir):
+    """The ethnicity block from the tables that count."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_returnflag").alias("position"), pick("l_suppkey", ETHNIC_LABELS).alias("label"), F.col("l_quantity").cast("bigint").alias("n"))
+    none = F.lit(None).cast("string")
+    read = classify_distinct(rows, "label", "category", E.ethnicity).filter("category is not null")
+    return block(read.withColumns({"subcategory": none, "flag": none, "negates": F.lit(False)}), spark, sf_dir, "ethnicity", ETHNICITIES, ETHNICITIES[:2])
