@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import links as K
+from ..operators.walk import record_texts
 from .bindings import table
 from .registry import query
 
@@ -148,12 +149,29 @@ def reviewed_documents(spark, sf_dir):
   UNION ALL SELECT p_partkey, 'outcome', base, NULL FROM p WHERE k IN (0, 6)""")
 def cited_submissions(spark, sf_dir):
     """A trial's outcome cites a submission by the part's number: alone, with its supplement, with another, in lower case, or within a longer token."""
+    fields, numbers = citing(spark, sf_dir)
+    return K.cited_numbers(fields.withColumn("path", F.lit("outcome")), numbers).select(F.col("id").alias("p_partkey"), "path", "number", "supplement_cited")
+
+
+def citing(spark, sf_dir):
+    """(id, text) of each part's outcome, and the numbers sought."""
     p = table(spark, sf_dir, "part").select("p_partkey", F.lpad((F.col("p_partkey") % 1_000_000).cast("string"), 6, "0").alias("n"), (F.col("p_partkey") % 8).cast("int").alias("k"))
     says = [F.concat(F.lit("cleared as P"), "n", F.lit(".")), F.concat(F.lit("under P"), "n", F.lit("/S008")), F.concat(F.lit("under p"), "n", F.lit(" - s008 here")), F.concat(F.lit("under P"), "n", F.lit("/S007")), F.concat(F.lit("P"), "n", F.lit("/S0089")), F.concat(F.lit("XP"), "n"), F.concat(F.lit("(p"), "n", F.lit(")")), F.lit("none")]
-    fields = p.select(F.col("p_partkey").alias("id"), F.lit("outcome").alias("path"), F.get(F.array(*says), F.col("k")).alias("text"))
     base = F.concat(F.lit("P"), "n")
     numbers = p.select(F.explode(F.array(F.when(F.col("k") != 6, F.concat(base, F.lit("/S008"))), base)).alias("number")).filter("number is not null").distinct()
-    return K.cited_numbers(fields, numbers).select(F.col("id").alias("p_partkey"), "path", "number", "supplement_cited")
+    return p.select(F.col("p_partkey").alias("id"), F.get(F.array(*says), F.col("k")).alias("text")), numbers
+
+
+@query("JN-16-walk", """WITH p AS (SELECT p_partkey, 'P' || lpad(CAST(p_partkey % 1000000 AS VARCHAR), 6, '0') AS base, p_partkey % 8 AS k, ['title', 'outcomes[].measure', 'arms[].groups[].note', 'links.cited[]'][p_partkey % 4 + 1] AS path FROM part) SELECT p_partkey, path, base || '/S008' AS number, k IN (1, 2) AS supplement_cited FROM p WHERE k IN (0, 1, 2)
+  UNION ALL SELECT p_partkey, path, base, NULL FROM p WHERE k IN (0, 6)""")
+def cited_anywhere(spark, sf_dir):
+    """The same citations, each in another field of a nested record; the walk finds them wherever they stand."""
+    fields, numbers = citing(spark, sf_dir)
+    t = F.col("text")
+    there = [F.struct(t.alias("title")), F.struct(F.array(F.struct(F.lit(7).alias("n"), t.alias("measure"))).alias("outcomes")), F.struct(F.array(F.struct(F.array(F.struct(F.lit("Arm").alias("title"), t.alias("note"))).alias("groups"))).alias("arms")), F.struct(F.struct(F.array(F.lit("none"), t).alias("cited")).alias("links"))]
+    shape = (F.col("id") % 4).cast("int")
+    records = fields.select("id", F.get(F.array(*map(F.to_json, there)), shape).alias("record"))
+    return K.cited_numbers(record_texts(records, "id", "record"), numbers).select(F.col("id").alias("p_partkey"), "path", "number", "supplement_cited")
 
 
 @query("JN-24", """WITH b AS (SELECT p_partkey, p_brand, p_type, p_size FROM part), o AS (SELECT p_partkey, p_brand, CASE WHEN p_size > 25 THEN 'STANDARD' ELSE p_type END AS p_type, CASE WHEN p_size > 40 THEN NULL ELSE p_size END AS p_size FROM part)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import records as R
 from ..operators import areas as A
+from ..sources import contracts as C
 from .bindings import STUDIES, registered, studies, table
 from .registry import query
 from .trials import PARSED, finished
@@ -243,3 +244,54 @@ def band_weights(spark, sf_dir):
 def share_margins(spark, sf_dir):
     e = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count_if(F.col("c_acctbal") > 4000).alias("a"), F.count("*").alias("n"))
     return e.select("c_nationkey", F.round(F.col("a") / F.col("n"), 9).alias("share"), F.round(A.share_margin(F.col("a"), F.col("n"), F.lit(2.0), F.lit(3.0)), 9).alias("margin"))
+
+
+#: Which class of a split holds which paths of a nested record.
+CONTRACT = {"groups": ["groups[].id", "groups[].denom"], "titles": ["groups[].title", "measures[].title"], "values": ["measures[].measurements[].group", "measures[].measurements[].value"]}
+CONTRACT_PATHS = [p for paths in CONTRACT.values() for p in paths]
+
+
+def whole_records(spark, sf_dir):
+    return nested(spark, sf_dir).select("l_orderkey", F.struct("groups", "measures").alias("record"))
+
+
+def _lost_sql(lost: dict[str, str]) -> str:
+    one = "SELECT '{}' AS path, count(DISTINCT l_orderkey) AS n_records, count(DISTINCT CASE WHEN {} THEN l_orderkey END) AS n_lost, min(CASE WHEN {} THEN l_orderkey END) AS example FROM lineitem"
+    return " UNION ALL ".join(one.format(p, lost.get(p, "FALSE"), lost.get(p, "FALSE")) for p in CONTRACT_PATHS)
+
+
+@query("SRC-14-paths", _lost_sql({}))
+def lossless_paths(spark, sf_dir):
+    """Nested arrays split by a contract of paths and merged again: what each path lost, which is nothing."""
+    whole = whole_records(spark, sf_dir)
+    return C.losses(whole, C.merge(C.split(whole, "l_orderkey", "record", CONTRACT), "l_orderkey", "record"), "l_orderkey", "record", CONTRACT_PATHS)
+
+
+TITLES_LOST, MEASURES_CUT = "l_orderkey % 50 = 1", "l_orderkey % 70 = 2"
+
+
+@query("SRC-14-paths-planted", _lost_sql({"groups[].title": TITLES_LOST, "measures[].title": TITLES_LOST, "measures[].measurements[].group": MEASURES_CUT, "measures[].measurements[].value": MEASURES_CUT}))
+def lossy_paths(spark, sf_dir):
+    """A split whose titles lack some records, and whose values lack the first measure of others: each loss by its path."""
+    whole = whole_records(spark, sf_dir)
+    parts = C.split(whole, "l_orderkey", "record", CONTRACT)
+    parts["titles"] = parts["titles"].filter(f"not ({TITLES_LOST})")
+    short = F.struct(F.slice("record.measures", 2, F.greatest(F.size("record.measures") - 1, F.lit(0))).alias("measures"))
+    parts["values"] = parts["values"].withColumn("record", F.when(F.expr(MEASURES_CUT), short).otherwise(F.col("record")))
+    return C.losses(whole, C.merge(parts, "l_orderkey", "record"), "l_orderkey", "record", CONTRACT_PATHS)
+
+
+REQUIRED = ["site.country", "lines[].qty", "lines[].days[]", "note"]
+
+
+@query("DQ-3-paths", """WITH o AS (SELECT l_orderkey AS k, bool_or(l_linenumber = 4) AS has4 FROM lineitem GROUP BY 1), r AS (SELECT unnest([{'path': 'site.country', 'reason': CASE WHEN k % 9 = 0 THEN 'not json' WHEN k % 5 = 0 THEN 'no site' WHEN k % 5 = 1 THEN 'no country' END}, {'path': 'lines[].qty', 'reason': CASE WHEN k % 9 = 0 THEN 'not json' WHEN has4 THEN 'no qty' END},
+  {'path': 'lines[].days[]', 'reason': CASE WHEN k % 9 = 0 THEN 'not json' WHEN k % 4 = 0 THEN 'days is not a list' END}, {'path': 'note', 'reason': CASE WHEN k % 9 = 0 THEN 'not json' END}]) AS x FROM o) SELECT x.path AS path, x.reason AS reason, count(*) AS n FROM r GROUP BY ALL""")
+def required_paths(spark, sf_dir):
+    """How many records lack a required path, and where they part from it; a field that holds null is there."""
+    k = F.col("l_orderkey")
+    days = F.when(k % 4 == 0, F.lit("5")).otherwise(F.lit("[1, 2]"))
+    line = F.concat(F.lit('{"days": '), days, F.when(F.col("l_linenumber") == 4, F.lit("}")).otherwise(F.concat(F.lit(', "qty": '), F.col("l_quantity").cast("string"), F.lit("}"))))
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list(line)), ", ").alias("lines"))
+    site = F.when(k % 5 == 0, "").when(k % 5 == 1, '"site": {}, ').otherwise('"site": {"country": null}, ')
+    text = F.concat(F.when(k % 9 == 0, "{,").otherwise("{"), site, F.lit('"note": null, "lines": ['), "lines", F.lit("]}"))
+    return C.presence(lines.select(text.alias("text")), "text", REQUIRED)
