@@ -69,7 +69,7 @@ def matched(names: DataFrame, rules: DataFrame) -> DataFrame:
 
 def bridge(sponsors: DataFrame, rules: DataFrame) -> DataFrame:
     """One row per trial, company, entity and role; of several literals the least stays. Written once."""
-    found = sponsors.join(matched(literals(sponsors), rules), "name")
+    found = sponsors.join(matched(kept(literals(sponsors), "literals"), rules), "name")
     found = found.groupBy("nct_id", "canonical", "entity", "role").agg(F.min(F.struct("name", "agency_class", "match_rule", "shared")).alias("x"))
     return kept(found.select("nct_id", "canonical", "entity", "role", F.col("x.name").alias("literal_name"), "x.agency_class", "x.match_rule", "x.shared"), "bridge")
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.names import sponsor_key, subsidiary
 from ..operators import sponsors as S
-from .bindings import SPONSORS, registered, sponsors, table
+from ..sources.folders import kept
+from .bindings import SPONSORS, sponsors, table
 from .registry import query
 
 
@@ -43,13 +44,15 @@ PRIOR = KEYED + """, sponsors_p AS (SELECT * FROM sponsors WHERE NOT (role = 'co
 
 
 def bridged(spark, sf_dir):
-    return S.bridge(sponsors(spark, sf_dir), rules(spark, sf_dir))
+    return S.bridge(kept(sponsors(spark, sf_dir), "sponsors"), rules(spark, sf_dir))
 
 
-def prior_sponsors(spark, sf_dir):
-    number = F.substring("nct_id", 4, 8).cast("int")
-    more = registered(spark, sf_dir).filter(number % 9 == 0).select("nct_id", F.lit("OTHER").alias("agency_class"), F.lit("collaborator").alias("role"), F.lit("HOLDING 05 Co., Ltd.").alias("name"))
-    return sponsors(spark, sf_dir).filter(~((F.col("role") == "collaborator") & (number % 5 == 0))).unionByName(more)
+def both_weeks(spark, sf_dir):
+    """The sponsors of this week, written once, and those of the week before, which are read from them: every trial has one lead."""
+    now = kept(sponsors(spark, sf_dir), "sponsors")
+    number, collaborates = F.substring("nct_id", 4, 8).cast("int"), F.col("role") == "collaborator"
+    more = now.filter(~collaborates & (number % 9 == 0)).select("nct_id", F.lit("OTHER").alias("agency_class"), F.lit("collaborator").alias("role"), F.lit("HOLDING 05 Co., Ltd.").alias("name"))
+    return now, kept(now.filter(~(collaborates & (number % 5 == 0))).unionByName(more), "prior-sponsors")
 
 
 def prior_rules(spark, sf_dir):
@@ -121,14 +124,15 @@ def uncovered(spark, sf_dir):
   SELECT nct_id, canonical, role, state, CASE WHEN state <> 'agree' THEN CASE WHEN roles IS NULL THEN 'literal_absent' WHEN list_contains(roles, role) THEN 'canonical_differs' ELSE 'role_differs' END END AS cause FROM j LEFT JOIN o USING (state, nct_id, lit)""")
 def concordance(spark, sf_dir):
     """This week's index against the one of the week before, on the trials of both."""
-    now, before = sponsors(spark, sf_dir), prior_sponsors(spark, sf_dir)
+    now, before = both_weeks(spark, sf_dir)
     return S.concordance(S.bridge(now, rules(spark, sf_dir)), S.bridge(before, prior_rules(spark, sf_dir)), now, before)
 
 
 @query("JN-9", PRIOR + """, u AS (SELECT DISTINCT name FROM sponsors), up AS (SELECT DISTINCT name FROM sponsors_p) SELECT coalesce(a.name, b.name) AS literal_name, CASE WHEN b.name IS NULL THEN 'dropped_match' WHEN a.name IS NULL THEN 'new_match' ELSE 'canonicals_changed' END AS change,
   CASE WHEN (coalesce(a.name, b.name) IN (SELECT name FROM u)) <> (coalesce(a.name, b.name) IN (SELECT name FROM up)) THEN 'both' ELSE 'rules_change' END AS cause, a.canonical AS before, b.canonical AS after FROM matched_p a FULL JOIN matched b ON a.name = b.name WHERE a.canonical IS DISTINCT FROM b.canonical""")
 def match_changes(spark, sf_dir):
-    a, b = S.literals(prior_sponsors(spark, sf_dir)), S.literals(sponsors(spark, sf_dir))
+    now, before = both_weeks(spark, sf_dir)
+    a, b = (kept(S.literals(x), "literals") for x in (before, now))
     return S.match_changes(S.matched(a, prior_rules(spark, sf_dir)), S.matched(b, rules(spark, sf_dir)), a, b, True)
 
 
@@ -136,7 +140,7 @@ def match_changes(spark, sf_dir):
   SELECT a.*, 'added' AS change, CASE WHEN (nct_id, role, literal) IN (SELECT (nct_id, role, name) FROM sponsors_p) THEN 'rules_change' ELSE 'registry_edit' END AS cause FROM a ANTI JOIN b USING (nct_id, canonical, role)
   UNION ALL SELECT b.*, 'removed', CASE WHEN (nct_id, role, literal) IN (SELECT (nct_id, role, name) FROM sponsors) THEN 'rules_change' ELSE 'registry_edit' END FROM b ANTI JOIN a USING (nct_id, canonical, role)""")
 def pair_changes(spark, sf_dir):
-    now, before = sponsors(spark, sf_dir), prior_sponsors(spark, sf_dir)
+    now, before = both_weeks(spark, sf_dir)
     return S.pair_changes(S.bridge(before, prior_rules(spark, sf_dir)), S.bridge(now, rules(spark, sf_dir)), before, now, True)
 
 
