@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources import folders as S
 from ..streaming import inbox as I
+from ..streaming import labelstate as K
 from .bindings import SNAPSHOTS, STUDIES, snapshots, registered, studies, table
 from .registry import query
 
@@ -258,3 +259,31 @@ def streamed_inbox(spark, sf_dir):
     run = I.keep_inbox(I.label_stream(spark, arriving, "label string, week date"), ["label"], "week", state, marks)
     run.awaitTermination()
     return I.latest(spark, state)
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+UNREAD = f"""{SNAPSHOTS}, u AS (SELECT label, week FROM snapshots WHERE n % 3 > 0), m AS (SELECT min(week) + 14 AS half FROM u), weeks AS (SELECT DISTINCT week FROM u), noted AS (SELECT DISTINCT label, half AS day FROM u, m WHERE right(label, 1) = '7')"""
+
+
+@query("STR-1-changes", f"""WITH {UNREAD}, k AS (SELECT u.*, day, coalesce(week <= day, TRUE) AS counts, week - lag(week) OVER (PARTITION BY label ORDER BY week) AS gap, lead(week) OVER (PARTITION BY label ORDER BY week) - week AS ahead FROM u LEFT JOIN noted USING (label)),
+  runs AS (SELECT *, count_if(gap IS NULL OR gap > 7) OVER (PARTITION BY label ORDER BY week) AS run FROM k WHERE counts), r AS (SELECT label, run, min(week) AS a, max(week) AS z, any_value(day) AS day FROM runs GROUP BY 1, 2),
+  e AS (SELECT label, 'opened' AS event, a AS week, a AS first_seen, a AS last_seen, NULL AS note FROM r UNION ALL SELECT label, 'resolved', day, a, z, 'known unit' FROM r WHERE z = day
+    UNION ALL SELECT label, 'left', z + 7, a, z, NULL FROM r WHERE z IS DISTINCT FROM day AND z < (SELECT max(week) FROM u))
+  SELECT label, row_number() OVER (PARTITION BY label ORDER BY week, event) AS nth, event, week, first_seen, last_seen, note FROM e""")
+def streamed_changes(spark, sf_dir):
+    """Snapshots of the labels that nobody could read (some weeks they can), and a curator's notes on some in the third week. They arrive in two
+    deliveries: the second run of the stream starts from the state of the first, and each writes its changes only."""
+    arriving, out, marks = (S.landing(spark, n) for n in ("snapshots", "changes", "marks"))
+    seen = S.kept(snapshots(spark, sf_dir).filter("n % 3 > 0").select("label", F.col("week").cast("timestamp").alias("week"), F.lit(None).cast("string").alias("note")), "unread")
+    half = seen.agg((F.min("week") + F.expr("interval 14 days")).alias("half"))  # one row
+    notes = seen.filter("label like '%7'").select("label").distinct().join(F.broadcast(half)).select("label", F.col("half").alias("week"), F.lit("known unit").alias("note"))
+    both = seen.unionByName(notes).join(F.broadcast(half))
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        for delivery in (F.col("week") <= F.col("half"), F.col("week") > F.col("half")):
+            both.filter(delivery).drop("half").write.mode("append").parquet(arriving)
+            K.keep_changes(K.inbox_changes(I.label_stream(spark, arriving, "label string, week timestamp, note string", 1000)), out, marks).awaitTermination()
+    finally:
+        spark.conf.set(STATE_STORE, before)
+    return spark.read.parquet(out)
