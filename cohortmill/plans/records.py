@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import agreements as A
 from ..sources import folders as S
 from ..streaming import inbox as I
 from ..streaming import labelstate as K
@@ -187,6 +188,36 @@ def references(spark, sf_dir):
     return out
 
 
+AGREED = """c AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 50 = 2 THEN 'UNHEARD' ELSE c_mktsegment END AS segment, coalesce(n, 0) + CASE WHEN c_custkey % 50 = 3 THEN 1 ELSE 0 END AS n_orders FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey),
+  cc AS (SELECT * FROM c UNION ALL SELECT * FROM c WHERE k % 50 = 1), o AS (SELECT CASE WHEN o_orderkey % 600 = 10 THEN NULL ELSE o_orderkey END AS k, o_custkey + CASE WHEN o_orderkey % 60 = 4 THEN 100000000 ELSE 0 END AS customer, CASE WHEN o_orderkey % 60 = 5 THEN 'X' ELSE o_orderstatus END AS status, q + CASE WHEN o_orderkey % 60 = 6 THEN 0.5 ELSE 0 END AS quantity FROM orders JOIN (SELECT l_orderkey, sum(l_quantity) AS q FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey),
+  l AS (SELECT l_orderkey + CASE WHEN l_orderkey % 60 = 7 AND l_linenumber = 1 THEN 1000000000 ELSE 0 END AS k, l_quantity AS q, l_linenumber AS line FROM lineitem)"""
+
+
+@query("DQ-4-contract", f"""WITH {AGREED} SELECT 'customers' AS "table", CAST(k AS VARCHAR) AS "key", 'key_repeated' AS rule, count(*) AS n FROM cc GROUP BY k HAVING count(*) > 1
+  UNION ALL SELECT 'customers', CAST(k AS VARCHAR), 'segment_known', count(*) FROM cc WHERE segment = 'UNHEARD' GROUP BY k
+  UNION ALL SELECT 'customers', CAST(customer AS VARCHAR), 'not_found:orders.customer', count(*) FROM o WHERE customer NOT IN (SELECT k FROM c) GROUP BY customer
+  UNION ALL SELECT 'customers', CAST(c.k AS VARCHAR), 'n_orders', count(customer) FROM c LEFT JOIN o ON customer = c.k WHERE c.k % 50 <> 1 GROUP BY c.k, n_orders HAVING count(customer) <> n_orders
+  UNION ALL SELECT 'orders', NULL, 'key_missing', count(*) FROM o WHERE k IS NULL HAVING count(*) > 0 UNION ALL SELECT 'orders', CAST(k AS VARCHAR), 'status_known', count(*) FROM o WHERE status = 'X' GROUP BY k
+  UNION ALL SELECT 'lines', k || '-' || line, 'key_repeated', count(*) FROM l GROUP BY k, line HAVING count(*) > 1
+  UNION ALL SELECT 'orders', CAST(l.k AS VARCHAR), 'not_found:lines.order', count(*) FROM l ANTI JOIN o ON l.k = o.k GROUP BY l.k
+  UNION ALL SELECT 'orders', CAST(o.k AS VARCHAR), 'quantity', count(l.k) FROM o LEFT JOIN l ON o.k = l.k WHERE o.k IS NOT NULL GROUP BY o.k, quantity HAVING coalesce(sum(q), 0) <> quantity""")
+def contract(spark, sf_dir):
+    """Customers, orders and lines with faults planted in keys, references, vocabularies and published totals, held against what is declared of them."""
+    t = lambda n: table(spark, sf_dir, n)
+    k, o, line = F.col("c_custkey"), F.col("o_orderkey"), F.col("l_orderkey")
+    n, q = t("orders").groupBy("o_custkey").agg(F.count("*").alias("n")), t("lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").alias("q"))
+    plus = lambda when, what: F.when(when, what).otherwise(0)
+    customers = t("customer").join(n, F.col("o_custkey") == k, "left").select(k.alias("k"), F.when(k % 50 == 2, "UNHEARD").otherwise(F.col("c_mktsegment")).alias("segment"), (F.coalesce("n", F.lit(0)) + plus(k % 50 == 3, 1)).alias("n_orders"))
+    orders = t("orders").join(q, o == line).select(F.when(o % 600 != 10, o).alias("k"), (F.col("o_custkey") + plus(o % 60 == 4, 100_000_000)).alias("customer"), F.when(o % 60 == 5, "X").otherwise(F.col("o_orderstatus")).alias("status"), (F.col("q") + plus(o % 60 == 6, 0.5)).alias("quantity"))
+    lines = t("lineitem").select((line + plus((line % 60 == 7) & (F.col("l_linenumber") == 1), 1_000_000_000)).alias("order"), F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("q"))
+    agreed = {
+        "customers": A.Terms(F.col("k"), {"segment_known": F.col("segment") != "UNHEARD"}, {}, {"n_orders": A.Total(F.col("n_orders"), "orders", "customer")}),
+        "orders": A.Terms(F.col("k"), {"status_known": F.col("status").isin("O", "F", "P")}, {"customer": ("customers", F.col("customer"))}, {"quantity": A.Total(F.col("quantity"), "lines", "order", "q")}),
+        "lines": A.Terms(F.concat_ws("-", "order", "line"), {}, {"order": ("orders", F.col("order"))}),
+    }
+    return A.breaches({"customers": customers.unionByName(customers.filter("k % 50 = 1")), "orders": orders, "lines": lines}, agreed)
+
+
 @query("DQ-4-sums", """WITH c AS (SELECT c_nationkey AS entity, c_mktsegment AS class, count(*) + CASE WHEN c_nationkey % 5 = 0 AND c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS n FROM customer GROUP BY 1, 2), w AS (SELECT c_nationkey AS entity, count(*) AS total, CASE WHEN c_nationkey % 7 = 0 THEN 'people' ELSE 'customers' END AS denominator FROM customer GROUP BY 1),
   s AS (SELECT w.*, coalesce(sum(n), 0) AS summed FROM w LEFT JOIN c USING (entity) GROUP BY ALL) SELECT entity, unnest(list_filter([CASE WHEN summed <> total THEN 'classes_do_not_add_up' END, CASE WHEN denominator <> 'customers' THEN 'unknown_denominator' END], lambda x: x IS NOT NULL)) AS problem FROM s""")
 def class_sums(spark, sf_dir):
