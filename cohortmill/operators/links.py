@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fuzzy import closest, token_set_ratio
+from ..sources.folders import kept, numbered
 
 
 #: Identifiers of studies and submissions, by kind; the group is the identifier where there is one.
@@ -35,8 +36,8 @@ def identifiers(pages: DataFrame, key: list[str], text: str, own: str | None = N
         clean = lambda x: F.concat(F.lit("NCT"), F.regexp_replace(x, r"\s", "")) if kind == "nct" else F.regexp_replace(x, r"[.,;)]+$", "")
         return F.transform(found, lambda x: F.struct(F.lit(kind).alias("kind"), clean(x).alias("identifier")))
 
-    kept = [*key, own] if own else key
-    rows = pages.select(*kept, F.explode(F.concat(*[named(k, p) for k, p in kinds.items()])).alias("x"))
+    carried = [*key, own] if own else key
+    rows = pages.select(*carried, F.explode(F.concat(*[named(k, p) for k, p in kinds.items()])).alias("x"))
     if own:
         mine = (F.col("x.kind") == "submission_number") & (F.col("x.identifier").isin(F.col(own), F.split(own, "/")[0]))
         rows = rows.filter(~F.coalesce(mine, F.lit(False)))
@@ -227,8 +228,10 @@ def review_queue(links: DataFrame, documents: DataFrame) -> DataFrame:
     tiers = F.array_compact(F.array(item(1, "t1", F.col("t1") > 0), item(2, "t2", F.col("t2") > 0), item(3, "t3", (F.col("t3") > 0) & ~F.coalesce("done", F.lit(False))), item(4, "t4", (F.col("t4") > 0) & (F.col("t1") + F.col("t2") == 0))))
     rows = both.select("entity", F.when(F.col("t1") > 0, 1).otherwise(0).alias("c"), "mentions_race", "mentions_sex", F.explode(tiers).alias("x")).select("entity", "c", "mentions_race", "mentions_sex", "x.*")
     third = F.col("tier") == 3
-    by = [F.when(third, -F.col(c)).otherwise(0) for c in ("c", "mentions_race", "mentions_sex")] + [F.when(~third, -F.col("n_evidence")).otherwise(0), F.col("entity")]
-    return rows.withColumn("rank", F.row_number().over(Window.partitionBy("tier").orderBy(*by))).select("tier", "entity", "n_evidence", "rank")
+    by = {f"_{c}": F.when(third, -F.col(c)).otherwise(0) for c in ("c", "mentions_race", "mentions_sex")} | {"_n": F.when(~third, -F.col("n_evidence")).otherwise(0)}
+    placed = numbered(kept(rows.withColumns(by), "queue"), ["tier", *by, "entity"])  # ranges of all tiers, of like size
+    first = placed.groupBy("tier").agg(F.min("position").alias("_first"))  # a row a tier
+    return placed.join(F.broadcast(first), "tier").select("tier", "entity", "n_evidence", (F.col("position") - F.col("_first") + 1).cast("int").alias("rank"))
 
 
 def cited_studies(citations: DataFrame, answers: DataFrame, parents: DataFrame) -> DataFrame:
