@@ -295,3 +295,37 @@ def required_paths(spark, sf_dir):
     site = F.when(k % 5 == 0, "").when(k % 5 == 1, '"site": {}, ').otherwise('"site": {"country": null}, ')
     text = F.concat(F.when(k % 9 == 0, "{,").otherwise("{"), site, F.lit('"note": null, "lines": ['), "lines", F.lit("]}"))
     return C.presence(lines.select(text.alias("text")), "text", REQUIRED)
+
+
+ARCHIVED = ["site.country", "lines[].qty", "note"]
+#: The records as text, one a trial: no site where k % 5 = 0, an empty one where it is 1, no quantity in the fourth lines.
+ARCHIVE_SQL = """w AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_quantity >= 49), x AS (SELECT l_orderkey AS k, string_agg(CASE WHEN l_linenumber = 4 THEN '{}' ELSE '{"qty":' || CAST(l_quantity AS BIGINT) || '}' END, ',' ORDER BY l_linenumber, CAST(l_quantity AS BIGINT)) AS lines FROM lineitem WHERE l_orderkey IN (SELECT k FROM w) GROUP BY 1)"""
+
+
+def source_texts(spark, sf_dir):
+    k = F.col("l_orderkey")
+    line = F.concat(F.lit('{"days": [1, 2]'), F.when(F.col("l_linenumber") == 4, F.lit("}")).otherwise(F.concat(F.lit(', "qty": '), F.col("l_quantity").cast("bigint").cast("string"), F.lit("}"))))
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", F.col("l_quantity").cast("bigint"), line.alias("line")))).alias("l"))
+    site = F.when(k % 5 == 0, "").when(k % 5 == 1, '"site": {}, ').otherwise('"site": {"country": "x", "city": "y"}, ')
+    return lines.select(k.alias("k"), F.concat(F.lit('{"note": null, "more": {"a": [1]}, '), site, F.lit('"lines": ['), F.array_join("l.line", ", "), F.lit("]}")).alias("text"))
+
+
+def wanted(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").filter("l_quantity >= 49").select(F.col("l_orderkey").alias("k")).distinct()
+
+
+@query("SRC-15-contract", f"""WITH {ARCHIVE_SQL} SELECT k, '{{' || CASE WHEN k % 5 = 0 THEN '' WHEN k % 5 = 1 THEN '"site":{{}},' ELSE '"site":{{"country":"x"}},' END || '"lines":[' || lines || '],"note":null}}' AS text FROM x""")
+def archive_by_contract(spark, sf_dir):
+    """The listed trials' records cut to a contract: other fields go, what a record lacks stays away, null stays null."""
+    return C.archived(source_texts(spark, sf_dir), "k", "text", ARCHIVED, wanted(spark, sf_dir))
+
+
+@query("DQ-13-paths", f"""WITH {ARCHIVE_SQL}, f AS (SELECT k, k % 7 = 3 AS cut, k % 5 > 1 AS country, k IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 4) AS has4 FROM x)
+  SELECT 'site.country' AS path, count(*) AS n_records, count_if(cut AND country) AS n_dropped, min(CASE WHEN cut AND country THEN k END) AS example FROM f UNION ALL SELECT 'lines[].qty', count(*), count_if(cut AND NOT has4), min(CASE WHEN cut AND NOT has4 THEN k END) FROM f
+  UNION ALL SELECT 'note', count(*), count_if(cut), min(CASE WHEN cut THEN k END) FROM f UNION ALL SELECT 'more.a[]', count(*), count(*), min(k) FROM f""")
+def archive_losses(spark, sf_dir):
+    """Archives against their sources: a path outside the contract is lost everywhere, and some records were emptied."""
+    source = source_texts(spark, sf_dir)
+    archive = C.archived(source, "k", "text", ARCHIVED, wanted(spark, sf_dir))
+    archive = archive.withColumn("text", F.when(F.col("k") % 7 == 3, "{}").otherwise(F.col("text")))
+    return C.dropped(source, archive, "k", "text", [*ARCHIVED, "more.a[]"])

@@ -7,10 +7,12 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
+from .folders import kept
+
 _PATH = re.compile(r"\w+(\[\])?(\.\w+(\[\])?)*")
 
 
@@ -132,3 +134,38 @@ def presence(records: DataFrame, text: str, paths: list[str]) -> DataFrame:
     v = records.select(F.try_parse_json(text).alias("_v"))
     told = F.array(*[F.struct(F.lit(p).alias("path"), F.when(F.col("_v").isNull(), "not json").otherwise(lack(F.col("_v"), p)).alias("reason")) for p in paths])
     return v.select(F.inline(told)).groupBy("path", "reason").agg(F.count("*").alias("n"))
+
+
+def _shape(node: dict) -> str:
+    """The schema that reads what the tree keeps of a JSON text; values that no path looks into stay as they are."""
+    if not node:
+        return "variant"
+    if "[]" in node:
+        return f"array<{_shape(node['[]'])}>"
+    return f"struct<{', '.join(f'{k}: {_shape(inner)}' for k, inner in node.items())}>"
+
+
+def archived(texts: DataFrame, key: str, text: str, paths: list[str], ids: DataFrame) -> DataFrame:
+    """(key, text) of the listed ids alone (a column named as the key): JSON records cut to the paths of a contract, in its order. A field that a record lacks
+    stays away, one that holds null stays null, and extra columns go.
+
+    Refused, with three examples: a null id, an id listed twice, one whose record is missing, no JSON object, or there several times."""
+    listed = ids.groupBy(F.col(key)).agg(F.count("*").alias("_listed"))
+    node = tree(paths)
+    read = texts.select(key, F.when(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.from_json(text, _shape(node))).alias("_r"))
+    found = listed.join(read.withColumn("_has", F.lit(1)), key, "left")
+    found = kept(found.withColumn("_n", F.count("*").over(Window.partitionBy(key))).select(key, F.to_json("_r").alias(text), "_listed", "_n", F.col("_has").isNotNull().alias("_found")), "archive")
+    why = F.when(F.col(key).isNull(), "is null").when(F.col("_listed") > 1, "is listed twice").when(~F.col("_found"), "has no record").when(F.col(text).isNull(), "has no readable record").when(F.col("_n") > 1, "has several records")
+    if bad := found.select(key, why.alias("why")).filter("why is not null").limit(3).collect():
+        raise ValueError("; ".join(f"{r[key]} {r['why']}" for r in bad))
+    return found.select(key, text)
+
+
+def dropped(source: DataFrame, archive: DataFrame, key: str, text: str, paths: list[str]) -> DataFrame:
+    """(path, n_records, n_dropped, example): what an archive lacks although its source record has it, and the smallest such key. What
+    the source lacks too is no loss. Records of the archive alone are compared; a source that is no JSON has nothing to lose."""
+    both = archive.select(key, F.try_parse_json(text).alias("_b")).join(source.select(key, F.try_parse_json(text).alias("_a")), key)
+    gone = [F.col("_a").isNotNull() & lack(F.col("_a"), p).isNull() & (F.col("_b").isNull() | lack(F.col("_b"), p).isNotNull()) for p in paths]
+    one = both.agg(F.count("*").alias("n"), *[c for i, d in enumerate(gone) for c in (F.count_if(d).alias(f"n{i}"), F.min(F.when(d, F.col(key))).alias(f"k{i}"))])
+    rows = F.array(*[F.struct(F.lit(p).alias("path"), F.col("n").alias("n_records"), F.col(f"n{i}").alias("n_dropped"), F.col(f"k{i}").alias("example")) for i, p in enumerate(paths)])
+    return one.select(F.inline(rows))

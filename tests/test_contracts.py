@@ -80,3 +80,21 @@ def test_what_records_lack(spark):
         for reason in [told(r, path) for r in records] + ["not json"] * 2:
             want[path, reason] = want.get((path, reason), 0) + 1
     assert {(r.path, r.reason): r.n for r in rows} == want
+
+
+def test_archive_of_listed_ids(spark):
+    texts = [("a", '{"x": {"y": null, "z": 1}, "l": [{"v": 1, "w": 2}, {}, {"v": "é"}], "t": [1, [2]]}'), ("b", "{}"), ("c", "[1]"), ("d", "{,"), ("e", '{"l": {"v": 1}, "t": "one"}'), ("f", "{}"), ("f", "{}"), ("g", None), (None, "{}")]
+    frame = spark.createDataFrame([(*x, 1) for x in texts], "id string, text string, _n int")
+    ids = lambda *x: spark.createDataFrame([(i, 2) for i in x], "id string, text int")
+    paths = ["l[].v", "x.y", "t"]
+    got = {r["id"]: r["text"] for r in C.archived(frame, "id", "text", paths, ids("a", "b", "e")).collect()}
+    assert got == {"a": '{"l":[{"v":1},{},{"v":"é"}],"x":{"y":null},"t":[1,[2]]}', "b": "{}", "e": '{"t":"one"}'}
+    assert C.archived(frame, "id", "text", paths, ids()).count() == 0
+    for bad, why in (("c", "no readable"), ("d", "no readable"), ("g", "no readable"), ("f", "several"), ("zz", "no record"), (None, "is null")):
+        with pytest.raises(ValueError, match=why):
+            C.archived(frame, "id", "text", paths, ids(bad))
+    with pytest.raises(ValueError, match="listed twice"):
+        C.archived(frame, "id", "text", paths, ids("a", "a"))
+    one = C.archived(frame, "id", "text", paths, ids("a", "b", "e"))
+    lost = {r["path"]: (r["n_records"], r["n_dropped"], r["example"]) for r in C.dropped(frame, one, "id", "text", [*paths, "x.z", "x", "l[].v"][:5]).collect()}
+    assert lost == {"l[].v": (3, 0, None), "x.y": (3, 0, None), "t": (3, 0, None), "x.z": (3, 1, "a"), "x": (3, 0, None)}
