@@ -9,6 +9,7 @@ from ..functions.dates import prefix_date
 from ..operators import selection as S
 from ..operators import sponsors as P
 from ..sources import folders as R
+from ..sources.inventory import read_inventory
 from .bindings import CELLS, STUDIES, cells, registered, studies, table
 from .companies import KEYED, bridged
 from .dimensions import _sql
@@ -192,6 +193,14 @@ def numbered_rows(spark, sf_dir):
     return rows.select((F.col("position") + 1).cast("bigint").alias("row_number"), "nct_id", "lead")
 
 
+@query("SRC-7-file", f"WITH {STUDIES} SELECT row_number() OVER (ORDER BY md5(nct_id)) AS row_number, nct_id, lead FROM studies")
+def numbered_lines(spark, sf_dir):
+    """An inventory in an order that no column tells: its rows are numbered by where they stand in its files."""
+    path = R.landing(spark, "inventory")
+    registered(spark, sf_dir).select("nct_id", "lead").orderBy(F.md5("nct_id")).write.option("header", True).csv(path)
+    return read_inventory(spark, path, ["nct_id", "lead"]).select(F.col("position").alias("row_number"), "nct_id", "lead")
+
+
 @query("SRC-9", f"WITH {STUDIES}, {CELLS}, m AS (SELECT nct_id, list_sort(list(DISTINCT title)) AS titles FROM cells WHERE title LIKE 'Sex%' GROUP BY 1) SELECT nct_id, enrollment, coalesce(array_to_string(titles, ';'), '') AS measures FROM studies LEFT JOIN m USING (nct_id)")
 def raw_measure_rows(spark, sf_dir):
     """Selected measures of every trial; one without any keeps an empty list."""
