@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fuzzy as Z
 from ..functions import race as E
 from ..functions.labels import label_key
+from ..operators import grid as G
 from ..operators import blocks as B
 from ..operators import links as K
 from ..operators import racetables as Q
@@ -232,6 +233,23 @@ def points_in_polygons(spark, sf_dir):
     return B.points_in_areas(points, edges, 0.01)  # strips so narrow that none holds a large share of the points
 
 
+@query("JN-21-grid", """WITH p AS (SELECT c_custkey AS point_id, c_acctbal / 1000 AS x, (c_custkey % 97) / 100 AS y FROM customer), s AS (SELECT point_id, CAST(floor(x) AS BIGINT) AS area, x - floor(x) AS dx, y FROM p WHERE x >= 0 AND x < 10)
+  SELECT point_id, area FROM s WHERE NOT (dx >= 0.25 AND dx < 0.75 AND y >= 0.25 AND y < 0.75) UNION ALL SELECT point_id, 100 FROM p WHERE x >= -50 AND x < 50 UNION ALL SELECT point_id, 101 FROM p WHERE y >= 0 AND y < 0.5 AND x >= y AND x < 10 - y""")
+def points_in_grid(spark, sf_dir):
+    """Customers as points; a square with a hole for each thousand of balance, one square around all, and a trapezoid; cells by the density of the points."""
+    points = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("point_id"), (F.col("c_acctbal") / 1000).alias("x"), ((F.col("c_custkey") % 97) / 100).alias("y"))
+    squares = table(spark, sf_dir, "nation").filter("n_nationkey < 10").select(F.col("n_nationkey").cast("bigint").alias("area"))
+    corner = lambda x, y: F.struct((F.lit(0.0) + x).cast("double").alias("x"), F.lit(float(y)).alias("y"))
+    a = F.col("area")
+    ring = lambda *at: F.array(*[corner(x, y) for x, y in (*at, at[0])])
+    square = lambda x, d, e: ring((x + d, d), (x + e, d), (x + e, e), (x + d, e))
+    rings = squares.select("area", F.explode(F.array(square(a, 0.0, 1.0), square(a, 0.25, 0.75))).alias("c"))
+    one = squares.filter("area = 0")
+    rings = rings.unionByName(one.select(F.lit(100).cast("bigint").alias("area"), ring((-50, -50), (50, -50), (50, 50), (-50, 50)).alias("c"))).unionByName(one.select(F.lit(101).cast("bigint").alias("area"), ring((0, 0), (10, 0), (9.5, 0.5), (0.5, 0.5)).alias("c")))
+    sides = rings.select("area", F.explode(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.struct(F.get("c", k).alias("f"), F.get("c", k + 1).alias("t")))).alias("e"))
+    return G.points_in_cells(points, sides.select("area", F.col("e.f.x").alias("x1"), F.col("e.f.y").alias("y1"), F.col("e.t.x").alias("x2"), F.col("e.t.y").alias("y2")))
+
+
 @query("JN-4", f"WITH {STUDIES} SELECT nct_id, CASE WHEN class = 'BUILDING' AND n_regionkey = 1 THEN 'Reviewed' WHEN class = 'BUILDING' THEN 'Other' ELSE class END AS category FROM studies JOIN nation ON nation = n_nationkey")
 def placements(spark, sf_dir):
     reviewed = table(spark, sf_dir, "nation").filter("n_regionkey = 1").select(F.col("n_nationkey").alias("nation"), F.lit("Reviewed").alias("placed"))
