@@ -1,7 +1,8 @@
 """Byte-level BPE over documents, there and back.
 
 Null texts count as empty and give no ids. Every row stands for itself: repeated rows, null ids and other columns do no
-harm. An empty table gives no rows.
+harm. An empty table gives no rows. A text of any length is encoded whole; one beyond a slice's 2 MB is a slice of its own. Of
+pairs of equal rank the leftmost is merged first.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ any two documents compare, however unequal their lengths, and the sketch of a un
 Null texts count as empty. A text of one to four words is one shingle; one without words hashes as it stands. Where no
 hash falls below the fraction, the smallest is kept, so no fingerprint is empty. Documents follow one another by
 descending doc_id, then by their texts' hashes; null ids come last; the last is followed by the first. Repeated rows are
-kept. An empty table gives no rows. Other columns are ignored.
+kept. An empty table gives no rows. Other columns are ignored. Texts of any length are read whole: a sketch grows with the
+distinct shingles, by an eighth of them.
 """
 
 from __future__ import annotations
