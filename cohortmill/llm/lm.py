@@ -9,7 +9,8 @@ count each word of either table once more. A text's loss is the mean over its wo
 background, less is closer to the target.
 
 Null texts count as empty. A text without words has no losses: nulls, and 0 words. Repeated rows count each time, in
-models and results. Empty tables leave flat models. Null ids and other columns do no harm.
+models and results. Empty tables leave flat models. Null ids and other columns do no harm. A text longer than a slice is a
+slice of its own, read whole. Losses are not ranked, so equal ones need no order.
 """
 
 from __future__ import annotations
