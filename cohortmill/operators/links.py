@@ -97,24 +97,29 @@ def run_lengths(forms: DataFrame, form: str) -> list[int]:
 
 def word_runs(rows: DataFrame, key: list[str], text: str, lengths: list[int]) -> DataFrame:
     """(key, run): every run of so many whole words, once."""
-    words = word_list(text)
+    words = F.col("_words")  # a column of its own: read once a row, not once a run
     sizes = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
     runs = F.flatten(F.transform(sizes, lambda n: F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))))
-    return rows.select(*key, F.explode(F.array_distinct(runs)).alias("run"))
+    return rows.withColumn("_words", word_list(text)).select(*key, F.explode(F.array_distinct(runs)).alias("run"))
+
+
+FEW_FORMS = 100_000
 
 
 def name_matches(forms: DataFrame, titles: DataFrame, longest: int = 4, common: int = 50) -> DataFrame:
     """forms (form, strength), titles (title_id, title): the strongest form that stands in a title as a run of words; forms with many hits are flagged.
 
     A form matches by its words, however many, or where up to `longest` words of the title equal it without spaces."""
-    forms = forms.withColumn("_w", word_list("form")).filter(F.size("_w") > 0)
+    forms = kept(forms.withColumn("_w", word_list("form")).filter(F.size("_w") > 0), "forms")
+    # Spark takes exploded runs for no larger than their titles: a few forms are broadcast, else nothing is
+    by = F.broadcast if forms.count() <= FEW_FORMS else lambda x: x.hint("merge")
     near = word_runs(titles, ["title_id"], "title", list(range(1, longest + 1))).withColumn("run", F.replace("run", F.lit(" "), F.lit("")))
     far = word_runs(titles, ["title_id"], "title", [n for n in run_lengths(forms, "form") if n > longest])
-    hits = near.join(forms.select(F.array_join("_w", "").alias("run"), "form", "strength"), "run")
-    hits = hits.unionByName(far.join(forms.select(F.array_join("_w", " ").alias("run"), "form", "strength"), "run")).drop("run").distinct()
+    hits = near.join(by(forms.select(F.array_join("_w", "").alias("run"), "form", "strength")), "run")
+    hits = hits.unionByName(far.join(by(forms.select(F.array_join("_w", " ").alias("run"), "form", "strength")), "run")).drop("run").distinct()
     n = hits.groupBy("form").agg(F.count_distinct("title_id").alias("n_titles"))
     best = Window.partitionBy("title_id").orderBy("strength", "form")
-    return hits.join(n, "form").withColumn("nth", F.row_number().over(best)).filter("nth = 1").select("title_id", "form", "strength", "n_titles", (F.col("n_titles") >= common).alias("is_common"))
+    return hits.join(by(n), "form").withColumn("nth", F.row_number().over(best)).filter("nth = 1").select("title_id", "form", "strength", "n_titles", (F.col("n_titles") >= common).alias("is_common"))
 
 
 def exactly_one(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
