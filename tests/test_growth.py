@@ -16,3 +16,11 @@ def test_exploded_runs_are_never_broadcast(spark, monkeypatch, few):
     plan = df._jdf.queryExecution().sparkPlan().toString()
     joins = [line for line in plan.splitlines() if "Join" in line]
     assert joins and all(("BroadcastHashJoin" in line and "BuildRight" in line) if few else "SortMergeJoin" in line for line in joins)
+
+
+def test_first_outcome_by_the_sum_of_line_and_part(spark, tmp_path):
+    lines = [(1, 1, 2_500_000, 7, "A"), (1, 2, 5, 8, "R"), (2, 1, 3, 7, "N"), (2, 3, 1, 7, None)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = {r["l_orderkey"]: r for r in QUERIES["PRJ-4"](spark, str(tmp_path)).collect()}
+    assert [rows[k]["first_outcome"] for k in (1, 2)] == [5, 3] and [rows[k]["n_collaborators"] for k in (1, 2)] == [2, 1]
+    assert [(rows[k]["subject_masked"], rows[k]["investigator_masked"]) for k in (1, 2)] == [(True, False), (False, True)]
