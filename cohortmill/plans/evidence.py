@@ -95,8 +95,8 @@ def registered_outcomes(spark, sf_dir):
 
 @query("PRJ-37", r"SELECT doc_id, CASE WHEN regexp_matches(text, '[^.!?]*Licensed[^.!?]*') THEN trim(regexp_replace(regexp_extract(text, '[^.!?]*Licensed[^.!?]*'), '\s+', ' ', 'g')) END AS sentence FROM documents")
 def sentence_around(spark, sf_dir):
-    found = F.regexp_extract("text", r"[^.!?]*Licensed[^.!?]*", 0)
-    return table(spark, sf_dir, "documents").select("doc_id", F.when(found != "", F.trim(F.regexp_replace(found, r"\s+", " "))).alias("sentence"))
+    found = V.sentence_of(F.col("text"), "Licensed")
+    return table(spark, sf_dir, "documents").select("doc_id", F.trim(F.regexp_replace(found, r"\s+", " ")).alias("sentence"))
 
 
 @query("SEL-3", f"WITH {CELLS}, c AS (SELECT nct_id, title, label, sum(value) AS n FROM cells GROUP BY 1, 2, 3), t AS (SELECT nct_id, title, min(n) AS lo, max(n) AS hi, count(*) AS k FROM c GROUP BY 1, 2), f AS (SELECT nct_id, sum(value) AS size FROM cells GROUP BY 1) SELECT nct_id, title, hi AS analysed, CASE WHEN lo = hi AND k >= 2 THEN lo ELSE size END AS denominator FROM t JOIN f USING (nct_id)")

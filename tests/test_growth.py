@@ -24,3 +24,14 @@ def test_first_outcome_by_the_sum_of_line_and_part(spark, tmp_path):
     rows = {r["l_orderkey"]: r for r in QUERIES["PRJ-4"](spark, str(tmp_path)).collect()}
     assert [rows[k]["first_outcome"] for k in (1, 2)] == [5, 3] and [rows[k]["n_collaborators"] for k in (1, 2)] == [2, 1]
     assert [(rows[k]["subject_masked"], rows[k]["investigator_masked"]) for k in (1, 2)] == [(True, False), (False, True)]
+
+
+def test_sentence_in_long_text(spark):
+    from pyspark.sql import functions as F
+
+    from cohortmill.functions import evidence as V
+
+    long = "word " * 40_000
+    texts = [(1, "One. Two\nLicensed by  us! Three Licensed."), (2, "Licensed"), (3, long), (4, None), (5, f"{long}. {long}Licensed {long}? no"), (6, "a.Licensed?"), (7, "x Licensed y Licensed z. w"), (8, "")]
+    got = {r["i"]: r["s"] for r in spark.createDataFrame(texts, "i int, t string").select("i", V.sentence_of(F.col("t"), "Licensed").alias("s")).collect()}
+    assert got == {1: " Two\nLicensed by  us", 2: "Licensed", 3: None, 4: None, 5: f" {long}Licensed {long}", 6: "Licensed", 7: "x Licensed y Licensed z", 8: None}
