@@ -35,3 +35,11 @@ def test_sentence_in_long_text(spark):
     texts = [(1, "One. Two\nLicensed by  us! Three Licensed."), (2, "Licensed"), (3, long), (4, None), (5, f"{long}. {long}Licensed {long}? no"), (6, "a.Licensed?"), (7, "x Licensed y Licensed z. w"), (8, "")]
     got = {r["i"]: r["s"] for r in spark.createDataFrame(texts, "i int, t string").select("i", V.sentence_of(F.col("t"), "Licensed").alias("s")).collect()}
     assert got == {1: " Two\nLicensed by  us", 2: "Licensed", 3: None, 4: None, 5: f" {long}Licensed {long}", 6: "Licensed", 7: "x Licensed y Licensed z", 8: None}
+
+
+def test_scope_joins_each_order_once(spark, tmp_path):
+    spark.createDataFrame([(1,), (2,), (2,), (None,)], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1,), (1,), (1,), (3,), (None,)], "l_orderkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = QUERIES["SET-6"](spark, str(tmp_path))
+    assert sorted((str(r[0]), r[1]) for r in df.collect()) == [("1", "retrieved"), ("2", "not_retrieved"), ("2", "not_retrieved"), ("None", "not_retrieved")]
+    assert sum("Join" in line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines()) == 1
