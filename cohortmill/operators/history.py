@@ -80,12 +80,12 @@ def supersession(records: DataFrame, rounds: int = 64) -> DataFrame:
     by = once.filter("replaces is not null and not _stray").groupBy(F.col("replaces").alias("id")).agg(F.count("*").alias("_by"), F.min("id").alias("_next"))
     links = once.join(by, "id", "left").select("id", "withdrawn", (F.col("_stray") | (F.coalesce("_by", F.lit(0)) > 1)).alias("bad"), F.when(F.col("_by") == 1, F.col("_next")).alias("next"))
     links = kept(links.select("id", "withdrawn", "bad", "next", F.when(F.col("next").isNotNull(), 1).otherwise(0).cast("long").alias("depth"), F.coalesce("next", "id").alias("head")), "chains")
-    todo = links.filter("next is not null").count()
-    longest = 1
-    while longest <= todo and rounds:  # a chain has as many links as there are records at most; what still moves then goes round
-        ahead = links.select(F.col("id").alias("head"), F.col("head").alias("_head"), F.col("depth").alias("_depth"), F.col("bad").alias("_bad"), F.col("next").isNotNull().alias("_on"))
-        stepped = links.join(ahead, "head", "left").select("id", "withdrawn", (F.col("bad") | F.coalesce("_bad", F.lit(False))).alias("bad"), "next", (F.col("depth") + F.when(F.col("_on"), F.col("_depth")).otherwise(0)).alias("depth"), F.coalesce("_head", "head").alias("head"))
-        links, longest, rounds = kept(stepped, "chains"), longest * 2, rounds - 1
+    moving, moved = links.filter("next is not null").count(), None
+    while moving and moving != moved and rounds:  # a longer chain would have ended some rows in the last round: where none did, what still moves goes round
+        ahead = links.filter("next is not null").select(F.col("id").alias("head"), F.col("head").alias("_head"), F.col("depth").alias("_depth"), F.col("bad").alias("_bad"))
+        stepped = links.drop("moved").join(ahead, "head", "left").select("id", "withdrawn", (F.col("bad") | F.coalesce("_bad", F.lit(False))).alias("bad"), "next", (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"), F.coalesce("_head", "head").alias("head"), (F.col("next").isNotNull() & F.col("_head").isNotNull()).alias("moved"))
+        links, rounds, moved = kept(stepped, "chains"), rounds - 1, moving
+        moving = links.filter("moved").count()
     ends = links.select(F.col("id").alias("head"), F.col("next").isNotNull().alias("_round"), F.col("withdrawn").alias("_gone"), F.col("bad").alias("_end_bad"))
     out = links.join(ends, "head", "left")
     bad = F.col("bad") | F.coalesce("_round", F.lit(False)) | F.coalesce("_end_bad", F.lit(False))

@@ -43,3 +43,15 @@ def test_scope_joins_each_order_once(spark, tmp_path):
     df = QUERIES["SET-6"](spark, str(tmp_path))
     assert sorted((str(r[0]), r[1]) for r in df.collect()) == [("1", "retrieved"), ("2", "not_retrieved"), ("2", "not_retrieved"), ("None", "not_retrieved")]
     assert sum("Join" in line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines()) == 1
+
+
+def test_rounds_grow_with_the_longest_chain_only(spark, monkeypatch):
+    from cohortmill.operators import history as H
+
+    written, real = [], H.kept
+    monkeypatch.setattr(H, "kept", lambda df, name: written.append(name) or real(df, name))
+    rows = [(10 * c + i, 10 * c + i - 1 if i else None, False) for c in range(200) for i in range(5)] + [(9001, 9003, False), (9002, 9001, False), (9003, 9002, False)]
+    got = {r.id: (r.head, r.depth, r.state) for r in H.supersession(spark.createDataFrame(rows, "id long, replaces long, withdrawn boolean")).collect()}
+    assert all(got[10 * c + i] == (10 * c + 4, 4 - i, "current" if i == 4 else "superseded") for c in range(200) for i in range(5))
+    assert {got[i][2] for i in (9001, 9002, 9003)} == {"quarantined"}
+    assert len(written) <= 5
