@@ -55,3 +55,9 @@ def test_rounds_grow_with_the_longest_chain_only(spark, monkeypatch):
     assert all(got[10 * c + i] == (10 * c + 4, 4 - i, "current" if i == 4 else "superseded") for c in range(200) for i in range(5))
     assert {got[i][2] for i in (9001, 9002, 9003)} == {"quarantined"}
     assert len(written) <= 5
+
+
+def test_spread_reads_the_trials_once(spark):
+    df = QUERIES["AGG-24-spread"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("l_quantity" in line and "Relation" in line for line in plan.splitlines()) == 1
