@@ -61,3 +61,8 @@ def test_spread_reads_the_trials_once(spark):
     df = QUERIES["AGG-24-spread"](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert sum("l_quantity" in line and "Relation" in line for line in plan.splitlines()) == 1
+
+
+def test_contract_adds_up_its_facts_once(spark):
+    plan = QUERIES["DQ-4-contract"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Aggregate [table" in line for line in plan.splitlines()) == 1
