@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numbers import bound
+
 #: Patterns of sex and gender labels, one list for each outcome. The order of the outcomes below is the rule.
 STRUCTURAL = [
     r"^(all|both|neither|total|overall|any|sex|gender|count|multiple|two or more|na|n/a)$", r"^(all|both|any|either) ?genders?$", r"\bany gender\b", r"\ball genders?\b",
@@ -51,7 +53,10 @@ def _group_row(z: Column) -> Column:
 
 def sex_bucket(label: Column) -> Column:
     """female, male, unknown, gender_diverse, ambiguous, or '' for what is excluded or not recognised."""
-    z = label_key(F.coalesce(label, F.lit("")))
+    return bound(label_key(F.coalesce(label, F.lit(""))), _bucket)
+
+
+def _bucket(z: Column) -> Column:
     return (
         F.when((z == "") | _has(z, STRUCTURAL) | _group_row(z), "")
         .when(_has(z, UNKNOWN), "unknown")
