@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import bound
+
 
 def dimension_block(rows: DataFrame, key: str, category: str, value: str, population: DataFrame, size: str, subcategory: str | None = None, sex: str | None = None) -> DataFrame:
     """One row a trial: totals by category, the shortfall to the baseline population as inferred unknown, and whether anything is reported;
@@ -12,14 +14,18 @@ def dimension_block(rows: DataFrame, key: str, category: str, value: str, popula
 
     A table of zeros only is not reported; explicit unknown rows stay apart from the inferred remainder."""
     fine = [c for c in (subcategory, sex) if c]
-    counts = rows.groupBy(key, category, *fine).agg(F.sum(value).alias("n"))
-    maps = [F.col(category).alias("t")] + [F.concat_ws(".", category, c).alias(name) for c, name in ((subcategory, "s"), (sex, "j")) if c]
-    kinds = [("t", "totals")] + [(k, name) for c, k, name in ((subcategory, "s", "subcategories"), (sex, "j", "joint")) if c]
-    pieces = counts.select(key, "n", *maps, *[F.col(c).isNotNull().alias(f"has_{k}") for c, k in ((subcategory, "s"), (sex, "j")) if c])
-    entry = lambda k, name: F.when(F.lit(True) if k == "t" else F.col(f"has_{k}"), F.struct(F.lit(name).alias("kind"), F.col(k).alias("name")))
-    long = pieces.select(key, "n", F.explode(F.array_compact(F.array(*[entry(k, name) for k, name in kinds]))).alias("e")).groupBy(key, "e").agg(F.sum("n").alias("n"))
-    collected = lambda name: F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("e.kind") == name, F.struct("e.name", "n"))))).alias(name)
-    block = long.groupBy(key).agg(*[collected(name) for _, name in kinds], F.sum(F.when(F.col("e.kind") == "totals", F.col("n"))).alias("n_in_table"))
+    number = rows.agg(F.sum(value).alias("n")).schema["n"].dataType
+    total = lambda found: F.when(F.exists(found, lambda x: x["n"].isNotNull()), F.aggregate(found, F.lit(0).cast(number), lambda a, x: F.when(x["n"].isNull(), a).otherwise((a + x["n"]).cast(number))))
+
+    def summed(c: str | None) -> Column:
+        name = (lambda x: F.concat_ws(".", x[category], x[c])) if c else (lambda x: x[category])
+        named = F.transform(F.filter("_c", lambda x: x[c].isNotNull()) if c else F.col("_c"), lambda x: F.struct(name(x).alias("name"), x["n"].alias("n")))
+        by_name = lambda named: F.transform(F.array_sort(F.array_distinct(F.transform(named, lambda x: x["name"]))), lambda k: F.struct(k.alias("name"), bound(F.filter(named, lambda x: x["name"] == k), total).alias("n")))
+        return F.map_from_entries(bound(named, by_name))
+
+    # one shuffle, by trial, and no table of groups in memory before it; a trial's array is as long as what it posts
+    per = rows.repartition(key).groupBy(key).agg(F.collect_list(F.struct(category, *fine, F.col(value).alias("n"))).alias("_c"))
+    block = per.select(key, summed(None).alias("totals"), *[summed(c).alias(name) for c, name in ((subcategory, "subcategories"), (sex, "joint")) if c], total(F.col("_c")).alias("n_in_table"))
     out = population.join(block, key, "left")
     short = F.greatest(F.lit(0.0), F.col(size) - F.coalesce("n_in_table", F.lit(0.0)))
     reported = F.coalesce(F.col("n_in_table") > 0, F.lit(False))

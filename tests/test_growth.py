@@ -76,3 +76,17 @@ def test_records_of_a_split_are_built_once(spark):
 def test_lines_of_nested_tables_are_collected_once(spark):
     plan = QUERIES["SEL-11-records"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("collect_list(") == 1
+
+
+def test_block_groups_by_trial_alone(spark):
+    from cohortmill.operators import blocks as B
+
+    rows = spark.createDataFrame([(1, "a", "x", "F", 2), (1, "a", "x", "M", 3), (1, "a", None, "F", 1), (1, "b", None, None, None), (2, "b", None, None, None), (3, "c", "y", "F", 0)], "k int, c string, s string, j string, n long")
+    size = spark.createDataFrame([(1, 10.0), (2, 5.0), (3, 5.0), (4, 5.0)], "k int, size double")
+    df = B.dimension_block(rows, "k", "c", "n", size, "size", "s", "j")
+    got = {r.k: r for r in df.collect()}
+    assert (got[1].totals, got[1].subcategories, got[1].joint, got[1].n_in_table) == ({"a": 6, "b": None}, {"a.x": 5}, {"a.F": 3, "a.M": 3}, 6)
+    assert got[2].totals == {"b": None} and got[2].n_in_table is None and not got[2].reported and got[2].joint == {}
+    assert got[3].totals == {"c": 0} and not got[3].reported and got[4].totals is None
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("Aggregate [") == 1
