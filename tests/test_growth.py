@@ -90,3 +90,8 @@ def test_block_groups_by_trial_alone(spark):
     assert got[3].totals == {"c": 0} and not got[3].reported and got[4].totals is None
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and plan.count("Aggregate [") == 1
+
+
+def test_usable_baseline_reads_the_total_group_once(spark):
+    plan = QUERIES["FLT-15"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("single_group") == 1
