@@ -150,13 +150,18 @@ def pair_changes(before: DataFrame, now: DataFrame, sponsors_before: DataFrame,
     """(nct_id, canonical, role) added to or removed from the bridge, each with its literal and cause: a registry edit where the other
     week's trial lacks the literal in that role, else a change of rules if there was one."""
 
-    def one_way(here: DataFrame, there: DataFrame, sponsors_there: DataFrame, change: str) -> DataFrame:
-        only = pairs(here).join(pairs(there).select("nct_id", "canonical", "role"), ["nct_id", "canonical", "role"], "left_anti")
+    key = ["nct_id", "canonical", "role"]
+    both = pairs(before).withColumnRenamed("literal", "was").join(pairs(now).withColumnRenamed("literal", "is"), key, "full")
+    # both weeks meet once; what differs is written, so that Spark knows how little it is
+    changed = kept(both.filter("was is null or is is null"), "pair-changes")
+
+    def one_way(here: str, there: str, sponsors_there: DataFrame, change: str) -> DataFrame:
+        only = changed.filter(F.col(there).isNull()).select(*key, F.col(here).alias("literal"))
         had = sponsors_there.select("nct_id", "role", F.col("name").alias("literal")).distinct().withColumn("had", F.lit(True))
         cause = F.when(F.col("had").isNull(), "registry_edit").when(F.lit(rules_changed), "rules_change").otherwise("unknown")
-        return only.join(had, ["nct_id", "role", "literal"], "left").select("nct_id", "canonical", "role", F.lit(change).alias("change"), "literal", cause.alias("cause"))
+        return only.join(had, ["nct_id", "role", "literal"], "left").select(*key, F.lit(change).alias("change"), "literal", cause.alias("cause"))
 
-    return one_way(now, before, sponsors_before, "added").unionByName(one_way(before, now, sponsors_now, "removed"))
+    return one_way("is", "was", sponsors_before, "added").unionByName(one_way("was", "is", sponsors_now, "removed"))
 
 
 def curation_batch(sponsors: DataFrame, unreviewed: DataFrame, industry: Column, top: int = 100) -> DataFrame:

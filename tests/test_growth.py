@@ -95,3 +95,17 @@ def test_block_groups_by_trial_alone(spark):
 def test_usable_baseline_reads_the_total_group_once(spark):
     plan = QUERIES["FLT-15"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("single_group") == 1
+
+
+def test_weeks_of_pairs_meet_once(spark, monkeypatch):
+    from cohortmill.operators import sponsors as S
+
+    written, real = [], S.kept
+    monkeypatch.setattr(S, "kept", lambda df, name: written.append(name) or real(df, name))
+    index = "nct_id string, canonical string, role string, literal_name string"
+    was, now = spark.createDataFrame([("1", "A", "lead", "a"), ("2", "A", "lead", "a")], index), spark.createDataFrame([("1", "A", "lead", "a2"), ("3", "B", "lead", "b"), ("3", "C", "lead", "c")], index)
+    registry = "nct_id string, role string, name string"
+    before, after = spark.createDataFrame([("3", "lead", "b"), ("3", "lead", "b"), ("2", "lead", "a")], registry), spark.createDataFrame([("3", "lead", "b")], registry)
+    got = {(r.nct_id, r.canonical, r.change, r.literal, r.cause) for r in S.pair_changes(was, now, before, after, True).collect()}
+    assert got == {("3", "B", "added", "b", "rules_change"), ("3", "C", "added", "c", "registry_edit"), ("2", "A", "removed", "a", "registry_edit")}
+    assert written == ["pair-changes"]
