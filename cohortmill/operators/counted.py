@@ -1,105 +1,126 @@
 """Which of a trial's tables of one dimension count, and the block that they make: nobody is counted twice.
 
-All steps keep the partitioning by trial; one shuffle serves them. A trial's tables and rows stand in arrays, which are as long as what it posts."""
+All steps keep the partitioning by trial; one shuffle serves them. A trial's tables and rows stand in arrays, which are as long as what it posts; tables
+are gathered once a trial and chosen where they stand, with no window and no join."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "unknown_not_reported"
 _ROWS = "array<struct<line: bigint, label: string, category: string, subcategory: string, n: bigint, negates: boolean, flags: array<string>>>"
 
 
-def _total(rows: Column) -> Column:
-    return F.aggregate(rows, F.lit(0).cast("bigint"), lambda a, r: a + r["n"])
+def _total(rows: Column, when=None) -> Column:
+    return F.aggregate(rows, F.lit(0).cast("bigint"), lambda a, r: a + (F.when(when(r), r["n"]).otherwise(0) if when else r["n"]))
 
 
 def _by(rows: Column, key) -> Column:
     """map<key, sum of n> of an array of rows, in the order of the keys; rows without key are left out."""
     keys = F.array_sort(F.array_distinct(F.filter(F.transform(rows, key), lambda k: k.isNotNull())))
-    return F.map_from_arrays(keys, F.transform(keys, lambda k: _total(F.filter(rows, lambda r: key(r) == k))))
+    return F.map_from_arrays(keys, F.transform(keys, lambda k: _total(rows, lambda r: key(r) == k)))
 
 
-def posted_tables(rows: DataFrame, by: str, specific: list[str]) -> DataFrame:
+def posted_tables(rows: DataFrame, by: str, specific: list[str], held: Column | None = None) -> DataFrame:
     """One row a table. rows: by, position (of the table), line, label, category (null: a row of another dimension, kept apart), subcategory,
     n (null counts 0), negates (a row kept apart that denies what it names), flags, analyzed (the table's own number, null where it posts
-    none), population (its description). specific_n: people in specific categories; counts: its categories with people, sorted."""
+    none), population (its description). Rows that are not held only tell that their trial is there: no rows stand in a table of such rows alone.
+    specific_n: people in specific categories; posted_n: what all rows add up to (null where none has a number); counts: its categories with people, sorted."""
     row = F.struct(
         F.col("line").cast("bigint").alias("line"), "label", "category", "subcategory", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"),
         F.coalesce("negates", F.lit(False)).alias("negates"), F.coalesce("flags", F.array().cast("array<string>")).alias("flags"),
     )
     described = F.nullif(F.trim(F.regexp_replace(F.lower(F.max("population")), r"\s+", " ")), F.lit(""))
-    t = rows.repartition(by).groupBy(by, "position").agg(F.max("analyzed").cast("bigint").alias("analyzed"), described.alias("population"), F.array_sort(F.collect_list(row)).alias("rows"))
-    own = F.filter("rows", lambda r: r["category"].isNotNull())
-    sums = _by(F.filter(own, lambda r: r["n"] != 0), lambda r: r["category"])
-    return t.withColumns({
-        "counted_n": _total(own), "specific_n": _total(F.filter(own, lambda r: r["category"].isin(*specific))), "detailed_n": _total(F.filter(own, lambda r: r["subcategory"].isNotNull())),
-        "counts": F.transform(F.map_entries(sums), lambda e: F.struct(e["key"].alias("category"), e["value"].alias("n"))),
-    })
+    there = F.lit(True) if held is None else held
+    own = there & F.col("category").isNotNull()
+    n = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).cast("bigint")
+    t = rows.repartition(by).groupBy(by, "position").agg(
+        F.max("analyzed").cast("bigint").alias("analyzed"), described.alias("population"), F.sort_array(F.collect_list(F.when(there, row))).alias("rows"), F.sum(F.when(there, F.col("n"))).cast("bigint").alias("posted_n"),
+        n(own).alias("counted_n"), n(own & F.col("category").isin(*specific)).alias("specific_n"), n(own & F.col("subcategory").isNotNull()).alias("detailed_n"),
+    )
+    sums = _by(F.filter("rows", lambda r: r["category"].isNotNull() & (r["n"] != 0)), lambda r: r["category"])
+    return t.withColumn("counts", F.transform(F.map_entries(sums), lambda e: F.struct(e["key"].alias("category"), e["value"].alias("n"))))
 
 
-def _are_parts(among: Column, total: Column, w) -> Column:
+def _are_parts(tables: Column, total: Column) -> Column:
     """Each has a number of its own below the total and counts no more than it, together they are the total, none is posted twice."""
-    fits = (F.col("analyzed") < total) & (F.col("counted_n") <= F.col("analyzed"))
-    alone = F.size(F.collect_set(F.when(among, F.struct("analyzed", "counts", "population"))).over(w)) == F.count_if(among).over(w)
-    return F.coalesce(F.every(F.when(among, F.coalesce(fits, F.lit(False)))).over(w) & (F.sum(F.when(among, F.col("analyzed"))).over(w) == total) & alone, F.lit(False))
+    fits = F.forall(tables, lambda t: F.coalesce((t["analyzed"] < total) & (t["counted_n"] <= t["analyzed"]), F.lit(False)))
+    together = F.aggregate(tables, F.lit(0).cast("bigint"), lambda a, t: a + t["analyzed"]) == total
+    alone = F.size(F.array_distinct(F.transform(tables, lambda t: F.struct(t["analyzed"], t["counts"], t["population"])))) == F.size(tables)
+    return F.coalesce((F.size(tables) > 1) & fits & together & alone, F.lit(False))
+
+
+def gathered(tables: DataFrame, by: str, posted: Column | None = None, **more: Column) -> DataFrame:
+    """(by, tables, more): a trial's tables (those that are posted) in one array, by position, and further aggregates of them."""
+    one = F.struct("position", *[c for c in tables.columns if c not in (by, "position")])
+    return tables.groupBy(by).agg(F.sort_array(F.collect_list(one if posted is None else F.when(posted, one))).alias("tables"), *[c.alias(name) for name, c in more.items()])
+
+
+def chosen(trials: DataFrame, total: str, allow_parts: Column | None = None) -> DataFrame:
+    """trials: tables as from gathered(), total. Adds counted, partitioned and by_description to each of the tables, as told in select_counted()."""
+    size, may = F.col(total), F.lit(True) if allow_parts is None else F.coalesce(allow_parts, F.lit(False))
+    told = lambda t: t["specific_n"] > 0
+    whole = lambda t: told(t) & F.coalesce(t["analyzed"] >= size, F.lit(True))
+    x = trials.withColumn("_told", F.filter("tables", told)).withColumns({"_n": F.size("tables"), "_k": F.size("_told"), "_whole": F.filter("_told", whole), "_parts": may & _are_parts(F.col("tables"), size)})
+    every, some = (F.col("_n") == 1) | F.col("_parts") | (F.col("_k") == 0), (F.col("_k") == 1) | size.isNull() | (F.size("_whole") == 0)
+    parts = (F.col("_n") > 1) & (F.col("_parts") | ((F.col("_k") > 1) & size.isNotNull() & (F.size("_whole") == 0) & may & _are_parts(F.col("_told"), size)))
+    x = x.withColumns({"_pool": F.when(every, F.col("tables")).when(some, F.col("_told")).otherwise(F.col("_whole")), "_partitioned": parts})
+    # the last of structs that end in the negative place: of equal ones the first
+    x = x.withColumn("_top", F.array_max(F.transform("_pool", lambda t, i: F.struct(t["specific_n"].alias("s"), t["counted_n"].alias("c"), (-i).alias("i"), t["counts"].alias("counts")))))
+    twins = F.filter("_pool", lambda t: (t["specific_n"] == F.col("_top.s")) & (t["counted_n"] == F.col("_top.c")) & (t["counts"] == F.col("_top.counts")))
+    x = x.withColumn("_best", F.array_max(F.transform(twins, lambda t, i: F.struct(t["detailed_n"].alias("d"), (-i).alias("i"), t["position"].alias("position"))))["position"])
+    counts = lambda t: F.when(F.col("_partitioned"), F.col("_parts") | told(t)).otherwise(t["position"].eqNullSafe(F.col("_best")))
+    x = x.withColumn("_parted", F.filter("tables", lambda t: F.col("_partitioned") & counts(t)))
+    alike = F.size(F.array_distinct(F.transform("_parted", lambda t: F.struct(t["analyzed"], t["counts"])))) < F.size("_parted")
+    flagged = lambda t: t.withField("counted", counts(t)).withField("partitioned", F.col("_partitioned")).withField("by_description", F.col("_alike"))
+    x = x.withColumn("_alike", alike).withColumn("tables", F.transform("tables", flagged))
+    return x.drop("_told", "_n", "_k", "_whole", "_parts", "_pool", "_partitioned", "_top", "_best", "_parted", "_alike")
 
 
 def select_counted(tables: DataFrame, by: str, total: str, allow_parts: Column | None = None) -> DataFrame:
     """Adds counted, partitioned (the counted ones are disjoint parts) and by_description (two parts differ by their description only).
+    allow_parts: whether a trial's tables may be read as parts, on each of them.
 
     All tables that are proven parts of the population count. Else those that place people in specific categories are looked at: the only
     one; the fullest of those on the whole population; all if they are parts; the fullest. Fullest: most people in specific categories,
     then most counted, then first; of those that post the same counts, the one with most people in subcategories."""
-    w = Window.partitionBy(by)
-    size, may = F.col(total), F.lit(True) if allow_parts is None else allow_parts
-    told = F.col("specific_n") > 0
-    whole = told & F.coalesce(F.col("analyzed") >= size, F.lit(True))
-    t = tables.withColumns({
-        "_all": F.count("*").over(w), "_told": F.count_if(told).over(w), "_whole": F.count_if(whole).over(w),
-        "_parts": may & _are_parts(F.lit(True), size, w), "_told_parts": may & _are_parts(told, size, w),
-    })
-    one = F.col("_all") == 1
-    pool = (
-        F.when(one | F.col("_parts") | (F.col("_told") == 0), F.lit(True))
-        .when((F.col("_told") == 1) | size.isNull() | (F.col("_whole") == 0), told)
-        .otherwise(whole)
-    )
-    parts = ~one & (F.col("_parts") | ((F.col("_told") > 1) & size.isNotNull() & (F.col("_whole") == 0) & F.col("_told_parts")))
-    t = t.withColumns({"_pool": pool, "partitioned": parts})
-    order = [F.desc("_pool"), F.desc("specific_n"), F.desc("counted_n")]
-    same = F.struct("specific_n", "counted_n", "counts")
-    t = t.withColumn("_twin", F.col("_pool") & (same == F.first(same).over(w.orderBy(*order, "position"))))
-    t = t.withColumn("_nth", F.row_number().over(w.orderBy(F.desc("_twin"), F.desc("detailed_n"), "position")))
-    t = t.withColumn("counted", F.col("_pool") & (F.col("partitioned") | (F.col("_nth") == 1)))
-    alike = F.size(F.collect_set(F.when(F.col("counted"), F.struct("analyzed", "counts"))).over(w)) < F.count_if("counted").over(w)
-    return t.withColumn("by_description", F.col("partitioned") & alike).drop("_all", "_told", "_whole", "_parts", "_told_parts", "_pool", "_twin", "_nth")
+    may = F.lit(True) if allow_parts is None else allow_parts
+    trials = chosen(gathered(tables, by, _size=F.max(total), _may=F.every(may)), "_size", F.col("_may"))
+    return trials.select(by, F.inline("tables")).select(*tables.columns, "counted", "partitioned", "by_description")
 
 
 def counted_block(selected: DataFrame, trials: DataFrame, by: str, total: str, name: str, categories: list[str]) -> DataFrame:
-    """One row for each of trials (by, total): what its counted tables say.
+    """block_of() each of trials (by, total), whose tables, if any, are the rows of selected."""
+    per = selected.groupBy(by).agg(F.collect_list(F.struct("rows", "counted", "partitioned", "by_description")).alias("tables"))
+    return block_of(trials.select(by, total).join(per, by, "left"), by, total, name, categories)
+
+
+def block_of(trials: DataFrame, by: str, total: str, name: str, categories: list[str]) -> DataFrame:
+    """One row for each of trials (by, total, tables: rows, counted, partitioned, by_description): what its counted tables say.
 
     totals (all categories, 0 where nobody is), subtotals ('category_subcategory'), kept_apart (counted tables' rows of other dimensions),
     unknown_explicit (posted), unknown_elsewhere (the shortfall to total, where the rows kept apart add up to exactly it and none negates),
     unknown_inferred (a shortfall with no row behind it), flags (sorted; name says what the tables are of). totals holds the shortfall as
     unknown. Tables of zeros only are not reported, and a trial without tables has no rows."""
-    per = selected.groupBy(by).agg(
-        F.coalesce(F.flatten(F.collect_list(F.when(F.col("counted"), F.col("rows")))), F.array().cast(_ROWS)).alias("_rows"),
-        F.count("*").alias("n_tables"), F.count_if("counted").alias("n_counted"), F.bool_or("partitioned").alias("_parts"), F.bool_or("by_description").alias("_described"),
+    counted = F.filter("tables", lambda t: t["counted"])
+    b = trials.select(
+        by, F.col(total).cast("bigint").alias(total), F.coalesce(F.flatten(F.transform(counted, lambda t: t["rows"])), F.array().cast(_ROWS)).alias("_rows"),
+        F.when(F.size("tables") > 0, F.size("tables")).otherwise(0).cast("bigint").alias("n_tables"), F.coalesce(F.size(counted), F.lit(0)).cast("bigint").alias("n_counted"),
+        F.exists("tables", lambda t: t["partitioned"]).alias("_parts"), F.exists("tables", lambda t: t["by_description"]).alias("_described"),
     )
-    b = trials.select(by, F.col(total).cast("bigint").alias(total)).join(per, by, "left").withColumn("_rows", F.coalesce("_rows", F.array().cast(_ROWS)))
-    own = F.filter("_rows", lambda r: r["category"].isNotNull())
-    b = b.withColumns({"_own": own, "kept_apart": F.filter("_rows", lambda r: r["category"].isNull()), "n_posted": _total(own)})
-    b = b.withColumn("reported", F.col("n_posted") > 0)
+    b = b.withColumns({"_own": F.filter("_rows", lambda r: r["category"].isNotNull()), "kept_apart": F.filter("_rows", lambda r: r["category"].isNull())})
+    b = b.withColumn("n_posted", _total(F.col("_own"))).withColumn("reported", F.col("n_posted") > 0)
     short = F.when(F.col("reported"), F.greatest(F.col(total) - F.col("n_posted"), F.lit(0)))
-    denied = _total(F.filter("kept_apart", lambda r: r["negates"]))
+    denied = _total(F.col("kept_apart"), lambda r: r["negates"])
     b = b.withColumns({"_short": F.coalesce(short, F.lit(0)).cast("bigint"), "_apart": _total(F.col("kept_apart"))})
-    elsewhere = (F.col("_short") > 0) & (F.col("_apart") == F.col("_short")) & (denied == 0)
-    of = lambda c: _total(F.filter("_own", lambda r: r["category"] == c))
-    posted = {c: F.when(F.col("reported"), of(c)).otherwise(0).cast("bigint") for c in categories}
+    b = b.withColumn("_elsewhere", (F.col("_short") > 0) & (F.col("_apart") == F.col("_short")) & (denied == 0))
+    elsewhere, own = F.col("_elsewhere"), F.when(F.col("reported"), F.col("_own")).otherwise(F.array().cast(_ROWS))
+    named = F.transform(F.filter(own, lambda r: r["subcategory"].isNotNull()), lambda r: F.struct(F.concat_ws("_", r["category"], r["subcategory"]).alias("name"), r["n"].alias("n")))
+    b = b.withColumns({"_fine": named, **{f"_in{k}": _total(own, lambda r, c=c: r["category"] == c) for k, c in enumerate(categories)}})
+    posted = {c: F.col(f"_in{k}") for k, c in enumerate(categories)}
     totals = F.map_from_arrays(F.array(*map(F.lit, categories)), F.array(*[posted[c] + F.col("_short") if c == UNKNOWN else posted[c] for c in categories]))
-    subtotals = _by(F.when(F.col("reported"), F.col("_own")).otherwise(F.array().cast(_ROWS)), lambda r: F.when(r["subcategory"].isNotNull(), F.concat_ws("_", r["category"], r["subcategory"])))
+    subtotals = _by(F.col("_fine"), lambda r: r["name"])
     flag = lambda cond, text: F.when(cond, F.lit(text) if isinstance(text, str) else text)
     stated = F.array_compact(F.array(
         flag(F.col("n_counted") < F.col("n_tables"), f"{name}_table_superseded"), flag(F.col("_parts"), f"{name}_tables_partitioned"), flag(F.col("_described"), f"{name}_tables_partitioned_by_description"),
@@ -110,7 +131,7 @@ def counted_block(selected: DataFrame, trials: DataFrame, by: str, total: str, n
     apart = F.when(F.col("_apart") > 0, F.array(F.lit("other_rows_skipped"))).otherwise(F.array().cast("array<string>"))
     zero = F.lit(0).cast("bigint")
     return b.select(
-        by, total, "reported", "n_posted", F.coalesce("n_tables", zero).alias("n_tables"), F.coalesce("n_counted", zero).alias("n_counted"), totals.alias("totals"), subtotals.alias("subtotals"), "kept_apart",
+        by, total, "reported", "n_posted", "n_tables", "n_counted", totals.alias("totals"), subtotals.alias("subtotals"), "kept_apart",
         posted.get(UNKNOWN, zero).alias("unknown_explicit"), F.when(elsewhere, F.col("_short")).otherwise(zero).alias("unknown_elsewhere"), F.when(elsewhere, zero).otherwise(F.col("_short")).alias("unknown_inferred"),
         F.array_sort(F.array_distinct(F.concat(flags, apart))).alias("flags"),
     )

@@ -109,3 +109,10 @@ def test_weeks_of_pairs_meet_once(spark, monkeypatch):
     got = {(r.nct_id, r.canonical, r.change, r.literal, r.cause) for r in S.pair_changes(was, now, before, after, True).collect()}
     assert got == {("3", "B", "added", "b", "rules_change"), ("3", "C", "added", "c", "registry_edit"), ("2", "A", "removed", "a", "registry_edit")}
     assert written == ["pair-changes"]
+
+
+@pytest.mark.parametrize("name", ["SEL-7-tables"])
+def test_posted_tables_are_shuffled_once(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+    assert plan.executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+    assert "Window" not in plan.optimizedPlan().toString() and plan.optimizedPlan().toString().count("Join") == 1
