@@ -111,7 +111,7 @@ def test_weeks_of_pairs_meet_once(spark, monkeypatch):
     assert written == ["pair-changes"]
 
 
-@pytest.mark.parametrize("name", ["SEL-7-tables"])
+@pytest.mark.parametrize("name", ["SEL-7-tables", "SEL-9-tables"])
 def test_posted_tables_are_shuffled_once(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
     assert plan.executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
