@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import sponsor_key, subsidiary
+from ..functions.numbers import bound
 from ..sources.folders import kept
 
 RULE_TYPES = {"exact_literal": "name", "exact_normalized": "norm", "subsidiary_of": "parent_norm"}
@@ -70,7 +71,8 @@ def matched(names: DataFrame, rules: DataFrame) -> DataFrame:
 def bridge(sponsors: DataFrame, rules: DataFrame) -> DataFrame:
     """One row per trial, company, entity and role; of several literals the least stays. Written once."""
     found = sponsors.join(matched(kept(literals(sponsors), "literals"), rules), "name")
-    found = found.groupBy("nct_id", "canonical", "entity", "role").agg(F.min(F.struct("name", "agency_class", "match_rule", "shared")).alias("x"))
+    # rows meet by trial before they are sorted, once: few fall to one group, so that sorting them before the shuffle too would gain nothing
+    found = found.repartition("nct_id").groupBy("nct_id", "canonical", "entity", "role").agg(F.min(F.struct("name", "agency_class", "match_rule", "shared")).alias("x"))
     return kept(found.select("nct_id", "canonical", "entity", "role", F.col("x.name").alias("literal_name"), "x.agency_class", "x.match_rule", "x.shared"), "bridge")
 
 
@@ -117,16 +119,29 @@ def pairs(index: DataFrame) -> DataFrame:
 def concordance(left: DataFrame, right: DataFrame, left_trials: DataFrame, right_trials: DataFrame) -> DataFrame:
     """Pairs of two indexes on the trials that both sides hold (nct_id): agree, left_only or right_only, the latter two with a cause:
     the other side lacks the literal in that trial, has it in another role, or gives it to another company."""
-    shared = left_trials.select("nct_id").distinct().join(right_trials.select("nct_id").distinct(), "nct_id", "left_semi")
-    a, b = (x.join(shared, "nct_id", "left_semi") for x in (left, right))
-    both = pairs(a).withColumnRenamed("literal", "in_left").join(pairs(b).withColumnRenamed("literal", "in_right"), ["nct_id", "canonical", "role"], "full")
-    # literal_name and role of either side by trial, to see what the other side made of a literal
-    seen = lambda x, side: x.groupBy("nct_id", F.col("literal_name").alias("literal")).agg(F.collect_set("role").alias(f"roles_{side}"))
-    both = both.withColumn("literal", F.coalesce("in_left", "in_right")).join(seen(a, "left"), ["nct_id", "literal"], "left").join(seen(b, "right"), ["nct_id", "literal"], "left")
-    other = F.when(F.col("in_left").isNull(), F.col("roles_left")).otherwise(F.col("roles_right"))
-    state = F.when(F.col("in_left").isNull(), "right_only").when(F.col("in_right").isNull(), "left_only").otherwise("agree")
-    cause = F.when(other.isNull(), "literal_absent").when(F.array_contains(other, F.col("role")), "canonical_differs").otherwise("role_differs")
-    return both.select("nct_id", "canonical", "role", state.alias("state"), F.when(state != "agree", cause).alias("cause"))
+    trials = left_trials.select("nct_id", F.lit(1).alias("side")).unionByName(right_trials.select("nct_id", F.lit(2).alias("side")))
+    shared = trials.groupBy("nct_id").agg(F.bit_or("side").alias("sides")).filter("sides = 3").select("nct_id")
+    # both indexes meet in one shuffle by trial; a trial's rows of either side stand in arrays, sorted, so that the first of a pair has its least literal
+    rows = lambda x, side: x.select("nct_id", F.lit(side).alias("side"), F.struct("canonical", "role", F.col("literal_name").alias("literal")).alias("x"))
+    of_side = lambda side: F.sort_array(F.collect_list(F.when(F.col("side") == side, F.col("x"))))
+    per = rows(left, 1).unionByName(rows(right, 2)).repartition("nct_id").groupBy("nct_id").agg(of_side(1).alias("left"), of_side(2).alias("right")).join(shared, "nct_id", "left_semi")
+
+    def firsts(side: str) -> Column:
+        before = lambda i: F.get(F.col(side), i - 1)
+        return F.filter(side, lambda x, i: (i == 0) | ~(x["canonical"].eqNullSafe(before(i)["canonical"]) & x["role"].eqNullSafe(before(i)["role"])))
+
+    per = per.withColumns({"left_pairs": firsts("left"), "right_pairs": firsts("right")})
+    held = lambda side, cond: F.coalesce(F.exists(side, cond), F.lit(False))
+    agrees = lambda x, side: held(f"{side}_pairs", lambda o: (o["canonical"] == x["canonical"]) & (o["role"] == x["role"]))
+
+    def judged(x: Column, there: str, state: Column) -> Column:
+        literal = lambda o: o["literal"] == x["literal"]
+        cause = F.when(~held(there, literal), "literal_absent").when(held(there, lambda o: literal(o) & (o["role"] == x["role"])), "canonical_differs").otherwise("role_differs")
+        return bound(state, lambda s: F.struct(x["canonical"].alias("canonical"), x["role"].alias("role"), s.alias("state"), F.when(s != "agree", cause).alias("cause")))
+
+    ours = F.transform("left_pairs", lambda x: judged(x, "right", F.when(agrees(x, "right"), "agree").otherwise("left_only")))
+    theirs = F.transform(F.filter("right_pairs", lambda x: ~agrees(x, "left")), lambda x: judged(x, "left", F.lit("right_only")))
+    return per.select("nct_id", F.inline(F.concat(ours, theirs)))
 
 
 def company_lists(found: DataFrame) -> DataFrame:

@@ -116,3 +116,17 @@ def test_posted_tables_are_shuffled_once(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
     assert plan.executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
     assert "Window" not in plan.optimizedPlan().toString() and plan.optimizedPlan().toString().count("Join") == 1
+
+
+def test_two_indexes_meet_in_one_shuffle(spark):
+    from cohortmill.operators import sponsors as S
+
+    index = lambda rows: spark.createDataFrame([(t, c, r, n) for t, c, r, n in rows], "nct_id string, canonical string, role string, literal_name string")
+    left = index([("a", "X", "lead", "x1"), ("a", "X", "lead", "x0"), ("a", "Y", "lead", "y"), ("a", "Z", "lead", "z"), ("a", "W", None, "w"), ("b", "X", "lead", "x1"), ("c", "X", "lead", "x1")])
+    right = index([("a", "X", "lead", "x1"), ("a", "V", "lead", "y"), ("a", "Z", "collaborator", "z"), ("a", "W", None, "w"), ("d", "X", "lead", "x1")])
+    trials = spark.createDataFrame([("a",), ("c",), (None,)], "nct_id string")
+    df = S.concordance(left, right, trials.unionByName(trials), trials)
+    got = sorted((r.nct_id, r.canonical, str(r.role), r.state, str(r.cause)) for r in df.collect())
+    want = [("a", "V", "lead", "right_only", "canonical_differs"), ("a", "W", "None", "left_only", "role_differs"), ("a", "W", "None", "right_only", "role_differs"), ("a", "X", "lead", "agree", "None"), ("a", "Y", "lead", "left_only", "canonical_differs")]
+    assert got == [*want, ("a", "Z", "collaborator", "right_only", "role_differs"), ("a", "Z", "lead", "left_only", "role_differs"), ("c", "X", "lead", "left_only", "literal_absent")]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
