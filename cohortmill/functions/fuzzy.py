@@ -78,4 +78,7 @@ def closest(labels: DataFrame, column: str, words: list[tuple[str, str]], least:
         return pd.DataFrame(found, columns=["outcome", "ratio"])
 
     text = label_key(F.col(column)) if text is None else text
-    return labels.select(column).distinct().select(column, nearest(F.coalesce(text, F.lit(""))).alias("x")).select(column, "x.*")
+    # called not deterministic, lest Spark move a condition on the outcome, and the comparing with it, before distinct() to every row;
+    # spread by number: the texts are few bytes and much work, and Spark would take them to one task by their size
+    known = labels.select(column).distinct().repartition(int(labels.sparkSession.conf.get("spark.sql.shuffle.partitions")), column)
+    return known.select(column, nearest.asNondeterministic()(F.coalesce(text, F.lit(""))).alias("x")).select(column, "x.*")

@@ -130,3 +130,17 @@ def test_two_indexes_meet_in_one_shuffle(spark):
     want = [("a", "V", "lead", "right_only", "canonical_differs"), ("a", "W", "None", "left_only", "role_differs"), ("a", "W", "None", "right_only", "role_differs"), ("a", "X", "lead", "agree", "None"), ("a", "Y", "lead", "left_only", "canonical_differs")]
     assert got == [*want, ("a", "Z", "collaborator", "right_only", "role_differs"), ("a", "Z", "lead", "left_only", "role_differs"), ("c", "X", "lead", "left_only", "literal_absent")]
     assert df._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_likeness_is_taken_of_distinct_texts(spark):
+    """Every row of part may hold the same text: the comparing stands above the aggregate, once."""
+    plan = QUERIES["VOC-11"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    compared = [i for i, line in enumerate(plan) if "ArrowEvalPython" in line]
+    assert len(compared) == 1
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    below = []
+    for line in plan[compared[0] + 1 :]:
+        if depth(line) <= depth(plan[compared[0]]):
+            break
+        below.append(line)
+    assert any("Aggregate [" in line for line in below)
