@@ -68,11 +68,13 @@ def points_in_areas(points: DataFrame, edges: DataFrame, cell: float = 1.0) -> D
     """(point_id, area): points (point_id, x, y) inside polygons given by edges (area, x1, y1, x2, y2).
 
     An edge meets the horizontal strips that it crosses; a point looks at the edges of its strip only, and is inside
-    where the ray to its right crosses an odd number of an area's edges."""
+    where the ray to its right crosses an odd number of an area's edges. An area's edges in a strip are one row, so that a point counts
+    them where it is, and no table of points and areas is held."""
     strip = lambda y: F.floor(y / cell)
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    cut = edges.withColumn("strip", F.explode(F.sequence(strip(low), strip(high))))
+    sides = edges.filter("y1 <> y2").select("area", "x1", "y1", "x2", "y2", F.least("y1", "y2").alias("low"), F.greatest("y1", "y2").alias("high"))
+    cut = sides.withColumn("strip", F.explode(F.sequence(strip(F.col("low")), strip(F.col("high")))))
+    cut = cut.groupBy("strip", "area").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2", "low", "high")).alias("edges"))
     near = points.withColumn("strip", strip(F.col("y"))).join(cut, "strip")
-    spans = (F.col("y") >= low) & (F.col("y") < high)
-    at = F.col("x1") + (F.col("y") - F.col("y1")) / (F.col("y2") - F.col("y1")) * (F.col("x2") - F.col("x1"))
-    return near.filter(spans).filter(F.col("x") < at).groupBy("point_id", "area").agg(F.count("*").alias("n")).filter("n % 2 = 1").select("point_id", "area")
+    at = lambda e: e["x1"] + (F.col("y") - e["y1"]) / (e["y2"] - e["y1"]) * (e["x2"] - e["x1"])
+    crossed = F.filter("edges", lambda e: (F.col("y") >= e["low"]) & (F.col("y") < e["high"]) & (F.col("x") < at(e)))
+    return near.filter(F.size(crossed) % 2 == 1).select("point_id", "area")

@@ -144,3 +144,15 @@ def test_likeness_is_taken_of_distinct_texts(spark):
             break
         below.append(line)
     assert any("Aggregate [" in line for line in below)
+
+
+def test_points_hold_no_table_of_crossings(spark):
+    from cohortmill.operators import blocks as B
+
+    square = lambda a, x, y, d: [(a, x, y, x + d, y), (a, x + d, y, x + d, y + d), (a, x + d, y + d, x, y + d), (a, x, y + d, x, y)]
+    edges = spark.createDataFrame([*square(1, 0.0, 0.0, 4.0), *square(1, 1.0, 1.0, 2.0), *square(2, 3.0, 0.5, 4.0)], "area long, x1 double, y1 double, x2 double, y2 double")
+    points = spark.createDataFrame([(1, 0.5, 2.0), (2, 2.0, 2.0), (3, 3.5, 1.0), (4, 9.0, 1.0), (5, 0.0, 0.0), (6, None, 1.0), (7, 1.0, None), (8, 1.0, float("nan"))], "point_id long, x double, y double")
+    df = B.points_in_areas(points, edges, 0.5)
+    assert sorted((r.point_id, r.area) for r in df.collect()) == [(1, 1), (3, 1), (3, 2), (5, 1)]
+    aggregates = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in line]
+    assert len(aggregates) == 1 and "strip" in aggregates[0]
