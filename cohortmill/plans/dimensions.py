@@ -14,7 +14,7 @@ from ..operators import links as K
 from ..operators import racetables as Q
 from ..operators import stats as T
 from ..sources.folders import kept
-from .bindings import STUDIES, registered, studies, table
+from .bindings import STUDIES, _id, registered, studies, table
 from .documents import KEYWORDS
 from .registry import query
 from .trials import PARSED, finished
@@ -271,13 +271,15 @@ def cited_identifiers(spark, sf_dir):
     """Registry identifiers that the documents' own pages cite, and those that only the page's parent does, against what the registry answered."""
     from .documents import with_citation
 
-    found = K.identifiers(with_citation(spark, sf_dir), ["doc_id", "page"], "text", "own").filter("kind = 'nct'")
-    citations = found.select(F.col("doc_id").alias("document"), "identifier").distinct()
+    # only registry numbers are looked for, by no other kind's pattern; what is found is written, since documents and their children both read it
+    found = K.identifiers(with_citation(spark, sf_dir), ["doc_id"], "text", "own", {"nct": K.IDENTIFIERS["nct"]})
+    citations = kept(found.select(F.col("doc_id").alias("document"), "identifier"), "citations")
     d = F.col("doc_id")
     parents = table(spark, sf_dir, "documents").filter((d % 12).isin(1, 2)).select(d.alias("document"), (d - d % 12).alias("parent"))
+    trials = table(spark, sf_dir, "orders").select(_id("o_orderkey").alias("nct_id"))
     k = F.substring("nct_id", 4, 8).cast("int") % 7
     status = F.when(k == 0, 404).when(k == 1, 500).otherwise(200)
-    answers = registered(spark, sf_dir).select(F.col("nct_id").alias("identifier"), status.alias("status"), F.when(k == 2, F.concat(F.lit("OLD"), "nct_id")).otherwise(F.col("nct_id")).alias("own_id"))
+    answers = trials.select(F.col("nct_id").alias("identifier"), status.alias("status"), F.when(k == 2, F.concat(F.lit("OLD"), "nct_id")).otherwise(F.col("nct_id")).alias("own_id"))
     return K.cited_studies(citations, answers, parents)
 
 

@@ -156,3 +156,12 @@ def test_points_hold_no_table_of_crossings(spark):
     assert sorted((r.point_id, r.area) for r in df.collect()) == [(1, 1), (3, 1), (3, 2), (5, 1)]
     aggregates = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in line]
     assert len(aggregates) == 1 and "strip" in aggregates[0]
+
+
+def test_documents_are_searched_once_for_cited_numbers(spark, monkeypatch):
+    from cohortmill.operators import links as K
+
+    kinds, real = [], K.identifiers
+    monkeypatch.setattr(K, "identifiers", lambda *a: kinds.append(list(a[4]) if len(a) > 4 else list(K.IDENTIFIERS)) or real(*a))
+    plan = QUERIES["JN-15"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert kinds == [["nct"]] and "regexp_extract_all" not in plan and "c_custkey" not in plan
