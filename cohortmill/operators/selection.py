@@ -18,14 +18,24 @@ def classify_distinct(rows: DataFrame, column: str, to: str, rule) -> DataFrame:
     return rows.join(known, column, "left")
 
 
-def labelled_rows(cells: DataFrame) -> DataFrame:
-    """Sex and gender tables only, each row with its bucket."""
-    return classify_distinct(cells.filter(is_sex_gender(F.col("title"))), "label", "bucket", sex_bucket)
+def label_buckets(cells: DataFrame) -> DataFrame:
+    """(label, bucket) of every label of the sex and gender tables, written."""
+    return kept(cells.filter(is_sex_gender(F.col("title"))).select("label").distinct().withColumn("bucket", sex_bucket(F.col("label"))), "buckets")
 
 
-def bucket_sums(cells: DataFrame) -> DataFrame:
+def labelled_rows(cells: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Sex and gender tables only, each row with its bucket. known: label_buckets() of a like source, which saves a reading of this one for its labels;
+    the rule is asked for labels that are not among them."""
+    rows, label = cells.filter(is_sex_gender(F.col("title"))), F.col("label")
+    if known is None:
+        return classify_distinct(rows, "label", "bucket", sex_bucket)
+    both = rows.join(known.withColumn("_known", F.lit(True)), "label", "left")
+    return both.withColumn("bucket", F.when(F.col("_known") | label.isNull(), F.col("bucket")).otherwise(sex_bucket(label))).drop("_known")
+
+
+def bucket_sums(cells: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """One row per trial and table: n_<bucket> is null where no such row is posted, which is not zero."""
-    rows = labelled_rows(cells)
+    rows = labelled_rows(cells, known)
     return rows.groupBy("nct_id", "title").agg(*[F.sum(F.when(F.col("bucket") == b, F.col("value"))).alias(f"n_{b}") for b in BUCKETS], F.max("unit").alias("unit"), F.count("*").alias("n_rows"))
 
 

@@ -37,7 +37,9 @@ def write_lines(df: DataFrame, path: str) -> None:
 def read_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(records, problems): a line that is no record of the schema becomes a problem, never a stop."""
     lines = spark.read.text(path)
-    parsed = lines.select("value", F.from_json("value", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r"))
+    # as a generator's output, each line is parsed once: as an expression it would be once for the filter and again for the fields
+    record = F.from_json("value", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    parsed = lines.select(F.stack(F.lit(1), F.col("value"), record).alias("value", "r"))
     bad = F.col("r").isNull() | F.col("r._bad").isNotNull()
     return parsed.filter(~bad).select("r.*").drop("_bad"), parsed.filter(bad).select(F.col("value").alias("line"))
 

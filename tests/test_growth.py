@@ -165,3 +165,17 @@ def test_documents_are_searched_once_for_cited_numbers(spark, monkeypatch):
     monkeypatch.setattr(K, "identifiers", lambda *a: kinds.append(list(a[4]) if len(a) > 4 else list(K.IDENTIFIERS)) or real(*a))
     plan = QUERIES["JN-15"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert kinds == [["nct"]] and "regexp_extract_all" not in plan and "c_custkey" not in plan
+
+
+def test_sources_of_a_rebuilt_table_meet_once(spark):
+    plan = QUERIES["SEL-15"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 2 and "replicaterows" not in plan  # either source is read here only: not before, for its labels
+
+
+def test_labels_beyond_the_known_ones_ask_the_rule(spark):
+    from cohortmill.operators import selection as S
+
+    cells = spark.createDataFrame([("a", "Sex: Female, Male", x, "Participants", 1.0) for x in ("Female", "Male ", "Women", "Non-binary", "stones", None)], "nct_id string, title string, label string, unit string, value double")
+    known = S.label_buckets(cells.filter("label in ('Female', 'stones')"))
+    bucket = lambda df: {r.label: r.bucket for r in df.collect()}
+    assert bucket(S.labelled_rows(cells, known)) == bucket(S.labelled_rows(cells)) and bucket(S.labelled_rows(cells))["Women"] is not None
