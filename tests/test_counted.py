@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from cohortmill.operators.counted import UNKNOWN, counted_block, posted_tables, select_counted
 
 CATEGORIES = ["white", "asian", "other", UNKNOWN]
@@ -103,6 +105,27 @@ def test_random_trials(spark):
     assert sum(any(p for *_, p in r) for r in roles.values()) > 5
 
 
+def test_sums_say_what_rows_say(spark):
+    """With the categories given, no rows are collected: the same tables count, and the block is the same."""
+    r = random.Random(11)
+    rows = [(t, p, i, "x", r.choice([*CATEGORIES, None]), r.choice([None, "x"]), r.choice([None, 0, 1, 2, 3]), r.random() < 0.2, r.choice([None, [], ["seen"]]), r.choice([None, 2, 4, 6]), r.choice([None, "a", "b"]), "x")
+            for t in range(300) for p in range(r.randrange(1, 4)) for i in range(r.randrange(1, 4))]
+    df, size = spark.createDataFrame(rows, SCHEMA), spark.range(310).selectExpr("cast(id as int) t", "nullif(id % 9, 0) total")
+    held, found = F.col("line") + F.col("t") % 4 != 3, []
+    for given in (None, CATEGORIES):
+        tables = posted_tables(df, "t", SPECIFIC, held, given, given and 3).join(size, "t")
+        chosen = select_counted(tables, "t", "total").cache()
+        assert ("rows" in chosen.columns) == (given is None)
+        block = counted_block(chosen, size, "t", "total", "race", CATEGORIES)
+        found.append(([tuple(x) for x in chosen.select("t", "position", "n_rows", "posted_n", "counted_n", "apart_n", "denied_n", "counted", "partitioned", "by_description").orderBy("t", "position").collect()], [x.asDict() for x in block.drop("kept_apart").orderBy("t").collect()]))
+        if given is None:
+            assert all(x.n_apart == sum(y.n for y in x.kept_apart or []) for x in block.collect())
+    assert found[0] == found[1] and len(found[0][1]) == 310
+    bare = posted_tables(df.drop("subcategory", "flags", "analyzed", "population"), "t", SPECIFIC, held, CATEGORIES).join(size, "t")
+    block = counted_block(select_counted(bare, "t", "total"), size, "t", "total", "race", CATEGORIES)
+    assert all(x.subtotals == {} and sum(x.totals.values()) == (max(x.n_posted, x.total or 0) if x.reported else 0) for x in block.collect())
+
+
 def test_one_shuffle(spark):
     rows = spark.range(50).selectExpr("cast(id % 9 as int) t", "cast(id % 2 as int) position", "1 line", "'x' label", "'white' category", "cast(null as string) subcategory", "id n", "false negates", "cast(null as array<string>) flags", "cast(null as long) analyzed", "cast(null as string) population")
     t = select_counted(posted_tables(rows, "t", SPECIFIC).selectExpr("*", "10L as total"), "t", "total")

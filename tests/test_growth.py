@@ -118,6 +118,18 @@ def test_posted_tables_are_shuffled_once(spark, name):
     assert "Window" not in plan.optimizedPlan().toString() and plan.optimizedPlan().toString().count("Join") == 1
 
 
+def test_lines_of_tables_are_summed_not_collected(spark, monkeypatch):
+    """Only an order's tables are collected; its lines are sums, in as many partitions as their number asks for."""
+    from cohortmill.plans import tables as T
+
+    monkeypatch.setattr(T, "LINES", 100)
+    df = QUERIES["SEL-9-tables"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list(") == 1 and "array_sort(" not in plan
+    n = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert "RepartitionByExpression [l_orderkey" in plan and f", {-(-n // 100)}" in plan.split("RepartitionByExpression [l_orderkey")[1].splitlines()[0]
+
+
 def test_two_indexes_meet_in_one_shuffle(spark):
     from cohortmill.operators import sponsors as S
 
