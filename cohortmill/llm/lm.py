@@ -1,8 +1,9 @@
 """Cross-entropy difference: a target and a background bigram model over all words, and their losses for every text.
 
 Both models come from all of their tables and hold every word and every pair of words; no vocabulary bounds them. Texts
-are dealt to slices of about SLICE bytes. A slice asks for the counts of its distinct words and pairs, keyed by hashes:
-its keys go to buckets by range, each bucket sums what all slices bring, and answers every slice in the order of its keys.
+are dealt to slices of about SLICE bytes, and stay rows of their own, as readers of Parquet hold thousands of rows at once.
+A slice asks for the counts of its distinct words and pairs, keyed by hashes: its keys go to buckets by range, each bucket
+sums what all slices bring, and answers every slice in the order of its keys. Slices may be read in parts, which ask apart.
 The slice then scores its texts. So a common word costs one key a slice, however often it occurs, nothing is broadcast,
 and what travels grows with the input. Both models are smoothed alike, by Dirichlet priors over their unigrams, which
 count each word of either table once more. A text's loss is the mean over its words; the difference is target minus
@@ -19,6 +20,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +29,7 @@ from .pretok import mixed
 from .shared import slices, stored, text_column
 from .textscan import Words, scan
 
-PRIOR, SLICE, BUCKETS, BUCKET_BYTES = 200.0, 2 << 20, 512, 8 << 20
+PRIOR, SLICE, BUCKETS, BUCKET_BYTES, ROW = 200.0, 2 << 20, 512, 8 << 20, 256
 U = np.uint64
 #: What stands for words outside a bounded vocabulary.
 UNKNOWN = U(0x5851F42D4C957F2D)
@@ -81,18 +84,41 @@ def unpack(data: bytes, columns: int, size: int) -> np.ndarray:
 
 
 def sliced(background: DataFrame, limit: int) -> DataFrame:
-    """slice, doc_ids, texts, n_bytes: about `limit` bytes of texts to a row."""
+    """slice, doc_id, text, n_bytes: a row for each text, dealt as they come to slices of about `limit` bytes; a row counts for ROW bytes more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=limit):
-            whole = pa.array([0, batch.num_rows], pa.int32())
+        at, total = TaskContext.get().partitionId() << 33, 0
+        for batch in batches:
             texts = batch.column("text").cast(pa.string())
-            lists = [pa.ListArray.from_arrays(whole, pa.concat_arrays([c])) for c in (batch.column("doc_id"), texts)]
-            yield pa.RecordBatch.from_arrays([*lists, pa.array([batch.get_total_buffer_size()], pa.int64())], ["doc_ids", "texts", "n_bytes"])
+            n_bytes = pc.binary_length(texts).cast(pa.int64())
+            owners = np.empty(batch.num_rows, np.int64)
+            for i, n in enumerate((n_bytes.to_numpy() + ROW).tolist()):
+                if total and total + n > limit:
+                    at, total = at + 1, 0
+                total += n
+                owners[i] = at
+            yield pa.RecordBatch.from_arrays([pa.array(owners), batch.column("doc_id"), texts, n_bytes], ["slice", "doc_id", "text", "n_bytes"])
 
     rows = background.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
-    rows = rows.mapInArrow(run, "doc_ids array<long>, texts array<string>, n_bytes long")
-    return rows.select(F.monotonically_increasing_id().alias("slice"), "*")
+    return rows.mapInArrow(run, "slice long, doc_id long, text string, n_bytes long")
+
+
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array]]:
+    """The texts of each slice in a row, also where a batch ends within it."""
+    at, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        owners = batch.column("slice").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(owners)) + 1).tolist(), len(owners)]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and owners[a] != at:
+                yield at, pa.concat_arrays(held)
+                held = []
+            at = int(owners[a])
+            held.append(batch.column("text").slice(a, b - a))
+    if held:
+        yield at, pa.concat_arrays(held)
 
 
 REQUEST = "slice long, bucket int, size int, data binary"
@@ -109,7 +135,7 @@ def asked(slice_id: int | None, keyed: Keyed, buckets: int) -> Iterator[pa.Recor
 
 
 def summed(bucket: pa.Table) -> pa.Table:
-    """Counts of a bucket's keys in both tables, answered to every slice; and one row of the bucket's totals."""
+    """Counts of a bucket's keys in both tables, answered to every slice, once if it asked in parts; and one row of the bucket's totals."""
     owners, sizes = bucket.column("slice").to_pylist(), bucket.column("size").to_pylist()
     held = [unpack(d, 3, n) for d, n in zip(bucket.column("data").to_pylist(), sizes)]
     key, at = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
@@ -118,7 +144,14 @@ def summed(bucket: pa.Table) -> pa.Table:
     # n of the target, n of the background, last of the target, last of the background
     counts = [np.bincount(at[side], c[side], len(key)).astype(np.int64) for c in both for side in (~ours, ours)]
     cuts = np.r_[0, np.cumsum(sizes)]
-    rows = [(s, n, pack([c[at[a:b]] for c in counts])) for s, n, a, b in zip(owners, sizes, cuts, cuts[1:]) if s is not None]
+    asked_at: dict[int, list[np.ndarray]] = {}
+    for s, a, b in zip(owners, cuts, cuts[1:]):
+        if s is not None:
+            asked_at.setdefault(s, []).append(at[a:b])
+    rows = []
+    for s, parts in asked_at.items():
+        own = parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
+        rows.append((s, len(own), pack([c[own] for c in counts])))
     word = (key & U(1)).astype(bool)
     totals = [int(word.sum()), *(int(c[word].sum()) for c in counts)]
     none = [None] * len(rows)
@@ -154,24 +187,23 @@ def cross_entropy_difference(target: DataFrame, background: DataFrame, vocabular
     if vocabulary is not None:
         top = shared_vocabulary(word_counts(target.select("text").unionByName(background.select("text"))), vocabulary)
     texts = stored(sliced(background, limit), "slices")
-    size = texts.agg(F.sum("n_bytes")).first()[0] or 0
+    size = sum(df.agg(F.sum(n)).first()[0] or 0 for df, n in ((texts, F.col("n_bytes")), (target, F.octet_length("text"))))
     buckets = max(BUCKETS, -(-size // BUCKET_BYTES))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                yield from asked(batch.column("slice")[i].as_py(), Keyed(scan(batch.column("texts")[i].values), top), buckets)
+        for owner, own in runs(batches):
+            yield from asked(owner, Keyed(scan(own), top), buckets)
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=limit):
             yield from asked(None, Keyed(scan(batch.column("text")), top), buckets)
 
-    requests = texts.select("slice", "texts").mapInArrow(ask, REQUEST).unionByName(target.select(text_column().alias("text")).mapInArrow(tell, REQUEST))
+    requests = texts.select("slice", "text").mapInArrow(ask, REQUEST).unionByName(target.select(text_column().alias("text")).mapInArrow(tell, REQUEST))
     answers = stored(requests.groupBy("bucket").applyInArrow(summed, ", ".join([REQUEST, *(f"{t} long" for t in TOTALS)])), "answers")
     distinct, *total = (x or 0 for x in answers.agg(*[F.sum(t) for t in TOTALS]).first())
 
     def score(mine: pa.Table, got: pa.Table) -> pa.Table:
-        ids, held = mine.column("doc_ids").chunk(0)[0].values, scan(mine.column("texts").chunk(0)[0].values)
+        ids, held = mine.column("doc_id").combine_chunks(), scan(mine.column("text").combine_chunks())
         keyed, n, doc = Keyed(held, top), np.diff(held.of), held.doc()
         got = got.sort_by("bucket")
         parts = [unpack(d, 4, k).view(np.int64) for d, k in zip(got.column("data").to_pylist(), got.column("size").to_pylist())]
@@ -187,5 +219,5 @@ def cross_entropy_difference(target: DataFrame, background: DataFrame, vocabular
         return pa.table([ids, pa.array(n, pa.int64()), *each], ["doc_id", "n_words", "target_loss", "background_loss"])
 
     asking = answers.filter("slice is not null").select("slice", "bucket", "size", "data")
-    scored = texts.select("slice", "doc_ids", "texts").groupBy("slice").cogroup(asking.groupBy("slice")).applyInArrow(score, "doc_id long, n_words long, target_loss double, background_loss double")
+    scored = texts.select("slice", "doc_id", "text").groupBy("slice").cogroup(asking.groupBy("slice")).applyInArrow(score, "doc_id long, n_words long, target_loss double, background_loss double")
     return scored.withColumn("difference", F.col("target_loss") - F.col("background_loss"))

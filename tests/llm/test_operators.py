@@ -313,6 +313,26 @@ def test_cross_entropy_over_all_words(spark):
     assert got[12] < got[13]
 
 
+def test_cross_entropy_keeps_texts_apart(spark, monkeypatch):
+    """No stored row holds a slice, buckets follow the bytes of the texts, and a slice may be read in parts."""
+    background = spark.createDataFrame([(k, words(60 + k % 7, k % 90)) for k in range(300)] + [(300, ""), (301, None)], "doc_id long, text string").coalesce(1)
+    target, kept, real = background.filter("doc_id < 20").select("text"), {}, lm.stored
+    want = {r["doc_id"]: r for r in lm.cross_entropy_difference(target, background).collect()}
+    monkeypatch.setattr(lm, "BUCKETS", 1)
+    monkeypatch.setattr(lm, "BUCKET_BYTES", 20_000)
+    for scattered in (False, True):
+        monkeypatch.setattr(lm, "stored", lambda df, name: kept.setdefault(name, real(df.repartition(3) if scattered and name == "slices" else df, name)))
+        kept.clear()
+        assert {r["doc_id"]: r for r in lm.cross_entropy_difference(target, background, limit=9000).collect()} == want
+        texts = kept["slices"]
+        assert not any(kind.startswith("array") for _, kind in texts.dtypes) and sorted(r["doc_id"] for r in texts.collect()) == list(range(302))
+        n_bytes, n_slices = texts.agg(F.sum(F.octet_length("text")), F.countDistinct("slice")).first()
+        n_bytes += target.agg(F.sum(F.octet_length("text"))).first()[0]
+        assert n_bytes > 100_000 and 10 < n_slices < 60
+        asked = kept["answers"].agg(F.countDistinct("bucket"), F.count("slice"), F.countDistinct("slice", "bucket")).first()
+        assert asked[0] == -(-n_bytes // 20_000) and n_slices <= asked[1] == asked[2] <= n_slices * asked[0]
+
+
 def test_toxicity(spark, docs, odd, none, labels):
     r = np.random.default_rng(0)
     bad = ["vile", "rotten", "awful"]
